@@ -148,3 +148,46 @@ def clean(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars")
         changed = F.col("_quality")["removed_chars"] > 0
         put[n_chars] = F.when(changed, F.length(F.col("_quality")["clean_text"]).cast(docs.schema[n_chars].dataType)).otherwise(F.col(n_chars))
     return out.select(*[put.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+
+
+
+#: DuckDB SQL for the query's columns over documents.  RE2 knows no backward references,
+#: so repeated words are counted from the list of words with single spaces between.
+QUALITY_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         string_split(coalesce(text, ''), chr(10)) AS lines
+  FROM documents
+), g AS (SELECT doc_id, len(w) AS n, unnest(range(1, len(w) - 3)) AS i, w FROM d WHERE len(w) >= 5),
+h AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS x FROM g),
+r AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, x) AS n FROM h),
+p AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM r, (VALUES (0), (1), (2), (3), (4)) v(k) WHERE n > 1 GROUP BY doc_id),
+l AS (SELECT doc_id, unnest(lines) AS l FROM d),
+c AS (
+  SELECT doc_id, l, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n, length(regexp_replace(l, '[\x20\x09-\x0D]+', '', 'g')) AS chars,
+         length(l) - length(translate(l, '#*$%&|<>', '')) AS sym, length(l) - length(translate(l, '!', '')) AS shout,
+         length(l) - length(translate(l, '|»›•·', '')) AS sep,
+         list_reduce(list_prepend({'last': chr(32), 'run': 0, 'pairs': 0},
+           list_transform(regexp_split_to_array(l, '[\x09-\x0D\x20]'), lambda x: {'last': x, 'run': 0, 'pairs': 0})),
+           lambda a, b: CASE WHEN a.run = 0 AND b.last = a.last AND b.last <> '' THEN {'last': b.last, 'run': 1, 'pairs': a.pairs + 1}
+                             ELSE {'last': b.last, 'run': 0, 'pairs': a.pairs} END).pairs AS stutter
+  FROM l
+), f AS (
+  SELECT doc_id, l, n, chars,
+    (sym >= 3 AND sym * 10 > n * 3) OR (shout >= 3 AND shout * 10 > n * 3) OR (sep >= 2 AND sep * 10 > n * 3)
+    OR (n >= 10 AND NOT regexp_matches(l, '[.!?,;:…。！？،]')) OR (stutter >= 3 AND stutter * 10 > n * 3)
+    OR (length(l) <= 250 AND regexp_matches(l, '@boilerplate@')) AS bad
+  FROM c
+), q AS (
+  SELECT doc_id, count(*) FILTER (n > 0) - count(DISTINCT l) FILTER (n > 0) AS n_dup_lines, coalesce(sum(chars) FILTER (bad), 0) AS lost
+  FROM f GROUP BY doc_id
+), o AS (
+  SELECT d.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, lost
+  FROM d LEFT JOIN p USING (doc_id) LEFT JOIN q USING (doc_id)
+), b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM o)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND lost * 10 <= word_chars * 3 AS kept
+FROM b
+""".replace("@boilerplate@", BOILERPLATE)
