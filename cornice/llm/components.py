@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +31,26 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where(F.col("a") != F.col("b")).distinct()
 
 
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each batch's edges as stars: a row per node that isn't the least of its piece."""
+    for batch in batches:
+        ends = np.stack((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+        nodes, code = np.unique(ends, return_inverse=True)
+        code = code.reshape(ends.shape)
+        root = np.arange(len(nodes))
+        while True:
+            low = np.minimum(root[code[0]], root[code[1]])
+            step = root.copy()
+            np.minimum.at(step, root[code[0]], low)
+            np.minimum.at(step, root[code[1]], low)
+            step = step[step]
+            if (step == root).all():
+                break
+            root = step
+        hung = root != np.arange(len(nodes))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[hung]), pa.array(nodes[root[hung]])], ["a", "b"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of edges (a, b); root is the least node of its component.
 
@@ -34,10 +58,10 @@ def components(edges: DataFrame) -> DataFrame:
     folder, so its lineage is one table deep.
     """
     edges = edges.where(F.col("a") != F.col("b")).select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
-    state, now = None, materialize(edges.distinct(), "edges")
+    state, now = None, materialize(edges.mapInArrow(_forest, "a long, b long").distinct(), "edges")
     while True:
         # Stars on sorted roots: nothing changes once every node hangs on its root.
-        now = materialize(_star(_star(now, True), False), "edges")
+        now = materialize(_star(materialize(_star(now, True), "edges"), False), "edges")
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(seen) == state:
             break

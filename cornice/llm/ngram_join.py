@@ -1,24 +1,32 @@
 """Jaccard join on word n-grams with token-combination prefixes.
 
-A document's set holds a 64-bit hash of each distinct n-gram.  All sets are
-ordered alike: rare tokens first, frequent ones last, by hash within each.  If
-two sets reach the threshold, their prefixes of length
-``size - ceil(threshold * size) + k`` share k tokens.  So documents are indexed
-under every rare token of that prefix and under every combination of k frequent
-tokens in it; a frequent token alone never brings documents together.
-
-Classes.  Documents with equal sets form a class, of which one stands for all.
-
-Candidates.  What shares an index key is connected by stars: each task hangs the
-classes that it has seen under a key on their least one, and only those least
-ones meet in the shuffle.  A key that is in a third of all documents thus costs
-a row per task, and no pairs within a group are made.
-
-Verification.  The connected parts of that graph are checked exactly: blocks of
-at most `block_tokens` tokens find all links among their sets by an inverted
-index.  A part larger than a block is split; its blocks are first tied together
-through hubs, and then only the sets outside of the largest piece are compared
-with all others.  No link is lost, and every comparison is on whole sets.
+A document's set holds a 64-bit hash of each distinct n-gram.  Linked sets A and
+B share at least ``need(size)`` tokens, so their prefixes by hash of length
+``size - need(size) + k`` share k.  k is large here (EXTEND of the plain prefix):
+a passage that many documents share gives them some tokens in common, but not k.
+
+1. Tokens of the extended prefixes are counted.  Those in very many documents
+   are frequent, FREQUENT_MOST at most, so that every task can know them.  The
+   rest are rare; they meet in a shuffle, which tells each document which of its
+   prefix tokens occur elsewhere at all.  Documents with fewer than k such
+   tokens have no partner and go.
+2. What a document shares is put in a common order, rare tokens first by number
+   of documents, frequent ones last.  As partners have k of them in common, all
+   but the last k - c hold c common ones.  Of that second prefix every rare
+   token is indexed alone, and frequent ones in combinations of c tokens.
+   (Sets above COMBINED_SIZES tokens index frequent tokens alone, c = 1; sizes
+   near that bound do both, so that no pair falls between.)
+3. Classes under one key are tied by stars: each task hangs those that it has
+   seen on their least one, and only least ones meet in the shuffle, so a key in
+   a third of all documents costs a row per task and pairs within a group are
+   never made.  Connected parts of that graph are checked exactly: blocks of at
+   most `block_tokens` tokens find all links among their sets by an inverted
+   index.  A part larger than a block is split; its blocks are first tied
+   together through hubs, and then only the sets outside of the largest piece
+   are compared with all others.  No link is lost, and comparisons are of whole
+   sets.
+
+Documents with equal sets form a class, of which one stands for all.
 
 Defined cases: a null or empty text has an empty set, links with nothing and is
 its own component; a text with fewer words than n has one shingle, the whole
@@ -46,6 +54,11 @@ FREQUENT_MOST = 1 << 20
 FREQUENT_LEAST = 48
 #: In-play classes up to this number are broadcast to the scan (40 bytes each).
 BROADCAST_ROWS = 500_000
+#: Tenths of the plain prefix that the extended one adds.
+EXTEND = 7
+#: Sizes of sets whose frequent tokens are indexed in combinations.
+COMBINED_SIZES = (40, 600)
+COMBINED = 2
 _A = np.uint64(0x9E3779B97F4A7C15)
 _SALT = np.uint64(0xA0761D6478BD642F)
 
@@ -55,6 +68,15 @@ def need(size: np.ndarray, percent: int) -> np.ndarray:
     return -(-size * percent // 100)
 
 
+def plain_prefix(size: np.ndarray, percent: int) -> np.ndarray:
+    return size - need(size, percent) + 1
+
+
+def shared_tokens(size: np.ndarray, percent: int) -> np.ndarray:
+    """k: tokens that the extended prefixes of linked sets of this size or more have in common."""
+    return np.maximum(1, plain_prefix(size, percent) * EXTEND // 10)
+
+
 class Sets:
     """The token sets of some rows: tokens of row i are tokens[at[i]:at[i+1]], ascending."""
 
@@ -112,64 +134,152 @@ class Sets:
         return np.arange(len(self.tokens)) - self.at[self.row] < length[self.row]
 
 
+def _useful(sets: Sets, ck: np.ndarray, percent: int) -> np.ndarray:
+    """Tokens in the extended prefix of one set of each class; sets so small that only equal ones link are left out."""
+    _, one = np.unique(ck, return_index=True)
+    chosen = np.zeros(len(ck), bool)
+    chosen[one] = True
+    chosen &= sets.size * (100 - percent) >= percent
+    depth = plain_prefix(sets.size, percent) - 1 + shared_tokens(sets.size, percent)
+    return sets.head(depth) & chosen[sets.row]
+
+
 def _count_tokens(n: int, percent: int):
-    """Documents per token, over a stretch a third longer than any prefix."""
+    """Documents per token of the extended prefixes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = Sets(batch.column(0), n)
-            depth = sets.size - need(sets.size, percent) + 1
-            tok, count = np.unique(sets.tokens[sets.head(depth + depth // 3 + 4)], return_counts=True)
+            tok, count = np.unique(sets.tokens[_useful(sets, sets.digest()[0], percent)], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(tok.view(np.int64)), pa.array(count.astype(np.int64))], ["token", "n"])
 
     return run
 
 
-def _index(n: int, percent: int, k: int, frequent):
-    """Rows (kind, key, ck, ck2, n, doc_id): 0 the least class of a key in this batch, 1 an edge, 2 a document."""
+#: kind 0: a rare token (a) of a class (b) of size c; 2: class a, b of size c of document d; 3: class a has frequent token b, size c.
+_ROWS = "kind int, a long, b long, c long, d long"
+
+
+def _rows(kind: int, a, b, c=None, d=None) -> pa.RecordBatch:
+    none = pa.nulls(len(a), pa.int64())
+    arrays = [pa.array(np.full(len(a), kind, np.int32)), pa.array(a), pa.array(b)]
+    arrays += [none if x is None else x.cast(pa.int64()) if isinstance(x, pa.Array) else pa.array(x.astype(np.int64)) for x in (c, d)]
+    return pa.RecordBatch.from_arrays(arrays, ["kind", "a", "b", "c", "d"])
 
+
+def _entries(n: int, percent: int, frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = frequent.value
         for batch in batches:
             sets = Sets(batch.column(1), n)
             ck, ck2 = sets.digest()
-            rows = len(ck)
-            yield _rows(2, ck, ck, ck2, sets.size, batch.column(0))
-            # Sets this small link with equal ones only, which are of their class.
-            useful = sets.size * (100 - percent) >= percent
-            _, one = np.unique(ck, return_index=True)
-            chosen = np.zeros(rows, bool)
-            chosen[one] = True
-            chosen &= useful
-            is_often = np.zeros(len(sets.tokens), bool)
+            yield _rows(2, ck, ck2, sets.size, batch.column(0))
+            pick = _useful(sets, ck, percent)
+            tok, row = sets.tokens[pick], sets.row[pick]
+            is_often = np.zeros(len(tok), bool)
             if len(often):
-                spot = np.searchsorted(often, sets.tokens)
-                is_often = often[np.minimum(spot, len(often) - 1)] == sets.tokens
-            # Place in the common order: rare tokens by hash, then frequent ones.
-            rare_before = np.concatenate(([0], np.cumsum(~is_often)))
-            at = sets.at[sets.row]
-            rares = rare_before[sets.at[1:]] - rare_before[sets.at[:-1]]
-            place = np.where(is_often, rares[sets.row] + (np.arange(len(sets.tokens)) - at) - (rare_before[:-1] - rare_before[at]), rare_before[:-1] - rare_before[at])
-            depth = sets.size - need(sets.size, percent) + k
-            inside = (place < depth[sets.row]) & chosen[sets.row]
-            single = inside & ~is_often
-            keys, owner = [sets.tokens[single]], [ck[sets.row[single]]]
-            both = np.flatnonzero(inside & is_often)
-            bound = np.flatnonzero(np.diff(sets.row[both])) + 1
-            for group in np.split(both, bound) if len(both) else []:
-                combos = _combine(sets.tokens[group], k)
-                keys.append(combos)
-                owner.append(np.full(len(combos), ck[sets.row[group[0]]]))
-            key, own = np.concatenate(keys).view(np.int64), np.concatenate(owner)
+                is_often = often[np.minimum(np.searchsorted(often, tok), len(often) - 1)] == tok
+            rare = ~is_often
+            yield _rows(0, tok[rare].view(np.int64), ck[row[rare]], sets.size[row[rare]])
+            yield _rows(3, ck[row[is_often]], tok[is_often].view(np.int64), sets.size[row[is_often]])
+
+    return run
+
+
+def _runs(key: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    return new
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by kind, a and b: kind 0 becomes kind 1 (class a, token b, size c, documents d) if over one class has the token."""
+    held: pa.Table | None = None
+
+    def close(table: pa.Table) -> pa.RecordBatch:
+        tok, ck, size = (table.column(i).to_numpy() for i in (1, 2, 3))
+        once = np.ones(len(tok), bool)
+        once[1:] = (tok[1:] != tok[:-1]) | (ck[1:] != ck[:-1])
+        tok, ck, size = tok[once], ck[once], size[once]
+        run = np.cumsum(_runs(tok)) - 1
+        df = np.bincount(run)[run] if len(run) else run
+        many = df > 1
+        return _rows(1, ck[many], tok[many], size[many], df[many])
+
+    for batch in batches:
+        kind = batch.column(0).to_numpy()
+        yield batch.filter(pa.array(kind != 0))
+        now = pa.Table.from_batches([batch.filter(pa.array(kind == 0))])
+        now = pa.concat_tables([held, now]) if held is not None else now
+        if not len(now):
+            continue
+        # The last token may go on in the next batch; rare tokens have few rows.
+        tok = now.column(1).to_numpy()
+        last = int(np.searchsorted(tok, tok[-1], side="left"))
+        yield close(now.slice(0, last))
+        held = now.slice(last).combine_chunks()
+    if held is not None:
+        yield close(held)
+
+
+def _index(percent: int):
+    """Of rows sorted by class, kind, documents and token: (key, class) for every index key."""
+
+    def keys(tok: np.ndarray, rare: np.ndarray, size: int) -> np.ndarray:
+        least = int(shared_tokens(need(np.array([size]), percent), percent)[0])
+        if len(tok) < least:
+            return tok[:0]
+        low, high = COMBINED_SIZES
+        out = []
+        if size * percent <= low * 100 or size * 100 > high * percent:
+            out.append(tok[: len(tok) - least + 1])
+        if low < size <= high:
+            head = slice(0, len(tok) - least + min(COMBINED, least))
+            out += [tok[head][rare[head]], _combine(tok[head][~rare[head]], COMBINED)]
+        return np.concatenate(out) if out else tok[:0]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+
+        def close(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            kind, ck, tok, size = (table.column(i).to_numpy() for i in range(4))
+            tok = tok.view(np.uint64)
+            bound = np.flatnonzero(_runs(ck))
+            found, owner = [], []
+            for i, j in zip(bound, np.append(bound[1:], len(ck)), strict=True):
+                got = keys(tok[i:j], kind[i:j] == 1, int(size[i]))
+                found.append(got)
+                owner.append(np.full(len(got), ck[i]))
+                if sum(map(len, found)) > 1_000_000:
+                    yield from star(np.concatenate(found), np.concatenate(owner))
+                    found, owner = [], []
+            if found:
+                yield from star(np.concatenate(found), np.concatenate(owner))
+
+        def star(key: np.ndarray, own: np.ndarray) -> Iterator[pa.RecordBatch]:
+            key = key.view(np.int64)
             order = np.lexsort((own, key))
             key, own = key[order], own[order]
-            new = np.ones(len(key), bool)
-            new[1:] = key[1:] != key[:-1]
+            new = _runs(key)
             hub = own[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))] if len(key) else own
             yield _rows(0, key[new], own[new])
-            pairs = np.unique(np.stack((own, hub))[:, own != hub], axis=1) if len(key) else np.zeros((2, 0), np.int64)
+            differ = own != hub
+            pairs = np.unique(np.stack((own[differ], hub[differ])), axis=1)
             yield _rows(1, pairs[0], pairs[1])
 
+        for batch in batches:
+            now = pa.Table.from_batches([batch])
+            now = pa.concat_tables([held, now]) if held is not None else now
+            if not len(now):
+                continue
+            ck = now.column(1).to_numpy()
+            last = int(np.searchsorted(ck, ck[-1], side="left"))
+            yield from close(now.slice(0, last))
+            held = now.slice(last).combine_chunks()
+        if held is not None:
+            yield from close(held)
+
     return run
 
 
@@ -186,18 +296,8 @@ def _combine(tokens: np.ndarray, k: int) -> np.ndarray:
     return mix64(keys ^ _SALT) if k > 1 else keys
 
 
-_INDEX_SCHEMA = "kind int, key long, ck long, ck2 long, n long, doc_id long"
-
-
-def _rows(kind: int, key, ck, ck2=None, n=None, doc_id=None) -> pa.RecordBatch:
-    none = pa.nulls(len(key), pa.int64())
-    arrays = [pa.array(np.full(len(key), kind, np.int32)), pa.array(key), pa.array(ck)]
-    arrays += [none if x is None else x.cast(pa.int64()) if isinstance(x, pa.Array) else pa.array(x.astype(np.int64)) for x in (ck2, n, doc_id)]
-    return pa.RecordBatch.from_arrays(arrays, ["kind", "key", "ck", "ck2", "n", "doc_id"])
-
-
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by kind, key and ck: documents and edges as they are, and each key's classes hung on its least."""
+    """Of rows sorted by kind, a and b: edges as they are, and each key's classes hung on its least."""
     key_now, hub_now = None, None
     for batch in batches:
         kind = batch.column(0).to_numpy()
@@ -206,8 +306,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, ck = batch.column(1).to_numpy()[pick], batch.column(2).to_numpy()[pick]
         if not len(key):
             continue
-        new = np.ones(len(key), bool)
-        new[1:] = key[1:] != key[:-1]
+        new = _runs(key)
         hub = ck[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
         if key[0] == key_now:
             hub[: np.flatnonzero(new)[1] if new.sum() > 1 else len(key)] = hub_now
@@ -328,7 +427,7 @@ def _cross(sets: DataFrame, probes: DataFrame, percent: int, tasks: int) -> Data
     return both.groupBy("comp", "chunk", "block").applyInPandas(_across(percent), "a long, b long")
 
 
-def link_classes(docs: DataFrame, n: int = 5, percent: int = 80, k: int = 2, block_tokens: int = 1 << 22, frequent_least: int = FREQUENT_LEAST, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def link_classes(docs: DataFrame, n: int = 5, percent: int = 80, block_tokens: int = 1 << 22, frequent_least: int = FREQUENT_LEAST, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, class_id, component_id.
 
     class_id tells equal sets apart; component_id is the smallest doc_id that
@@ -336,8 +435,8 @@ def link_classes(docs: DataFrame, n: int = 5, percent: int = 80, k: int = 2, blo
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    if not 50 <= percent <= 100 or n < 1 or not 1 <= k <= 5:
-        raise ValueError("percent must be 50 to 100, n at least 1 and k 1 to 5")
+    if not 50 <= percent <= 100 or n < 1:
+        raise ValueError("percent must be 50 to 100 and n at least 1")
 
     counted = docs.select("text").mapInArrow(_count_tokens(n, percent), "token long, n long")
     counted = counted.groupBy("token").agg(F.sum("n").alias("n"))
@@ -349,11 +448,14 @@ def link_classes(docs: DataFrame, n: int = 5, percent: int = 80, k: int = 2, blo
     often = many.where(F.col("token").isNotNull() & (F.col("n") > max(frequent_least, total // FREQUENT_MOST))).select("token").toPandas()
     frequent = spark.sparkContext.broadcast(np.sort(often["token"].to_numpy(np.int64).view(np.uint64)))
 
-    found = docs.mapInArrow(_index(n, percent, k, frequent), _INDEX_SCHEMA)
-    found = found.repartition(tasks_for(spark, total, 2_000_000), "key").sortWithinPartitions("kind", "key", "ck")
-    found = materialize(found.mapInArrow(_meet, _INDEX_SCHEMA), "index")
-    rows = found.where("kind = 2").select("doc_id", "n", "ck", "ck2")
-    edges = found.where("kind = 1").select(F.col("key").alias("a"), F.col("ck").alias("b"))
+    found = docs.mapInArrow(_entries(n, percent, frequent), _ROWS)
+    tasks = tasks_for(spark, total, 2_000_000)
+    found = found.repartition(tasks, "a").sortWithinPartitions("kind", "a", "b")
+    found = materialize(found.mapInArrow(_shared, _ROWS), "shared")
+    rows = found.where("kind = 2").select(F.col("d").alias("doc_id"), F.col("c").alias("n"), F.col("a").alias("ck"), F.col("b").alias("ck2"))
+    shared = found.where("kind in (1, 3)").distinct().repartition(tasks, "a").sortWithinPartitions("a", "kind", "d", "b")
+    keys = shared.mapInArrow(_index(percent), _ROWS).repartition(tasks, "a").sortWithinPartitions("kind", "a", "b")
+    edges = keys.mapInArrow(_meet, _ROWS).select("a", "b")
 
     parts = components(edges).toDF("ck", "comp")
     classes = rows.where("n > 0").groupBy("ck", "ck2", "n").agg(F.min("doc_id").alias("doc_id"))

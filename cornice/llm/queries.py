@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import share_path
 from . import ann, chat, html_text, langid, mixing, ngram_join, packing, quality, token_count, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return share_path(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def vocabulary(name: str) -> str:
