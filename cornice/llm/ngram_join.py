@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .store import materialize, tasks_for
-from .text_hash import mix64, padded, raw_bytes, slices, word_hashes
+from .text_hash import mix64, padded, parts, raw_bytes, slices, word_hashes
 
 #: No more tokens than this count as frequent, so that they can be sent to every task.
 FREQUENT_MOST = 1 << 20
@@ -148,7 +148,7 @@ def _count_tokens(n: int, percent: int):
     """Documents per token of the extended prefixes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, 0):
             sets = Sets(batch.column(0), n)
             tok, count = np.unique(sets.tokens[_useful(sets, sets.digest()[0], percent)], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(tok.view(np.int64)), pa.array(count.astype(np.int64))], ["token", "n"])
@@ -170,7 +170,7 @@ def _rows(kind: int, a, b, c=None, d=None) -> pa.RecordBatch:
 def _entries(n: int, percent: int, frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = frequent.value
-        for batch in batches:
+        for batch in parts(batches, 1):
             sets = Sets(batch.column(1), n)
             ck, ck2 = sets.digest()
             yield _rows(2, ck, ck2, sets.size, batch.column(0))
@@ -371,7 +371,7 @@ _SET_SCHEMA = "bin long, comp long, block long, ck long, n long, toks binary"
 
 def _full_sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, 0):
             text, want = batch.column(0), batch.column(4).to_numpy()
             sets = Sets(text, n)
             ck, _ = sets.digest()

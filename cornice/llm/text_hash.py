@@ -97,3 +97,11 @@ def padded(data: np.ndarray, ends: np.ndarray, i: int, j: int) -> tuple[np.ndarr
     out = np.full(len(part) + (j - i), 0x20, dtype=np.uint8)
     out[np.arange(len(part)) + np.repeat(np.arange(j - i), lens)] = part
     return out, starts
+
+
+def parts(batches, text: int, most: int = 1 << 22):
+    """Record batches cut so that the text column has about most bytes in each; a longer row stands alone."""
+    for batch in batches:
+        _, ends = raw_bytes(batch.column(text))
+        for i, j in slices(ends, most):
+            yield batch.slice(i, j - i)
