@@ -31,24 +31,38 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where(F.col("a") != F.col("b")).distinct()
 
 
+#: Edges that one task turns into stars at a time.
+FOREST_EDGES = 1 << 21
+
+
+def _stars(ends: np.ndarray) -> pa.RecordBatch:
+    """Edges as stars: a row per node that isn't the least of its piece."""
+    nodes, code = np.unique(ends, return_inverse=True)
+    code = code.reshape(ends.shape)
+    root = np.arange(len(nodes))
+    while True:
+        low = np.minimum(root[code[0]], root[code[1]])
+        step = root.copy()
+        np.minimum.at(step, root[code[0]], low)
+        np.minimum.at(step, root[code[1]], low)
+        step = step[step]
+        if (step == root).all():
+            break
+        root = step
+    hung = root != np.arange(len(nodes))
+    return pa.RecordBatch.from_arrays([pa.array(nodes[hung]), pa.array(nodes[root[hung]])], ["a", "b"])
+
+
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each batch's edges as stars: a row per node that isn't the least of its piece."""
+    held, size = [], 0
     for batch in batches:
-        ends = np.stack((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
-        nodes, code = np.unique(ends, return_inverse=True)
-        code = code.reshape(ends.shape)
-        root = np.arange(len(nodes))
-        while True:
-            low = np.minimum(root[code[0]], root[code[1]])
-            step = root.copy()
-            np.minimum.at(step, root[code[0]], low)
-            np.minimum.at(step, root[code[1]], low)
-            step = step[step]
-            if (step == root).all():
-                break
-            root = step
-        hung = root != np.arange(len(nodes))
-        yield pa.RecordBatch.from_arrays([pa.array(nodes[hung]), pa.array(nodes[root[hung]])], ["a", "b"])
+        held.append(np.stack((batch.column(0).to_numpy(), batch.column(1).to_numpy())))
+        size += len(batch)
+        if size >= FOREST_EDGES:
+            yield _stars(np.concatenate(held, axis=1))
+            held, size = [], 0
+    if held:
+        yield _stars(np.concatenate(held, axis=1))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -58,7 +72,7 @@ def components(edges: DataFrame) -> DataFrame:
     folder, so its lineage is one table deep.
     """
     edges = edges.where(F.col("a") != F.col("b")).select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
-    state, now = None, materialize(edges.mapInArrow(_forest, "a long, b long").distinct(), "edges")
+    state, now = None, materialize(edges.distinct().mapInArrow(_forest, "a long, b long").distinct(), "edges")
     while True:
         # Stars on sorted roots: nothing changes once every node hangs on its root.
         now = materialize(_star(materialize(_star(now, True), "edges"), False), "edges")
