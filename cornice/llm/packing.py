@@ -19,8 +19,10 @@ rows are packed each; other columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import bisect
+import os
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -35,7 +37,7 @@ CAPACITY = 4096
 OPEN_WINDOWS = 64
 FAN_IN = 64
 WIDTH = 4  # bytes of an id
-CACHED_WORDS = 500_000
+CACHED_WORDS = 1_200_000
 _ALONE = re.compile("<\\||[\x1c-\x1f]")
 
 Piece = tuple  # (doc_id, start, ids, doc_tokens)
@@ -89,6 +91,18 @@ class Packer:
         return [p for w in self.windows.values() for p in w]
 
 
+class _Words(dict):
+    """Ids of words, worked out when first asked for."""
+
+    def __init__(self, encode: Callable[[str], bytes]):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, word: str) -> bytes:
+        self[word] = found = self.encode(word)
+        return found
+
+
 class WordEncoder:
     """Ids of whole texts by way of a bounded cache of words.
 
@@ -99,32 +113,25 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.known = _Words(self._ids)
 
-    def _ids(self, text: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(text, add_special_tokens=False)
-        return [pa.array(x.ids, pa.uint32()).buffers()[1].to_pybytes()[: WIDTH * len(x.ids)] if x.ids else b"" for x in found]
+    def _ids(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         for text in texts:
             if not text:
                 yield b""
-                continue
-            if _ALONE.search(text):
-                yield self._ids([text])[0]
-                continue
-            words = text.split()
-            known = self.known
-            new = [w for w in dict.fromkeys(words) if w not in known]
-            if new:
-                if len(known) > CACHED_WORDS:
-                    known.clear()
-                    new = list(dict.fromkeys(words))
-                known.update(zip(new, self._ids(new), strict=True))
-            yield b"".join(map(known.__getitem__, words))
+            elif _ALONE.search(text):
+                yield self._ids(text)
+            else:
+                if len(self.known) > CACHED_WORDS:
+                    self.known.clear()
+                yield b"".join(map(self.known.__getitem__, text.split()))
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
