@@ -142,7 +142,10 @@ def quality_report(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
 
 def clean(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
     """The kept documents in their own columns, failing lines removed from the text."""
-    out = with_quality(docs, text).where(F.col("_quality")["kept"])
+    # Spark would copy the rules into a filter below, and run them for every use of a step.  It moves
+    # no filter past a projection with a value that depends on the row's place.
+    out = with_quality(docs, text).withColumn("_place", F.monotonically_increasing_id())
+    out = out.where(F.col("_quality")["kept"] & (F.col("_place") >= 0))
     put = {text: F.col("_quality")["clean_text"]}
     if n_chars and n_chars in docs.columns:
         changed = F.col("_quality")["removed_chars"] > 0
