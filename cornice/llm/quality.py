@@ -120,6 +120,9 @@ def with_quality(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     failed = (F.col("_n") < MIN_WORDS) | (F.col("_rep") * 100 > F.col("_n") * MAX_REPEAT_PERCENT)
     kept = ~failed & (F.col("_lost") * 10 <= F.col("_chars") * LOST_TENTHS)
+    # Spark would copy all steps into a filter on kept, and run them for every use of one.  It moves
+    # no filter below a value that depends on the row's place.
+    kept = kept & (F.monotonically_increasing_id() >= 0)
     result = F.struct(
         long(F.col("_n")).alias("n_words"),
         long(F.col("_chars")).alias("word_chars"),
@@ -142,10 +145,7 @@ def quality_report(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
 
 def clean(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
     """The kept documents in their own columns, failing lines removed from the text."""
-    # Spark would copy the rules into a filter below, and run them for every use of a step.  It moves
-    # no filter past a projection with a value that depends on the row's place.
-    out = with_quality(docs, text).withColumn("_place", F.monotonically_increasing_id())
-    out = out.where(F.col("_quality")["kept"] & (F.col("_place") >= 0))
+    out = with_quality(docs, text).where(F.col("_quality")["kept"])
     put = {text: F.col("_quality")["clean_text"]}
     if n_chars and n_chars in docs.columns:
         changed = F.col("_quality")["removed_chars"] > 0
