@@ -243,6 +243,8 @@ def _index(percent: int):
         held: pa.Table | None = None
 
         def close(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            if not len(table):  # a batch that one class fills
+                return
             kind, ck, tok, size = (table.column(i).to_numpy() for i in range(4))
             tok = tok.view(np.uint64)
             bound = np.flatnonzero(_runs(ck))
