@@ -1,0 +1,71 @@
+"""Behaviours with nulls, ties and odd input, one for each decision."""
+
+from pyspark.sql import functions as F
+
+from cornice.functions import text as T
+from cornice.functions.htmlkit import cells_of
+from cornice.operators import enrich, jsonquery, sequence, state
+
+
+def test_latest_row_prefers_null_dates(spark):
+    msf = spark.createDataFrame([(1, None, 3), (1, "2020-01-31", 1), (2, "2019-01-31", 2)], "permno int, date string, hexcd int")
+    assert {tuple(r) for r in enrich.latest_code(msf, "permno", "date", "hexcd").collect()} == {(1, 3), (2, 2)}
+
+
+def test_open_link_wins(spark):
+    rows = [(1, "001", "LC", "P", "2010-12-31"), (1, "002", "LC", "P", None), (1, "003", "LX", "P", None)]
+    link = spark.createDataFrame(rows, "lpermno int, gvkey string, linktype string, linkprim string, linkenddt string")
+    assert [r.gvkey for r in enrich.links(link).collect()] == ["002"]
+
+
+def test_turnover_counts_null_names(spark):
+    rows = [("g", 2001, "A"), ("g", 2001, "B"), ("g", 2003, "B"), ("g", 2003, "C"), ("g", 2003, "D"), ("g", 2003, None)]
+    df = spark.createDataFrame(rows, "g string, y int, m string")
+    assert [tuple(r) for r in sequence.turnover(df, "g", "y", "m").collect()] == [("g", 2003, 3, 1)]
+    assert {(r.y, r.members) for r in sequence.members_per_year(df, "g", "y", "m").collect()} == {(2001, 2), (2003, 3)}
+
+
+def test_tenure(spark):
+    df = spark.createDataFrame([("a", y) for y in (2000, 2001, 2003, 2003)], "k string, y long")
+    assert sorted(tuple(r) for r in sequence.tenure(df, ["k"], "y").collect()) == [("a", 2000, 2000, 0), ("a", 2001, 2000, 1), ("a", 2003, 2003, 0)]
+
+
+def test_blocks(spark):
+    years = [2006, 2005, None, 2006, 2006, 2005]
+    df = spark.createDataFrame([("a", i, y) for i, y in enumerate(years)], "k string, i int, y int")
+    assert [r.block for r in sequence.with_blocks(df, ["k"], "i", "y").orderBy("i").collect()] == [0, 0, 0, 1, 2, 2]
+
+
+def test_status_precedence(spark):
+    df = spark.createDataFrame([("a", "no_sct_found", 0), ("a", "extracted", 1), ("b", "skipped_existing", 0), ("b", "no_bo_found", 1)], "k string, s string, p int")
+    assert {tuple(r) for r in state.merged_status(df, ["k"], "s", "p").collect()} == {("a", "extracted"), ("b", "skipped_existing")}
+
+
+def test_json_query_fixture(spark):
+    rows = [(1, "AAA", 101, "001690", "0000000011", "Alpha Corp", "NYSE", None), (2, "BBB", 102, "null", "12", "Beta Alpha Inc", "", None), (3, "CCC", None, "7", None, None, "NASDAQ", None)]
+    m = spark.createDataFrame(rows, "id int, ticker string, permno int, gvkey string, cik_str string, title string, exchange string, cusip string")
+    ids = lambda q: [r.id for r in jsonquery.json_query(m, q).collect()]
+    assert ids('{"$or":[{"ticker":"aaa"},{"permno":102}]}') == [1, 2]
+    assert ids('{"permno":{"$gt":-1}}') == [1, 2, 3]
+    assert ids('{"permno":{"$gt":100,"$lt":102}}') == [1, 2]
+    assert ids('{"exchange":null}') == [2]
+    assert ids('{"$and":[{"exchange":"NYSE"}],"ticker":"BBB"}') == [1]
+    assert ids('{"gvkey":"1690"}') == [1]
+    assert ids('{"ticker":{}}') == []
+    assert ids("[]") == ids("{}") == [1, 2, 3]
+    find = lambda *a: [r.id for r in jsonquery.search(m, *a).collect()]
+    assert find("alpha") == [1, 2]
+    assert find("0000000012") == [2]
+    assert find("null", "permno") == [3]
+
+
+def test_text_helpers(spark):
+    df = spark.createDataFrame([(" a  b (x) $1,000 / y",), (None,)], "s string")
+    assert [r[0] for r in df.select(T.clean_text(F.col("s"))).collect()] == ["a b 1000 y", ""]
+    v = spark.createDataFrame([("12345678901",), ("7",)], "s string")
+    assert [r[0] for r in v.select(T.zfill(F.col("s"), 10)).collect()] == ["12345678901", "0000000007"]
+
+
+def test_cells_of_broken_markup():
+    assert cells_of("<table><tr><td rowspan=2>a<td colspan=2>b<tr><td>c&amp;d") == [(0, 0, 0, "a", False), (0, 0, 1, "b", False), (0, 0, 2, "b", False), (0, 1, 0, "a", False), (0, 1, 1, "c&d", False)]
+    assert cells_of(None) == []
