@@ -305,7 +305,7 @@ def zip_parallel_arrays(spark, d):
 # Enrichment, comparison, search
 
 
-@query("""SELECT c_custkey::VARCHAR AS id, CASE WHEN c_custkey % 3 = 0 THEN s_name ELSE c_name END AS name FROM customer
+@query("""SELECT c_custkey::VARCHAR AS id, CASE WHEN c_custkey % 3 = 0 THEN coalesce(s_name, CASE WHEN c_custkey % 6 = 0 THEN 'null' END) ELSE c_name END AS name FROM customer
   LEFT JOIN (SELECT s_nationkey, min(s_name) AS s_name FROM supplier GROUP BY 1) ON s_nationkey = c_nationkey""")
 def enrich_fill_missing(spark, d):
     c = t(spark, d, "customer").withColumn("name", F.when(F.col("c_custkey") % 6 == 0, F.lit("null")).when(F.col("c_custkey") % 3 != 0, F.col("c_name")))
