@@ -59,6 +59,8 @@ EXTEND = 7
 #: Sizes of sets whose frequent tokens are indexed in combinations.
 COMBINED_SIZES = (40, 600)
 COMBINED = 2
+#: Edges that a task holds to make them distinct (16 bytes each).
+MEET_EDGES = 1 << 21
 _A = np.uint64(0x9E3779B97F4A7C15)
 _SALT = np.uint64(0xA0761D6478BD642F)
 
@@ -299,24 +301,39 @@ def _combine(tokens: np.ndarray, k: int) -> np.ndarray:
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by kind, a and b: edges as they are, and each key's classes hung on its least."""
+    """Of rows sorted by kind, a and b: the distinct edges of a task; each key's classes hang on its least.
+
+    Partners meet under many keys, so edges are held and made distinct over the
+    task; those that stay come out at every MEET_EDGES.
+    """
     key_now, hub_now = None, None
+    held, size = [], 0
     for batch in batches:
         kind = batch.column(0).to_numpy()
-        yield batch.filter(pa.array(kind != 0))
-        pick = kind == 0
-        key, ck = batch.column(1).to_numpy()[pick], batch.column(2).to_numpy()[pick]
-        if not len(key):
-            continue
-        new = _runs(key)
-        hub = ck[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
-        if key[0] == key_now:
-            hub[: np.flatnonzero(new)[1] if new.sum() > 1 else len(key)] = hub_now
-        key_now, hub_now = key[-1], hub[-1]
-        differ = ck != hub
-        if differ.any():
-            pairs = np.unique(np.stack((ck[differ], hub[differ])), axis=1)
-            yield _rows(1, pairs[0], pairs[1])
+        left, right = batch.column(1).to_numpy(), batch.column(2).to_numpy()
+        edge, pick = kind != 0, kind == 0
+        if edge.any():
+            held.append(np.stack((left[edge], right[edge])))
+            size += int(edge.sum())
+        key, ck = left[pick], right[pick]
+        if len(key):
+            new = _runs(key)
+            hub = ck[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))]
+            if key[0] == key_now:
+                hub[: np.flatnonzero(new)[1] if new.sum() > 1 else len(key)] = hub_now
+            key_now, hub_now = key[-1], hub[-1]
+            differ = ck != hub
+            held.append(np.stack((ck[differ], hub[differ])))
+            size += int(differ.sum())
+        if size >= MEET_EDGES:
+            held = [np.unique(np.concatenate(held, axis=1), axis=1)]
+            size = held[0].shape[1]
+            if size >= MEET_EDGES // 2:
+                yield _rows(1, held[0][0], held[0][1])
+                held, size = [], 0
+    if held:
+        pairs = np.unique(np.concatenate(held, axis=1), axis=1)
+        yield _rows(1, pairs[0], pairs[1])
 
 
 def _find(parent: np.ndarray, i: int) -> int:
@@ -455,7 +472,10 @@ def link_classes(docs: DataFrame, n: int = 5, percent: int = 80, block_tokens: i
     found = found.repartition(tasks, "a").sortWithinPartitions("kind", "a", "b")
     found = materialize(found.mapInArrow(_shared, _ROWS), "shared")
     rows = found.where("kind = 2").select(F.col("d").alias("doc_id"), F.col("c").alias("n"), F.col("a").alias("ck"), F.col("b").alias("ck2"))
-    shared = found.where("kind in (1, 3)").distinct().repartition(tasks, "a").sortWithinPartitions("a", "kind", "d", "b")
+    shared = found.where("kind in (1, 3)")
+    # Partners meet in every task that has one of their keys: no more tasks than these fewer rows need.
+    tasks = tasks_for(spark, shared.count(), 2_000_000)
+    shared = shared.distinct().repartition(tasks, "a").sortWithinPartitions("a", "kind", "d", "b")
     keys = shared.mapInArrow(_index(percent), _ROWS).repartition(tasks, "a").sortWithinPartitions("kind", "a", "b")
     edges = keys.mapInArrow(_meet, _ROWS).select("a", "b")
 
