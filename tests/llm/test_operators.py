@@ -4,6 +4,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -233,3 +234,23 @@ def test_pipeline(spark):
 
     out = P.run(spark, "/root/testdata/sf0.001").toPandas()
     assert len(out) and (out.groupby("sequence_id")["length"].sum() <= 4096).all()
+
+
+def test_meeting_keys_ties_the_same_classes_whatever_is_held(monkeypatch):
+    rng = np.random.default_rng(5)
+    kind = np.sort(rng.integers(0, 2, 3000))
+    a, b = rng.integers(0, 900, 3000), rng.integers(0, 400, 3000)
+    order = np.lexsort((b, a, kind))
+    rows = ngram_join._rows(0, a[order], b[order])
+    rows = pa.RecordBatch.from_arrays([pa.array(kind[order].astype(np.int32)), *rows.columns[1:]], rows.schema.names)
+    found = []
+    for most in (1 << 21, 64):
+        monkeypatch.setattr(ngram_join, "MEET_EDGES", most)
+        out = ngram_join._meet(iter([rows.slice(i, 70) for i in range(0, 3000, 70)]))
+        found.append({(x, y) for batch in out for x, y in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)})
+    least = {}
+    for k, x, y in zip(kind[order].tolist(), a[order].tolist(), b[order].tolist(), strict=True):
+        if k == 0:
+            least[x] = min(least.get(x, y), y)
+    want = {(y, least[x]) if k == 0 else (x, y) for k, x, y in zip(kind[order].tolist(), a[order].tolist(), b[order].tolist(), strict=True) if k or y != least[x]}
+    assert found[0] == found[1] == want
