@@ -28,21 +28,20 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest doc_id stays.
+    """Of each group of linked rows one stays, of the smallest doc_id.
 
-    Rows of one doc_id stay or go together; those that stay come down to one for
-    each text.  Documents without words, or without a doc_id, all stay.
+    Rows are told apart by a number of their own, as a doc_id may be null or on
+    several rows: each row is judged by its text, and different texts of one
+    doc_id stay or go apart.  A null doc_id comes after all others.  Documents
+    without words all stay.
     """
-    found = ngram_join.link_classes(docs, n=SHINGLE, percent=PERCENT)
-    goes = found.where((F.col("doc_id") != F.col("component_id")) & (F.col("n_shingles") > 0)).select("doc_id", "class_id").distinct()
-    again = found.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)).groupBy("doc_id").count().where("count > 1")
-    goes, again = materialize(goes, "copies"), materialize(again.select("doc_id"), "repeated")
-    kept = docs.join(goes.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
-    if again.isEmpty():
-        return kept
-    once = kept.join(again, "doc_id", "left_anti")
-    more = docs.join(again, "doc_id", "left_semi").select(*COLUMNS).dropDuplicates(["doc_id", "text"])
-    return once.unionByName(more)
+    rows = docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id())
+    rows = materialize(rows.withColumn("tie", F.xxhash64(*COLUMNS)), "rows")
+    found = ngram_join.link_classes(rows, n=SHINGLE, percent=PERCENT, doc_id="row").withColumnRenamed("doc_id", "row")
+    linked = found.where("n_shingles > 0").join(rows.select("row", "doc_id", "tie"), "row")
+    first = linked.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tie", "row"))["row"].alias("row")).select("row")
+    stays = materialize(first.unionByName(found.where("n_shingles = 0").select("row")), "stays")
+    return rows.join(stays, "row", "left_semi").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -254,3 +254,34 @@ def test_meeting_keys_ties_the_same_classes_whatever_is_held(monkeypatch):
             least[x] = min(least.get(x, y), y)
     want = {(y, least[x]) if k == 0 else (x, y) for k, x, y in zip(kind[order].tolist(), a[order].tolist(), b[order].tolist(), strict=True) if k or y != least[x]}
     assert found[0] == found[1] == want
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    import corpus_pipeline as P
+
+    def say(tag, n=60, new=()):
+        return " ".join(f"{tag}{'new' if k in new else ''}{k}" for k in range(n))
+
+    texts = [(1, say("a")), (1, say("a")), (2, say("a")), (2, say("a")), (3, say("a", new=[59])), (3, say("b"))]
+    texts += [(4, say("c", new=[0])), (4, say("c")), (4, say("c", new=[59])), (5, say("d")), (5, say("e")), (5, say("e"))]
+    texts += [(6, ""), (6, ""), (7, None), (None, " "), (None, say("a")), (None, say("f")), (None, say("f")), (None, say("f", new=[59])), (8, say("b"))]
+    docs = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in texts], "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in ((t or "").split() for _, t in texts)]
+    group = list(range(len(texts)))
+    for _ in texts:
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets):
+                if a and 100 * len(a & b) >= 80 * len(a | b):
+                    group[i] = group[j] = min(group[i], group[j])
+    got = [(r.doc_id, r.text) for r in P.near_duplicates(spark, docs, "").collect()]
+    wordless = [x for x, s in zip(texts, sets) if not s]
+    assert sorted((x for x in got if not (x[1] or "").strip()), key=repr) == sorted(wordless, key=repr)
+    left = [x for x in got if (x[1] or "").strip()]
+    want = {}
+    for i, (d, _) in enumerate(texts):
+        if sets[i]:
+            want.setdefault(group[i], []).append(d)
+    of = {t: group[i] for i, (_, t) in enumerate(texts)}
+    assert all(x in texts for x in left)
+    assert sorted((of[t], d) for d, t in left if d is not None) == sorted((g, min(x for x in ds if x is not None)) for g, ds in want.items() if any(x is not None for x in ds))
+    assert sum(d is None for d, _ in left) == sum(all(x is None for x in ds) for ds in want.values())
