@@ -16,6 +16,8 @@ their neighbours are hardly nearer in any projection than other rows.
 Defined cases: rows with a null id or a vector that is null, empty, all zero, or
 has null or non-finite components take no part, nor do vectors whose length
 isn't the commonest one; rows that repeat an id with the same vector count once.
+An id with several vectors is one neighbour, by the best score of its vectors, and
+one query, of all its vectors.
 """
 
 from __future__ import annotations
@@ -130,18 +132,29 @@ def _top(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 
 def _search(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids: np.ndarray, k: int) -> tuple[list, list]:
-    """For each query its best rows of x and their scores, without the row of its own id."""
+    """For each query the best ids of x and their scores, without its own id.
+
+    An id's score is the best of its rows, so that no id takes two of the k places.
+    """
+    order = np.argsort(x_ids, kind="stable")
+    x, x_ids = x[order], x_ids[order]
+    names, start, rows = np.unique(x_ids, return_index=True, return_counts=True)
     found, scores = [], []
     for at in range(0, len(q), 256):
         near = q[at : at + 256] @ x.T
         near[q_ids[at : at + 256, None] == x_ids[None, :]] = -np.inf
+        if len(names) < len(x_ids):
+            near = np.maximum.reduceat(near, start, axis=1)
         for i, row in enumerate(near):
-            pick = _top(row, x_ids, k)
+            pick = _top(row, names, k)
             pick = pick[row[pick] > -np.inf]
             # Summed in one order wherever the pair meets, so that a pair has one score.
-            exact = (x[pick] * q[at + i]).sum(axis=1)
-            order = np.lexsort((x_ids[pick], -exact))
-            found.append(x_ids[pick][order].tolist())
+            run = np.cumsum(rows[pick]) - rows[pick]
+            all_rows = np.repeat(start[pick] - run, rows[pick]) + np.arange(rows[pick].sum())
+            exact = (x[all_rows] * q[at + i]).sum(axis=1)
+            exact = np.maximum.reduceat(exact, run) if len(pick) else exact
+            order = np.lexsort((names[pick], -exact))
+            found.append(names[pick][order].tolist())
             scores.append(exact[order].tolist())
     return found, scores
 
@@ -168,7 +181,7 @@ def _tile(dtype: str, k: int):
         x = np.frombuffer(b"".join(pdf["vec"]), dtype).reshape(len(pdf), -1).astype(np.float64)
         ids, ask = pdf["vec_id"].to_numpy(), pdf["ask"].to_numpy()
         if not ask.any() or ask.all():
-            return pd.DataFrame({"query_id": [], "ids": [], "scores": []})
+            return pd.DataFrame({"query_id": [], "ids": [], "scores": []}, dtype=object)
         found, scores = _search(x[ask], ids[ask], x[~ask], ids[~ask], k)
         return pd.DataFrame({"query_id": ids[ask], "ids": found, "scores": scores})
 
@@ -179,6 +192,8 @@ def _merge(k: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         ids = np.concatenate([np.asarray(x, np.int64) for x in pdf["ids"]])
         scores = np.concatenate([np.asarray(x, np.float64) for x in pdf["scores"]])
+        best = np.lexsort((-scores, ids))
+        ids, scores = ids[best], scores[best]
         ids, first = np.unique(ids, return_index=True)
         pick = _top(scores[first], ids, k)
         return pd.DataFrame({"query_id": pdf["query_id"].iloc[0], "rank": np.arange(1, len(pick) + 1, dtype=np.int32), "vec_id": ids[pick], "score": scores[first][pick]})
@@ -204,6 +219,7 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, recall: float = 0.9
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.coalesce(queries, F.lit(False)).alias("is_query"), F.col(embedding).alias("v"))
     rows = rows.where(F.col("vec_id").isNotNull() & v.isNotNull() & (F.size(v) > 0) & F.forall(v, finite) & F.exists(v, lambda x: x != 0))
+    rows = materialize(rows.groupBy("vec_id", "v").agg(F.max("is_query").alias("is_query")).select("vec_id", "is_query", "v"), "ann-rows")
     commonest = rows.groupBy(F.size(v).alias("d")).count().orderBy(F.desc("count"), "d").first()
     if commonest is None:
         return spark.createDataFrame([], _RESULT)
@@ -256,10 +272,12 @@ def _fit_window(ranked: DataFrame, n: int, dtype: str, k: int, recall: float) ->
     if not len(near):
         return 0
     wanted = sorted({*near["vec_id"].tolist(), *near["query_id"].tolist()})
-    ranks = ranked.where(F.col("vec_id").isin(wanted)).select("curve", "vec_id", "rank").toPandas()
+    # Of an id with several vectors the outermost ranks count, so that the window holds whichever scores best.
+    ranks = ranked.where(F.col("vec_id").isin(wanted)).groupBy("curve", "vec_id").agg(F.min("rank").alias("low"), F.max("rank").alias("high")).toPandas()
     need = None
-    for _, c in ranks.drop_duplicates(["curve", "vec_id"]).groupby("curve"):
-        place = dict(zip(c["vec_id"], c["rank"], strict=True))
-        w = reach(near["query_id"].map(place).to_numpy(), near["vec_id"].map(place).to_numpy(), n)
+    for _, c in ranks.groupby("curve"):
+        ends = c.set_index("vec_id")[["low", "high"]]
+        r, s = ends.loc[near["query_id"]].to_numpy().T, ends.loc[near["vec_id"]].to_numpy().T
+        w = np.max([reach(x, y, n) for x in r for y in s], axis=0)
         need = w if need is None else np.minimum(need, w)
     return int(np.quantile(need, recall, method="higher"))

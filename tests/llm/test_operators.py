@@ -256,6 +256,32 @@ def test_meeting_keys_ties_the_same_classes_whatever_is_held(monkeypatch):
     assert found[0] == found[1] == want
 
 
+def test_ann_repeated_rows_and_ids(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(200, 8)).astype(np.float32)
+    data = [(i, v.tolist()) for i, v in enumerate(x)] * 3
+    hot = x[0] * 3
+    data += [(500, hot.tolist())] * 60 + [(501, (hot * (1 + j / 100)).tolist()) for j in range(60)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<float>").repartition(5)
+    got = ann.search(df, F.col("vec_id") % 20 == 0, k=7, tile=64).toPandas()
+    ids, vec = np.array([d[0] for d in data]), np.array([d[1] for d in data], np.float32).astype(np.float64)
+    names = np.unique(ids)
+    hits, seen = [], set()
+    for q, g in got.groupby("query_id"):
+        s = (vec[ids == q] @ vec.T).max(axis=0)
+        best = {n: s[ids == n].max() for n in names if n != q}
+        want = sorted(best, key=lambda n: (-best[n], n))[:7]
+        assert g["vec_id"].nunique() == len(g) == 7 and sorted(g["rank"]) == list(range(1, 8))
+        hits.append(len(set(want) & set(g["vec_id"])))
+        seen.add(q)
+    assert seen == {*range(0, 200, 20), 500} and np.mean(hits) / 7 >= 0.9
+    found, scores = ann._search(vec[:3], ids[:3], vec, ids, 7)
+    for i in range(3):
+        best = {n: (vec[ids == n] @ vec[i]).max() for n in names if n != i}
+        assert found[i] == sorted(best, key=lambda n: (-best[n], n))[:7]
+        assert np.allclose(scores[i], [best[n] for n in found[i]])
+
+
 def test_near_duplicates_of_repeated_ids(spark):
     import corpus_pipeline as P
 
