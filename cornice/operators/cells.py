@@ -51,14 +51,19 @@ def drop_empty(cells: DataFrame) -> DataFrame:
     return cells.withColumn("_n", F.count("text").over(col)).where("_n > 0").drop("_n")
 
 
-def with_header(cells: DataFrame, tokens: dict[str, list[str]], max_rows: int) -> DataFrame:
-    """The first of max_rows rows with two token groups becomes the header column `head`; rows up to it go."""
+def with_header(cells: DataFrame, tokens: dict[str, list[str]], max_rows: int, blank: bool = False) -> DataFrame:
+    """The first of max_rows rows with two token groups becomes the header column `head`; rows up to it go.
+
+    A column that the header row lacks is named by its place, or with blank has an empty header.
+    """
     order = Window.partitionBy(*KEY).orderBy("row_idx")
     rows = row_texts(cells).withColumn("_i", F.row_number().over(order))
     head = rows.where((F.col("_i") <= max_rows) & (hits(F.col("row_text"), tokens) >= 2)).groupBy(*KEY).agg(F.min("row_idx").alias("_head"))
     names = cells.join(head, KEY).where("row_idx = _head").select(*KEY, "col_idx", F.col("text").alias("head"))
-    body = cells.join(head, KEY, "left").where(F.col("_head").isNull() | (F.col("row_idx") > F.col("_head"))).drop("_head")
-    return body.join(names, [*KEY, "col_idx"], "left").withColumn("head", F.coalesce("head", F.col("col_idx").cast("string")))
+    body = cells.join(head, KEY, "left").where(F.col("_head").isNull() | (F.col("row_idx") > F.col("_head")))
+    place = F.col("col_idx").cast("string")
+    lacking = F.when(F.col("_head").isNotNull(), F.lit("")).otherwise(place) if blank else place
+    return body.join(names, [*KEY, "col_idx"], "left").withColumn("head", F.coalesce("head", lacking)).drop("_head")
 
 
 def unique_names(cells: DataFrame) -> DataFrame:
@@ -127,24 +132,60 @@ def sct_json(rows: DataFrame) -> DataFrame:
     return years.groupBy("doc").agg(F.map_from_entries(F.collect_list(F.struct("executive", "years"))).alias("executives"))
 
 
+#: Patterns of ownership columns' values, as the fallback rules use them.
+PERCENT_SIGN, CLASS_NOTE = r"[%*]", r"^\([a-z]\)$"
+FLOAT, WHOLE, SHORT_NUMBER = r"^\d{1,3}(?:,\d{3})*(?:\.\d+)?$", r"^[\d,]+$", r"^\d{0,3}(?:\.\d+)?$"
+
+
+def fallback_names(cells: DataFrame) -> DataFrame:
+    """Columns with a blank name are named by their values: class notes, percents, numbers (percent, too), whole numbers, else notes."""
+    t = F.col("text")
+    seen = lambda pattern: F.bool_or(t.rlike(pattern))
+    guess = F.when(seen(CLASS_NOTE), "class").when(seen(PERCENT_SIGN) | seen(FLOAT), "percent").when(seen(WHOLE), "shares").otherwise("notes")
+    blank = cells.where("name = '' and text != ''").groupBy(*KEY, "col_idx").agg(guess.alias("_guess"))
+    return cells.join(blank, [*KEY, "col_idx"], "left").withColumn("name", F.coalesce("_guess", "name")).drop("_guess")
+
+
+def distinct_holder_names(cells: DataFrame) -> DataFrame:
+    """The second and later filled `name` columns of a table become percent or shares if 60% of their values look so, else name_extra."""
+    t = F.col("text")
+    share = lambda *patterns: F.count_if(F.greatest(*[t.rlike(p) for p in patterns], F.lit(False))) / F.count("*") >= 0.6
+    kind = F.when(share(PERCENT_SIGN, SHORT_NUMBER, FLOAT), "percent").when(share(WHOLE, FLOAT), "shares").otherwise("name_extra")
+    cols = cells.where("name = 'name' and text != ''").groupBy(*KEY, "col_idx").agg(kind.alias("_kind"))
+    cols = cols.withColumn("_k", F.row_number().over(Window.partitionBy(*KEY).orderBy("col_idx"))).where("_k > 1").drop("_k")
+    return cells.join(cols, [*KEY, "col_idx"], "left").withColumn("name", F.coalesce("_kind", "name")).drop("_kind")
+
+
+def promoted_extra(rows: DataFrame) -> DataFrame:
+    """Add shares and percent, and extra: a name_extra that looks like a number or a percent fills the one that lacks."""
+    v = F.col("values")
+    extra, bare = v["name_extra"], F.regexp_replace(v["name_extra"], "[, ]", "")
+    as_shares = F.coalesce(v["shares"].isNull() & bare.rlike(r"^-?\d+(\.\d+)?$"), F.lit(False))
+    as_percent = F.coalesce(~as_shares & v["percent"].isNull() & (extra.contains("%") | extra.rlike(SHORT_NUMBER)), F.lit(False))
+    rows = rows.withColumn("shares", F.when(as_shares, extra).otherwise(v["shares"])).withColumn("percent", F.when(as_percent, extra).otherwise(v["percent"]))
+    return rows.withColumn("extra", F.when(~as_shares & ~as_percent, extra))
+
+
 def clean_bot(cells: DataFrame) -> DataFrame:
     """Ownership holders: doc, table_idx, table_kind, row_idx, name, address, shares, percent.
 
     A row with a name and a share or percent begins a holder; rows after it that
-    have only a name are lines of its address.
+    have only a name are lines of its address.  Columns with a blank header and
+    repeated name columns are named by their values.
     """
     kinds = row_texts(cells).groupBy(*KEY).agg(table_kind(F.array_join(F.collect_list("row_text"), " ")).alias("table_kind"))
-    c = with_header(distinct_rows(cells.withColumn("text", strip(F.col("text")))), BOT_TOKENS, 10)
-    c = drop_empty(blanks_to_null(c.withColumn("name", bot_header(F.col("head")))))
-    rows = to_rows(c)
+    c = with_header(distinct_rows(cells.withColumn("text", strip(F.col("text")))), BOT_TOKENS, 10, blank=True)
+    c = distinct_holder_names(fallback_names(c.withColumn("name", bot_header(F.col("head")))))
+    rows = promoted_extra(to_rows(drop_empty(blanks_to_null(c))))
     v = F.col("values")
     rows = rows.where(v["name"].isNotNull() | v["address"].isNotNull())
-    rows = rows.withColumn("_new", (v["shares"].isNotNull() | v["percent"].isNotNull()).cast("int"))
+    rows = rows.withColumn("_new", (F.col("shares").isNotNull() | F.col("percent").isNotNull()).cast("int"))
     run = Window.partitionBy(*KEY).orderBy("row_idx").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("holder", F.sum("_new").over(run))
-    lines = F.sort_array(F.collect_list(F.when((F.col("_new") == 0), F.struct("row_idx", F.coalesce(v["address"], v["name"]).alias("t")))))
+    line = F.when(F.col("_new") == 0, F.concat_ws(" ", F.coalesce(v["address"], v["name"]), "extra")).otherwise(F.col("extra"))
+    lines = F.sort_array(F.collect_list(F.when(line.isNotNull(), F.struct("row_idx", line.alias("t")))))
     out = rows.groupBy(*KEY, "holder").agg(
-        F.min_by("values", "row_idx").alias("v"), F.min("row_idx").alias("row_idx"), F.transform(lines, lambda x: x["t"]).alias("address_lines"), F.max("_new").alias("_any")
+        F.min_by(F.struct(v["name"].alias("name"), v["address"].alias("address"), "shares", "percent"), "row_idx").alias("v"), F.min("row_idx").alias("row_idx"), F.transform(lines, lambda x: x["t"]).alias("address_lines"), F.max("_new").alias("_any")
     )
     out = out.where("_any = 1").join(kinds, KEY)
     address = F.coalesce(F.col("v")["address"], F.when(F.size("address_lines") > 0, F.array_join("address_lines", ", ")))

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from cornice.functions import text as T
 from cornice.functions.htmlkit import cells_of
+from cornice.operators import cells as C
 from cornice.operators import enrich, jsonquery, sequence, state
 
 
@@ -69,3 +70,37 @@ def test_text_helpers(spark):
 def test_cells_of_broken_markup():
     assert cells_of("<table><tr><td rowspan=2>a<td colspan=2>b<tr><td>c&amp;d") == [(0, 0, 0, "a", False), (0, 0, 1, "b", False), (0, 0, 2, "b", False), (0, 1, 0, "a", False), (0, 1, 1, "c&d", False)]
     assert cells_of(None) == []
+
+
+def _table(*rows):
+    return "<table>" + "".join("<tr>" + "".join(f"<td>{c}</td>" for c in r) + "</tr>" for r in rows) + "</table>"
+
+
+def _bot(spark, *rows):
+    from cornice.functions.htmlkit import parse_tables
+    from cornice.plans.catalog import share_path
+
+    cells = parse_tables(share_path(spark).createDataFrame([("a", _table(*rows))], "doc string, html string"))
+    return sorted((tuple(r) for r in C.clean_bot(cells).select("name", "address", "shares", "percent").collect()), key=repr)
+
+
+def test_bot_blank_headers_are_named_by_their_values(spark):
+    rows = [("Acme Fund", "1,250,000", "12.5%"), ("Bolt Fund", "300,000", "*")]
+    assert _bot(spark, ("Name of Holder", "Number of Shares", ""), *rows) == rows_of(rows)
+    assert _bot(spark, ("Name of Holder", "Number of Shares"), *rows) == rows_of(rows)
+    plain = [("Acme Fund", "1250000", "12.5%"), ("Bolt Fund", "3000000", "3%")]
+    assert _bot(spark, ("Name of Holder", "", "Percent of Class"), *plain) == rows_of(plain)
+
+
+def rows_of(rows):
+    return [(n, None, s, p) for n, s, p in rows]
+
+
+def test_bot_second_name_column_becomes_numbers(spark):
+    head = ("Name of Beneficial Owner", "Amount and Nature of Beneficial Ownership", "Percent of Class")
+    plain = [("Acme Fund", "1250000", "12.5%"), ("Bolt Fund", "3000000", "3%")]
+    assert _bot(spark, head, *plain) == rows_of(plain)
+    # The reference tries percent first, and its float rule takes grouped numbers.
+    assert _bot(spark, head[:2], ("Acme Fund", "1,250,000"), ("Bolt Fund", "300,000")) == [("Acme Fund", None, None, "1,250,000"), ("Bolt Fund", None, None, "300,000")]
+    mixed = [("Acme Fund", "Chair", "1%"), ("Bolt Fund", "1,250 000", "2%"), ("Cole Fund", "Clerk", "3%")]
+    assert _bot(spark, head, *mixed) == [("Acme Fund", "Chair", None, "1%"), ("Bolt Fund", None, "1,250 000", "2%"), ("Cole Fund", "Clerk", None, "3%")]
