@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -9,7 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CELLS = "table_idx int, row_idx int, col_idx int, text string, is_th boolean"
+CELLS = "table_idx int, row_idx int, col_idx int, text string, is_th boolean, title_cues int"
+TITLE = "summary compensation table"
+_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
+#: Open elements that the start of an element ends, within the innermost table.
+_ENDS = {"td": {"td", "th", "caption", "p"}, "tr": {"td", "th", "tr", "caption", "p"}, "li": {"li", "p"}} | dict.fromkeys(("p", "div", "table", "ul", "ol", "h1", "h2", "h3", "h4", "h5", "h6"), {"p"})
+_ENDS |= {"th": _ENDS["td"]} | dict.fromkeys(("thead", "tbody", "tfoot"), _ENDS["tr"] | {"thead", "tbody", "tfoot"})
 
 
 class _Tables(HTMLParser):
@@ -69,6 +76,66 @@ class _Tables(HTMLParser):
         t["col"] += cell["cols"]
 
 
+class _Titles(HTMLParser):
+    """Tables whose caption has TITLE, and tables that hold an element with TITLE or begin next after one."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.captioned: set[int] = set()
+        self.near: set[int] = set()
+        #: Open elements: tag, where their text begins, number of a table.
+        self.open: list[tuple[str, int, int]] = []
+        self.text, self.last, self.count = "", -1, 0
+        self.gone = 0
+
+    def handle_starttag(self, tag, attrs):
+        for at in range(len(self.open) - 1, -1, -1):
+            if self.open[at][0] == "table":
+                break
+            if self.open[at][0] in _ENDS.get(tag, ()):
+                self._end(at)
+        if tag not in _VOID:
+            self.open.append((tag, self.gone + len(self.text), self.count if tag == "table" else -1))
+            self.count += tag == "table"
+
+    def handle_endtag(self, tag):
+        for at in range(len(self.open) - 1, -1, -1):
+            if self.open[at][0] == tag:
+                return self._end(at)
+            if self.open[at][0] == "table":
+                return None
+
+    def handle_data(self, data):
+        data = re.sub(r"[ \t\r\n]+", " ", data.translate(_LOWER))
+        text = self.text + (data[1:] if self.text.endswith(" ") and data.startswith(" ") else data)
+        found = text.rfind(TITLE)
+        if found >= 0:
+            self.last = self.gone + found
+        # Only what may begin a title is kept.
+        drop = max(0, len(text) - len(TITLE))
+        self.text, self.gone = text[drop:], self.gone + drop
+
+    def _end(self, at):
+        """End the open elements from this place on."""
+        while len(self.open) > at:
+            tag, begin, _ = self.open.pop()
+            if self.last >= begin:
+                tables = [n for t, _, n in self.open if t == "table"]
+                self.near.update(tables[-1:])
+                self.near.add(self.count)  # the next table to begin, if one does
+                if tag == "caption" and self.open and self.open[-1][0] == "table":
+                    self.captioned.add(tables[-1])
+
+
+def title_cues(html: str | None) -> dict[int, int]:
+    """How many of the two title cues a table has, for those that have one."""
+    parser = _Titles()
+    parser.feed(html or "")
+    parser.close()
+    parser._end(0)
+    return {n: (n in parser.captioned) + (n in parser.near) for n in parser.near | parser.captioned}
+
+
 def cells_of(html: str | None) -> list[tuple[int, int, int, str, bool]]:
     parser = _Tables()
     parser.feed(html or "")
@@ -85,14 +152,17 @@ def cells_of(html: str | None) -> list[tuple[int, int, int, str, bool]]:
 
 
 def parse_tables(docs: DataFrame, key: str = "doc", html: str = "html") -> DataFrame:
-    """key, table_idx, row_idx, col_idx, text, is_th: one row per cell of every table."""
+    """key, table_idx, row_idx, col_idx, text, is_th, title_cues: one row per cell of every table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(k, *c) for k, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for c in cells_of(h)]
-            columns = list(zip(*rows, strict=True)) or [()] * 6
-            types = [batch.schema.field(0).type, pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [key, "table_idx", "row_idx", "col_idx", "text", "is_th"])
+            rows = []
+            for k, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                cues = title_cues(h)
+                rows += [(k, *c, cues.get(c[0], 0)) for c in cells_of(h)]
+            columns = list(zip(*rows, strict=True)) or [()] * 7
+            types = [batch.schema.field(0).type, pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [key, "table_idx", "row_idx", "col_idx", "text", "is_th", "title_cues"])
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key), F.col(html)).mapInArrow(run, f"{key} {kind}, {CELLS}")

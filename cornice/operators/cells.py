@@ -198,7 +198,7 @@ GRANT_WORDS = ("grant", "estimated future payouts")
 
 
 def score_tables(cells: DataFrame, header_rows: int = 12) -> DataFrame:
-    """doc, table_idx, score: name and position cues 7, 5 or 2, up to 8 words, money 2, grants -4."""
+    """doc, table_idx, score: name and position cues 7, 5 or 2, up to 8 words, money 2, grants -4, 4 for each title cue."""
     rows = row_texts(cells)
     parts = F.sort_array(F.collect_list(F.struct("row_idx", "row_text")))
     text = rows.groupBy(*KEY).agg(F.transform(parts, lambda x: x["row_text"]).alias("r"))
@@ -209,7 +209,8 @@ def score_tables(cells: DataFrame, header_rows: int = 12) -> DataFrame:
     words = F.least(sum((F.col("head").contains(w).cast("int") for w in COMP_WORDS), F.lit(0)), F.lit(8))
     money = F.when(F.col("full").rlike(r"\$|\b\d{3,}\b"), 2).otherwise(0)
     grant = F.when(has(*GRANT_WORDS), -4).otherwise(0)
-    return text.select(*KEY, (cue + words + money + grant).alias("score"))
+    titles = cells.groupBy(*KEY).agg(F.max("title_cues").alias("title_cues"))
+    return text.join(titles, KEY).select(*KEY, (cue + words + money + grant + 4 * F.col("title_cues")).alias("score"))
 
 
 def best_table(cells: DataFrame) -> DataFrame:

@@ -104,3 +104,20 @@ def test_bot_second_name_column_becomes_numbers(spark):
     assert _bot(spark, head[:2], ("Acme Fund", "1,250,000"), ("Bolt Fund", "300,000")) == [("Acme Fund", None, None, "1,250,000"), ("Bolt Fund", None, None, "300,000")]
     mixed = [("Acme Fund", "Chair", "1%"), ("Bolt Fund", "1,250 000", "2%"), ("Cole Fund", "Clerk", "3%")]
     assert _bot(spark, head, *mixed) == [("Acme Fund", "Chair", None, "1%"), ("Bolt Fund", None, "1,250 000", "2%"), ("Cole Fund", "Clerk", None, "3%")]
+
+
+def test_title_cues_choose_the_compensation_table(spark):
+    from cornice.functions.htmlkit import parse_tables, title_cues
+    from cornice.plans.catalog import share_path
+
+    other = _table(("Name and Principal Position", "Year", "Salary", "Bonus", "Total"), ("A B", "2020", "100", "5", "105"))
+    right = _table(("Name", "Year", "Salary"), ("A B", "2021", "100"))
+    titled = right.replace("<table>", "<table><caption>Summary  COMPENSATION\nTable</caption>")
+    assert title_cues(other + "<p>SUMMARY <b>Compensation</b> Table" + right + other) == {1: 1}
+    assert title_cues(other + titled)[1] == 2 and title_cues(other + right) == title_cues(None) == {}
+    assert title_cues(_table(("Summary Compensation Table",)) + right) == {0: 1, 1: 1}
+    cells = parse_tables(share_path(spark).createDataFrame([("a", other + titled)], "doc string, html string"))
+    plain = parse_tables(share_path(spark).createDataFrame([("a", other + right)], "doc string, html string"))
+    score = lambda c: {r.table_idx: r.score for r in C.score_tables(c).collect()}
+    assert score(cells)[1] == score(plain)[1] + 8 and score(cells)[0] == score(plain)[0]
+    assert {r.table_idx for r in C.best_table(cells).collect()} == {1} and {r.table_idx for r in C.best_table(plain).collect()} == {0}
