@@ -38,10 +38,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     rows = docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id())
     rows = materialize(rows.withColumn("tie", F.xxhash64(*COLUMNS)), "rows")
     found = ngram_join.link_classes(rows, n=SHINGLE, percent=PERCENT, doc_id="row").withColumnRenamed("doc_id", "row")
-    linked = found.where("n_shingles > 0").join(rows.select("row", "doc_id", "tie"), "row")
-    first = linked.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tie", "row"))["row"].alias("row")).select("row")
-    stays = materialize(first.unionByName(found.where("n_shingles = 0").select("row")), "stays")
-    return rows.join(stays, "row", "left_semi").select(*COLUMNS)
+    found = materialize(found.where("n_shingles > 0").select("row", "component_id"), "linked")
+    linked = found.join(rows.select("row", "doc_id", "tie"), "row")
+    stays = linked.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tie", "row"))["row"].alias("row"))
+    goes = materialize(found.select("row").join(stays, "row", "left_anti"), "copies")
+    return rows.join(goes, "row", "left_anti").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
