@@ -23,14 +23,17 @@ def vocabulary(name: str) -> str:
 
 
 def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of each whose id is divisible by 20."""
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of every document."""
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place and length of every document in flat token files written of all texts."""
     out = token_count.token_counts(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
     # Names of files hold a random part; their numbers don't.
     part = F.regexp_extract("file", r"^part-(\d+)", 1).cast("long")
@@ -39,30 +42,35 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the archives written of all pages say of each, read back."""
     captures = warc.archive_and_assemble(table(spark, sf_dir, "pages"))
     return captures.select(
         F.element_at("metadata.fields", "page_id").cast("long").alias("page_id"),
         F.col("main.payload_bytes").alias("payload_bytes"),
         F.col("main.payload_sha1").alias("payload_digest"),
         F.col("main.kind").alias("record_type"),
-        F.regexp_extract("main.refers_to", "^page:(.*)", 1).try_cast("long").alias("refers_to"),
+        F.element_at("metadata.fields", "refers_to_page").cast("long").alias("refers_to"),
     )
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of at most 4096 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
     report = quality.quality_report(table(spark, sf_dir, "documents"))
     return report.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation, read back from its formatted text."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hard = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
@@ -71,11 +79,13 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document at four-word shingles and 0.85."""
     out = ngram_join.link_classes(table(spark, sf_dir, "documents"), n=4, percent=85)
     return out.select("doc_id", "n_shingles", "component_id")
 
 
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language predicted for every document by a model trained on those not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.train(docs)
     out = langid.identify(docs.withColumn("held_out", langid.held_out(F.col("doc_id"))), model, keep=["doc_id", "held_out"])

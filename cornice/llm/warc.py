@@ -8,10 +8,14 @@ whole files (kept small by the writer) and splits them by Content-Length.
 Assembly joins the three kinds through the concurrent-to identifiers into one
 nested row per capture.
 
-Defined cases: a null payload is empty; a null url is left out of its headers;
+Defined cases: a null payload is empty; a null url is left out of its headers,
+and blanks and control characters of a url are percent-encoded in them;
 records with equal payloads of at least `least` bytes revisit the one with the
 largest page_id, and rows that repeat that page_id are responses too; with only
 null page_ids all are responses.  Repeated rows each have a capture of their own.
+A revisit names its response's record in WARC-Refers-To, and the metadata of its
+capture the response's page_id.  Other columns are ignored; an empty table gives
+no captures.
 """
 
 from __future__ import annotations
@@ -35,9 +39,9 @@ DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def _urn(kind: str) -> Column:
-    """A record identifier made of the kind and the row's place in this write."""
-    h = F.md5(F.concat(F.lit(kind), F.col("_id")))
+def _urn(kind: str, page_id: str = "page_id", place: str = "_place") -> Column:
+    """A record identifier made of the kind, the page and the row's place in the table."""
+    h = F.md5(F.concat_ws("|", F.lit(kind), F.col(page_id).cast("string"), "_sha1", F.col(place).cast("string")))
     cut = [F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *cut), F.lit(">"))
 
@@ -58,34 +62,43 @@ def _headers(kind: str, identifier: Column, length: Column, *more: tuple[str, Co
 
 
 def plan_revisits(pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
-    """pages (page_id, url, html) with _sha1, _bytes and _winner, the page_id that it revisits or null.
+    """pages (page_id, url, html) with _sha1, _bytes, _place, and the _winner's page_id and place if it revisits one.
 
     Only digests that occur more than once are joined back; they are counted
     with partial sums, and Spark splits a hot digest's rows in the join.
     """
     body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    pages = pages.select("page_id", "url", F.coalesce(F.col("html"), F.lit("")).alias("html"), F.sha1(body).alias("_sha1"), F.length(body).cast("long").alias("_bytes"))
-    groups = pages.where(F.col("_bytes") >= least).groupBy("_sha1").agg(F.count("*").alias("n"), F.max("page_id").alias("_top"))
-    groups = materialize(groups.where("n > 1 and _top is not null").select(F.col("_sha1").alias("_g"), "_top"), "warc-digests")
+    pages = pages.select("page_id", "url", F.coalesce(F.col("html"), F.lit("")).alias("html"), F.sha1(body).alias("_sha1"), F.length(body).cast("long").alias("_bytes"), F.monotonically_increasing_id().alias("_place"))
+    top = F.max(F.when(F.col("page_id").isNotNull(), F.struct("page_id", (-F.col("_place")).alias("_at")))).alias("_t")
+    groups = pages.where(F.col("_bytes") >= least).groupBy("_sha1").agg(F.count("*").alias("n"), top).where("n > 1 and _t is not null")
+    groups = materialize(groups.select(F.col("_sha1").alias("_g"), F.col("_t.page_id").alias("_top"), (-F.col("_t._at")).alias("_top_place")), "warc-digests")
     joined = pages.join(groups, (F.col("_sha1") == F.col("_g")) & (F.col("_bytes") >= least), "left")
-    winner = F.when(F.col("_top").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_top")), F.col("_top"))
-    return joined.select("page_id", "url", "html", "_sha1", "_bytes", winner.alias("_winner"))
+    revisits = F.col("_top").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_top"))
+    return joined.select("page_id", "url", "html", "_sha1", "_bytes", "_place", F.when(revisits, F.col("_top")).alias("_winner"), F.when(revisits, F.col("_top_place")).alias("_winner_place"))
+
+
+def _uri(url: Column) -> Column:
+    """A url whose blanks and control characters, which would end a header or a request line, are percent-encoded."""
+    for code in (*range(0x21), 0x7F):
+        url = F.replace(url, F.lit(chr(code)), F.lit(f"%{code:02X}"))
+    return url
 
 
 def write_archives(pages: DataFrame, path: str, least: int = LEAST_BYTES) -> None:
     """Write the captures of pages (page_id, url, html) as gzipped WARC files under path."""
-    rows = plan_revisits(pages, least).withColumn("_id", F.concat_ws("|", F.col("page_id").cast("string"), F.col("_sha1"), F.monotonically_increasing_id().cast("string")))
-    target = ("WARC-Target-URI", F.col("url"))
+    rows = plan_revisits(pages, least)
+    uri = F.when(F.col("url").rlike(r"[\x00-\x20\x7F]"), _uri(F.col("url"))).otherwise(F.col("url"))
+    target = ("WARC-Target-URI", uri)
     digest = ("WARC-Payload-Digest", F.concat(F.lit("sha1:"), _base32(F.col("_sha1"))))
     close = ("WARC-Concurrent-To", _urn("response"))
-    host = F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)
-    asked = F.concat(F.lit("GET "), F.coalesce(F.regexp_replace(F.col("url"), r"[\r\n ]", "%20"), F.lit("/")), F.lit(" HTTP/1.1\r\nHost: "), F.coalesce(host, F.lit("")), F.lit(END))
+    host = F.regexp_extract(uri, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)
+    asked = F.concat(F.lit("GET "), F.coalesce(uri, F.lit("/")), F.lit(" HTTP/1.1\r\nHost: "), F.coalesce(host, F.lit("")), F.lit(END))
     head = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("_bytes").cast("string"), F.lit(END))
-    about = F.concat_ws("\r\n", F.concat(F.lit("page_id: "), F.col("page_id").cast("string")), F.concat(F.lit("payload_bytes: "), F.col("_bytes").cast("string")), F.lit(""))
+    about = F.concat_ws("\r\n", F.concat(F.lit("page_id: "), F.col("page_id").cast("string")), F.concat(F.lit("payload_bytes: "), F.col("_bytes").cast("string")), F.concat(F.lit("refers_to_page: "), F.col("_winner").cast("string")), F.lit(""))
     http, fields = ("Content-Type", F.lit("application/http; msgtype=response")), ("Content-Type", F.lit("application/warc-fields"))
     request = F.concat(_headers("request", _urn("request"), F.octet_length(asked), target, close, ("Content-Type", F.lit("application/http; msgtype=request"))), asked)
     response = F.concat(_headers("response", _urn("response"), F.octet_length(head) + F.col("_bytes"), target, digest, http), head, F.col("html"))
-    refers = ("WARC-Refers-To-Target-URI", F.concat(F.lit("page:"), F.col("_winner").cast("string")))
+    refers = ("WARC-Refers-To", _urn("response", "_winner", "_winner_place"))
     revisit = F.concat(_headers("revisit", _urn("response"), F.octet_length(head), target, digest, ("WARC-Profile", F.lit(PROFILE)), refers, http), head)
     metadata = F.concat(_headers("metadata", _urn("metadata"), F.octet_length(about), target, close, fields), about)
     main = F.when(F.col("_winner").isNull(), response).otherwise(revisit)
@@ -127,7 +140,7 @@ def _parse(with_payload: bool):
                 size = next((int(x.split(b":")[1]) for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:")), None)
         elif kind == "metadata":
             fields = dict(x.split(": ", 1) for x in block.decode().split("\r\n") if ": " in x)
-        refers = headers.get("warc-refers-to-target-uri")
+        refers = headers.get("warc-refers-to")
         return kind, headers["warc-record-id"], headers.get("warc-concurrent-to"), headers.get("warc-target-uri"), sha1, size, refers, list(fields.items()), payload
 
     names = [x.split(" ")[0] for x in RECORDS.replace("map<string,string>", "map").split(", ")]
