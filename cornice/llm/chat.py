@@ -5,7 +5,9 @@ the turn's own text counts for the loss.  Rows of a conversation stream through
 in the order of turn; the machine checks the order of roles as they pass, so
 memory doesn't grow with a conversation.  The output is one row per segment of
 the formatted text with its loss flag; the segments' texts joined in order are
-the formatted conversation.
+the formatted conversation.  A segment's ok is false from the turn that broke the
+order on, and in the last segment also if the conversation ends in a state where
+it may not.
 
 Control strings inside a turn's text are escaped: a mark goes in after their
 first character, and a mark in the text is doubled.  No control string is left
@@ -14,8 +16,9 @@ whole, and taking the marks out again gives back the text.
 Defined cases: a null text is empty, a null role has the empty name, a null
 conv_id is a conversation of its own; rows with equal turn go by role, then
 text; an unknown role is written with its name in the fallback marks; a
-conversation in a wrong order is formatted too, with ok false from the turn
-that broke the order.  An empty table gives no rows.
+conversation in a wrong order, or one that stops on a user's turn, is formatted
+too, with ok false as said.  Other columns are ignored, repeated rows are turns
+each, and an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -111,12 +114,20 @@ def _format(template: Template):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, state, seg, ok = object(), "start", 0, True
+        last: list[tuple] = []  # the latest segment, held back as it may be the conversation's last
+
+        def ended() -> list[tuple]:
+            return [(*row[:4], row[4] and state in template.ends, row[5]) for row in last]
+
         for batch in batches:
             rows = []
             for conv, role, text in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3)), strict=True):
                 if conv != now:
+                    rows += ended()
+                    last = []
                     now, state, seg, ok = conv, "start", 0, True
                 role = role or ""
+                rows += last
                 state = template.order.get((state, role), "broken")
                 ok = ok and state != "broken"
                 turn = template.turns.get(role)
@@ -125,7 +136,9 @@ def _format(template: Template):
                 for i, (part, loss) in enumerate(((before, False), (escaper.escape(text or ""), bool(turn and turn.loss)), (after, False))):
                     rows.append((conv, seg, part, loss, ok, i == 0))
                     seg += 1
+                last = [rows.pop()]
             yield _batch(rows, _SEGMENT_TYPES)
+        yield _batch(ended(), _SEGMENT_TYPES)
 
     return run
 
@@ -153,32 +166,40 @@ class _Reader:
         self.all, self.loss, self.ok = hashlib.sha256(), hashlib.sha256(), True
         self.role: str | None = None
         self.inside: list[str] = []
-        self.naming = False
+        self.rest = ""  # text that may go on as a control string
+        self.most = max(map(len, [*self.roles, *self.closing, template.other_open, template.other_name_end]))
 
     def take(self, segment: str, loss: bool, ok: bool) -> None:
+        """Segments are joined as they come: where one ends tells nothing of the text."""
         self.chars += len(segment)
         self.ok = ok
         if loss:
             plain = Escaper.unescape(segment)
             self.loss_chars += len(plain)
             self.loss.update(plain.encode("utf-8", "surrogatepass"))
+        self._scan(self.rest + segment, self.most - 1)
+
+    def _scan(self, text: str, keep: int) -> None:
+        """Read text but for the last `keep` characters behind its last control string."""
         at = 0
-        for found in self.controls.finditer(segment):
-            self.inside.append(segment[at : found.start()])
+        for found in self.controls.finditer(text):
+            self.inside.append(text[at : found.start()])
             at = found.end()
             mark = found.group()
             if mark in self.roles:
                 self.role, self.inside = self.roles[mark], []
             elif mark == self.template.other_open:
-                self.naming, self.inside = True, []
+                self.inside = []
             elif mark == self.template.other_name_end:
-                self.role, self.inside, self.naming = Escaper.unescape("".join(self.inside)), [], False
+                self.role, self.inside = Escaper.unescape("".join(self.inside)), []
             else:
-                text = Escaper.unescape("".join(self.inside))
-                self.all.update(f"{self.role}\n{text}\n".encode("utf-8", "surrogatepass"))
+                body = Escaper.unescape("".join(self.inside))
+                self.all.update(f"{self.role}\n{body}\n".encode("utf-8", "surrogatepass"))
                 self.turns += 1
                 self.inside = []
-        self.inside.append(segment[at:])
+        cut = max(at, len(text) - keep)
+        self.inside.append(text[at:cut])
+        self.rest = text[cut:]
 
     def row(self, conv) -> tuple:
         return conv, self.turns, self.all.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars, self.ok
