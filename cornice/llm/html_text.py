@@ -5,11 +5,14 @@ article (navigation, asides, forms, scripts ...) and those whose class, id or
 role names furniture.  Each paragraph then gives points for its length and its
 commas to its parent, half of them to its grandparent; points shrink with the
 share of text inside links.  The container with the most points is kept with
-the siblings that look like its continuation; if an <article> or <main> encloses
-it, all of that is.  Blocks come in page order, one to a line.
+the siblings that look like its continuation, and so is each container around it
+up to an <article> or <main> that encloses them, with articles beside that one.
+Blocks come in page order, one to a line.
 
 Defined cases: a null or empty page gives an empty text; unclosed and truncated
-markup is read as far as it goes; nesting of any depth is fine.
+markup is read as far as it goes; nesting of any depth is fine; of containers with
+equal points the first counts; repeated rows give equal rows, columns that aren't
+kept are ignored, and an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -182,25 +185,51 @@ def _best(nodes: list[Node]) -> Node:
     return found
 
 
-def _chosen(nodes: list[Node]) -> list[Node]:
+def _continues(child: Node, least: float, inside: bool) -> bool:
+    """Whether a sibling of the kept container goes on with its text; inside an article most things do."""
+    if child.drop or not child.chars:
+        return False
+    density = _density(child)
+    if child.tag in HEADINGS or child.score * (1 - density) >= least:
+        return True
+    return density <= 0.5 if inside else child.tag in PARAGRAPHS and density < 0.25
+
+
+def _chosen(nodes: list[Node]) -> list[Node | str]:
+    """The kept nodes and loose texts in page order."""
     best = _best(nodes)
-    up = best
-    while up is not None and up.tag not in ("article", "main"):
-        up = up.parent
-    if up is not None:
-        return [up]
-    if best.parent is None or best.tag in ROOTS:
+    if best.tag in ("#root", "html", "body"):
         return [best]
     least = max(10.0, 0.2 * best.score)
-    out = []
-    for child in best.parent.children:
-        if child is best:
-            out.append(child)
-        elif isinstance(child, Node) and not child.drop and child.chars:
-            text = child.tag in PARAGRAPHS and _density(child) < 0.25
-            if child.score * (1 - _density(child)) >= least or text or child.tag in HEADINGS:
-                out.append(child)
-    return out
+    around = best
+    while around is not None and around.tag not in ("article", "main"):
+        around = around.parent
+    inside = around is not None
+    kept: list[Node | str] = [best]
+    node = best
+    while node.parent is not None and node is not around:
+        at = next(i for i, child in enumerate(node.parent.children) if child is node)
+        fits = lambda child: inside if isinstance(child, str) else _continues(child, least, inside)
+        kept = [c for c in node.parent.children[:at] if fits(c)] + kept + [c for c in node.parent.children[at + 1 :] if fits(c)]
+        if not inside:
+            break
+        node = node.parent
+    if inside and around.tag == "article":
+        beside = around.parent.children
+        at = next(i for i, child in enumerate(beside) if child is around)
+        own = lambda c: isinstance(c, Node) and c.tag == "article" and not c.drop and _weight(c) >= 0.2 * best.score
+        kept = [c for c in beside[:at] if own(c)] + kept + [c for c in beside[at + 1 :] if own(c)]
+    return kept
+
+
+def _weight(node: Node) -> float:
+    """The most points of any container within."""
+    best, todo = 0.0, [node]
+    while todo:
+        n = todo.pop()
+        best = max(best, n.score * (1 - _density(n)))
+        todo.extend(c for c in n.children if isinstance(c, Node) and not c.drop)
+    return best
 
 
 def _menu(node: Node) -> bool:
@@ -221,9 +250,14 @@ def blocks(page: str) -> list[str]:
             out.append(text)
         line.clear()
 
-    for top in _chosen(nodes):
+    chosen = _chosen(nodes)
+    for top in chosen:
         todo: list[tuple[Node | str, bool]] = [(top, False)]  # whether a node ends here
+        up = None if isinstance(top, str) else top.parent
         headers = headings = 0
+        while up is not None:  # a kept part of a header
+            headers += up.tag == "header"
+            up = up.parent
         while todo:
             item, ends = todo.pop()
             if isinstance(item, str):
@@ -232,7 +266,7 @@ def blocks(page: str) -> list[str]:
                     line.append(item)
                 continue
             step = -1 if ends else 1
-            if not ends and (item.drop or item is not top and _menu(item)):
+            if not ends and (item.drop or (item is not top or len(chosen) > 1) and _menu(item)):
                 continue
             if item.tag == "br":
                 line.append(" " if ends else "")
@@ -243,7 +277,9 @@ def blocks(page: str) -> list[str]:
             if not ends:
                 todo.append((item, True))
                 todo.extend((child, False) for child in reversed(item.children))
-        close()
+        if not isinstance(top, str) and top.tag in BLOCK:
+            close()
+    close()
     return out
 
 
