@@ -11,7 +11,10 @@ A temperature fitted on rows held back from the sample calibrates the scores;
 the rejection level is the score that all but `reject` of those rows reach.
 
 Defined cases: a null text, or one without letters, is `und` with score 0; rows
-with a null label don't train; without any labelled row everything is `und`.
+with a null label don't train; without any labelled row everything is `und`; ties
+go to the first label by code point.  A kept column named as a result is left out
+for it.  More than MOST_LABELS labels raise ValueError, as table and sample grow
+with their number.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,6 +37,7 @@ NGRAMS = (2, 3, 4)
 #: Bound of the training sample: expected rows per language, and characters of a row that may be drawn.
 SAMPLE_ROWS = 500
 SAMPLE_CHARS = 20_000
+MOST_LABELS = 1000
 EPOCHS = 6
 BATCH = 16
 RATE = 0.5
@@ -171,6 +175,8 @@ def sample(labelled: DataFrame, rows: int = SAMPLE_ROWS, key: str = "doc_id", te
     counts = {r[label]: r["count"] for r in usable.groupBy(label).count().collect()}
     if not counts:
         return [], []
+    if len(counts) > MOST_LABELS:
+        raise ValueError(f"{len(counts)} labels, {MOST_LABELS} at most")
     draw = F.pmod(F.xxhash64(F.lit("langid"), F.col(key)), F.lit(1 << 30)) / float(1 << 30)
     share = F.coalesce(*[F.when(F.col(label) == k, F.lit(min(1.0, rows / n))) for k, n in sorted(counts.items())])
     got = usable.where(draw < share).select(key, text, label).toPandas().sort_values([key, text])
@@ -181,21 +187,24 @@ def _predict(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
         for batch in batches:
-            text = batch.column(batch.schema.get_field_index("_text"))
+            text = batch.column(len(batch.schema) - 1)
             names, score = model.predict(text) if model.languages else ([UNKNOWN] * len(batch), np.zeros(len(batch)))
-            keep = [c for c in batch.schema.names if c != "_text"]
-            arrays = [batch.column(batch.schema.get_field_index(c)) for c in keep]
+            keep = batch.schema.names[:-1]
+            arrays = [batch.column(i) for i in range(len(keep))]
             arrays += [pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array([n != UNKNOWN and s >= model.level for n, s in zip(names, score, strict=True)], pa.bool_())]
             yield pa.RecordBatch.from_arrays(arrays, [*keep, "lang_pred", "score", "accepted"])
 
     return run
 
 
+RESULT = ("lang_pred", "score", "accepted")
+
+
 def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns keep of docs (all if None), and lang_pred, score, accepted."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    keep = docs.columns if keep is None else keep
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_text"))
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in RESULT]
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_text" + "_".join(keep)))
     kept = docs.select(*[F.col(f"`{c}`") for c in keep]).schema
     schema = kept.add("lang_pred", "string").add("score", "double").add("accepted", "boolean")
     return rows.mapInArrow(_predict(shared), schema)
