@@ -8,7 +8,7 @@ a partition its open windows are merged into full ones and at most one partial
 window, and those of FAN_IN neighbouring partitions are merged in turn, so that
 each such group leaves one window that is not full.
 
-Memory: open_windows windows and one document.  A lost task is run again with
+Memory: open_windows windows, one document and CACHED_BYTES of known words.  A lost task is run again with
 the same rows in the same order as long as the input is a table; give a written
 table, not the output of a shuffle.
 
@@ -37,7 +37,9 @@ CAPACITY = 4096
 OPEN_WINDOWS = 64
 FAN_IN = 64
 WIDTH = 4  # bytes of an id
-CACHED_WORDS = 1_200_000
+#: Words of up to so many characters are kept with their ids, up to so many bytes in all.
+CACHED_CHARS = 64
+CACHED_BYTES = 1 << 28
 _ALONE = re.compile("<\\||[\x1c-\x1f]")
 
 Piece = tuple  # (doc_id, start, ids, doc_tokens)
@@ -92,16 +94,24 @@ class Packer:
 
 
 class _Words(dict):
-    """Ids of words, worked out when first asked for."""
+    """Ids of words, worked out when first asked for; long words aren't kept."""
 
     def __init__(self, encode: Callable[[str], bytes]):
         super().__init__()
-        self.encode = encode
+        self.encode, self.held = encode, 0
 
     def __missing__(self, word: str) -> bytes:
-        self[word] = found = self.encode(word)
+        found = self.encode(word)
+        if len(word) <= CACHED_CHARS:
+            self[word] = found
+            self.held += 180 + 2 * len(word) + len(found)  # two objects and a place in the table
         return found
 
+    def trim(self) -> None:
+        if self.held > CACHED_BYTES:
+            self.clear()
+            self.held = 0
+
 
 class WordEncoder:
     """Ids of whole texts by way of a bounded cache of words.
@@ -129,8 +139,7 @@ class WordEncoder:
             elif _ALONE.search(text):
                 yield self._ids(text)
             else:
-                if len(self.known) > CACHED_WORDS:
-                    self.known.clear()
+                self.known.trim()
                 yield b"".join(map(self.known.__getitem__, text.split()))
 
 
