@@ -11,7 +11,11 @@ last end id.
 
 Defined cases: a null or empty text is a document of no ids; ids behind the last
 end id of a file are a last document with closed false; a file without ids has
-no documents.
+no documents.  Repeated rows are documents each, other columns are ignored, and
+an empty table gives no rows.
+
+Files are written gzipped, of about FILE_BYTES of text each, as a task reads a
+file at once; blocks bound what leaves that task, not what it reads.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ from .store import materialize, new_path
 
 END_ID = 2
 BLOCK_IDS = 1 << 16
-FILE_DOCUMENTS = 4000
+FILE_BYTES = 32 << 20
 
 _LOADED: dict = {}
 
@@ -61,9 +65,11 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     """
     if not 0 <= end_id < 128:
         raise ValueError("end_id must be below 128")
-    ids = docs.select(F.col(text)).mapInArrow(_encode(tokenizer_path), "value binary")
+    ids = docs.select(F.col(f"`{text}`")).mapInArrow(_encode(tokenizer_path), "value binary")
+    mean = docs.agg(F.avg(F.octet_length(F.col(f"`{text}`")))).first()[0] or 1
+    records = int(max(1, min(1_000_000, FILE_BYTES // max(1, mean))))
     out = ids.select(F.col("value").cast("string")).write.option("lineSep", chr(end_id) + "\0")
-    out.option("compression", "gzip").option("maxRecordsPerFile", FILE_DOCUMENTS).text(path)
+    out.option("compression", "gzip").option("maxRecordsPerFile", records).text(path)
 
 
 BLOCKS = "file string, block long, n_ids long, n_ends long, head long, tail long, inner array<long>"
