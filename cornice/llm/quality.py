@@ -5,7 +5,9 @@ boilerplate.  Failing lines are removed; a document that loses too much of its
 text, or that fails the base rules on length and repetition, is rejected.
 
 A word is a run of characters other than space and U+0009 to U+000D.  A null
-text counts as an empty one: no words, base rules failed, not kept.
+text counts as an empty one: no words, base rules failed, not kept.  Rows are
+judged each by itself, so repeated ones alike; columns of any name pass through
+clean() untouched; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -17,13 +19,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 
-#: Fixed phrases of page furniture, matched in lines of at most BOILERPLATE_CHARS characters.
+#: Fixed phrases of page furniture; a line fails if it has one for every BOILERPLATE_WORDS words or more.
 BOILERPLATE = (
     r"(?i)(enable javascript|javascript is disabled|accept (all )?cookies|uses cookies|cookie policy|privacy policy|"
     r"terms of (use|service)|all rights reserved|click here to|sign up for our newsletter|subscribe to our|"
     r"follow us on|share this (page|article|post)|skip to (main )?content|back to top)"
 )
-BOILERPLATE_CHARS = 250
+BOILERPLATE_WORDS = 40
 SEPARATORS = "|»›•·"
 #: A word that the next one repeats.
 STUTTER = r"(?:^|[\x20\x09-\x0D])([^\x20\x09-\x0D]++)\x20\1(?![^\x20\x09-\x0D])"
@@ -57,14 +59,14 @@ def line_fails(line: Column) -> Column:
         (line.rlike(f"[{SYMBOLS}!{SEPARATORS}]") & marked)
         | (~line.rlike(r"[.!?;:…。！？،]") & (words >= PUNCTUATED_WORDS) & ~line.rlike(","))
         | (line.rlike(STUTTER) & much(stutter, 3))
-        | ((F.length(line) <= BOILERPLATE_CHARS) & line.rlike(BOILERPLATE))
+        | (line.rlike(BOILERPLATE) & (F.regexp_count(line, F.lit(BOILERPLATE)) * BOILERPLATE_WORDS >= words))
     )
 
 
-def with_quality(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with one struct column `_quality`.
+def judged(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Two struct columns: `_row`, the columns of docs, and `_quality`.
 
-    Fields: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    Fields of the latter: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     removed_chars (all long), clean_text, base_failed, kept.  Everything is
     worked out row by row inside the scan's stage: no shuffle, no Python.
     """
@@ -83,14 +85,16 @@ def with_quality(docs: DataFrame, text: str = "text") -> DataFrame:
         F.transform("_w", lambda x: F.xxhash64(x)).alias("_h"),
         "_l",
         lines.alias("_full"),
-        F.filter("_l", lambda x: line_fails(x)).alias("_bad"),
+        F.transform("_l", lambda x: line_fails(x)).alias("_fails"),
     )
     tail = lambda c, k: F.slice(F.col(c), F.lit(k + 1), F.greatest(F.size(c), F.lit(1)))
     # Hashes of windows of 2, 4 and 5 words, each made from two shorter ones.
-    step = step.select("*", F.zip_with("_h", tail("_h", 1), lambda a, b: F.xxhash64(a, b)).alias("_two"))
+    fails = lambda i: F.coalesce(F.get("_fails", i), F.lit(False))
+    bad = F.when(F.exists("_fails", lambda x: x), F.filter("_l", lambda x, i: fails(i))).otherwise(F.array().cast("array<string>"))
+    step = step.select("*", bad.alias("_bad"), F.zip_with("_h", tail("_h", 1), lambda a, b: F.xxhash64(a, b)).alias("_two"))
     step = step.select("*", F.zip_with("_two", tail("_two", 2), lambda a, b: F.xxhash64(a, b)).alias("_four"))
     windows = F.slice(F.zip_with("_four", tail("_h", 4), lambda a, b: F.xxhash64(a, b)), F.lit(1), F.greatest(F.col("_n") - (WINDOW - 1), F.lit(0)))
-    step = step.select("_row", "_t", "_n", "_chars", "_l", "_full", "_bad", windows.alias("_g"))
+    step = step.select("_row", "_t", "_n", "_chars", "_l", "_full", "_bad", "_fails", windows.alias("_g"))
     repeats = F.size(F.array_distinct("_g")) < F.size("_g")
     ordered = F.sort_array(F.transform("_g", lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
     step = step.withColumn("_s", F.when(repeats, ordered))
@@ -116,7 +120,7 @@ def with_quality(docs: DataFrame, text: str = "text") -> DataFrame:
         (F.size("_full") - F.size(F.array_distinct("_full"))).alias("_dup"),
         covered.alias("_rep"),
         F.length(F.regexp_replace(F.array_join("_bad", ""), BLANKS, "")).alias("_lost"),
-        F.when(F.size("_bad") == 0, F.col("_t")).otherwise(F.array_join(F.filter("_l", lambda x: ~line_fails(x)), "\n")).alias("_clean"),
+        F.when(F.size("_bad") == 0, F.col("_t")).otherwise(F.array_join(F.filter("_l", lambda x, i: ~fails(i)), "\n")).alias("_clean"),
     )
     failed = (F.col("_n") < MIN_WORDS) | (F.col("_rep") * 100 > F.col("_n") * MAX_REPEAT_PERCENT)
     kept = ~failed & (F.col("_lost") * 10 <= F.col("_chars") * LOST_TENTHS)
@@ -134,24 +138,25 @@ def with_quality(docs: DataFrame, text: str = "text") -> DataFrame:
         failed.alias("base_failed"),
         kept.alias("kept"),
     )
-    return step.select(*[F.col("_row")[c].alias(c) for c in original], result.alias("_quality"))
+    return step.select("_row", result.alias("_quality"))
 
 
 def quality_report(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per document: key, the counts, base_failed and kept."""
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "removed_chars", "base_failed", "kept")
-    return with_quality(docs.select(key, text), text).select(key, *[F.col("_quality")[n].alias(n) for n in names])
+    out = judged(docs.select(F.col(f"`{key}`"), F.col(f"`{text}`")), text)
+    return out.select(F.col("_row")[key].alias(key), *[F.col("_quality")[n].alias(n) for n in names])
 
 
 def clean(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
     """The kept documents in their own columns, failing lines removed from the text."""
-    out = with_quality(docs, text).where(F.col("_quality")["kept"])
+    out = judged(docs, text).where(F.col("_quality")["kept"])
+    old = lambda c: F.col("_row")[c]
     put = {text: F.col("_quality")["clean_text"]}
     if n_chars and n_chars in docs.columns:
         changed = F.col("_quality")["removed_chars"] > 0
-        put[n_chars] = F.when(changed, F.length(F.col("_quality")["clean_text"]).cast(docs.schema[n_chars].dataType)).otherwise(F.col(n_chars))
-    return out.select(*[put.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
-
+        put[n_chars] = F.when(changed, F.length(F.col("_quality")["clean_text"]).cast(docs.schema[n_chars].dataType)).otherwise(old(n_chars))
+    return out.select(*[put.get(c, old(c)).alias(c) for c in docs.columns])
 
 
 #: DuckDB SQL for the query's columns over documents.  RE2 knows no backward references,
@@ -179,7 +184,7 @@ c AS (
   SELECT doc_id, l, n, chars,
     (sym >= 3 AND sym * 10 > n * 3) OR (shout >= 3 AND shout * 10 > n * 3) OR (sep >= 2 AND sep * 10 > n * 3)
     OR (n >= 10 AND NOT regexp_matches(l, '[.!?,;:…。！？،]')) OR (stutter >= 3 AND stutter * 10 > n * 3)
-    OR (length(l) <= 250 AND regexp_matches(l, '@boilerplate@')) AS bad
+    OR (regexp_matches(l, '@boilerplate@') AND len(regexp_extract_all(l, '@boilerplate@')) * 40 >= n) AS bad
   FROM c
 ), q AS (
   SELECT doc_id, count(*) FILTER (n > 0) - count(DISTINCT l) FILTER (n > 0) AS n_dup_lines, coalesce(sum(chars) FILTER (bad), 0) AS lost
