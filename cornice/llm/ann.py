@@ -8,16 +8,21 @@ the space never makes a large group.  A query looks at the tiles that its window
 of ranks touches on every curve, takes the best of each, and the results are
 merged and ranked by the exact measure.
 
-The window's width is fitted: for a bounded sample of queries the true
-neighbours among all rows are found, and the width is the one that holds `recall`
-of them on at least one curve.  Vectors without structure need wide windows, as
-their neighbours are hardly nearer in any projection than other rows.
+The window's width and the number of curves are fitted: for a bounded sample of
+queries the true neighbours among all rows are found, and for each number of
+curves the width is the one that holds `recall` of them on at least one curve.
+The number that makes a query look at the fewest rows is taken, so that is never
+more than all rows once (search_plan tells the share).  Vectors without structure
+need wide windows, as their neighbours are hardly nearer in any projection than
+other rows; the work then grows with the square of the rows.  The queries of a
+tile are dealt over groups of about TILE_QUERIES, so a task's memory is bounded.
 
 Defined cases: rows with a null id or a vector that is null, empty, all zero, or
 has null or non-finite components take no part, nor do vectors whose length
 isn't the commonest one; rows that repeat an id with the same vector count once.
 An id with several vectors is one neighbour, by the best score of its vectors, and
-one query, of all its vectors.
+one query, of all its vectors.  Ties go to the smaller vec_id.  An empty table, or
+one without usable vectors or queries, gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,6 +42,7 @@ CURVES = 4
 DIRECTIONS = 3
 BITS = 10
 TILE = 2048
+TILE_QUERIES = 4096
 #: Rows that the quantiser is fitted on, and queries that the window is fitted on.
 SAMPLE_VECTORS = 2000
 SAMPLE_QUERIES = 48
@@ -214,70 +220,100 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, recall: float = 0.9
 
     Result: query_id, rank (from 1), vec_id, score, nearest first, ties to the smaller vec_id.
     """
+    found = _ranked(vectors, queries, curves, directions, vec_id, embedding)
+    if found is None:
+        return vectors.sparkSession.createDataFrame([], _RESULT)
+    ranked, n, dtype = found
+    used, half, asked = _fit_window(ranked, n, dtype, k, recall, curves)
+    if not asked:
+        return vectors.sparkSession.createDataFrame([], _RESULT)
+    tile = min(tile, max(64, n // 16))
+    low = F.greatest(F.lit(0), F.least(F.col("rank") - half, F.lit(n - 1 - 2 * half)))
+    high = F.least(F.lit(n - 1), low + 2 * half)
+    # Ranks are even, so a tile is asked by about this many queries; each group has some of them.
+    groups = max(1, -(-asked * min(n, 2 * half + 2 * tile) // n // TILE_QUERIES))
+    ranked = ranked.where(F.col("curve") < used)
+    every = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
+    base = ranked.select("curve", F.floor(F.col("rank") / tile).alias("tile"), every.alias("group"), "vec_id", "vec", F.lit(False).alias("ask"))
+    tiles = F.explode(F.sequence(F.floor(low / tile), F.floor(high / tile)))
+    one = F.pmod(F.xxhash64(F.lit(3), "vec_id"), F.lit(groups)).cast("int")
+    ask = ranked.where("is_query").select("curve", tiles.alias("tile"), one.alias("group"), "vec_id", "vec", F.lit(True).alias("ask"))
+    tasks = tasks_for(vectors.sparkSession, n * used * groups, 4 * tile)
+    dealt = base.unionByName(ask).repartition(tasks, "curve", "tile", "group")
+    found = dealt.groupBy("curve", "tile", "group").applyInPandas(_tile(dtype, k), _FOUND)
+    return found.groupBy("query_id").applyInPandas(_merge(k), _RESULT)
+
+
+def search_plan(vectors: DataFrame, queries: Column, k: int = 20, recall: float = 0.95, curves: int = CURVES, directions: int = DIRECTIONS, vec_id: str = "vec_id", embedding: str = "embedding") -> dict[str, float]:
+    """What search() would do: rows, curves, half of the window, and the share of all rows that a query looks at."""
+    found = _ranked(vectors, queries, curves, directions, vec_id, embedding)
+    if found is None:
+        return {"rows": 0, "curves": 0, "half": 0, "share": 0.0}
+    used, half, _ = _fit_window(*found, k, recall, curves)
+    return {"rows": found[1], "curves": used, "half": half, "share": used * min(1.0, (2 * half + 1) / found[1])}
+
+
+def _ranked(vectors: DataFrame, queries: Column, curves: int, directions: int, vec_id: str, embedding: str) -> tuple[DataFrame, int, str] | None:
+    """curve, rank, vec_id, is_query and vec of all usable vectors, their number and the type of vec's numbers."""
     spark = vectors.sparkSession
     v = F.col("v")
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
-    rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.coalesce(queries, F.lit(False)).alias("is_query"), F.col(embedding).alias("v"))
+    rows = vectors.select(F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.coalesce(queries, F.lit(False)).alias("is_query"), F.col(f"`{embedding}`").alias("v"))
     rows = rows.where(F.col("vec_id").isNotNull() & v.isNotNull() & (F.size(v) > 0) & F.forall(v, finite) & F.exists(v, lambda x: x != 0))
     rows = materialize(rows.groupBy("vec_id", "v").agg(F.max("is_query").alias("is_query")).select("vec_id", "is_query", "v"), "ann-rows")
     commonest = rows.groupBy(F.size(v).alias("d")).count().orderBy(F.desc("count"), "d").first()
     if commonest is None:
-        return spark.createDataFrame([], _RESULT)
+        return None
     dim, n = commonest["d"], commonest["count"]
     rows = rows.where(F.size(v) == dim)
     dtype = "<f4" if vectors.schema[embedding].dataType.elementType.typeName() == "float" else "<f8"
     rows = rows if dtype == "<f4" else rows.withColumn("v", v.cast("array<double>"))
-    draw = lambda salt, most, of: F.pmod(F.xxhash64(F.lit(salt), "vec_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, most / max(1, of)))
-    drawn = rows.where(draw(1, SAMPLE_VECTORS, n)).select("v").toPandas()["v"]
+    draw = F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE_VECTORS / n))
+    drawn = rows.where(draw).select("v").toPandas()["v"]
     drawn = drawn if len(drawn) else rows.limit(1).toPandas()["v"]
     fitted = spark.sparkContext.broadcast(Curves(np.stack(drawn.to_list()).astype(np.float64), curves, directions))
 
     keyed = rows.mapInArrow(_key(fitted, dim), _KEYED)
     keyed = keyed.repartitionByRange(tasks_for(spark, n * curves, 100_000), "curve", "key", "vec_id").sortWithinPartitions("curve", "key", "vec_id")
     placed = materialize(keyed.mapInArrow(_number, _KEYED + ", part long, place long"), "ann-keys")
-    # Ranks: places in partitions plus what lies before; the totals are one row per partition and curve.
+    # Ranks: places in partitions plus what lies before; the totals are one row per partition and curve,
+    # a few for each 100,000 vectors.
     sizes = sorted((r["curve"], r["part"], r["count"]) for r in placed.groupBy("curve", "part").count().collect())
     starts, at = [], {}
     for c, p, size in sizes:
         starts.append((c, p, at.get(c, 0)))
         at[c] = at.get(c, 0) + size
     starts = F.broadcast(spark.createDataFrame(starts, "curve int, part long, start long"))
-    ranked = placed.join(starts, ["curve", "part"]).withColumn("rank", F.col("start") + F.col("place"))
-
-    half = _fit_window(ranked, n, dtype, k, recall)
-    low = F.greatest(F.lit(0), F.least(F.col("rank") - half, F.lit(n - 1 - 2 * half)))
-    high = F.least(F.lit(n - 1), low + 2 * half)
-    base = ranked.select("curve", F.floor(F.col("rank") / tile).alias("tile"), "vec_id", "vec", F.lit(False).alias("ask"))
-    tiles = F.explode(F.sequence(F.floor(low / tile), F.floor(high / tile)))
-    ask = ranked.where("is_query").select("curve", tiles.alias("tile"), "vec_id", "vec", F.lit(True).alias("ask"))
-    groups = base.unionByName(ask).repartition(tasks_for(spark, n * curves, 4 * tile), "curve", "tile")
-    found = groups.groupBy("curve", "tile").applyInPandas(_tile(dtype, k), _FOUND)
-    return found.groupBy("query_id").applyInPandas(_merge(k), _RESULT)
+    return placed.join(starts, ["curve", "part"]).withColumn("rank", F.col("start") + F.col("place")), n, dtype
 
 
-def _fit_window(ranked: DataFrame, n: int, dtype: str, k: int, recall: float) -> int:
-    """Half of the window in ranks, from the true neighbours of a sample of queries."""
+def _fit_window(ranked: DataFrame, n: int, dtype: str, k: int, recall: float, curves: int) -> tuple[int, int, int]:
+    """Curves to use, half of the window in ranks, from the true neighbours of a sample of queries; and the number of queries."""
     spark = ranked.sparkSession
     one = ranked.where("curve = 0")
     total = one.where("is_query").count()
     if not total:
-        return 0
+        return 1, 0, 0
     drawn = F.pmod(F.xxhash64(F.lit(2), "vec_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, 2 * SAMPLE_QUERIES / total))
     some = one.where(F.col("is_query") & drawn).select("vec_id", "vec").orderBy("vec_id").limit(SAMPLE_QUERIES).toPandas()
     if not len(some):
-        return n
+        return 1, n // 2, total
     q = np.frombuffer(b"".join(some["vec"]), dtype).reshape(len(some), -1).astype(np.float64)
     sample = spark.sparkContext.broadcast((some["vec_id"].to_numpy(np.int64), q))
     near = one.select("vec_id", "vec").mapInArrow(_scan(sample, dtype, k), _FOUND).groupBy("query_id").applyInPandas(_merge(k), _RESULT).toPandas()
     if not len(near):
-        return 0
+        return 1, 0, total
     wanted = sorted({*near["vec_id"].tolist(), *near["query_id"].tolist()})
     # Of an id with several vectors the outermost ranks count, so that the window holds whichever scores best.
     ranks = ranked.where(F.col("vec_id").isin(wanted)).groupBy("curve", "vec_id").agg(F.min("rank").alias("low"), F.max("rank").alias("high")).toPandas()
-    need = None
-    for _, c in ranks.groupby("curve"):
-        ends = c.set_index("vec_id")[["low", "high"]]
+    need, best = None, None
+    for c in range(curves):
+        ends = ranks[ranks["curve"] == c].set_index("vec_id")[["low", "high"]]
         r, s = ends.loc[near["query_id"]].to_numpy().T, ends.loc[near["vec_id"]].to_numpy().T
         w = np.max([reach(x, y, n) for x in r for y in s], axis=0)
         need = w if need is None else np.minimum(need, w)
-    return int(np.quantile(need, recall, method="higher"))
+        half = int(np.quantile(need, recall, method="higher"))
+        cost = (c + 1) * min(n, 2 * half + 1)
+        if best is None or cost < best[0]:
+            best = (cost, c + 1, half)
+    return best[1], best[2], total
