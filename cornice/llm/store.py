@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -22,7 +23,27 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/cornice/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/cornice/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+#: Paths made inside each open scope, innermost last.
+_SCOPES: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scope(spark: SparkSession):
+    """Deletes what materialize() and new_path() made inside, but for the paths taken out of the list it gives."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield made
+    finally:
+        _SCOPES.pop()
+        for path in made:
+            drop(spark, path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
