@@ -6,6 +6,10 @@ documents and then the documents before the point where the running total of
 words meets the rest of the budget.  That point is found by a prefix sum in two
 levels: totals of key ranges first, then the documents of the one range that
 holds the cut.  A hot source has many ranges, so no task holds a whole source.
+What is known of the sources meets the documents by broadcast up to PLAN_ROWS
+sources, counted first; of more, each source's row is repeated for SALTS salts
+and documents draw one, so that a hot source's rows go to many tasks.  Ranks and
+running totals over more than PLAN_ROWS sources come from range partitions.
 
 Definitions
 -----------
@@ -17,6 +21,8 @@ target    the source's share by weight of all sizes, at most MAX_EPOCHS times th
 ties      rows of a source with one key (a repeated doc_id) at the cut share what
           is left of the budget by size, rounded down
 null ids  count as an empty id
+others    an empty table gives no rows; repeated rows are documents each; columns
+          of any name pass through mix() untouched
 """
 
 from __future__ import annotations
@@ -24,13 +30,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import materialize
+from .store import materialize, tasks_for
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
 #: Documents of a source that one key range holds on average.
 RANGE_ROWS = 4096
+#: Sources whose plan is broadcast and ranked in one task; beyond, salts and range partitions.
+PLAN_ROWS = 100_000
+SALTS = 64
 
 
 def size_of(text: Column) -> Column:
@@ -41,37 +50,64 @@ def key_of(doc_id: Column, seed: str) -> Column:
     return F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(seed)))
 
 
+def _running(df: DataFrame, order: list[Column], sums: dict[str, Column], few: bool) -> DataFrame:
+    """df with, for each name of sums, the sum of its column over all rows before a row, and `_i`, the row's place from 1."""
+    spark = df.sparkSession
+    if few:
+        rows = df.repartition(1).withColumn("_part", F.lit(0))
+    else:
+        rows = df.repartitionByRange(tasks_for(spark, 1, 1), *order).withColumn("_part", F.spark_partition_id())
+        rows = materialize(rows, "mix-ranks")
+    inside = Window.partitionBy("_part").orderBy(*order)
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("long")
+    out = rows.withColumns({n: F.coalesce(F.sum(c).over(before), zero) for n, c in sums.items()}).withColumn("_i", F.row_number().over(inside).cast("long"))
+    if not few:
+        # A row for each partition.
+        totals = rows.groupBy("_part").agg(F.count("*").alias("_rows"), *[F.sum(c).alias(f"_in{n}") for n, c in sums.items()])
+        earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        starts = totals.select("_part", F.coalesce(F.sum("_rows").over(earlier), zero).alias("_rows0"), *[F.coalesce(F.sum(f"_in{n}").over(earlier), zero).alias(f"_0{n}") for n in sums])
+        out = out.join(F.broadcast(starts), "_part").withColumns({n: F.col(n) + F.col(f"_0{n}") for n in sums}).withColumn("_i", F.col("_i") + F.col("_rows0"))
+        out = out.drop("_rows0", *[f"_0{n}" for n in sums])
+    return out.drop("_part")
+
+
 def source_targets(sized: DataFrame) -> DataFrame:
     """One row per source: _source, n_docs, source_size, target.
 
-    sized has _source and _size.  The windows below run over this summary, one
-    row per source, never over documents.
+    sized has _source and _size.
     """
-    per = sized.groupBy("_source").agg(F.count("*").alias("n_docs"), F.sum("_size").alias("source_size"))
-    per = per.repartition(1)
-    order = Window.orderBy(F.col("_source").asc_nulls_last())
-    every = Window.partitionBy()
-    weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), (F.pmod(F.row_number().over(order) - 1, F.lit(len(WEIGHTS))) + 1).cast("int"))
-    per = per.withColumn("_w", weight.cast("long"))
-    per = per.withColumn("_cap", F.col("source_size") * MAX_EPOCHS)
+    per = materialize(sized.groupBy("_source").agg(F.count("*").alias("n_docs"), F.sum("_size").alias("source_size")), "mix-sources")
+    few = per.count() <= PLAN_ROWS
+    by_name = F.col("_source").asc_nulls_last()
+    per = _running(per, [by_name], {}, few)
+    weight = F.element_at(F.array(*map(F.lit, WEIGHTS)), (F.pmod(F.col("_i") - 1, F.lit(len(WEIGHTS))) + 1).cast("int"))
+    per = per.withColumn("_w", weight.cast("long")).withColumn("_cap", F.col("source_size") * MAX_EPOCHS)
     # Sources meet their caps in the order of cap by weight; those before the k-th are full when it is looked at.
-    by_ratio = Window.orderBy((F.col("_cap").cast("double") / F.col("_w")).asc(), F.col("_source").asc_nulls_last())
-    before = by_ratio.rowsBetween(Window.unboundedPreceding, -1)
-    per = (
-        per.withColumn("_all", F.sum("source_size").over(every))
-        .withColumn("_left", F.col("_all") - F.coalesce(F.sum("_cap").over(before), F.lit(0)))
-        .withColumn("_wleft", F.sum("_w").over(every) - F.coalesce(F.sum("_w").over(before), F.lit(0)))
-    )
+    per = _running(per, [(F.col("_cap").cast("double") / F.col("_w")).asc(), by_name], {"_capped": F.col("_cap"), "_wcapped": F.col("_w")}, few)
+    size, weights = per.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("_w"), F.lit(0))).first()
+    per = per.withColumn("_left", F.lit(size) - F.col("_capped")).withColumn("_wleft", F.lit(weights) - F.col("_wcapped"))
     full = F.col("_left").cast("double") * F.col("_w") >= F.col("_cap").cast("double") * F.col("_wleft")
-    per = per.withColumn("_full", full)
+    per = materialize(per.withColumn("_full", full), "mix-levels")
     # The first source that isn't full fixes the level for itself and all after it.
-    level = F.min(F.when(~F.col("_full"), F.struct(F.row_number().over(by_ratio).alias("i"), F.col("_left"), F.col("_wleft")))).over(every)
-    per = per.withColumn("_i", F.row_number().over(by_ratio)).withColumn("_level", level)
-    shared = F.col("_level._left").cast("double") * F.col("_w") / F.col("_level._wleft")
-    target = F.when(F.col("_level").isNull() | (F.col("_i") < F.col("_level.i")), F.col("_cap").cast("double")).otherwise(shared)
+    level = per.agg(F.min(F.when(~F.col("_full"), F.struct("_i", "_left", "_wleft")))).first()[0]
+    target = F.col("_cap").cast("double")
+    if level:
+        shared = F.lit(float(level["_left"])) * F.col("_w") / F.lit(level["_wleft"])
+        target = F.when(F.col("_i") < level["_i"], target).otherwise(shared)
     return per.select("_source", "n_docs", "source_size", target.alias("target"))
 
 
+def _with_source(rows: DataFrame, per_source: DataFrame, few: bool, cols: list[str]) -> DataFrame:
+    """rows (with _source and _key) joined with the one row of per_source that each source has: r.* and s.* in cols."""
+    same = F.col("r._source").eqNullSafe(F.col("s._source"))
+    if few:
+        return rows.alias("r").join(F.broadcast(per_source).alias("s"), same).select(*cols)
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("_key"), F.lit(SALTS)))
+    spread = per_source.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return salted.alias("r").join(spread.alias("s"), same & (F.col("r._salt") == F.col("s._salt"))).select(*cols)
+
+
 def plan_mix(sized: DataFrame) -> DataFrame:
     """One row per source: where its budget cuts.
 
@@ -80,19 +116,21 @@ def plan_mix(sized: DataFrame) -> DataFrame:
     with a smaller key are taken once more, rows with cut_key share cut_rest.
     """
     targets = materialize(source_targets(sized), "mix-targets")
+    few = targets.count() <= PLAN_ROWS
     budget = F.round("target").cast("long")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     targets = targets.withColumn("epochs", epochs).withColumn("_rest", budget - F.col("epochs") * F.col("source_size"))
     # A range is the first 32 bits of the key, scaled to the number of ranges of the source.
     share = F.conv(F.substring("_key", 1, 8), 16, 10).cast("long") / F.lit(float(2**32))
     ranges = F.ceil(F.col("n_docs") / F.lit(RANGE_ROWS))
-    same = F.col("s._source").eqNullSafe(F.col("t._source"))
-    cols = ["s._key", "s._size", "t._source", "t.n_docs", "t._rest"]
-    ranged = sized.alias("s").join(targets.alias("t"), same).select(*cols).withColumn("_range", F.floor(share * ranges).cast("long"))
+    cols = ["r._key", "r._size", "s._source", "s.n_docs", "s._rest"]
+    ranged = _with_source(sized, targets, few, cols).withColumn("_range", F.floor(share * ranges).cast("long"))
     totals = ranged.groupBy("_source", "_range").agg(F.sum("_size").alias("_total"), F.first("_rest").alias("_rest"))
     run = Window.partitionBy("_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.withColumn("_before", F.coalesce(F.sum("_total").over(run), F.lit(0)))
     cut = totals.where((F.col("_before") <= F.col("_rest")) & (F.col("_rest") < F.col("_before") + F.col("_total"))).select("_source", "_range", "_before")
+    # One range of each source at most.
+    cut = F.broadcast(cut) if few else cut
     inside = ranged.alias("r").join(cut.alias("c"), F.col("r._source").eqNullSafe(F.col("c._source")) & (F.col("r._range") == F.col("c._range")))
     inside = inside.groupBy("r._source", "r._key").agg(F.sum("r._size").alias("_total"), F.first("r._rest").alias("_rest"), F.first("c._before").alias("_before"))
     run = Window.partitionBy("_source").orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)
@@ -104,32 +142,32 @@ def plan_mix(sized: DataFrame) -> DataFrame:
     return out.select("t._source", *[f"t.{n}" for n in names], "f.cut_key", "f.cut_size", "f.cut_rest")
 
 
-def apply_mix(docs: DataFrame, plan: DataFrame) -> DataFrame:
-    """docs (with _source, _key and _size) with source_size, target and taken.
-
-    Spark broadcasts the plan if it is below the session's threshold; beyond,
-    it splits a hot source's rows in a sort-merge join.
-    """
-    joined = docs.alias("d").join(plan.alias("p"), F.col("d._source").eqNullSafe(F.col("p._source")))
+def apply_mix(keyed: DataFrame, plan: DataFrame) -> DataFrame:
+    """keyed (_row, _source, _key and _size) with source_size, target and taken instead of _source and _key."""
+    plan = materialize(plan, "mix-plan")
+    cols = ["r._row", "r._size", "r._key", "s.source_size", "s.target", "s.epochs", "s.cut_key", "s.cut_size", "s.cut_rest"]
+    joined = _with_source(keyed, plan, plan.count() <= PLAN_ROWS, cols)
     more = (
-        F.when(F.col("p.cut_key").isNull(), F.lit(0))
-        .when(F.col("d._key") < F.col("p.cut_key"), F.col("d._size"))
-        .when(F.col("d._key") == F.col("p.cut_key"), F.floor(F.col("p.cut_rest") * F.col("d._size") / F.col("p.cut_size")))
+        F.when(F.col("cut_key").isNull(), F.lit(0))
+        .when(F.col("_key") < F.col("cut_key"), F.col("_size"))
+        .when(F.col("_key") == F.col("cut_key"), F.floor(F.col("cut_rest") * F.col("_size") / F.col("cut_size")))
         .otherwise(F.lit(0))
     )
-    taken = (F.col("p.epochs") * F.col("d._size") + more).cast("long")
-    return joined.select("d.*", "p.source_size", "p.target", taken.alias("taken"))
+    taken = (F.col("epochs") * F.col("_size") + more).cast("long")
+    return joined.select("_row", "_size", "source_size", "target", taken.alias("taken"))
 
 
-def _keyed(docs: DataFrame, seed: str, doc_id: str, source: str, text: str) -> DataFrame:
-    return docs.withColumns({"_source": F.col(source), "_key": key_of(F.col(doc_id), seed), "_size": size_of(F.col(text))})
+def _keyed(docs: DataFrame, keep: list[str], seed: str, doc_id: str, source: str, text: str) -> DataFrame:
+    """The columns keep as one struct, so that no name of theirs clashes, and what the mix works on."""
+    name = lambda c: F.col(f"`{c}`")
+    return docs.select(F.struct(*map(name, keep)).alias("_row"), name(source).alias("_source"), key_of(name(doc_id), seed).alias("_key"), size_of(name(text)).alias("_size"))
 
 
 def mix_report(docs: DataFrame, seed: str = ":mix", doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """One row per document: doc_id, size, source_size, target, taken."""
-    sized = materialize(_keyed(docs.select(doc_id, source, text), seed, doc_id, source, text).select(doc_id, "_source", "_key", "_size"), "mix-sizes")
+    sized = materialize(_keyed(docs, [doc_id], seed, doc_id, source, text), "mix-sizes")
     out = apply_mix(sized, plan_mix(sized))
-    return out.select(doc_id, F.col("_size").alias("size"), "source_size", "target", "taken")
+    return out.select(F.col("_row")[doc_id].alias(doc_id), F.col("_size").alias("size"), "source_size", "target", "taken")
 
 
 def mix(docs: DataFrame, seed: str = ":mix", doc_id: str = "doc_id", source: str = "source", text: str = "text", n_chars: str | None = "n_chars") -> DataFrame:
@@ -140,19 +178,19 @@ def mix(docs: DataFrame, seed: str = ":mix", doc_id: str = "doc_id", source: str
     words isn't taken.
     """
     names = docs.columns
-    keyed = _keyed(docs.select(*names), seed, doc_id, source, text)
+    keyed = _keyed(docs, names, seed, doc_id, source, text)
     plan = plan_mix(materialize(keyed.select("_source", "_key", "_size"), "mix-sizes"))
     out = apply_mix(keyed, plan)
     copies = F.ceil(F.col("taken") / F.col("_size")).cast("int")
     out = out.where(F.col("taken") > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
     part = F.least(F.col("_size"), F.col("taken") - (F.col("_copy") - 1) * F.col("_size")).cast("int")
+    old = lambda c: F.col("_row")[c]
     # The words before the cut with the white space among them.
-    head = F.rtrim(F.array_join(F.slice(F.regexp_extract_all(F.col(text), F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), F.lit(1)), F.lit(1), part), ""))
-    body = F.when(part < F.col("_size"), head).otherwise(F.col(text))
-    put = {text: body.alias(text)}
+    head = F.rtrim(F.array_join(F.slice(F.regexp_extract_all(old(text), F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), F.lit(1)), F.lit(1), part), ""))
+    put = {text: F.when(part < F.col("_size"), head).otherwise(old(text))}
     if n_chars and n_chars in names:
-        put[n_chars] = F.when(part < F.col("_size"), F.length(head).cast(docs.schema[n_chars].dataType)).otherwise(F.col(n_chars)).alias(n_chars)
-    return out.select(*[put.get(c, F.col(c)) for c in names])
+        put[n_chars] = F.when(part < F.col("_size"), F.length(head).cast(docs.schema[n_chars].dataType)).otherwise(old(n_chars))
+    return out.select(*[put.get(c, old(c)).alias(c) for c in names])
 
 
 #: DuckDB SQL for mix_report() over documents.
