@@ -31,8 +31,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where(F.col("a") != F.col("b")).distinct()
 
 
-#: Edges that one task turns into stars at a time.
+#: Edges that one task turns into stars at a time, and how many are left to one task alone.
 FOREST_EDGES = 1 << 21
+FEW_EDGES = 1 << 18
 
 
 def _stars(ends: np.ndarray) -> pa.RecordBatch:
@@ -69,11 +70,15 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of edges (a, b); root is the least node of its component.
 
     Null ends and self-loops are left out.  Each round is written to the shared
-    folder, so its lineage is one table deep.
+    folder, so its lineage is one table deep.  FEW_EDGES or fewer edges, counted
+    first, need no rounds.
     """
     edges = edges.where(F.col("a") != F.col("b")).select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
     state, now = None, materialize(edges.distinct().mapInArrow(_forest, "a long, b long").distinct(), "edges")
-    while True:
+    few = now.count() <= FEW_EDGES
+    if few:
+        now = materialize(now.coalesce(1).mapInArrow(_forest, "a long, b long"), "edges")
+    while not few:
         # Stars on sorted roots: nothing changes once every node hangs on its root.
         now = materialize(_star(materialize(_star(now, True), "edges"), False), "edges")
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

@@ -4,12 +4,11 @@ import zlib
 
 import duckdb
 import numpy as np
-import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from cornice.llm import ann, chat, html_text, langid, mixing, ngram_join, packing, quality, token_count, warc
+from cornice.llm import ann, chat, html_text, langid, mixing, packing, quality, token_count, warc
 from cornice.llm import queries as Q
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, `_t` string, kept int"
@@ -63,6 +62,8 @@ def test_quality(docs, duck):
     assert quality.quality_report(docs).count() == len(ROWS)
     kept = quality.clean(docs)
     assert kept.columns == docs.columns
+    clash = quality.clean(docs.withColumns({"_quality": F.lit(3), "_row": F.lit("r"), "_t": F.lit("t"), "_l": F.lit(1)}))
+    assert {(r["_quality"], r["_row"]) for r in clash.collect()} == {(3, "r")} and clash.count() == kept.count()
     assert "Menu" not in {r.doc_id: r.text for r in kept.collect()}[9]
     assert quality.quality_report(docs.limit(0)).count() == 0
 
@@ -77,50 +78,6 @@ def test_mixing(docs, duck):
     assert mixing.mix_report(docs.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("options", [{}, {"block_tokens": 50, "frequent_least": 1}])
-def test_ngram_join(spark, docs, options):
-    texts = [(r[0], r[1]) for r in ROWS if r[0] is not None]
-    rng = np.random.default_rng(0)
-    for i in range(40):  # a chain of near copies
-        w = [f"base{k}" for k in range(120)]
-        for k in rng.integers(0, 120, i % 4):
-            w[k] = f"new{i}-{k}"
-        texts.append((100 + i, " ".join(w)))
-    df = spark.createDataFrame(texts, "doc_id long, text string").withColumn("ck", F.lit(1))
-    got = {(r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.link_classes(df, 4, 85, **options).collect()}
-    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    import re
-
-    words = [re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(lower)) for _, t in texts]
-    sets = [{tuple(w[i : i + 4]) for i in range(len(w) - 3)} if len(w) >= 4 else {tuple(w)} if w else set() for w in words]
-    root = list(range(len(texts)))
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for i in range(len(sets)):
-        for j in range(i):
-            n = len(sets[i] & sets[j])
-            if n and 100 * n >= 85 * (len(sets[i]) + len(sets[j]) - n):
-                root[find(i)] = find(j)
-    least = {}
-    for i, (d, _) in enumerate(texts):
-        least[find(i)] = min(d, least.get(find(i), d))
-    assert got == {(d, len(s), least[find(i)]) for i, ((d, _), s) in enumerate(zip(texts, sets))}
-    assert ngram_join.link_classes(df.limit(0), 4, 85).count() == 0
-
-
-def test_class_larger_than_a_batch():
-    import pyarrow as pa
-
-    n = 30
-    batch = ngram_join._rows(1, np.full(n, 5), np.arange(n), np.full(n, 400), np.full(n, 2))
-    assert sum(map(len, ngram_join._index(85)(iter([batch, batch.slice(0, 0), batch])))) >= 0
-    assert isinstance(batch, pa.RecordBatch)
-
-
 def test_packing(docs):
     path = Q.vocabulary("word_bpe_49k.json")
     got = packing.pack(docs, path, keep_ids=True).toPandas()
@@ -159,6 +116,9 @@ def test_language(spark, docs):
     odd = {r.doc_id: r for r in langid.identify(docs, model).collect()}
     assert odd[4].lang_pred == odd[5].lang_pred == odd[6].lang_pred == "und" and odd[4].score == 0
     assert odd[7].lang_pred == "de" and odd[1]["_t"] == "x"
+    clash = docs.withColumns({"_text": F.lit("q"), "score": F.lit(1), "lang_pred": F.lit("zz"), "accepted": F.lit(1)})
+    got = {r.doc_id: r for r in langid.identify(clash, model).collect()}
+    assert got[7].lang_pred == "de" and got[7]["_text"] == "q" and got[7].score == odd[7].score
     empty = langid.train(docs.limit(0))
     assert {r.lang_pred for r in langid.identify(docs, empty).collect()} == {"und"}
 
@@ -170,6 +130,9 @@ def test_token_counts(docs):
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     got = sorted(r.n_tokens for r in token_count.token_counts(docs, path).collect())
     assert got == sorted(len(model.encode(r[1] or "")) for r in ROWS)
+    assert token_count.token_counts(docs.limit(0), path).count() == 0
+    more = docs.withColumns({"value": F.lit(1), "file": F.lit("f"), "n_tokens": F.lit(0)})
+    assert sorted(r.n_tokens for r in token_count.token_counts(more, path).collect()) == got
 
 
 def test_token_blocks(spark, tmp_path):
@@ -183,15 +146,19 @@ def test_token_blocks(spark, tmp_path):
 
 def test_warc(spark):
     big = "é<p>\r\n\r\n" * 300
-    pages = [(1, "http://x/a b", big), (2, None, big), (3, "http://y", "small"), (4, "u", "small"), (5, "u", None), (2, None, big), (None, "u", big)]
-    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("kind", F.lit("z"))
+    odd = "http://x/a b\r\n\r\nWARC/1.1\r\nContent-Length: 0\t\x00"
+    pages = [(1, odd, big), (2, None, big), (3, "http://y", "small"), (4, "u", "small"), (5, "u", None), (2, None, big), (None, "u", big), (6, "u", big + "x"), (7, "", "")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumns({"kind": F.lit("z"), "_sha1": F.lit("s"), "_place": F.lit(1)}).repartition(3)
     got = warc.archive_and_assemble(df, with_payload=True).collect()
-    assert sorted((r.metadata.fields.get("page_id") or "", r.main.kind, r.main.refers_to) for r in got) == sorted(
-        [("1", "revisit", "page:2"), ("2", "response", None), ("2", "response", None), ("3", "response", None), ("4", "response", None), ("5", "response", None), ("", "revisit", "page:2")], key=repr
-    ) or len(got) == 7
+    found = sorted((r.metadata.fields.get("page_id") or "", r.main.kind, r.metadata.fields.get("refers_to_page") or "") for r in got)
+    assert found == sorted([("1", "revisit", "2"), ("2", "response", ""), ("2", "response", ""), ("3", "response", ""), ("4", "response", ""), ("5", "response", ""), ("6", "response", ""), ("7", "response", ""), ("", "revisit", "2")])
     by = {r.metadata.fields.get("page_id"): r for r in got}
+    responses = {r.capture_id for r in got if r.metadata.fields.get("page_id") == "2"}
+    assert {r.main.refers_to for r in got} - {None} <= responses and len(responses) == 2
     assert by["2"].main.payload == big.encode() and by["1"].main.payload_bytes == len(big.encode()) and by["5"].main.payload_bytes == 0
-    assert all(r.request.record_id for r in got)
+    assert all(r.request.record_id and r.request.target_uri == r.url for r in got) and len({r.capture_id for r in got}) == len(got)
+    assert by["1"].url == "http://x/a%20b%0D%0A%0D%0AWARC/1.1%0D%0AContent-Length:%200%09%00" and by["2"].url is None
+    assert warc.archive_and_assemble(df.limit(0)).count() == 0
 
 
 def test_html():
@@ -199,6 +166,38 @@ def test_html():
     assert html_text.main_text(page) == "A & b\nOne, two three\nFour"
     assert html_text.main_text(None) == html_text.main_text("") == ""
     assert html_text.main_text("<div>" * 5000 + "deep") == "deep"
+    two = "<main><article><h2>A</h2><p>One long text, of some words, and more of it.</article><article><p>Another text, with commas, of the same page, and, again, longer.</article></main>"
+    assert html_text.main_text(two) == "A\nOne long text, of some words, and more of it.\nAnother text, with commas, of the same page, and, again, longer."
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_html_of_known_articles(seed):
+    """Pages put together from known blocks and furniture: the blocks come out, nothing else does."""
+    rng = np.random.default_rng(seed)
+    pick = lambda xs: xs[int(rng.integers(len(xs)))]
+    say = lambda tag, n: ", ".join(f"{tag} words {i} and so on" for i in range(n)) + "."
+    furniture = [
+        "<nav><ul><li><a href=/>Home</a><li><a href=/a>About</a></ul></nav>", "<aside><p>Aside, with, commas, many, of, them.</p></aside>",
+        '<div class="sidebar"><p>Side, text, here.</p></div>', '<div id="comments"><p>First, comment, by, a, reader.</p></div>', "<script>var a = '<p>x, y</p>';</script>",
+        "<style>p { x: y }</style>", '<div class="cookie-banner"><p>We, use, cookies.</p></div>', "<form><p>Name, please</p><input></form>", '<div class="ad"><a href=z>Buy, now</a></div>',
+        "<!-- <p>hidden, comment</p> -->", '<footer class=x><p>Footer, text</p></footer>', '<div style="display:none"><p>Not, shown</p></div>',
+    ]
+    blocks, body = [], []
+    for i in range(int(rng.integers(2, 9))):
+        text = say(f"b{i}", int(rng.integers(2, 6)))
+        shape = pick(["<p>{}</p>", "<p>{}", "<h2>{}</h2>", "<blockquote><p>{}</p></blockquote>", "<div><p>{}</p></div>", "<p>{}</p>\n\n", "<pre>{}</pre>", "<ul><li>{}</li></ul>"])
+        blocks.append(text.replace("and", "&") if rng.integers(2) else text)
+        body.append(shape.format(blocks[-1].replace("&", "&amp;").replace(" ", pick([" ", "  \n", "&#32;"]), 1)))
+    container = pick(["<article>{}</article>", "<main><article>{}</article></main>", "<div class='content'>{}</div>", "<main>{}</main>", "<main><div>{}</div></main>", "<article><div class=body>{}</div></article>"])
+    around = lambda: "".join(pick(furniture) for _ in range(int(rng.integers(0, 4))))
+    page = f"<html><head><title>T, t</title></head><body>{around()}{container.format(''.join(body))}{around()}</body></html>"
+    assert html_text.main_text(page) == "\n".join(blocks)
+
+
+def test_html_table(spark):
+    df = spark.createDataFrame([(1, "u", "<p>Hi, all.</p>"), (1, "u", "<p>Hi, all.</p>"), (None, None, None), (2, "", "")], "page_id long, url string, html string").withColumns({"text": F.lit("t"), "_html": F.lit("h")})
+    assert sorted((tuple(r) for r in html_text.extract(df).collect()), key=repr) == sorted([(1, "u", "Hi, all.", 8)] * 2 + [(None, None, "", 0), (2, "", "", 0)], key=repr)
+    assert html_text.extract(df.limit(0)).count() == 0
 
 
 def test_chat(spark):
@@ -211,6 +210,27 @@ def test_chat(spark):
     for k, r in got.items():
         assert (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256, r.formatted_chars) == want[k]
     assert got[1].order_ok and not got[2].order_ok and not got[None].order_ok
+    assert chat.read_back(chat.format_conversations(df.limit(0))).count() == 0
+
+
+def test_chat_ends_and_cuts(spark):
+    turns = [(1, 0, "user", "q"), (1, 1, "assistant", "a"), (1, 2, "user", "more"), (2, 0, "system", "s"), (2, 1, "user", "q"), (2, 2, "assistant", "a"), (3, 0, "system", "s")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    segments = chat.format_conversations(df)
+    assert {r.conv_id: r.order_ok for r in chat.read_back(segments).collect()} == {1: False, 2: True, 3: False}
+    assert {(r.conv_id, r.ok) for r in segments.where("seg < 6").collect()} >= {(1, True), (2, True)}
+    # The reader sees one text, wherever it is cut.
+    whole = "[INST]a \\\\ <\\/s>[/INST]<s>b</s>[ROLE]tool[/ROLE]c[END]"
+    seen = set()
+    for step in (1, 2, 3, 7, 100):
+        reader = chat._Reader(chat.INSTRUCT)
+        for i in range(0, len(whole), step):
+            reader.take(whole[i : i + step], False, True)
+        seen.add(reader.row(0))
+    assert len(seen) == 1 and next(iter(seen))[1] == 3
+    import hashlib
+
+    assert next(iter(seen))[2] == hashlib.sha256(b"user\na \\ </s>\nassistant\nb\ntool\nc\n").hexdigest()
 
 
 def test_ann(spark):
@@ -224,38 +244,13 @@ def test_ann(spark):
     np.fill_diagonal(s, -np.inf)
     hit = [len(set(g["vec_id"]) & set(np.argsort(-s[q])[:7])) for q, g in got.groupby("query_id")]
     assert got["query_id"].nunique() == 15 and np.mean(hit) / 7 >= 0.9
+    plan = ann.search_plan(df, F.col("vec_id") % 20 == 0, k=7)
+    assert plan["rows"] == 300 and 0 < plan["share"] <= 1
     few = ann.search(df.where("vec_id < 3"), F.col("vec_id") == 0, k=7)
     assert few.count() == 2
     assert ann.search(df.limit(0), F.lit(True)).count() == 0
 
 
-def test_pipeline(spark):
-    import corpus_pipeline as P
-
-    out = P.run(spark, "/root/testdata/sf0.001").toPandas()
-    assert len(out) and (out.groupby("sequence_id")["length"].sum() <= 4096).all()
-
-
-def test_meeting_keys_ties_the_same_classes_whatever_is_held(monkeypatch):
-    rng = np.random.default_rng(5)
-    kind = np.sort(rng.integers(0, 2, 3000))
-    a, b = rng.integers(0, 900, 3000), rng.integers(0, 400, 3000)
-    order = np.lexsort((b, a, kind))
-    rows = ngram_join._rows(0, a[order], b[order])
-    rows = pa.RecordBatch.from_arrays([pa.array(kind[order].astype(np.int32)), *rows.columns[1:]], rows.schema.names)
-    found = []
-    for most in (1 << 21, 64):
-        monkeypatch.setattr(ngram_join, "MEET_EDGES", most)
-        out = ngram_join._meet(iter([rows.slice(i, 70) for i in range(0, 3000, 70)]))
-        found.append({(x, y) for batch in out for x, y in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)})
-    least = {}
-    for k, x, y in zip(kind[order].tolist(), a[order].tolist(), b[order].tolist(), strict=True):
-        if k == 0:
-            least[x] = min(least.get(x, y), y)
-    want = {(y, least[x]) if k == 0 else (x, y) for k, x, y in zip(kind[order].tolist(), a[order].tolist(), b[order].tolist(), strict=True) if k or y != least[x]}
-    assert found[0] == found[1] == want
-
-
 def test_ann_repeated_rows_and_ids(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(200, 8)).astype(np.float32)
@@ -311,3 +306,48 @@ def test_near_duplicates_of_repeated_ids(spark):
     assert all(x in texts for x in left)
     assert sorted((of[t], d) for d, t in left if d is not None) == sorted((g, min(x for x in ds if x is not None)) for g, ds in want.items() if any(x is not None for x in ds))
     assert sum(d is None for d, _ in left) == sum(all(x is None for x in ds) for ds in want.values())
+
+
+def test_mixing_over_many_sources_and_clashing_names(spark, docs, duck, monkeypatch):
+    more = docs.withColumns({"_size": F.lit(7), "_key": F.lit("k"), "_copy": F.lit(9), "_source": F.lit("s"), "taken": F.lit(-1), "target": F.lit("t"), "_row": F.lit("r")})
+    few = rows(mixing.mix_report(more), ["doc_id", "size", "source_size", "target", "taken"])
+    mixed = mixing.mix(more)
+    assert mixed.columns == more.columns
+    extra = {tuple(r) for r in mixed.select("_size", "_key", "_copy", "_source", "taken", "target", "_row").collect()}
+    assert extra == {(7, "k", 9, "s", -1, "t", "r")}
+    monkeypatch.setattr(mixing, "PLAN_ROWS", 1)
+    check(mixing.mix_report(docs), duck, mixing.MIX_SQL)
+    assert rows(mixing.mix_report(more), ["doc_id", "size", "source_size", "target", "taken"]) == few
+    many = spark.range(300).selectExpr("id doc_id", "repeat('w ', cast(1 + id % 37 as int)) text", "concat('s', id % 150) source")
+    got = rows(mixing.mix_report(many), ["doc_id", "target", "taken"])
+    monkeypatch.setattr(mixing, "PLAN_ROWS", 100_000)
+    assert got == rows(mixing.mix_report(many), ["doc_id", "target", "taken"])
+
+
+def test_ann_on_the_driver_table(spark, monkeypatch):
+    monkeypatch.setattr(ann, "TILE_QUERIES", 20)  # several groups a tile
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    got = ann.search(df, F.col("vec_id") % 20 == 0, k=20).toPandas().sort_values(["query_id", "rank"])
+    data = df.where("vec_id is not null and embedding is not null").toPandas()
+    data = data[[v is not None and len(v) == 64 and bool(np.isfinite(np.asarray(v, float)).all() and np.any(v)) for v in data["embedding"]]].drop_duplicates("vec_id").set_index("vec_id")
+    x = np.stack(data["embedding"].to_list()).astype(np.float64)
+    names = data.index.to_numpy()
+    hit = total = 0
+    for q in names[names % 20 == 0]:
+        s = x @ x[np.flatnonzero(names == q)[0]]
+        s[names == q] = -np.inf
+        want = names[np.lexsort((names, -s))[:20]]
+        mine = got[got["query_id"] == q]
+        assert mine["rank"].tolist() == list(range(1, 21))
+        assert np.allclose(mine["score"], [s[names == v][0] for v in mine["vec_id"]])
+        hit, total = hit + len(set(want) & set(mine["vec_id"])), total + 20
+    assert hit / total >= 0.9
+    assert ann.search_plan(df, F.col("vec_id") % 20 == 0)["share"] <= 1
+
+
+def test_ann_of_structured_vectors_looks_at_few(spark):
+    rng = np.random.default_rng(8)
+    centers = rng.normal(size=(40, 16)) * 5
+    x = (centers[rng.integers(0, 40, 4000)] + rng.normal(size=(4000, 16)) * 0.05).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    assert ann.search_plan(df, F.col("vec_id") % 20 == 0, k=20)["share"] < 0.5
