@@ -92,6 +92,33 @@ def year_of(c: Column) -> Column:
     return F.coalesce(to_double(c).cast("int"), F.when(found != "", found.cast("int")))
 
 
+#: Fixed words of positions.
+POSITIONS = (
+    r"chief\s*executive\s*officer|ceo|chief\s*financial\s*officer|cfo|chief\s*operating\s*officer|coo|president|vice\s*president|vp|senior\s*vice\s*president|svp|"
+    r"executive\s*vice\s*president|evp|director|chairman|chair|officer|secretary|treasurer|principal|general\s*counsel|principal\s*accounting\s*officer|pao|"
+    r"chief\s*legal\s*officer|clo|vice\s*chairman|founder|lead\s*director"
+)
+
+
+def looks_like_name(c: Column) -> Column:
+    """Whether a lower-case part can be a person: initials, commas, suffixes or two words that aren't a position as a whole, or letters side by side."""
+    s = strip(c)
+    position = s.rlike(rf"(?i)^\b(?:{POSITIONS})\b$")
+    marked = s.rlike(r"\b[a-z]\.?\b|,|jr|sr|iii|iv") | (F.regexp_count(s, F.lit("[a-z]+")) >= 2)
+    return (s != "") & ((marked & ~position) | s.rlike(r"(?i)[a-z]\.?\s*[a-z]"))
+
+
+def name_and_position(parts: Column) -> Column:
+    """Struct name, position of a block's parts: the first part that can be a name, and all others; without one all are position."""
+    parts = F.filter(F.transform(parts, strip), lambda x: x != "")
+    at = F.array_position(F.transform(parts, looks_like_name), True).cast("int")
+    rest = F.array_join(F.filter(parts, lambda x, i: i + 1 != at), " ")
+    return F.struct(
+        F.when(at > 0, F.get(parts, at - 1)).otherwise(F.lit("")).alias("name"),
+        F.when(at > 0, rest).otherwise(F.array_join(parts, " | ")).alias("position"),
+    )
+
+
 def exchange_name(code: Column) -> Column:
     return F.when(code == 1, "NYSE").when(code == 2, "AMEX").when(code == 3, "NASDAQ")
 

@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.headers import BOT_TOKENS, SCT_TOKENS, bot_header, hits, sct_header, table_kind
-from ..functions.text import DASHES, clean_text, strip, to_number_or_zero
+from ..functions.text import DASHES, clean_text, name_and_position, strip, to_number_or_zero
 from .sequence import fill_both, with_blocks
 
 KEY = ["doc", "table_idx"]
 YEAR = r"(?:19|20)\d{2}"
+#: Fixed words of header rows left above the first row of data.
+HEADER_WORDS = "(?i)name|principal|position|year|fiscal|salary|bonus|stock|option|incentive|pension|all other|total"
 PAY = ("salary", "bonus", "stock_awards", "option_awards", "non_equity_incentive", "pension_value", "all_other_comp", "total")
 
 
@@ -111,15 +113,16 @@ def clean_sct(cells: DataFrame) -> DataFrame:
     year = F.col("values")["year"]
     rows = rows.where(year.isNull() | year.rlike(YEAR))
     first = F.min(F.when(year.rlike(YEAR), F.col("row_idx"))).over(Window.partitionBy(*KEY))
-    rows = rows.withColumn("_first", first).where(F.col("_first").isNull() | (F.col("row_idx") >= F.col("_first"))).drop("_first")
+    shown = F.array_join(F.map_values("values"), " ")
+    data = shown.rlike(r"\d") & ~shown.rlike(HEADER_WORDS)
+    rows = rows.withColumn("_first", first).where(F.col("_first").isNull() | (F.col("row_idx") >= F.col("_first")) | data).drop("_first")
     rows = expand_stacked(rows).withColumn("year", F.regexp_extract(F.col("values")["year"], f"({YEAR})", 1).try_cast("int"))
     rows = rows.withColumn("_order", F.struct("row_idx", "slot"))
     rows = with_blocks(rows, KEY, "_order", "year")
     named = rows.withColumn("_name", F.col("values")["name_position"])
-    joined = F.array_join(F.array_distinct(F.transform(F.sort_array(F.collect_list(F.when(F.col("_name").isNotNull(), F.struct("_order", "_name")))), lambda x: x["_name"])), " | ")
-    names = named.groupBy(*KEY, "block").agg(joined.alias("_all"))
-    out = rows.join(names, [*KEY, "block"]).withColumn("executive", F.element_at(F.split("_all", r" \| "), 1))
-    out = out.withColumn("position", F.when(F.instr("_all", " | ") > 0, F.regexp_replace("_all", r"^.*? \| ", "")))
+    joined = F.array_distinct(F.transform(F.sort_array(F.collect_list(F.when(F.col("_name").isNotNull(), F.struct("_order", "_name")))), lambda x: x["_name"]))
+    names = named.groupBy(*KEY, "block").agg(joined.alias("_all")).withColumn("_split", name_and_position(F.col("_all")))
+    out = rows.join(names, [*KEY, "block"]).withColumn("executive", F.col("_split.name")).withColumn("position", F.nullif(F.col("_split.position"), F.lit("")))
     out = fill_both(out, [*KEY, "block"], "_order", ["executive"])
     return out.select(*KEY, "row_idx", "slot", "block", "executive", "position", "year", F.map_filter("values", lambda k, v: ~k.isin("name_position", "year")).alias("fields"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import exchange_name, gvkey, is_delisted, is_missing, present, tagged, zfill
+from ..functions.text import exchange_name, gvkey, is_delisted, is_missing, location, present, tagged, zfill
 from .sequence import latest_per_key
 
 LOGGED = ("permno", "gvkey", "cusip", "isDelisted", "exchange", "currency", "sector_alt", "industry_alt", "location", "source")
@@ -32,33 +32,64 @@ def fill(record: str, found: Column) -> Column:
     return F.when(is_missing(F.col(record)), F.coalesce(found, F.col(record))).otherwise(F.col(record))
 
 
-def enrich(records: DataFrame, names: DataFrame, link: DataFrame, company: DataFrame, exchange: DataFrame, delist: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(records filled, change log id, ticker, field, before, after, source) for records without permno or gvkey.
+def currencies(funda: DataFrame) -> DataFrame:
+    """gvkey, curcd of the latest fiscal year; null years first."""
+    return latest_code(funda.withColumn("gvkey", gvkey(F.col("gvkey"))), "gvkey", "fyear", "curcd")
 
-    company: ticker, gvkey, cusip.  Lookups hold one row per key; Spark broadcasts those that are small.
+
+def descriptors(compensation: DataFrame) -> DataFrame:
+    """naicsdesc, sicdesc, address, city, state, zip of the latest year per upper-case ticker."""
+    rows = compensation.withColumn("ticker", F.upper("ticker")).where(F.col("ticker").isNotNull())
+    rows = latest_per_key(rows, ["ticker"], [F.col("year").desc_nulls_first(), F.col("naicsdesc")])
+    return rows.select("ticker", "naicsdesc", "sicdesc", "address", "city", "state", "zip")
+
+
+def enrich(
+    records: DataFrame, names: DataFrame, link: DataFrame, company: DataFrame, exchange: DataFrame, delist: DataFrame, currency: DataFrame | None = None, described: DataFrame | None = None, now: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(records filled, change log id, ticker, field, before, after, source) for records with a ticker and without permno or gvkey.
+
+    company: ticker, gvkey, cusip; currency: gvkey, curcd; described: as of descriptors().  Lookups hold one row per
+    key; Spark broadcasts those that are small.  Identifiers, exchange, state and currency are filled if they are
+    missing, descriptions if they are blank; last_enriched is set to now if records has such a column.
     """
-    r = records.withColumn("_t", F.upper("ticker")).withColumn("_work", is_missing(F.col("permno")) | is_missing(F.col("gvkey")))
+    spark = records.sparkSession
+    currency = spark.createDataFrame([], "gvkey string, curcd string") if currency is None else currency
+    described = spark.createDataFrame([], "ticker string, naicsdesc string, sicdesc string, address string, city string, state string, zip string") if described is None else described
+    absent = [f for f in LOGGED if f not in records.columns]
+    r = records.withColumns({f: F.lit(None).cast("string") for f in absent}) if absent else records
+    ticker = F.upper("ticker")
+    work = (F.coalesce(ticker, F.lit("")) != "") & (is_missing(F.col("permno")) | is_missing(F.col("gvkey")))
+    r = r.withColumn("_t", ticker).withColumn("_work", work)
     n = names.select(F.col("ticker").alias("_t"), F.col("permno").cast("string").alias("_permno"), F.col("ncusip").alias("_ncusip"))
     c = company.select(F.upper("ticker").alias("_t"), F.col("gvkey").alias("_cgvkey"), F.col("cusip").alias("_ccusip"))
-    j = r.join(n, "_t", "left").join(c, "_t", "left").withColumn("_p", fill("permno", F.col("_permno")))
+    x = described.select(ticker.alias("_t"), present(F.col("naicsdesc")).alias("_sector"), present(F.col("sicdesc")).alias("_industry"), F.nullif(location(*map(F.col, ("address", "city", "state", "zip"))), F.lit("")).alias("_place"))
+    j = r.join(n, "_t", "left").join(c, "_t", "left").join(x, "_t", "left").withColumn("_p", fill("permno", F.col("_permno")))
     j = j.join(link.select(F.col("lpermno").cast("string").alias("_p"), F.col("gvkey").alias("_lgvkey")), "_p", "left")
     j = j.join(exchange.select(F.col("permno").cast("string").alias("_p"), F.col("hexcd").alias("_hexcd")), "_p", "left")
     j = j.join(delist.select(F.col("permno").cast("string").alias("_p"), F.col("dlstcd").alias("_dlstcd")), "_p", "left")
+    j = j.withColumn("_g", fill("gvkey", gvkey(F.coalesce("_lgvkey", "_cgvkey"))))
+    j = j.withColumn("_g6", gvkey(F.col("_g"))).join(currency.select(gvkey(F.col("gvkey")).alias("_g6"), F.col("curcd").alias("_curcd")), "_g6", "left")
+    blank = lambda field, found: F.when(F.coalesce(F.col(field), F.lit("")) == "", F.coalesce(found, F.col(field))).otherwise(F.col(field))
     new = {
-        "permno": F.col("_p"),
-        "gvkey": fill("gvkey", gvkey(F.coalesce("_lgvkey", "_cgvkey"))),
-        "cusip": fill("cusip", F.coalesce(present(F.col("_ccusip")), F.col("_ncusip"))),
-        "exchange": fill("exchange", exchange_name(F.col("_hexcd"))),
-        "isDelisted": is_delisted(F.col("_dlstcd")).cast("string"),
-        "source": tagged(F.col("source"), "WRDS"),
+        "permno": (F.col("_p"), F.lit("WRDS.CRSP")),
+        "gvkey": (F.col("_g"), F.lit("WRDS.LINK/COMP")),
+        "cusip": (fill("cusip", F.coalesce(present(F.col("_ccusip")), F.col("_ncusip"))), F.when(present(F.col("_ccusip")).isNotNull(), "WRDS.COMPSEC").otherwise("WRDS.CRSP.NCUSIP")),
+        "exchange": (fill("exchange", exchange_name(F.col("_hexcd"))), F.lit("WRDS.CRSP.MSF")),
+        "isDelisted": (fill("isDelisted", is_delisted(F.col("_dlstcd")).cast("string")), F.lit("WRDS.CRSP.MSEDELIST")),
+        "currency": (fill("currency", present(F.col("_curcd"))), F.lit("WRDS.COMP.FUNDA")),
+        "sector_alt": (blank("sector_alt", F.col("_sector")), F.lit("WRDS.EXECUCOMP")),
+        "industry_alt": (blank("industry_alt", F.col("_industry")), F.lit("WRDS.EXECUCOMP")),
+        "location": (blank("location", F.col("_place")), F.lit("WRDS.EXECUCOMP")),
+        "source": (tagged(F.col("source"), "WRDS"), F.lit("WRDS")),
     }
-    label = F.when(present(F.col("_ccusip")).isNotNull(), "Compustat").otherwise("CRSP NCUSIP")
-    for name, value in new.items():
+    for name, (value, _) in new.items():
         j = j.withColumn(f"_new_{name}", F.when(F.col("_work"), value).otherwise(F.col(name)))
-    fields = [f for f in LOGGED if f in new]
-    change = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(f).alias("field"), F.col(f).cast("string").alias("before"), F.col(f"_new_{f}").cast("string").alias("after"), (label if f == "cusip" else F.lit("WRDS")).alias("source")) for i, f in enumerate(fields)])
+    change = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(f).alias("field"), F.col(f).cast("string").alias("before"), F.col(f"_new_{f}").cast("string").alias("after"), new[f][1].alias("source")) for i, f in enumerate(LOGGED)])
     log = j.select("id", "ticker", F.explode(change).alias("c")).where(~F.col("c.before").eqNullSafe(F.col("c.after")))
-    filled = j.select(*[F.col(f"_new_{c}").alias(c) if c in new else F.col(c) for c in records.columns])
+    stamp = F.lit(now) if now else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    put = {f: F.col(f"_new_{f}") for f in LOGGED} | {"last_enriched": F.when(F.col("_work"), stamp).otherwise(F.col("last_enriched")) if "last_enriched" in records.columns else F.lit(None)}
+    filled = j.select(*[put[c].alias(c) if c in put else F.col(c) for c in records.columns])
     return filled, log.select("id", "ticker", "c.i", "c.field", "c.before", "c.after", "c.source")
 
 

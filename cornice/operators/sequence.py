@@ -45,15 +45,25 @@ def members_per_year(df: DataFrame, group: str, year: str, member: str) -> DataF
 def turnover(df: DataFrame, group: str, year: str, member: str) -> DataFrame:
     """group, year, n_new, n_departed against the previous year on record; null names count as one name, nan."""
     named = df.where(F.col(group).isNotNull() & F.col(year).isNotNull())
-    sets = named.groupBy(group, year).agg(F.collect_set(F.coalesce(F.col(member).cast("string"), F.lit("nan"))).alias("_now"))
-    sets = sets.withColumn("_before", F.lag("_now").over(Window.partitionBy(group).orderBy(year))).where(F.col("_before").isNotNull())
-    return sets.select(group, year, F.size(F.array_except("_now", "_before")).alias("n_new"), F.size(F.array_except("_before", "_now")).alias("n_departed"))
+    rows = named.select(group, year, F.coalesce(F.col(member).cast("string"), F.lit("nan")).alias("_m")).distinct()
+    order = Window.partitionBy(group).orderBy(year)
+    years = rows.select(group, year).distinct().withColumn("_prev", F.lag(year).over(order)).withColumn("_next", F.lead(year).over(order))
+    own = Window.partitionBy(group, "_m").orderBy(year)
+    rows = rows.withColumn("_was", F.lag(year).over(own)).withColumn("_is", F.lead(year).over(own)).join(years, [group, year])
+    new = F.col("_prev").isNotNull() & ~F.col("_was").eqNullSafe(F.col("_prev"))
+    gone = F.col("_next").isNotNull() & ~F.col("_is").eqNullSafe(F.col("_next"))
+    # A member that leaves after a year counts in the next year on record.
+    marks = rows.select(group, F.explode(F.array(F.struct(F.col(year).alias("y"), new.cast("int").alias("n"), F.lit(0).alias("d")), F.struct(F.col("_next").alias("y"), F.lit(0).alias("n"), gone.cast("int").alias("d")))).alias("x"))
+    found = marks.where("x.y is not null").groupBy(group, F.col("x.y").alias(year)).agg(F.sum("x.n").cast("int").alias("n_new"), F.sum("x.d").cast("int").alias("n_departed"))
+    return found.join(years.where("_prev is not null").select(group, year), [group, year], "left_semi")
 
 
 def concat_distinct(df: DataFrame, keys: list[str], order: str, value: str, sep: str = " | ") -> DataFrame:
     """keys, joined: distinct non-blank values in row order."""
-    pairs = F.sort_array(F.collect_list(F.when(F.trim(value) != "", F.struct(F.col(order).alias("o"), F.trim(value).alias("v")))))
-    return df.groupBy(*keys).agg(F.array_join(F.array_distinct(F.transform(pairs, lambda x: x["v"])), sep).alias("joined"))
+    # Repeats go before anything is gathered.
+    once = df.groupBy(*keys, F.when(F.trim(value) != "", F.trim(value)).alias("_v")).agg(F.min(order).alias("_o"))
+    pairs = F.sort_array(F.collect_list(F.when(F.col("_v").isNotNull(), F.struct("_o", "_v"))))
+    return once.groupBy(*keys).agg(F.array_join(F.transform(pairs, lambda x: x["_v"]), sep).alias("joined"))
 
 
 def top_k(df: DataFrame, keys: list[str], score: Column, tie: list[str], k: int, least: Column | None = None) -> DataFrame:

@@ -48,5 +48,9 @@ def append_unseen(old: DataFrame, new: DataFrame, keys: list[str], order: str) -
 
 def uncovered(wanted: DataFrame, have: DataFrame, key: str) -> DataFrame:
     """Wanted spans (key, lo, hi) that no span in hand (key, lo, hi) contains."""
-    inside = (F.col(f"w.{key}") == F.col(f"h.{key}")) & (F.col("h.lo") <= F.col("w.lo")) & (F.col("h.hi") >= F.col("w.hi"))
-    return wanted.alias("w").join(have.alias("h"), inside, "left_anti")
+    both = wanted.select(F.struct("*").alias("_row"), key, "lo", "hi").unionByName(have.select(F.lit(None).cast(wanted.schema).alias("_row"), key, "lo", "hi"))
+    # Spans in hand come before wanted ones that begin with them: the farthest end so far tells whether one contains them.
+    order = Window.partitionBy(key).orderBy("lo", F.col("_row").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    reach = F.max(F.when(F.col("_row").isNull(), F.col("hi"))).over(order)
+    out = both.withColumn("_reach", reach).where(F.col("_row").isNotNull())
+    return out.where(F.col(key).isNull() | ~F.coalesce(F.col("_reach") >= F.col("hi"), F.lit(False))).select("_row.*")

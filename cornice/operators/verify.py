@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import close_to
@@ -19,10 +19,14 @@ def compare(a: DataFrame, b: DataFrame, key: list[str], columns: list[str], samp
             return close_to(x, y)
         return F.coalesce(x == y, F.lit(False))
 
-    marks = F.array(*[F.struct(F.lit(c).alias("column"), same(c).alias("same")) for c in columns])
-    rows = j.select(F.concat_ws("|", *[F.col(k).cast("string") for k in key]).alias("k"), F.explode(marks).alias("m"))
-    wrong = F.when(~F.col("m.same"), F.col("k"))
-    return rows.groupBy(F.col("m.column").alias("column")).agg(F.count(wrong).alias("mismatches"), F.slice(F.sort_array(F.collect_set(wrong)), 1, samples).alias("samples"))
+    # One row of counts, and the first keys of differing cells only.
+    counts = j.agg(*[F.count_if(~same(c)).alias(f"n{i}") for i, c in enumerate(columns)])
+    counts = counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("mismatches")) for i, c in enumerate(columns)])).alias("x")).select("x.*")
+    wrong = F.array(*[F.when(~same(c), F.lit(c)) for c in columns])
+    rows = j.select(F.concat_ws("|", *[F.col(k).cast("string") for k in key]).alias("k"), F.explode(F.filter(wrong, lambda c: c.isNotNull())).alias("column"))
+    first = rows.withColumn("_i", F.row_number().over(Window.partitionBy("column").orderBy("k"))).where(F.col("_i") <= samples)
+    first = first.groupBy("column").agg(F.sort_array(F.collect_set("k")).alias("samples"))
+    return counts.join(first, "column", "left").withColumn("samples", F.coalesce("samples", F.array().cast("array<string>")))
 
 
 def schema_diff(a: DataFrame, b: DataFrame) -> dict[str, list[str]]:

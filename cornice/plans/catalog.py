@@ -79,11 +79,12 @@ def active_interval_filter(spark, d):
     return t(spark, d, "orders").where((F.col("o_orderdate") <= day) & open_end).select("o_orderkey", "o_custkey")
 
 
-@query("""SELECT c_nationkey AS nationkey, c_name, s_name FROM customer c LEFT JOIN supplier s
-  ON nullif(c_nationkey, 3) IS NOT DISTINCT FROM nullif(s_nationkey, 3)""")
+@query("""SELECT c_nationkey AS nationkey, c_name, s_name FROM customer c LEFT JOIN (SELECT nullif(s_nationkey, 3) AS k, min(s_name) AS s_name FROM supplier GROUP BY 1) s
+  ON nullif(c_nationkey, 3) IS NOT DISTINCT FROM k""")
 def null_safe_left_join(spark, d):
     c, s = t(spark, d, "customer"), t(spark, d, "supplier")
-    on = F.nullif("c_nationkey", F.lit(3)).eqNullSafe(F.nullif("s_nationkey", F.lit(3)))
+    s = s.groupBy(F.nullif("s_nationkey", F.lit(3)).alias("k")).agg(F.min("s_name").alias("s_name"))
+    on = F.nullif("c_nationkey", F.lit(3)).eqNullSafe(F.col("k"))
     return c.join(s, on, "left").select(F.col("c_nationkey").alias("nationkey"), "c_name", "s_name")
 
 
@@ -321,12 +322,17 @@ def _master(spark, d):
     company = c.where("c_custkey % 10 = 1").select(F.concat(F.lit("T"), "c_custkey").alias("ticker"), F.lit("9").alias("gvkey"), F.concat(F.lit("C"), "c_custkey").alias("cusip"))
     exchange = c.select(F.col("c_custkey").alias("permno"), (F.col("c_custkey") % 4).alias("hexcd"))
     delist = c.where("c_custkey % 7 = 0").select(F.col("c_custkey").alias("permno"), F.lit(200).alias("dlstcd"))
-    return E.enrich(records, names, link, company, exchange, delist)
+    currency = c.where("c_nationkey % 2 = 0").select(F.col("c_nationkey").cast("string").alias("gvkey"), F.lit("USD").alias("curcd")).distinct()
+    even = F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment"))
+    described = c.select("*", F.concat(F.lit("t"), "c_custkey").alias("ticker"), F.lit(2020).alias("year"), even.alias("naicsdesc"), F.col("c_mktsegment").alias("sicdesc"))
+    described = E.descriptors(described.select("*", F.lit(None).cast("string").alias("address"), F.col("c_name").alias("city"), even.alias("state"), F.lit("").alias("zip")))
+    return E.enrich(records.withColumn("location", F.when(F.col("id").cast("int") % 3 == 0, "kept")), names, link, company, exchange, delist, currency, described)
 
 
 @query("""SELECT c_custkey::VARCHAR AS id, c_custkey::VARCHAR AS permno, CASE WHEN c_custkey % 5 <> 0 THEN lpad(c_nationkey::VARCHAR, 6, '0') ELSE 'null' END AS gvkey,
   CASE WHEN c_custkey % 10 = 1 THEN 'C' || c_custkey ELSE 'N' || c_custkey END AS cusip, CASE c_custkey % 4 WHEN 1 THEN 'NYSE' WHEN 2 THEN 'AMEX' WHEN 3 THEN 'NASDAQ' END AS exchange,
-  CASE WHEN c_custkey % 7 = 0 THEN 'true' ELSE 'false' END AS isDelisted, 'SEC, WRDS' AS source FROM customer""")
+  CASE WHEN c_custkey % 7 = 0 THEN 'true' ELSE 'false' END AS isDelisted, 'SEC, WRDS' AS source,
+  CASE WHEN c_custkey % 3 = 0 THEN 'kept' WHEN c_custkey % 2 = 0 THEN c_name || ', ' || c_mktsegment ELSE c_name END AS location FROM customer""")
 def enrich_records(spark, d):
     return _master(spark, d)[0].drop("ticker")
 
@@ -337,6 +343,10 @@ def enrich_records(spark, d):
   UNION ALL SELECT id, 'cusip', '', CASE WHEN c_custkey % 10 = 1 THEN 'C' || id ELSE 'N' || id END FROM c
   UNION ALL SELECT id, 'exchange', NULL, CASE c_custkey % 4 WHEN 1 THEN 'NYSE' WHEN 2 THEN 'AMEX' ELSE 'NASDAQ' END FROM c WHERE c_custkey % 4 <> 0
   UNION ALL SELECT id, 'isDelisted', NULL, CASE WHEN c_custkey % 7 = 0 THEN 'true' ELSE 'false' END FROM c
+  UNION ALL SELECT id, 'currency', NULL, 'USD' FROM c WHERE c_custkey % 5 <> 0 AND c_nationkey % 2 = 0
+  UNION ALL SELECT id, 'sector_alt', NULL, c_mktsegment FROM c WHERE c_custkey % 2 = 0
+  UNION ALL SELECT id, 'industry_alt', NULL, c_mktsegment FROM c
+  UNION ALL SELECT id, 'location', NULL, CASE WHEN c_custkey % 2 = 0 THEN c_name || ', ' || c_mktsegment ELSE c_name END FROM c WHERE c_custkey % 3 <> 0
   UNION ALL SELECT id, 'source', 'SEC', 'SEC, WRDS' FROM c""")
 def enrich_change_log(spark, d):
     return _master(spark, d)[1].select("id", "field", "before", "after")
@@ -426,71 +436,163 @@ def master_merge(spark, d):
     return ST.attach_latest(m, parts, "part").select("id", "part")
 
 
-# Tables in filings, on fixed inputs
+# Tables and texts of filings, one made of each row of a driver table
 
-SCT_HTML = """<p>SUMMARY</p><table><tr><td>Name and Principal Position</td><td>Year</td><td>Salary ($)</td><td>Bonus ($)</td><td>Stock Awards ($)</td><td>All Other Compensation ($)</td><td>Total ($)</td></tr>
-<tr><td>Jane Roe Chief Executive Officer</td><td>2023</td><td>500,000</td><td>—</td><td>250,000</td><td>10,000</td><td>760,000</td></tr>
-<tr><td></td><td>2022</td><td>480,000</td><td>—</td><td>200,000</td><td>9,000</td><td>689,000</td></tr>
-<tr><td>John Poe Chief Financial Officer</td><td>2023</td><td>300,000</td><td>25,000</td><td>100,000</td><td>5,000</td><td>430,000</td></tr></table>
-<table><tr><td>Grant date</td><td>Units</td></tr><tr><td>2023-01-01</td><td>500</td></tr></table>"""
-BOT_HTML = """<table><tr><td>Name of Beneficial Owner</td><td>Number of Shares</td><td>Percent of Class</td></tr><tr><td>Acme Fund</td><td>1,250,000</td><td>12.5%</td></tr>
-<tr><td>100 Main St</td><td></td><td></td></tr><tr><td>All directors as a group</td><td>300,000</td><td>3.0%</td></tr></table>"""
 
+def _table(*rows) -> F.Column:
+    """An HTML table of rows of cells; a row that is a Column counts as it stands."""
+    cell = lambda x: F.concat(F.lit("<td>"), x if isinstance(x, F.Column) else F.lit(x), F.lit("</td>"))
+    line = lambda r: r if isinstance(r, F.Column) else F.concat(F.lit("<tr>"), *map(cell, r), F.lit("</tr>"))
+    return F.concat(F.lit("<table>"), *map(line, rows), F.lit("</table>"))
 
-def _cells(spark, html):
-    return parse_tables(share_path(spark).createDataFrame([("a", html)], "doc string, html string"))
 
+def _filings(spark, d):
+    """Cells of a page for each customer: a table of pay, after one of grants for every third, with a line of digits above its data for every fifth."""
+    k, name = F.col("c_custkey"), F.col("c_name")
+    money = lambda n: F.format_number(n, 0)
+    note = F.when(k % 5 == 0, F.lit("<tr><td>as of 12 31</td><td></td><td></td><td></td><td></td></tr>")).otherwise("")
+    pay = _table(
+        ["Name and Principal Position", "Year", "Salary ($)", "Bonus ($)", "Total ($)"],
+        note,
+        [name, "2023", money(k * 1000 + 500), F.when(k % 2 == 0, "\u2014").otherwise(money(k)), money(k * 1001 + 500)],
+        [F.concat(F.lit("Chief of "), "c_mktsegment"), "2022", money(k * 900 + 400), "\u2014", money(k * 900 + 400)],
+        ["Second Officer", "2023 2022", "200 100", "7", "207 107"],
+    )
+    grants = _table(["Grant date", "Units"], ["2023-01-01", "500"])
+    html = F.concat(F.lit("<p>SUMMARY</p>"), F.when(k % 3 == 0, grants).otherwise(""), pay)
+    return parse_tables(t(spark, d, "customer").select(k.cast("string").alias("doc"), html.alias("html")))
 
-@query("""SELECT * FROM (VALUES (0, 'jane roe chief executive officer', 2023, '500000', NULL, '760000'), (0, 'jane roe chief executive officer', 2022, '480000', NULL, '689000'),
-  (1, 'john poe chief financial officer', 2023, '300000', '25000', '430000')) v(block, executive, year, salary, bonus, total)""")
+
+@query("""WITH c AS (SELECT c_custkey AS k, c_custkey::VARCHAR AS doc, lower(c_name) AS n, 'chief of ' || lower(c_mktsegment) AS p, c_custkey % 5 = 0 AS noted FROM customer)
+  SELECT doc, 0 AS block, CASE WHEN noted THEN 'as of 12 31' ELSE n END AS executive, CASE WHEN noted THEN n || ' ' || p ELSE p END AS position, y AS year,
+  CASE y WHEN 2023 THEN k * 1000 + 500 WHEN 2022 THEN k * 900 + 400 END::VARCHAR AS salary, CASE WHEN y = 2023 AND k % 2 = 1 THEN k::VARCHAR END AS bonus
+  FROM c, (VALUES (2023), (2022), (NULL)) v(y) WHERE y IS NOT NULL OR noted
+  UNION ALL SELECT doc, 1, 'second officer', NULL, y, CASE y WHEN 2023 THEN '200.0' ELSE '100.0' END, '7.0' FROM c, (VALUES (2023), (2022)) v(y)""")
 def sct_pipeline(spark, d):
-    rows = C.clean_sct(C.best_table(_cells(spark, SCT_HTML)))
-    f = F.col("fields")
-    return rows.select("block", "executive", "year", f["salary"].alias("salary"), f["bonus"].alias("bonus"), f["total"].alias("total"))
+    rows, f = C.clean_sct(C.best_table(_filings(spark, d))), F.col("fields")
+    return rows.select("doc", "block", "executive", "position", "year", f["salary"].alias("salary"), f["bonus"].alias("bonus"))
 
 
-@query("""SELECT * FROM (VALUES ('2006', '300000.0', '0.0', '300000.0'), ('2005', '280000.0', '5000.0', '285000.0')) v(y, salary, bonus, total)""")
-def expand_stacked(spark, d):
-    one = spark.createDataFrame([("a", 0, 1, {"name_position": "ann doe president", "year": "2006 2005", "salary": "300000 280000", "bonus": "— 5000", "total": "300000 285000"})], "doc string, table_idx int, row_idx int, values map<string,string>")
-    v = F.col("values")
-    return C.expand_stacked(one).select(v["year"].alias("y"), v["salary"].alias("salary"), v["bonus"].alias("bonus"), v["total"].alias("total"))
+@query("""SELECT c_custkey::VARCHAR AS doc, CASE WHEN c_custkey % 3 = 0 THEN i ELSE 0 END AS table_idx, CASE WHEN c_custkey % 3 = 0 AND i = 0 THEN -2 ELSE 13 END AS score
+  FROM customer, (VALUES (0), (1)) v(i) WHERE i = 0 OR c_custkey % 3 = 0""")
+def sct_score(spark, d):
+    return C.score_tables(_filings(spark, d)).select("doc", "table_idx", F.col("score").cast("int").alias("score"))
 
 
-@query("""SELECT * FROM (VALUES ('management', 'Acme Fund', '100 Main St', '1,250,000', '12.5%'), ('management', 'All directors as a group', NULL, '300,000', '3.0%')) v(table_kind, name, address, shares, percent)""")
-def bot_pipeline(spark, d):
-    return C.clean_bot(_cells(spark, BOT_HTML)).select("table_kind", "name", "address", "shares", "percent")
+@query("SELECT c_custkey::VARCHAR AS doc, (c_custkey % 3 = 0)::INT AS table_idx FROM customer")
+def sct_guard(spark, d):
+    return C.guard_tables(_filings(spark, d)).select("doc", "table_idx")
 
 
-@query("SELECT * FROM (VALUES (0, 17), (1, -2)) v(table_idx, score)")
-def sct_score(spark, d):
-    return C.score_tables(_cells(spark, SCT_HTML)).select("table_idx", F.col("score").cast("int").alias("score"))
+@query("""WITH o AS (SELECT o_orderkey AS k, year(o_orderdate) AS y FROM orders)
+  SELECT k, slot, (y - slot)::VARCHAR AS y, CASE slot WHEN 0 THEN k * 10 ELSE k END::DOUBLE::VARCHAR AS salary, CASE slot WHEN 0 THEN '0.0' ELSE '5000.0' END AS bonus, '3.0' AS total
+  FROM o, (VALUES (0), (1)) v(slot) WHERE k % 2 = 0 UNION ALL SELECT k, 0, y::VARCHAR, (k * 10) || ' ' || k, '\u2014 5000', '3' FROM o WHERE k % 2 = 1""")
+def expand_stacked(spark, d):
+    k, y = F.col("o_orderkey"), F.year("o_orderdate")
+    values = {
+        "year": F.when(k % 2 == 0, F.concat_ws(" ", y, y - 1)).otherwise(y.cast("string")),
+        "salary": F.concat_ws(" ", k * 10, k), "bonus": F.lit("\u2014 5000"), "total": F.lit("3"),
+    }
+    rows = t(spark, d, "orders").select(F.lit("a").alias("doc"), F.lit(0).alias("table_idx"), k.alias("row_idx"), F.create_map(*[x for n, v in values.items() for x in (F.lit(n), v)]).alias("values"))
+    v = F.col("values")
+    # A double's text differs between engines from 10 million on.
+    number = lambda c: F.when(c.contains("E"), F.concat(c.cast("double").cast("decimal(20,1)"))).otherwise(c)
+    return C.expand_stacked(rows).select(F.col("row_idx").alias("k"), "slot", v["year"].alias("y"), number(v["salary"]).alias("salary"), v["bonus"].alias("bonus"), v["total"].alias("total"))
 
 
-@query("SELECT 0 AS table_idx")
-def sct_guard(spark, d):
-    return C.guard_tables(_cells(spark, SCT_HTML)).select("table_idx")
+def _holders(spark, d):
+    """Cells of a page for each supplier: a table of holders, after one that is none for every second."""
+    k, name = F.col("s_suppkey"), F.col("s_name")
+    table = _table(
+        ["Name of Beneficial Owner", "Number of Shares", F.when(k % 3 == 0, "").otherwise("Percent of Class")],
+        [name, F.format_number(k * 1000 + 1000, 0), F.concat((k % 90).cast("string"), F.lit(".5%"))],
+        [F.concat(k, F.lit(" Main St")), "", ""],
+        ["All directors as a group", F.format_number(k + 1000, 0), "3.0%"],
+    )
+    other = _table(["Meeting", "Place"], ["May 1", "Hall"])
+    return parse_tables(t(spark, d, "supplier").select(k.cast("string").alias("doc"), F.concat(F.when(k % 2 == 0, other).otherwise(""), table).alias("html")))
 
 
-@query("SELECT 0 AS table_idx")
+@query("""SELECT s_suppkey::VARCHAR AS doc, (s_suppkey % 2 = 0)::INT AS table_idx FROM supplier""")
 def bo_guard(spark, d):
-    return C.ownership_tables(_cells(spark, BOT_HTML)).select("table_idx")
-
-
-@query("""SELECT * FROM (VALUES (1, 'SUMMARY COMPENSATION TABLE' || chr(10) || '<TABLE> NAME x</TABLE>', 'sgml'), (2, NULL, 'no_anchor')) v(id, snippet, class)""")
-def sct_text(spark, d):
-    x = spark.createDataFrame([(1, "a\nSUMMARY COMPENSATION TABLE\n<TABLE> NAME x</TABLE> z</TABLE>"), (2, "nothing here")], "id int, text string")
-    return x.select("id", N.sct_snippet(F.col("text")).alias("snippet"), N.file_class(F.col("text")).alias("class"))
+    return C.ownership_tables(_holders(spark, d)).select("doc", "table_idx")
 
 
-@query("SELECT * FROM (VALUES (1, 7), (2, 0)) v(id, score)")
-def paragraph_scores(spark, d):
-    x = spark.createDataFrame([(1, "The chief executive officer was paid a salary of $500,000 and a bonus of $20,000."), (2, "The meeting is on May 1.")], "id int, p string")
-    return x.select("id", N.paragraph_score(F.col("p")).alias("score"))
+@query("""SELECT s_suppkey::VARCHAR AS doc, 'management' AS table_kind, s_name AS name, s_suppkey || ' Main St' AS address, format('{:,}', s_suppkey * 1000 + 1000) AS shares, (s_suppkey % 90) || '.5%' AS percent FROM supplier
+  UNION ALL SELECT s_suppkey::VARCHAR, 'management', 'All directors as a group', NULL, format('{:,}', s_suppkey + 1000), '3.0%' FROM supplier""")
+def bot_pipeline(spark, d):
+    cells = _holders(spark, d)
+    picked = cells.join(C.ownership_tables(cells), ["doc", "table_idx"], "left_semi")
+    return C.clean_bot(picked).select("doc", "table_kind", "name", "address", "shares", "percent")
 
 
-@query("""SELECT * FROM (VALUES ('Name and Principal Position', 'name_position', 'name'), ('Fiscal Year', 'year', 'fiscal_year'), ('Option Awards ($)', 'option_awards', 'notes'), ('Options', 'options', 'notes'),
-  ('Change in Pension Value', 'pension_value', 'change_in_pension_value'), ('Percent of Class', 'percent_of_class', 'percent'), ('Number of Shares', 'number_of_shares', 'shares')) v(raw, sct, bot)""")
+@query("""WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity::BIGINT AS q, l_partkey % 7 AS f FROM lineitem)
+  SELECT l_orderkey, l_linenumber, l_partkey, CASE f WHEN 0 THEN q * 1000 WHEN 1 THEN -q WHEN 5 THEN -q WHEN 6 THEN q END::DOUBLE AS n,
+  CASE f WHEN 0 THEN q * 1000 WHEN 1 THEN -q WHEN 2 THEN 0 WHEN 3 THEN 0 WHEN 4 THEN q WHEN 5 THEN -q WHEN 6 THEN q END::DOUBLE AS z FROM l""")
+def to_number_variants(spark, d):
+    q, f = F.col("l_quantity").cast("long").cast("string"), F.col("l_partkey") % 7
+    s = F.when(f == 0, F.concat(q, F.lit(",000"))).when(f == 1, F.concat(F.lit("("), q, F.lit(")"))).when(f == 2, "\u2014").when(f == 3, " ").when(f == 4, F.concat(q, F.lit("d")))
+    s = s.when(f == 5, F.concat(F.lit("-"), q)).otherwise(F.concat(F.lit("$ "), q))
+    # The lenient reading takes the bracket's minus, the strict one a bracket around the whole.
+    return t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", T.to_number(s).alias("n"), T.to_number_or_zero(s).alias("z"))
+
+
+def _texts(spark, d):
+    """A filing's text for each order: table, ASCII table, narrative or nothing, with or without a heading."""
+    k = F.col("o_orderkey")
+    head = F.when(k % 2 == 0, "SUMMARY COMPENSATION TABLE\n").otherwise("")
+    kinds = [
+        F.concat(head, F.lit("<TABLE> NAME x Salary 5 "), k, F.lit("</TABLE> z</TABLE>")),
+        F.concat(head, F.lit("Name and Principal Position   Year   Salary\nAnn Roe   2001   $"), k, F.lit("\nBob Poe   2001   7")),
+        F.concat(head, F.lit("The board met.\nIt was short.\n\nPaid $"), k, F.lit(" and $20,000.\n \nThe chief executive officer\nreceived a salary of $5 and 10% of $7.\n\nThe end")),
+        F.concat(head, F.lit("Nothing here, order "), k),
+    ]
+    text = F.element_at(F.array(*kinds), (k % 8 / 2).cast("int") + 1)
+    return t(spark, d, "orders").select("o_orderkey", F.when(k % 16 != 15, text).alias("text"))
+
+
+@query("""WITH o AS (SELECT o_orderkey AS k, (o_orderkey % 8) // 2 AS f, o_orderkey % 2 = 0 AS h FROM orders)
+  SELECT k AS o_orderkey, CASE WHEN f = 0 AND h THEN 'SUMMARY COMPENSATION TABLE' || chr(10) || '<TABLE> NAME x Salary 5 ' || k || '</TABLE>' END AS snippet,
+  CASE WHEN k % 16 = 15 THEN 'error' WHEN f = 0 AND h THEN 'anchor_but_missing' WHEN f = 0 THEN 'no_anchor' WHEN f = 1 THEN 'ascii_npp' WHEN f = 2 THEN 'narrative' WHEN h THEN 'anchor_but_missing' ELSE 'no_anchor' END AS class FROM o""")
+def sct_text(spark, d):
+    x = _texts(spark, d)
+    return x.select("o_orderkey", N.sct_snippet(F.col("text")).alias("snippet")).join(N.file_classes(x, "o_orderkey", "text"), "o_orderkey")
+
+
+@query("""WITH o AS (SELECT o_orderkey AS k, (o_orderkey % 8) // 2 AS f, o_orderkey % 2 = 0 AS h FROM orders)
+  SELECT k AS o_orderkey, CASE WHEN r = 1 THEN 2 ELSE 1 END AS pos, CASE WHEN r = 1 THEN 'The chief executive officer received a salary of $5 and 10% of $7.' ELSE 'Paid $' || k || ' and $20,000.' END AS paragraph,
+  CASE r WHEN 1 THEN 7 ELSE 4 END AS score, r AS rank FROM o, (VALUES (1), (2)) v(r) WHERE f = 2
+  UNION ALL SELECT k, 0, CASE WHEN h THEN 'SUMMARY COMPENSATION TABLE ' ELSE '' END || 'Name and Principal Position   Year   Salary Ann Roe   2001   $' || k || ' Bob Poe   2001   7', 4, 1 FROM o WHERE f = 1""")
+def paragraph_topk(spark, d):
+    return N.top_paragraphs(_texts(spark, d), "o_orderkey", "text")
+
+
+@query("""WITH o AS (SELECT o_orderkey AS k, (o_orderkey % 8) // 2 AS f, o_orderkey % 2 = 0 AS h FROM orders),
+  c AS (SELECT k, CASE WHEN k % 16 = 15 THEN 'error' WHEN f = 0 AND h THEN 'anchor_but_missing' WHEN f = 0 THEN 'no_anchor' WHEN f = 1 THEN 'ascii_npp' WHEN f = 2 THEN 'narrative' WHEN h THEN 'anchor_but_missing' ELSE 'no_anchor' END AS class FROM o)
+  SELECT class, count(*) AS n, array_to_string(list_slice(list_sort(list(k)), 1, 5), ',') AS samples FROM c GROUP BY class""")
+def class_audit(spark, d):
+    out = N.audit(N.file_classes(_texts(spark, d), "o_orderkey", "text"), "o_orderkey")
+    return out.select("class", "n", F.concat_ws(",", F.transform("samples", lambda x: x.cast("string"))).alias("samples"))
+
+
+@query("""WITH c AS (SELECT c_custkey AS k, c_custkey % 5 AS f, lower(c_mktsegment) AS m FROM customer)
+  SELECT k AS c_custkey, CASE f WHEN 0 THEN 'a. roe' WHEN 1 THEN m || ' head' WHEN 2 THEN '' WHEN 3 THEN 'ann roe' ELSE 'ceo' END AS name,
+  CASE f WHEN 0 THEN 'chief executive officer ' || m WHEN 1 THEN k || ' ceo' WHEN 2 THEN k || ' | -' WHEN 3 THEN '' ELSE m END AS position FROM c""")
+def name_split(spark, d):
+    k, m = F.col("c_custkey"), F.lower("c_mktsegment")
+    s = F.col("c_custkey") % 5
+    none = F.array().cast("array<string>")
+    parts = F.when(s == 0, F.array(F.lit("a. roe"), F.lit("chief executive officer"), m)).when(s == 1, F.array(k.cast("string"), F.concat(m, F.lit(" head")), F.lit("ceo")))
+    parts = parts.when(s == 2, F.array(k.cast("string"), F.lit(" "), F.lit("-"))).when(s == 3, F.array(F.lit(""), F.lit(" ann roe "))).when(s == 4, F.array(F.lit("ceo"), m)).otherwise(none)
+    return t(spark, d, "customer").select("c_custkey", T.name_and_position(parts).alias("x")).select("c_custkey", "x.name", "x.position")
+
+
+@query("""WITH p AS (SELECT p_partkey AS k, p_partkey % 8 AS f FROM part)
+  SELECT k AS p_partkey, CASE f WHEN 0 THEN 'name_position' WHEN 1 THEN 'year' WHEN 2 THEN 'option_awards' WHEN 3 THEN 'options_' || k WHEN 4 THEN 'pension_value' WHEN 5 THEN 'percent_of_class' WHEN 6 THEN 'number_of_shares' ELSE 'beneficially_owned_' || k END AS sct,
+  CASE f WHEN 0 THEN 'name' WHEN 1 THEN 'fiscal_year' WHEN 2 THEN 'notes' WHEN 3 THEN 'notes' WHEN 4 THEN 'change_in_pension_value_' || k WHEN 5 THEN 'percent' WHEN 6 THEN 'shares' ELSE 'name' END AS bot,
+  CASE f WHEN 0 THEN 1 WHEN 2 THEN 1 WHEN 3 THEN 1 WHEN 5 THEN 2 WHEN 6 THEN 1 WHEN 7 THEN 2 ELSE 0 END AS cues FROM p""")
 def header_rules(spark, d):
-    raw = ["Name and Principal Position", "Fiscal Year", "Option Awards ($)", "Options", "Change in Pension Value", "Percent of Class", "Number of Shares"]
-    x = spark.createDataFrame([(r,) for r in raw], "raw string")
-    return x.select("raw", H.sct_header(F.col("raw")).alias("sct"), H.bot_header(F.col("raw")).alias("bot"))
+    k = F.col("p_partkey")
+    raw = ["Name and Principal Position", "Fiscal Year", "Option Awards ($)", F.concat(F.lit("Options "), k), F.concat(F.lit("Change in Pension Value "), k), "Percent of Class", "Number of Shares", F.concat(F.lit("Beneficially Owned "), k)]
+    raw = F.element_at(F.array(*[x if isinstance(x, F.Column) else F.lit(x) for x in raw]), (k % 8 + 1).cast("int"))
+    return t(spark, d, "part").select("p_partkey", H.sct_header(raw).alias("sct"), H.bot_header(raw).alias("bot"), H.hits(F.lower(raw), H.BOT_TOKENS).alias("cues"))

@@ -121,3 +121,91 @@ def test_title_cues_choose_the_compensation_table(spark):
     score = lambda c: {r.table_idx: r.score for r in C.score_tables(c).collect()}
     assert score(cells)[1] == score(plain)[1] + 8 and score(cells)[0] == score(plain)[0]
     assert {r.table_idx for r in C.best_table(cells).collect()} == {1} and {r.table_idx for r in C.best_table(plain).collect()} == {0}
+
+
+def test_paragraph_scores_and_windows(spark):
+    from cornice.operators import narrative as N
+
+    df = spark.createDataFrame(
+        [(1, "Paid $500,000 and $20,000."), (2, "The meeting is on May 1."), (3, "a chief executive officer"), (4, None), (5, "vested 100 shares and 5 options")], "id int, p string"
+    )
+    assert {r.id: r.s for r in df.select("id", N.paragraph_score(F.col("p")).alias("s")).collect()} == {1: 4, 2: 0, 3: 1, 4: 0, 5: 6}
+    text = "Paid $1 and $2 before.\n\n" + "Executive Compensation\n\n" + "x\n" * 900 + "\nPaid $3 and $4 too late."
+    rows = spark.createDataFrame([(1, text), (2, "Paid $1\r\nand $2.\r\n\r\n\r\nnone"), (3, None), (4, "")], "id int, text string")
+    got = N.top_paragraphs(rows, "id", "text").collect()
+    assert [(r.id, r.pos, r.paragraph, r.score, r["rank"]) for r in got] == [(2, 0, "Paid $1 and $2.", 4, 1)]
+
+
+def test_table_candidates():
+    from cornice.operators.narrative import table_candidate
+
+    assert table_candidate("") == (None, None, 0, False, None)
+    kind, header, score, anchor, table = table_candidate("Summary Compensation Table\n<TABLE>\nName and Principal Position  Year  Salary\n$5\n</TABLE>")
+    assert (kind, header, anchor) == ("sgml", "npp", True) and score == 3 + 2 + 2 and table.startswith("<TABLE>")
+    # A weak header near an anchor needs two lines that look like rows.
+    weak = "Summary Compensation Table\nPosition    Year    Salary\n"
+    assert table_candidate(weak + "Ann    2001    5")[0] is None
+    assert table_candidate(weak + "Ann    2001    5\nBob    2001    6")[:2] == ("ascii", "pos")
+    gap = "Name and principal position   Year\n" + "A   1\n" * 6 + "\n\nafter"
+    assert "after" not in table_candidate(gap)[4]
+    assert table_candidate("Summary\nCompensation\nTable")[3] is False
+
+
+def test_file_classes(spark):
+    from cornice.operators import narrative as N
+
+    texts = ["", None, "nothing", "Summary Compensation Table", "Paid $5 and $6.", "<p>page", "principal position   year salary total bonus\n1  2\n3  4"]
+    df = spark.createDataFrame([(i, t, "x" if i == 5 else None) for i, t in enumerate(texts)], "id int, text string, page string")
+    got = {r.id: r["class"] for r in N.file_classes(df, "id", "text", "page").collect()}
+    assert got == {0: "error", 1: "error", 2: "no_anchor", 3: "anchor_but_missing", 4: "narrative", 5: "html_fallback", 6: "ascii_pp"}
+
+
+def test_junk_above_the_first_year_row(spark):
+    from cornice.functions.htmlkit import parse_tables
+    from cornice.plans.catalog import share_path
+
+    head = ("Name and Principal Position", "Year", "Salary")
+    rows = [head, ("salary in 1000", "", "5"), ("no digits here", "", "-"), ("note 7", "", "9"), ("Ann Roe", "2020", "100")]
+    cells = parse_tables(share_path(spark).createDataFrame([("a", _table(*rows))], "doc string, html string"))
+    assert [(r.row_idx, r.year) for r in C.clean_sct(cells).orderBy("row_idx").collect()] == [(3, None), (4, 2020)]
+
+
+def test_header_with_only_beneficially_owned_counts(spark):
+    rows = [("Beneficially Owned",), ("Acme Fund",)]
+    from cornice.functions.headers import BOT_TOKENS, hits
+
+    df = spark.createDataFrame(rows, "s string")
+    assert [r[0] for r in df.select(hits(F.lower("s"), BOT_TOKENS)).collect()] == [2, 0]
+
+
+def test_compare_counts_and_samples(spark):
+    from cornice.operators import verify as V
+
+    a = spark.createDataFrame([(i, float(i), "x") for i in range(20)], "k int, v double, s string")
+    b = spark.createDataFrame([(i, float(i) + (i < 7), "x") for i in range(20)], "k int, v double, s string")
+    got = {r.column: (r.mismatches, r.samples) for r in V.compare(a, b, ["k"], ["v", "s"]).collect()}
+    assert got == {"v": (7, ["0", "1", "2", "3", "4"]), "s": (0, [])}
+
+
+def test_uncovered_edges(spark):
+    have = spark.createDataFrame([("a", 1, 5), ("a", 2, 9), ("b", 0, 3), (None, 0, 9)], "k string, lo int, hi int")
+    want = spark.createDataFrame([("a", 1, 5), ("a", 3, 9), ("a", 0, 2), ("b", 1, 4), ("c", 1, 1), (None, 1, 2)], "k string, lo int, hi int")
+    assert sorted((tuple(r) for r in state.uncovered(want, have, "k").collect()), key=repr) == sorted([("a", 0, 2), ("b", 1, 4), ("c", 1, 1), (None, 1, 2)], key=repr)
+
+
+def test_enrichment_leaves_what_is_known(spark):
+    s = "string"
+    rec = spark.createDataFrame([("1", "aa", None, None, "Q", "false", "CAD", "", "Old", "kept", "SEC"), ("2", "bb", "7", "000001", None, None, None, None, None, None, None), ("3", "", None, None, None, None, None, None, None, None, None)], "id string, ticker string, permno string, gvkey string, cusip string, isDelisted string, currency string, sector_alt string, industry_alt string, location string, source string")
+    names = spark.createDataFrame([("AA", 5, "N5")], "ticker string, permno int, ncusip string")
+    link = spark.createDataFrame([(5, "12")], "lpermno int, gvkey string")
+    company = spark.createDataFrame([], "ticker string, gvkey string, cusip string")
+    exchange = spark.createDataFrame([(5, 1)], "permno int, hexcd int")
+    delist = spark.createDataFrame([(5, 200)], "permno int, dlstcd int")
+    currency = spark.createDataFrame([("12", "USD")], "gvkey string, curcd string")
+    described = spark.createDataFrame([("aa", "Mining", "Coal", "1 St", "Town", "TX", None)], "ticker string, naicsdesc string, sicdesc string, address string, city string, state string, zip string")
+    out, log = enrich.enrich(rec, names, link, company, exchange, delist, currency, described)
+    got = {r.id: r for r in out.collect()}
+    one = got["1"]
+    assert (one.permno, one.gvkey, one.cusip, one.isDelisted, one.currency, one.sector_alt, one.industry_alt, one.location, one.source) == ("5", "000012", "Q", "false", "CAD", "Mining", "Old", "kept", "SEC, WRDS")
+    assert got["2"].source is None and got["3"].permno is None and out.columns == rec.columns
+    assert sorted((r.field, r.source) for r in log.collect()) == sorted([("permno", "WRDS.CRSP"), ("gvkey", "WRDS.LINK/COMP"), ("exchange", "WRDS.CRSP.MSF"), ("sector_alt", "WRDS.EXECUCOMP"), ("source", "WRDS")])
