@@ -7,6 +7,7 @@ from urllib.parse import urljoin
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .text import strip, zfill
 
@@ -40,7 +41,7 @@ def archive_url(cik: Column, accession: Column, document: Column) -> Column:
     return F.concat(F.lit(ARCHIVE), cik.cast("long").cast("string"), F.lit("/"), F.replace(accession, F.lit("-"), F.lit("")), F.lit("/"), document)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _joined(base: pd.Series, name: pd.Series) -> pd.Series:
     return pd.Series([urljoin(b, n) for b, n in zip(base, name, strict=True)])
 
