@@ -29,12 +29,16 @@ def present(c: Column) -> Column:
     return F.when(~is_missing(c), c)
 
 
+def mended(c: Column) -> Column:
+    """Text without no-break spaces, words broken at a hyphen joined, / as a blank, squeezed."""
+    s = F.regexp_replace(F.coalesce(c, F.lit("")), "\u00a0", " ")
+    s = F.regexp_replace(s, r"(?U)(\w)-\s+(\w)", "$1$2")
+    return squeeze(F.regexp_replace(s, "/", " "))
+
+
 def clean_text(c: Column) -> Column:
     """Cell text: hyphenated breaks joined, bracketed notes, $ and commas gone, squeezed, lower case."""
-    s = F.regexp_replace(F.coalesce(c, F.lit("")), " ", " ")
-    s = F.regexp_replace(s, r"(?U)(\w)-\s+(\w)", "$1$2")
-    s = squeeze(F.regexp_replace(s, "/", " "))
-    s = F.regexp_replace(s, r"\([^)]*\)", "")
+    s = F.regexp_replace(mended(c), r"\([^)]*\)", "")
     s = F.translate(s, "$,", "")
     return F.lower(strip(squeeze(s)))
 

@@ -200,20 +200,23 @@ COMP_WORDS = ("salary", "bonus", "stock", "option", "non-equity", "non equity",
 GRANT_WORDS = ("grant", "estimated future payouts")
 
 
-def score_tables(cells: DataFrame, header_rows: int = 12) -> DataFrame:
-    """doc, table_idx, score: name and position cues 7, 5 or 2, up to 8 words, money 2, grants -4, 4 for each title cue."""
+def score_tables(cells: DataFrame, header_rows: int = 12, cues: tuple[int, int, int] = (7, 5, 2), grants: int = -4, titles_count: int = 4) -> DataFrame:
+    """doc, table_idx, score: name and position cues 7, 5 or 2, up to 8 words, money 2, grants -4, 4 for each title cue.
+
+    The earlier scorer has cues of 6, 4 and 2, -3 for grants and no titles.
+    """
     rows = row_texts(cells)
     parts = F.sort_array(F.collect_list(F.struct("row_idx", "row_text")))
     text = rows.groupBy(*KEY).agg(F.transform(parts, lambda x: x["row_text"]).alias("r"))
     text = text.withColumn("head", F.array_join(F.slice("r", 1, header_rows), " ")).withColumn("full", F.array_join("r", " "))
     has = lambda *w: F.greatest(*[F.col("head").contains(x) for x in w], F.lit(False))
     name, principal, position = has("name"), has("principal", "named executive"), has("position", "occupation")
-    cue = F.when(name & principal & position, 7).when(name & (principal | position), 5).when(name, 2).otherwise(0)
+    cue = F.when(name & principal & position, cues[0]).when(name & (principal | position), cues[1]).when(name, cues[2]).otherwise(0)
     words = F.least(sum((F.col("head").contains(w).cast("int") for w in COMP_WORDS), F.lit(0)), F.lit(8))
     money = F.when(F.col("full").rlike(r"\$|\b\d{3,}\b"), 2).otherwise(0)
-    grant = F.when(has(*GRANT_WORDS), -4).otherwise(0)
+    grant = F.when(has(*GRANT_WORDS), grants).otherwise(0)
     titles = cells.groupBy(*KEY).agg(F.max("title_cues").alias("title_cues"))
-    return text.join(titles, KEY).select(*KEY, (cue + words + money + grant + 4 * F.col("title_cues")).alias("score"))
+    return text.join(titles, KEY).select(*KEY, (cue + words + money + grant + titles_count * F.col("title_cues")).alias("score"))
 
 
 def best_table(cells: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import headers as H
 from ..functions import records as R
 from ..operators import governance as G
 from .catalog import query, t
@@ -236,3 +237,39 @@ def master_counts(spark, d):
     record = F.to_json(F.struct(F.map_from_entries(F.collect_list(F.struct(k, "o_totalprice"))).alias("summary_compensation_table"), F.collect_list(holder).alias("beneficial_ownership")))
     rows = t(spark, d, "orders").groupBy("o_custkey").agg(record.alias("json"))
     return rows.select("o_custkey", *[c.alias(n) for n, c in R.master_counts(F.col("json")).items()])
+
+
+# Older header rules
+
+#: A header for each order key modulo 12, and its names by the four rule sets.
+HEADERS = [
+    ("Name and Principal Position", "name_and_position", "name_position", "name_position", "name_position"),
+    ("Fiscal Year Ended", "year", "fiscal_year", "year", "year"),
+    ("Base Salary ($)(1)", "salary", "salary", "salary", "salary"),
+    ("AIP Payout", "bonus", "aip_payout", None, "AIP Payout"),
+    ("Other Annual Compen- sation", "other_annual_comp", "other_annual_comp", None, "Other Annual Compen- sation"),
+    ("Options Granted", "option_awards", "option_awards", None, "Options Granted"),
+    ("Restricted Stock", "stock_awards", "restricted_stock", None, "Restricted Stock"),
+    ("Stock Awards ($)", "stock_awards", "stock_awards", None, "stock_awards"),
+    ("Non-Equity Incentive", "non_equity_incentive", "non_equity_incentive", None, "non_equity_incentive_plan"),
+    ("All Other Comp", "all_other_comp", "all_other_comp", None, "all_other_compensation"),
+    ("Grand Total", "total", "total", "total", "total"),
+    ("($)", "unknown", "", None, "($)"),
+]
+
+
+def _listed(i):
+    return "[" + ", ".join("NULL" if h[i] is None else f"'{h[i]}'" for h in HEADERS) + "][o_orderkey % 12 + 1]"
+
+
+@query(f"SELECT o_orderkey, {_listed(1)} AS descriptive, {_listed(2)} AS fiscal, {_listed(3)} AS token, {_listed(4)} AS squashed FROM orders")
+def older_headers(spark, d):
+    raw = F.element_at(F.array(*[F.lit(h[0]) for h in HEADERS]), (F.col("o_orderkey") % 12 + 1).cast("int"))
+    o = t(spark, d, "orders")
+    return o.select("o_orderkey", H.descriptive_header(raw).alias("descriptive"), H.fiscal_header(raw).alias("fiscal"), H.token_header(raw).alias("token"), H.squashed_header(raw).alias("squashed"))
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'name_position' ELSE ['salary', 'all_other_compensation', 'Perks'][c_custkey % 3 + 1] END AS header FROM customer""")
+def synonym_headers(spark, d):
+    raw = F.element_at(F.array(F.lit(" SALARY ($) "), F.lit("All other  compensation(2)"), F.lit("Perks")), (F.col("c_custkey") % 3 + 1).cast("int"))
+    return t(spark, d, "customer").select("c_custkey", H.synonym_header(raw, F.col("c_custkey") % 4).alias("header"))
