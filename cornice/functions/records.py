@@ -174,3 +174,38 @@ def master_counts(json: Column) -> dict[str, Column]:
         "holder_entries": F.size(holders).cast("long"),
         "holder_years": F.size(F.array_distinct(F.filter(years, lambda x: x != ""))).cast("long"),
     }
+
+
+@F.pandas_udf(StringType())
+def nfkc(texts: pd.Series) -> pd.Series:
+    """Compatibility-composed text."""
+    return texts.str.normalize("NFKC")
+
+
+def ascii_only(c: Column) -> Column:
+    """Runs of characters beyond ASCII become one space."""
+    return F.regexp_replace(c, r"[^\x00-\x7F]+", " ")
+
+
+def html_document(body: Column, head: str = "", base: str | None = None) -> Column:
+    """A page of its own around a table; `head` holds the style sheets to keep, `base` what its links are relative to."""
+    more = (f'<base href="{base}">' if base else "") + head
+    return F.concat(F.lit(f'<!doctype html>\n<html><head><meta charset="utf-8">{more}</head><body>\n'), body, F.lit("\n</body></html>\n"))
+
+
+def utc_seconds(c: Column) -> Column:
+    """A time in UTC to the second, as indexes write it."""
+    return F.date_format(F.to_utc_timestamp(c, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
+def exchange_or_other(code: Column) -> Column:
+    return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for x in (1, "NYSE", 2, "AMEX", 3, "NASDAQ")]), code.cast("int")), F.lit("Other"))
+
+
+def sic_labels(sic: Column) -> dict[str, Column]:
+    """Sector, industry and category of an industry code."""
+    return {
+        "sector": F.when(sic.cast("string").startswith("73"), "Services").otherwise("Other"),
+        "industry": F.when(sic == 7372, "Services-Prepackaged Software").otherwise("Other"),
+        "category": F.when((sic >= 1000) & (sic < 9999), "Domestic Common Stock"),
+    }

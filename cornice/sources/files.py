@@ -34,7 +34,7 @@ def filings(spark: SparkSession, root: str, extension: str = "html") -> DataFram
     raw = raw.where(~F.col("path").contains("/extracted/"))
     parts = file_parts(F.col("path"))
     # Bytes that aren't UTF-8 are read as Latin-1.
-    text = F.when(F.is_valid_utf8(F.col("content").cast("string")), F.decode("content", F.lit("UTF-8"))).otherwise(F.decode("content", F.lit("ISO-8859-1")))
+    text = F.when(F.is_valid_utf8(F.col("content").cast("string")), F.decode("content", "UTF-8")).otherwise(F.decode("content", "ISO-8859-1"))
     return raw.select("path", "length", "content", text.alias("text"), *[c.alias(n) for n, c in parts.items() if n != "ext"])
 
 
@@ -97,3 +97,23 @@ def export_csv(df: DataFrame, path: str) -> bool:
 
 def export_json(df: DataFrame, path: str, by: str) -> None:
     df.write.mode("overwrite").partitionBy(by).json(path)
+
+
+def export_parquet(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").parquet(path)
+
+
+def export_lines(df: DataFrame, column: str, path: str) -> None:
+    """A line for each value, in order."""
+    df.select(F.col(column).cast("string")).where(F.col(column).isNotNull()).orderBy(column).write.mode("overwrite").text(path)
+
+
+def export_tsv(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").csv(path, header=True, sep="\t")
+
+
+def export_version(df: DataFrame, folder: str, version: str) -> str:
+    """Write JSON lines to a folder of their own below `folder`, beside the earlier versions; Spark's commit makes it whole or absent."""
+    path = f"{folder}/version={version}"
+    df.write.mode("errorifexists").json(path)
+    return path
