@@ -27,10 +27,14 @@ def year_between(date: Column, first: int, last: int) -> Column:
     return F.coalesce(F.substring(date, 1, 4).try_cast("int").between(first, last), F.lit(False))
 
 
+def zipped(df: DataFrame, keys: list[str], arrays: list[str]) -> DataFrame:
+    """A row for each place of parallel arrays; a shorter one gives nulls."""
+    return df.select(*keys, F.inline(F.arrays_zip(*arrays)))
+
+
 def filings_of_form(df: DataFrame, keys: list[str], arrays: list[str], form: str) -> DataFrame:
     """A row for each filing of the form, whatever its case; the first array holds the forms, shorter ones give ''."""
-    rows = df.select(*keys, F.inline(F.arrays_zip(*arrays)))
-    return rows.where(F.upper(arrays[0]) == form.upper()).fillna("", subset=arrays)
+    return zipped(df, keys, arrays).where(F.upper(arrays[0]) == form.upper()).fillna("", subset=arrays)
 
 
 def submissions_url(cik: Column) -> Column:
@@ -209,3 +213,8 @@ def sic_labels(sic: Column) -> dict[str, Column]:
         "industry": F.when(sic == 7372, "Services-Prepackaged Software").otherwise("Other"),
         "category": F.when((sic >= 1000) & (sic < 9999), "Domestic Common Stock"),
     }
+
+
+def links(html: Column) -> Column:
+    """Targets of the anchors in a page, in order."""
+    return F.regexp_extract_all(html, F.lit(r'<a href="([^"]*)"'), F.lit(1))

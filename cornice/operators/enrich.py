@@ -116,3 +116,9 @@ def full_identifiers(crsp: DataFrame, compustat: DataFrame, key: str = "gvkey")
     cols = [F.coalesce(f"a.{c}", f"b.{c}").alias(c) for c in [key, *both]]
     cols += [F.col(f"a.{c}") for c in crsp.columns if c not in [key, *both]] + [F.col(f"b.{c}") for c in compustat.columns if c not in [key, *both]]
     return j.select(*cols).distinct()
+
+
+def first_match(asked: DataFrame, records: DataFrame, key: str, order: str, columns: list[str]) -> DataFrame:
+    """asked with columns of the first record of the key; nulls where there is none, or the key is null."""
+    first = records.groupBy(key).agg(F.min_by(F.struct(*columns), order).alias("_first")).select(key, "_first.*")
+    return asked.join(first, key, "left")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Fixed ranks of extraction statuses; others rank 0.
@@ -24,8 +24,7 @@ def upsert_fields(events: DataFrame, keys: list[str], order: str, fields: list[s
 
 def merged_status(events: DataFrame, keys: list[str], status: str, priority: str) -> DataFrame:
     """keys, status: the highest rank, ties to the smaller priority."""
-    rank = F.coalesce(F.create_map(*[F.lit(x) for kv in STATUS_RANK.items() for x in kv])[F.col(status)], F.lit(0))
-    return events.groupBy(*keys).agg(F.max_by(status, F.struct(rank, -F.col(priority))).alias(status))
+    return best_status(events, keys, status, STATUS_RANK, priority)
 
 
 def pending(candidates: DataFrame, index: DataFrame, keys: list[str]) -> DataFrame:
@@ -54,3 +53,20 @@ def uncovered(wanted: DataFrame, have: DataFrame, key: str) -> DataFrame:
     reach = F.max(F.when(F.col("_row").isNull(), F.col("hi"))).over(order)
     out = both.withColumn("_reach", reach).where(F.col("_row").isNotNull())
     return out.where(F.col(key).isNull() | ~F.coalesce(F.col("_reach") >= F.col("hi"), F.lit(False))).select("_row.*")
+
+
+def best_status(events: DataFrame, keys: list[str], status: str, ranks: dict[str, int], order: str) -> DataFrame:
+    """Per key the status of the highest rank, the earliest of equals; a status without a rank is 0."""
+    rank = F.coalesce(F.create_map(*[F.lit(x) for kv in ranks.items() for x in kv])[F.col(status)], F.lit(0))
+    return events.groupBy(*keys).agg(F.max_by(status, F.struct(rank, -F.col(order))).alias(status))
+
+
+def distinct_by_prefix(df: DataFrame, keys: list[str], text: str, order: str, n: int = 200) -> DataFrame:
+    """Per key and first n characters of the text the first row, and how many share them."""
+    groups = df.groupBy(*keys, F.substring(text, 1, n).alias("_prefix"))
+    return groups.agg(F.min(order).alias(order), F.count("*").alias("n")).drop("_prefix")
+
+
+def rolled_up(df: DataFrame, levels: list[str], flags: dict[str, Column]) -> DataFrame:
+    """Counts of rows, and of rows with each flag, at each level and over all."""
+    return df.rollup(*levels).agg(F.count("*").alias("n"), *[F.count_if(c).alias(name) for name, c in flags.items()])

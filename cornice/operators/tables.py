@@ -149,3 +149,9 @@ def merge_into_master(master: DataFrame, found: DataFrame, order: str, key: str
     values[source] = F.when(F.col("_n") > 1, tagged(first[source], "SEC")).otherwise(first[source])
     extra = extra.join(totals, "_bucket").select(number.alias(key), *[values[c].alias(c) for c in fields])
     return updated.unionByName(extra, allowMissingColumns=True)
+
+
+def value_map(rows: DataFrame, keys: list[str], name: str, value: str, order: str) -> DataFrame:
+    """A map per key of name to the last value of that name, in order of names."""
+    last = rows.groupBy(*keys, name).agg(F.max_by(value, order).alias(value))
+    return last.groupBy(*keys).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(name, value)))).alias("values"))

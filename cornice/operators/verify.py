@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import close_to
@@ -40,3 +40,13 @@ def sum_flags(df: DataFrame, parts: list[str], total: str, tolerance: float = 5.
     calc = sum((F.coalesce(F.col(c), F.lit(0.0)) for c in parts), F.lit(0.0))
     diff = calc - F.col(total)
     return df.withColumn("total_calc", calc).withColumn("total_diff", diff).withColumn("total_ok", F.coalesce(F.abs(diff) <= tolerance, F.lit(False)))
+
+
+def share(test: Column) -> Column:
+    """Share of a group's rows that pass; null counts as not."""
+    return F.avg(F.when(test, 1.0).otherwise(0.0))
+
+
+def coverage(df: DataFrame, tests: dict[str, Column]) -> DataFrame:
+    """Percentage of rows that pass each test, to four places."""
+    return df.agg(*[F.round(share(c) * 100, 4).alias(name) for name, c in tests.items()])

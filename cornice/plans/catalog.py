@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import headers as H
+from ..functions import records as R
 from ..functions import text as T
 from ..functions.htmlkit import parse_tables
 from ..operators import cells as C
@@ -16,8 +17,10 @@ from ..operators import jsonquery as J
 from ..operators import narrative as N
 from ..operators import sequence as S
 from ..operators import state as ST
+from ..operators import tables as TB
 from ..operators import verify as V
 from ..session import share_path
+from ..sources.files import with_sidecar
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -111,12 +114,12 @@ def missing_anti(spark, d):
     return ST.pending(t(spark, d, "customer").withColumnRenamed("c_custkey", "o_custkey"), t(spark, d, "orders"), ["o_custkey"]).select(F.col("o_custkey").alias("c_custkey"), "c_name")
 
 
-@query("""SELECT pos, permno, min_by(c_custkey, c_custkey) AS first_key FROM (VALUES (0, 3), (1, 99), (2, 1)) v(pos, permno)
-  LEFT JOIN customer ON c_nationkey = permno GROUP BY pos, permno""")
+@query("""SELECT o_orderkey, (o_custkey % 40)::INTEGER AS permno, first_key FROM orders LEFT JOIN
+  (SELECT c_nationkey, min(c_custkey) AS first_key FROM customer GROUP BY 1) ON c_nationkey = o_custkey % 40""")
 def first_match_resolve(spark, d):
-    asked = spark.createDataFrame([(0, 3), (1, 99), (2, 1)], "pos int, permno int")
-    first = t(spark, d, "customer").groupBy("c_nationkey").agg(F.min_by("c_custkey", "c_custkey").alias("first_key"))
-    return asked.join(first, F.col("c_nationkey") == F.col("permno"), "left").select("pos", "permno", "first_key")
+    asked = t(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") % 40).cast("int").alias("permno"))
+    known = t(spark, d, "customer").select(F.col("c_nationkey").alias("permno"), F.col("c_custkey").alias("first_key"))
+    return E.first_match(asked, known, "permno", "first_key", ["first_key"])
 
 
 # Aggregates, windows, sequences
@@ -174,22 +177,21 @@ def group_concat_distinct(spark, d):
 
 @query("SELECT lang, source, count(*) AS n, count(*) FILTER (n_chars > 1000) AS n_long FROM documents GROUP BY ROLLUP (lang, source)")
 def rollup_counts(spark, d):
-    return t(spark, d, "documents").rollup("lang", "source").agg(F.count("*").alias("n"), F.count_if(F.col("n_chars") > 1000).alias("n_long"))
+    return ST.rolled_up(t(spark, d, "documents"), ["lang", "source"], {"n_long": F.col("n_chars") > 1000})
 
 
 @query("""SELECT event_type, round(avg(CASE WHEN value > 10 THEN 1.0 ELSE 0.0 END), 6) AS share, avg(CASE WHEN value > 10 THEN 1.0 ELSE 0.0 END) >= 0.6 AS mostly
   FROM events GROUP BY 1""")
 def ratio_mostly(spark, d):
-    r = F.avg(F.when(F.col("value") > 10, 1.0).otherwise(0.0))
+    r = V.share(F.col("value") > 10)
     return t(spark, d, "events").groupBy("event_type").agg(F.round(r, 6).alias("share"), (r >= 0.6).alias("mostly"))
 
 
 @query("""SELECT round(100.0 * count(*) FILTER (nullif(c_mktsegment, 'BUILDING') IS NOT NULL) / count(*), 4) AS with_segment,
   round(100.0 * count(*) FILTER (c_acctbal > 0) / count(*), 4) AS with_balance FROM customer""")
 def coverage_pct(spark, d):
-    pct = lambda c: F.round(F.avg(F.when(c, 100.0).otherwise(0.0)), 4)
-    c = t(spark, d, "customer")
-    return c.agg(pct(~T.is_missing(F.nullif("c_mktsegment", F.lit("BUILDING")))).alias("with_segment"), pct(F.col("c_acctbal") > 0).alias("with_balance"))
+    tests = {"with_segment": ~T.is_missing(F.nullif("c_mktsegment", F.lit("BUILDING"))), "with_balance": F.col("c_acctbal") > 0}
+    return V.coverage(t(spark, d, "customer"), tests)
 
 
 @query("""SELECT user_id, event_id, rank FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id)::INT AS rank FROM events) WHERE rank <= 3""")
@@ -207,8 +209,8 @@ def numeric_aware_worklist(spark, d):
 
 @query("""SELECT user_id, arg_max(event_type, CASE event_type WHEN 'purchase' THEN 2 WHEN 'click' THEN 1 ELSE 0 END * 1000000000 - event_id) AS status FROM events GROUP BY 1""")
 def status_by_rank(spark, d):
-    rank = F.when(F.col("event_type") == "purchase", 2).when(F.col("event_type") == "click", 1).otherwise(0)
-    return t(spark, d, "events").groupBy("user_id").agg(F.max_by("event_type", F.struct(rank, -F.col("event_id"))).alias("status"))
+    events = t(spark, d, "events").withColumnRenamed("event_type", "status")
+    return ST.best_status(events, ["user_id"], "status", {"purchase": 2, "click": 1}, "event_id")
 
 
 @query("""WITH e AS (SELECT user_id, event_id % 4 AS src, event_id, CASE event_id % 3 WHEN 0 THEN 'no_sct_found' WHEN 1 THEN 'skipped_existing' ELSE 'no_bo_found' END AS s FROM events)
@@ -300,7 +302,7 @@ def json_extract(spark, d):
 def zip_parallel_arrays(spark, d):
     lists = t(spark, d, "orders").groupBy("o_custkey").agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "o_orderpriority"))).alias("x"))
     arrays = lists.select("o_custkey", F.col("x.o_orderkey").alias("o_orderkey"), F.col("x.o_orderpriority").alias("o_orderpriority"))
-    return arrays.select("o_custkey", F.inline(F.arrays_zip("o_orderkey", "o_orderpriority")))
+    return R.zipped(arrays, ["o_custkey"], ["o_orderkey", "o_orderpriority"])
 
 
 # Enrichment, comparison, search
@@ -398,7 +400,7 @@ def html_check(spark, d):
 
 @query("""SELECT page_id, len(regexp_extract_all(html, '<a href="([^"]*)"', 1))::BIGINT AS n_links, regexp_extract(html, '<a href="([^"]*)"', 1) AS first_link FROM pages""")
 def html_links(spark, d):
-    links = F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))
+    links = R.links(F.col("html"))
     return t(spark, d, "pages").select("page_id", F.size(links).cast("long").alias("n_links"), F.coalesce(F.get(links, F.lit(0)), F.lit("")).alias("first_link"))
 
 
@@ -413,19 +415,19 @@ def keyword_score_topk(spark, d):
 
 @query("SELECT min(doc_id) AS doc_id, count(*) AS n FROM documents GROUP BY source, substr(text, 1, 200)")
 def prefix_dedup(spark, d):
-    return t(spark, d, "documents").groupBy("source", F.substring("text", 1, 200).alias("p")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n")).select("doc_id", "n")
+    return ST.distinct_by_prefix(t(spark, d, "documents"), ["source"], "text", "doc_id").select("doc_id", "n")
 
 
 @query("SELECT doc_id, strlen(text)::BIGINT AS size, sha256(text) AS sha256 FROM documents")
 def content_sha256(spark, d):
-    return t(spark, d, "documents").select("doc_id", F.octet_length("text").cast("long").alias("size"), F.sha2("text", 256).alias("sha256"))
+    return with_sidecar(t(spark, d, "documents").select("doc_id", F.encode("text", "UTF-8").alias("content"))).select("doc_id", "size", "sha256")
 
 
 @query("""SELECT o_custkey, string_agg(y || ':' || k, ',' ORDER BY y) AS years FROM (SELECT o_custkey, year(o_orderdate) AS y, max(o_orderkey) AS k FROM orders GROUP BY 1, 2) GROUP BY 1""")
 def nested_map_build(spark, d):
-    last = t(spark, d, "orders").groupBy("o_custkey", F.year("o_orderdate").alias("y")).agg(F.max_by("o_orderkey", "o_orderkey").alias("k"))
-    nested = last.groupBy("o_custkey").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("y", "k")))).alias("m"))
-    return nested.select("o_custkey", F.array_join(F.transform(F.map_entries("m"), lambda e: F.concat_ws(":", e["key"], e["value"])), ",").alias("years"))
+    rows = t(spark, d, "orders").select("o_custkey", F.year("o_orderdate").alias("y"), "o_orderkey", F.col("o_orderkey").alias("k"))
+    nested = TB.value_map(rows, ["o_custkey"], "y", "k", "o_orderkey")
+    return nested.select("o_custkey", F.array_join(F.transform(F.map_entries("values"), lambda e: F.concat_ws(":", e["key"], e["value"])), ",").alias("years"))
 
 
 @query("""WITH l AS (SELECT upper(c_mktsegment) AS s, max(c_custkey) AS id FROM customer GROUP BY 1)
