@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import share_path
-from . import ann, chat, html_text, langid, line_dedup, mixing, ngram_join, packing, quality, token_count, warc
+from . import ann, chat, html_text, importance, langid, line_dedup, mixing, ngram_join, packing, quality, token_count, warc, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,14 +92,24 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight and score of every document by how it looks like the benchmark, and the ranks of the drawn tenth."""
+    return importance.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document, those that go, and the digest of the rest."""
     return line_dedup.dedup_report(table(spark, sf_dir, "documents"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 16 whitened components of every vector."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_nearest, op2_mixing, op3_token_counts, op4_warc, op5_packing, op6_quality, op7_html, op8_chat, op9_ngram_join, op10_language)
-    return {f.__name__: f for f in (*found, op12_line_dedup)}
+    return {f.__name__: f for f in (*found, op11_importance, op12_line_dedup, op13_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -109,5 +119,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_quality": quality.QUALITY_SQL,
         "op8_chat": chat.CHAT_SQL,
         "op9_ngram_join": ngram_join.NGRAM_SQL,
+        "op11_importance": importance.REPORT_SQL,
         "op12_line_dedup": line_dedup.LINE_SQL,
     }
