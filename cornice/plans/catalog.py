@@ -272,14 +272,6 @@ def filename_parse(spark, d):
     return o.select("o_orderkey", *[parts[n].alias(n) for n in ("ticker", "form", "date")])
 
 
-@query("""WITH v(id, s) AS (VALUES (1, '1,234.5'), (2, '(250)'), (3, '—'), (4, ''), (5, '12d'), (6, '-7'), (7, '$ 9'))
-  SELECT id, CASE id WHEN 1 THEN 1234.5 WHEN 2 THEN -250.0 WHEN 6 THEN -7.0 WHEN 7 THEN 9.0 END::DOUBLE AS n,
-  CASE id WHEN 1 THEN 1234.5 WHEN 2 THEN -250.0 WHEN 3 THEN 0.0 WHEN 4 THEN 0.0 WHEN 5 THEN 12.0 WHEN 6 THEN -7.0 WHEN 7 THEN 9.0 END::DOUBLE AS z FROM v""")
-def to_number_variants(spark, d):
-    v = spark.createDataFrame([(1, "1,234.5"), (2, "(250)"), (3, "—"), (4, ""), (5, "12d"), (6, "-7"), (7, "$ 9")], "id int, s string")
-    return v.select("id", T.to_number(F.col("s")).alias("n"), T.to_number_or_zero(F.col("s")).alias("z"))
-
-
 @query("""SELECT s_suppkey, CASE s_suppkey % 5 WHEN 1 THEN 'NYSE' WHEN 2 THEN 'AMEX' WHEN 3 THEN 'NASDAQ' END AS exchange, coalesce(CASE WHEN s_suppkey % 4 = 0 THEN NULL WHEN s_suppkey % 4 = 1 THEN 100 ELSE 200 END <> 100, false) AS delisted FROM supplier""")
 def delist_exchange_codes(spark, d):
     code = F.when(F.col("s_suppkey") % 4 == 1, 100).when(F.col("s_suppkey") % 4 != 0, 200)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.nodes import HEADINGS, elements, parse_nodes
 from ..operators import header_runs as H
 from ..operators import members as M
+from ..operators import narrative as N
 from ..operators import ownership as O
 from ..operators import pages as P
 from ..operators import sections as S
@@ -238,3 +239,34 @@ def iso_dates(spark, d):
     at = F.col("o_orderdate") + F.make_dt_interval(secs=(k % 90 + micros / 1000000).cast("decimal(18,6)"))
     rows = t(spark, d, "orders").where(k % 1000 > 0).select(k, F.col("o_orderdate").cast("date").alias("day"), F.array(F.struct(at.alias("at"), k.alias("n"))).alias("nested"))
     return M.iso_dates(rows).select("o_orderkey", "day", F.to_json("nested").alias("nested"))
+
+
+# Filings of each order: a text that seldom has the table, and up to two pages; the second one's table is better.
+_FILING = """CASE k % 5 WHEN 0 THEN 'Name and Principal Position   Year' || chr(10) || 'Ann   ' || k WHEN 1 THEN 'The president received a salary of $' || k || ' and $5.'
+  WHEN 2 THEN 'Summary compensation table of ' || k WHEN 3 THEN 'Nothing on ' || o_orderpriority ELSE '' END"""
+_PAGE = """CASE WHEN k % 3 = 0 THEN 'Summary COMPENSATION Table' || chr(10) ELSE '' END || repeat('x' || chr(10), CAST(k % 2 * 310 AS INT))
+  || '<table>' || CASE n WHEN 0 THEN 'Position' ELSE 'Name, Principal Position' END || ' Salary ' || o_orderkey || '</ TABLE>' || chr(10) || '<table>Total</table>'"""
+
+
+def _pages(spark, d):
+    o = t(spark, d, "orders").withColumn("k", F.col("o_orderkey"))
+    return o.where(o.k % 4 > 0).withColumn("n", F.explode(F.sequence(F.lit(0), (o.k % 4 - 1).cast("int") % 2))).withColumn("html", F.expr(_PAGE))
+
+
+# Without an anchor the whole page is looked at; with one, lines below the 300th aren't.
+_PAGE_SQL = """WITH o AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 4 > 0), p AS (SELECT *, unnest(range((k % 4 - 1) % 2 + 1)) AS n FROM o),
+  c AS (SELECT k, n, CASE n WHEN 0 THEN 'pos' ELSE 'npp' END AS header, (CASE n WHEN 0 THEN 1 ELSE 3 END + 1 + 2)::INT AS score,
+    '<table>' || CASE n WHEN 0 THEN 'Position' ELSE 'Name, Principal Position' END || ' Salary ' || k || '</ TABLE>' AS snippet FROM p WHERE NOT (k % 3 = 0 AND k % 2 = 1)),
+  f AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY k ORDER BY score DESC, n) = 1)"""
+
+
+@query(_PAGE_SQL + " SELECT k, header, score, snippet FROM f")
+def page_tables(spark, d):
+    return N.page_tables(_pages(spark, d), "k", "html", "n").select("k", "header", "score", "snippet")
+
+
+@query(_PAGE_SQL + """ SELECT o_orderkey AS k, CASE o_orderkey % 5 WHEN 4 THEN 'error' WHEN 0 THEN 'ascii_npp' ELSE coalesce(CASE WHEN f.k IS NOT NULL THEN 'html_fallback' END,
+    CASE o_orderkey % 5 WHEN 1 THEN 'narrative' WHEN 2 THEN 'anchor_but_missing' ELSE 'no_anchor' END) END AS class FROM orders LEFT JOIN f ON f.k = o_orderkey""")
+def class_cascade(spark, d):
+    texts = t(spark, d, "orders").withColumn("k", F.col("o_orderkey")).select("k", F.expr(_FILING).alias("text"))
+    return N.file_classes(texts, "k", "text", _pages(spark, d), "html", "n")

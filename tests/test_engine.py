@@ -136,28 +136,58 @@ def test_paragraph_scores_and_windows(spark):
     assert [(r.id, r.pos, r.paragraph, r.score, r["rank"]) for r in got] == [(2, 0, "Paid $1 and $2.", 4, 1)]
 
 
-def test_table_candidates():
-    from cornice.operators.narrative import table_candidate
+def _candidates(spark, *texts):
+    from cornice.operators import narrative as N
 
-    assert table_candidate("") == (None, None, 0, False, None)
-    kind, header, score, anchor, table = table_candidate("Summary Compensation Table\n<TABLE>\nName and Principal Position  Year  Salary\n$5\n</TABLE>")
-    assert (kind, header, anchor) == ("sgml", "npp", True) and score == 3 + 2 + 2 and table.startswith("<TABLE>")
-    # A weak header near an anchor needs two lines that look like rows.
+    got = N.summary_tables(spark.createDataFrame(list(enumerate(texts)), "id int, text string"), "id", "text").collect()
+    return [tuple(r)[1:] for r in sorted(got, key=lambda r: r.id)]
+
+
+def test_table_candidates(spark):
     weak = "Summary Compensation Table\nPosition    Year    Salary\n"
-    assert table_candidate(weak + "Ann    2001    5")[0] is None
-    assert table_candidate(weak + "Ann    2001    5\nBob    2001    6")[:2] == ("ascii", "pos")
     gap = "Name and principal position   Year\n" + "A   1\n" * 6 + "\n\nafter"
-    assert "after" not in table_candidate(gap)[4]
-    assert table_candidate("Summary\nCompensation\nTable")[3] is False
+    full = "Summary Compensation Table\n<TABLE>\nName and Principal Position  Year  Salary\n$5\n</TABLE>"
+    got = _candidates(spark, "", None, full, weak + "Ann    2001    5", weak + "Ann    2001    5\nBob    2001    6", gap, "Summary\nCompensation\nTable", full.replace("Name", "\uff2e\uff41\uff4d\uff45"))
+    assert got[0] == got[1] == (None, None, 0, False, None)
+    assert got[2][:4] == ("sgml", "npp", 3 + 2 + 2, True) and got[2][4].startswith("<TABLE>")
+    # A weak header near an anchor needs two lines that look like rows.
+    assert got[3][0] is None and got[4][:2] == ("ascii", "pos")
+    assert "after" not in got[5][4] and got[6][3] is False
+    # Wide letters count as plain ones.
+    assert got[7] == got[2]
+
+
+def test_candidates_near_and_far(spark):
+    anchor, head, row = "Summary Compensation Table", "Name and Principal Position   Year", "Ann Roe   2001"
+    far = lambda n: "\n".join([anchor, *["x"] * n, head, row])
+    got = _candidates(spark, far(60), far(61), "\n".join(["x"] * 200 + [head, row]), "\n".join(["x"] * 88 + ["Name, Principal", "Position   Year"]))
+    assert [g[1] for g in got] == ["npp", None, "npp", "npp"]
+    # The first of equal candidates stays; a heading or a section ends a table once it has ten lines.
+    two = "\n".join([head, row, *["x"] * 20, head, row])
+    table = "\n".join([head, *[row] * 9, "PENSION BENEFITS", "end"])
+    short = "\n".join([head, *[row] * 6, "DIRECTORS", "end"])
+    got = _candidates(spark, two, table.replace("end", "end\nend"), short)
+    assert got[0][4].startswith(head) and got[1][4].endswith("PENSION BENEFITS") and got[2][4].endswith("end")
+    long = _candidates(spark, "\n".join([anchor, head, *[row] * 400]))[0][4]
+    assert len(long.split("\n")) == 220
+    # A table that isn't closed within 300 lines from an anchor is none, nor is one that begins more than ten lines before.
+    sgml = lambda before, inside: "\n".join(["<table>", *["x"] * before, anchor, *["x"] * inside, "</table>"])
+    assert [g[0] for g in _candidates(spark, sgml(9, 298), sgml(9, 299), sgml(10, 5))] == ["sgml", None, None]
 
 
 def test_file_classes(spark):
     from cornice.operators import narrative as N
 
-    texts = ["", None, "nothing", "Summary Compensation Table", "Paid $5 and $6.", "<p>page", "principal position   year salary total bonus\n1  2\n3  4"]
-    df = spark.createDataFrame([(i, t, "x" if i == 5 else None) for i, t in enumerate(texts)], "id int, text string, page string")
-    got = {r.id: r["class"] for r in N.file_classes(df, "id", "text", "page").collect()}
-    assert got == {0: "error", 1: "error", 2: "no_anchor", 3: "anchor_but_missing", 4: "narrative", 5: "html_fallback", 6: "ascii_pp"}
+    texts = ["", None, "nothing", "Summary Compensation Table", "Paid $5 and $6.", "filing", "principal position   year salary total bonus\n1  2\n3  4", "pages without a table"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    table = "<p>Summary Compensation Table\n<table><tr><td>Name and Principal Position<td>Year</table>"
+    pages = [(5, "b", table + "b"), (5, "a", table), (4, "a", "<table>no"), (7, "a", table.replace("<table>", "x\n" * 300 + "<table>")), (2, "a", None), (6, "a", table)]
+    pages = spark.createDataFrame(pages, "id int, page string, html string")
+    got = {r.id: r["class"] for r in N.file_classes(df, "id", "text", pages).collect()}
+    assert got == {0: "error", 1: "error", 2: "no_anchor", 3: "anchor_but_missing", 4: "narrative", 5: "html_fallback", 6: "ascii_pp", 7: "no_anchor"}
+    assert N.file_classes(df, "id", "text").where("class = 'html_fallback'").count() == 0
+    found = N.page_tables(pages, "id", "html", "page").collect()
+    assert {(r.id, r.header, r.score) for r in found} == {(5, "npp", 5), (6, "npp", 5)}
 
 
 def test_junk_above_the_first_year_row(spark):
