@@ -10,7 +10,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Cells that leave a task together.
+ROWS = 1 << 14
 CELLS = "table_idx int, row_idx int, col_idx int, text string, is_th boolean, title_cues int"
+#: The HTML standard's limits on spans; a browser cuts longer ones, too.
+SPANS = {"colspan": 1000, "rowspan": 65534}
 TITLE = "summary compensation table"
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -42,7 +46,7 @@ class _Tables(HTMLParser):
             t = self.open[-1]
             t["row"] = max(t["row"], 0)
             a = dict(attrs)
-            span = lambda n: min(1000, int(a[n])) if str(a.get(n) or "").isdigit() and int(a[n]) > 0 else 1
+            span = lambda n: min(SPANS[n], int(a[n])) if str(a.get(n) or "").isdecimal() and int(a[n]) > 0 else 1
             t["cell"] = {"text": [], "th": tag == "th", "cols": span("colspan"), "rows": span("rowspan")}
         elif self.open and tag in ("br", "p", "div") and self.open[-1]["cell"]:
             self.open[-1]["cell"]["text"].append(" ")
@@ -143,26 +147,33 @@ def cells_of(html: str | None) -> list[tuple[int, int, int, str, bool]]:
     while parser.open:
         parser._end_cell()
         parser.open.pop()
-    # A row span that runs past the last row adds no rows.
-    last: dict[int, int] = {}
-    own = sorted(parser.done)
-    for t, r, _, _, _ in parser.done:
-        last[t] = max(last.get(t, 0), r)
-    return own
+    return sorted(parser.done)
 
 
 def parse_tables(docs: DataFrame, key: str = "doc", html: str = "html") -> DataFrame:
     """key, table_idx, row_idx, col_idx, text, is_th, title_cues: one row per cell of every table."""
 
+    types = [pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.int32()]
+    names = [f.split()[0] for f in CELLS.split(", ")]
+
+    def put(batch, keys, rows):
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows), types, strict=True)]
+        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keys, pa.int32())), *columns], [key, *names])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for k, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                cues = title_cues(h)
-                rows += [(k, *c, cues.get(c[0], 0)) for c in cells_of(h)]
-            columns = list(zip(*rows, strict=True)) or [()] * 7
-            types = [batch.schema.field(0).type, pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [key, "table_idx", "row_idx", "col_idx", "text", "is_th", "title_cues"])
+            keys, rows = [], []
+            for i, h in enumerate(batch.column(1)):
+                html = h.as_py()
+                cues = title_cues(html)
+                for c in cells_of(html):
+                    keys.append(i)
+                    rows.append((*c, cues.get(c[0], 0)))
+                    if len(rows) >= ROWS:
+                        yield put(batch, keys, rows)
+                        keys, rows = [], []
+            if rows:
+                yield put(batch, keys, rows)
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key), F.col(html)).mapInArrow(run, f"{key} {kind}, {CELLS}")

@@ -119,9 +119,14 @@ def merged_value(old: Column, new: Column) -> Column:
 
 
 def report_dates(json: Column) -> Column:
-    """Distinct non-blank strings under a key report_date, at any depth and in any case."""
-    found = F.regexp_extract_all(json, F.lit(r'(?i)(?<!\\)"report_date"\s*:\s*"((?:[^"\\]|\\.)*)"'), F.lit(1))
-    return F.array_distinct(F.filter(F.transform(found, strip), lambda x: x != ""))
+    """Distinct non-blank strings under a key report_date, at any depth and in any case; none of what isn't JSON.
+
+    Parsed and written again, a text has no needless escapes, and a key follows { or a comma.
+    """
+    plain = F.coalesce(F.try_parse_json(json).cast("string"), F.lit(""))
+    found = F.regexp_extract_all(plain, F.lit(r'(?i)(?<=[{,])"report_date":("(?:[^"\\]|\\.)*")'), F.lit(1))
+    texts = F.from_json(F.concat(F.lit("["), F.array_join(found, ","), F.lit("]")), "array<string>")
+    return F.array_distinct(F.filter(F.transform(texts, strip), lambda x: x != ""))
 
 
 def has_report_date(json: Column, expected: Column) -> Column:

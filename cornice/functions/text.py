@@ -158,13 +158,21 @@ def close_to(a: Column, b: Column, rtol: float = 1e-10, atol: float = 1e-8) -> C
     return F.when(a.isNull() | b.isNull(), a.isNull() & b.isNull()).otherwise(F.abs(a - b) <= atol + rtol * F.abs(b))
 
 
+#: Fixed phrases of a page that was refused.
+BLOCKED = ("access denied", "request has been blocked", "forbidden")
+
+
 def html_status(content: Column, least: int = 2048) -> Column:
-    """empty, too_small:<n, blocked or ok."""
-    head = F.lower(F.substring(content, 1, 4096))
-    blocked = head.rlike("access denied|request rate threshold|forbidden|service unavailable|automated access")
+    """empty, too_small:<n, blocked or ok of a page, text or bytes; phrases of refusal count in its first 4096 bytes.
+
+    The lenient parser reads any bytes, so no page is unparseable.
+    """
+    raw = content.cast("binary")
+    head = F.lower(F.make_valid_utf8(F.substring(raw, 1, 4096).cast("string")))
+    blocked = head.rlike("|".join(BLOCKED))
     return (
-        F.when(content.isNull() | (F.length(content) == 0), F.lit("empty"))
-        .when(F.octet_length(content) < least, F.lit(f"too_small:<{least}"))
+        F.when(content.isNull() | (F.length(raw) == 0), F.lit("empty"))
+        .when(F.length(raw) < least, F.lit(f"too_small:<{least}"))
         .when(blocked, F.lit("blocked"))
         .otherwise(F.lit("ok"))
     )

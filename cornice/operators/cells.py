@@ -197,7 +197,7 @@ def clean_bot(cells: DataFrame) -> DataFrame:
 
 #: Fixed words and weights of the compensation table scorer.
 COMP_WORDS = ("salary", "bonus", "stock", "option", "non-equity", "non equity", "incentive", "pension", "all other", "total", "compensation", "awards", "cash", "year")
-GRANT_WORDS = ("grant", "estimated future payouts")
+GRANT_WORDS = ("grant", "grant date", "estimated future payouts")
 
 
 def score_tables(cells: DataFrame, header_rows: int = 12, cues: tuple[int, int, int] = (7, 5, 2), grants: int = -4, titles_count: int = 4) -> DataFrame:

@@ -385,9 +385,17 @@ def search_auto(spark, d):
 # Documents and nested records
 
 
-@query("""SELECT page_id, CASE WHEN strlen(html) = 0 THEN 'empty' WHEN strlen(html) < 2048 THEN 'too_small:<2048' ELSE 'ok' END AS status, contains(lower(html), '<html') AS has_html FROM pages""")
+# Some pages are refused, in the first 4096 bytes or just beyond.
+_FETCHED = """CASE page_id % 7 WHEN 0 THEN '<p>Your Request Has Been BLOCKED' WHEN 1 THEN '403 Forbidden' WHEN 2 THEN repeat('é', 2048) || 'access denied' WHEN 3 THEN repeat('é', 2040) || 'Access Denied'
+  WHEN 4 THEN 'Automated access' ELSE '' END || html"""
+
+
+@query(f"""WITH p AS (SELECT page_id, {_FETCHED} AS html FROM pages) SELECT page_id, CASE WHEN strlen(html) = 0 THEN 'empty' WHEN strlen(html) < 2048 THEN 'too_small:<2048'
+  WHEN page_id % 7 <> 2 AND regexp_matches(html[1:2100], '(?i)access denied|request has been blocked|forbidden') THEN 'blocked' ELSE 'ok' END AS status,
+  contains(lower(html), '<html') AS has_html FROM p""")
 def html_check(spark, d):
-    return t(spark, d, "pages").select("page_id", T.html_status(F.col("html")).alias("status"), F.lower("html").contains("<html").alias("has_html"))
+    p = t(spark, d, "pages").select("page_id", F.expr(_FETCHED).alias("html"))
+    return p.select("page_id", T.html_status(F.col("html")).alias("status"), F.lower("html").contains("<html").alias("has_html"))
 
 
 @query("""SELECT page_id, len(regexp_extract_all(html, '<a href="([^"]*)"', 1))::BIGINT AS n_links, regexp_extract(html, '<a href="([^"]*)"', 1) AS first_link FROM pages""")

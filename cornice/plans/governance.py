@@ -207,7 +207,7 @@ def _report(k):
     pay = F.when(k % 9 == 8, "age").otherwise("salary")
     people = F.concat(F.lit('{"P'), k, F.lit('": {"2001": {"'), pay, F.lit('": 5}}}'))
     people = F.when(k % 9 == 5, F.lit("{}")).otherwise(people)
-    report = F.concat(F.lit('[{"report_date": "'), F.when(k % 9 == 7, "1901-01-01").otherwise(_day()), F.lit('", "executives": '), people, F.lit("}]"))
+    report = F.concat(F.lit('[{"report_date": "'), F.when(k % 9 == 7, "1901-01-01").when(k % 2 == 0, F.replace(_day(), F.lit("-"), F.lit("\\u002d"))).otherwise(_day()), F.lit('", "executives": '), people, F.lit("}]"))
     reports = F.when(k % 9 == 4, F.lit("[]")).otherwise(report)
     company = F.concat(F.lit('{"company": {"ticker": "'), F.when(k % 9 == 6, "zz").otherwise("abc"), F.lit('", "reports": '), reports, F.lit("}}"))
     return F.when(k % 9 == 1, F.lit('{"company": ')).when(k % 9 == 2, F.lit('{"raw_response": "x"}')).when(k % 9 == 3, F.lit('{"other": 1}')).otherwise(company)

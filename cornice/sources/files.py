@@ -28,13 +28,19 @@ def read_csv(spark: SparkSession, path: str, typed: bool = True, header: bool =
     return spark.read.csv(path, header=header, inferSchema=typed)
 
 
+def valid_text(content: F.Column) -> F.Column:
+    """Bytes as UTF-8 text without those that aren't valid; replacement characters of the text's own stay."""
+    mark, other = F.lit("\ufffd"), F.lit("\U0010ffff")
+    raw = F.replace(content.cast("string"), mark, other)
+    return F.replace(F.replace(F.make_valid_utf8(raw), mark, F.lit("")), other, mark)
+
+
 def filings(spark: SparkSession, root: str, extension: str = "html") -> DataFrame:
     """path, content, text, ticker, form, date of <root>/<ticker>/<form>/<date>_<form>.<extension>."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{extension}").load(root)
     raw = raw.where(~F.col("path").contains("/extracted/"))
     parts = file_parts(F.col("path"))
-    # Bytes that aren't UTF-8 are read as Latin-1.
-    text = F.when(F.is_valid_utf8(F.col("content").cast("string")), F.decode("content", "UTF-8")).otherwise(F.decode("content", "ISO-8859-1"))
+    text = valid_text(F.col("content"))
     return raw.select("path", "length", "content", text.alias("text"), *[c.alias(n) for n, c in parts.items() if n != "ext"])
 
 

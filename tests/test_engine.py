@@ -239,3 +239,37 @@ def test_enrichment_leaves_what_is_known(spark):
     assert (one.permno, one.gvkey, one.cusip, one.isDelisted, one.currency, one.sector_alt, one.industry_alt, one.location, one.source) == ("5", "000012", "Q", "false", "CAD", "Mining", "Old", "kept", "SEC, WRDS")
     assert got["2"].source is None and got["3"].permno is None and out.columns == rec.columns
     assert sorted((r.field, r.source) for r in log.collect()) == sorted([("permno", "WRDS.CRSP"), ("gvkey", "WRDS.LINK/COMP"), ("exchange", "WRDS.CRSP.MSF"), ("sector_alt", "WRDS.EXECUCOMP"), ("source", "WRDS")])
+
+
+def test_refused_pages(spark):
+    from cornice.functions.text import html_status
+
+    pages = ["request has been blocked", "Automated access, service unavailable", "x" * 4090 + "forbidden", "x" * 4087 + "FORBIDDEN", "é" * 2044 + "Access Denied", None, ""]
+    df = spark.createDataFrame([(i, p and p.ljust(5000)) for i, p in enumerate(pages)], "i int, p string")
+    got = [r.s for r in df.orderBy("i").select(html_status(F.col("p")).alias("s")).collect()]
+    assert got == ["blocked", "ok", "ok", "blocked", "ok", "empty", "empty"]
+    assert df.where("i = 0").select(html_status(F.col("p").cast("binary"), 6000).alias("s")).first().s == "too_small:<6000"
+
+
+def test_bytes_that_are_no_text_are_dropped(spark):
+    from cornice.sources.files import valid_text
+
+    raw = "aé�b".encode() + b"\xff\xe2\x82" + "€c".encode() + b"\xc3"
+    assert spark.createDataFrame([(bytearray(raw),)], "b binary").select(valid_text(F.col("b")).alias("t")).first().t == raw.decode("utf-8", "ignore") == "aé�b€c"
+
+
+def test_spans_up_to_the_limits_of_the_standard(spark):
+    from cornice.functions.htmlkit import cells_of, parse_tables
+
+    assert len(cells_of("<table><tr><td colspan=3000>x<td rowspan=2500>y")) == 1000 + 2500
+    df = spark.createDataFrame([(1, "<table>" + "<tr><td>a" * 40000 + "</table>"), (2, None), (3, "<table><tr><td>z")], "doc int, html string")
+    assert {r.doc: r["count"] for r in parse_tables(df).groupBy("doc").count().collect()} == {1: 40000, 3: 1}
+
+
+def test_footnote_free_headers(spark):
+    from cornice.functions.headers import footnote_free_header
+
+    raw = ["Name and Principal Position(1)", "Year (2)", "Yearly pay", "Incentive Plan Compen-\n sation ($)", "Incentive", "Deferred Compensation", "Stock/Award", None, " ", "All Other (3)"]
+    want = ["name_position", "fiscal_year", "yearly_pay", "non_equity_incentive", "incentive", "pension_value", "stock_awards", "", "", "all_other_comp"]
+    df = spark.createDataFrame(list(enumerate(raw)), "i int, h string")
+    assert [r.x for r in df.orderBy("i").select(footnote_free_header(F.col("h")).alias("x")).collect()] == want

@@ -20,6 +20,9 @@ def test_report_dates_at_any_depth(spark):
     text = '{"a": [{"Report_Date": " 2001-01-01 "}, {"report_date": ""}], "b": "say \\"report_date\\": \\"2002-02-02\\""}'
     assert one(spark, records.report_dates(F.lit(text))) == ["2001-01-01"]
     assert not one(spark, records.has_report_date(F.lit("{}"), F.lit("")))
+    text = r'[{"report_\u0064ate": "\u0032001"}, {"x": "\",\"report_date\":\"no"}, [{"REPORT_DATE": "a\"b\\"}], {"report_date": 5}]'
+    assert one(spark, records.report_dates(F.lit(text))) == ["2001", 'a"b\\']
+    assert one(spark, records.report_dates(F.lit('{"report_date": "2001"'))) == []
 
 
 def test_master_counts_of_lists_and_scalars(spark):
