@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut
 from .text import squeeze, strip
 
 HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
@@ -138,8 +139,11 @@ _TYPES = [pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.map_(pa.string(),
 _NAMES = [f.split()[0] for f in FIELDS.split(", ")]
 
 
-def parse_nodes(docs: DataFrame, key: str = "doc", html: str = "html") -> DataFrame:
-    """The nodes of each page; a null or empty page has none."""
+def parse_nodes(docs: DataFrame, key: str = "doc", html: str = "html", once: bool = True) -> DataFrame:
+    """The nodes of each page; a null or empty page has none.
+
+    once: the nodes are written to the checkpoint folder, as most operators read them several times.
+    """
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +163,8 @@ def parse_nodes(docs: DataFrame, key: str = "doc", html: str = "html") -> DataFr
         columns = [pa.array(c, t) for c, t in zip(zip(*rows), _TYPES, strict=True)]
         return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keys, pa.int32())), *columns], [key, *_NAMES])
 
-    return docs.select(F.col(key), F.col(html)).mapInArrow(run, f"{key} {kind}, {FIELDS}")
+    out = docs.select(F.col(key), F.col(html)).mapInArrow(run, f"{key} {kind}, {FIELDS}")
+    return cut(out) if once else out
 
 
 def elements(nodes: DataFrame, *tags: str) -> DataFrame:

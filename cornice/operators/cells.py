@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.headers import BOT_TOKENS, SCT_TOKENS, bot_header, hits, sct_header, table_kind
+from ..functions.records import base_name, merged_value
 from ..functions.text import DASHES, clean_text, name_and_position, strip, to_number_or_zero
+from ..session import cut
 from .sequence import fill_both, with_blocks
 
 KEY = ["doc", "table_idx"]
@@ -106,7 +108,7 @@ def clean_sct(cells: DataFrame) -> DataFrame:
     out, year rows, stacked rows apart, blanks to null, blocks, names joined and
     filled within blocks.
     """
-    c = cells.withColumn("text", clean_text(F.col("text")))
+    c = cut(cells.withColumn("text", clean_text(F.col("text"))))
     c = with_header(distinct_columns(distinct_rows(c)), SCT_TOKENS, 15)
     c = drop_empty(blanks_to_null(c.withColumn("name", sct_header(F.col("head")))))
     rows = to_rows(c)
@@ -127,12 +129,52 @@ def clean_sct(cells: DataFrame) -> DataFrame:
     return out.select(*KEY, "row_idx", "slot", "block", "executive", "position", "year", F.map_filter("values", lambda k, v: ~k.isin("name_position", "year")).alias("fields"))
 
 
-def sct_json(rows: DataFrame) -> DataFrame:
-    """doc, executives: map of name to map of year to fields; the last row of a name and year wins."""
-    last = rows.groupBy("doc", F.coalesce("executive", F.lit("unknown")).alias("executive"), F.coalesce(F.col("year").cast("string"), F.lit("unknown")).alias("year"))
+def merged_fields(cells: DataFrame) -> DataFrame:
+    """doc, table_idx, row_idx, fields map of named cells; columns of one name are merged from left to right.
+
+    A missing value (null, blank or zero) gives way to a later one, and equal numbers are
+    one.  A value that differs from the first of its name goes under the name with the
+    next free number from 2.  Names that differ only in such a number are one name.
+    """
+    named = unique_names(cells.where("name is not null")).withColumn("_base", base_name(F.col("name")))
+    parts = F.sort_array(F.collect_list(F.struct("col_idx", "name", "text")))
+    rows = named.groupBy(*KEY, "row_idx", "_base").agg(parts.alias("_p"))
+    first = F.struct(F.col("_p")[0]["text"].alias("value"), F.array().cast("array<string>").alias("others"))
+
+    def merge(acc, x):
+        got = merged_value(acc["value"], x["text"])
+        others = F.when(got["other"].isNotNull(), F.concat(acc["others"], F.array(got["other"]))).otherwise(acc["others"])
+        return F.struct(got["value"].alias("value"), others.alias("others"))
+
+    rows = rows.withColumn("_m", F.aggregate(F.slice("_p", F.lit(2), F.size("_p")), first, merge))
+    name = F.col("_p")[0]["name"]
+    # The first column may have a number itself, which is then taken.
+    taken = F.when(name != F.col("_base"), F.regexp_extract(name, r"_(\d+)$", 1).try_cast("int"))
+    number = lambda i: i + 2 + F.coalesce((i + 2 >= taken).cast("int"), F.lit(0))
+    others = F.transform(F.col("_m")["others"], lambda x, i: F.struct(F.concat("_base", F.lit("_"), number(i)).alias("name"), x.alias("value")))
+    entries = F.concat(F.array(F.struct(name.alias("name"), F.col("_m")["value"].alias("value"))), others)
+    fields = F.map_from_entries(F.sort_array(F.flatten(F.collect_list(entries))))
+    return rows.groupBy(*KEY, "row_idx").agg(fields.alias("fields"))
+
+
+def sct_json(rows: DataFrame, reports: DataFrame) -> DataFrame:
+    """doc, json of each report (doc, ticker, report_date): executive to year to fields, names and years in order.
+
+    Rows without a year are left out, those without an executive are of `unknown`; of
+    rows of one executive and year the last counts.
+    """
+    who = F.coalesce(F.nullif(strip(F.col("executive")), F.lit("")), F.lit("unknown"))
+    last = rows.where("year is not null").groupBy("doc", who.alias("executive"), F.col("year").cast("string").alias("year"))
     last = last.agg(F.max_by("fields", F.struct("table_idx", "row_idx", "slot")).alias("fields"))
-    years = last.groupBy("doc", "executive").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("year", F.to_json("fields").alias("f"))))).alias("years"))
-    return years.groupBy("doc").agg(F.map_from_entries(F.collect_list(F.struct("executive", "years"))).alias("executives"))
+    last = last.withColumn("fields", F.map_from_entries(F.array_sort(F.map_entries("fields"), lambda a, b: F.when(a["key"] < b["key"], -1).otherwise(1))))
+    text = lambda name, value: F.concat(F.substring(F.to_json(F.create_map(name, F.lit(1))), F.lit(2), F.length(F.to_json(F.create_map(name, F.lit(1)))) - 4), F.lit(":"), value)
+    group = lambda name: F.concat(F.lit("{"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(name, "_j"))), lambda x: text(x[name], x["_j"])), ","), F.lit("}"))
+    years = last.withColumn("_j", F.to_json("fields", {"ignoreNullFields": "false"})).groupBy("doc", "executive").agg(group("year").alias("_j"))
+    people = years.groupBy("doc").agg(group("executive").alias("_people"))
+    head = F.to_json(F.struct(F.upper("ticker").alias("ticker"), F.substring("report_date", 1, 4).alias("report_year")))
+    date = F.to_json(F.struct("report_date"))
+    inside = F.concat(F.lit('"summary_compensation_table":['), F.regexp_replace(date, r"\}$", ""), F.lit(',"executives":'), "_people", F.lit("}]"))
+    return reports.join(people, "doc").select("doc", F.concat(F.lit('{"company":'), F.regexp_replace(head, r"\}$", ","), inside, F.lit("}}")).alias("json"))
 
 
 #: Patterns of ownership columns' values, as the fallback rules use them.
@@ -176,6 +218,7 @@ def clean_bot(cells: DataFrame) -> DataFrame:
     have only a name are lines of its address.  Columns with a blank header and
     repeated name columns are named by their values.
     """
+    cells = cut(cells)
     kinds = row_texts(cells).groupBy(*KEY).agg(table_kind(F.array_join(F.collect_list("row_text"), " ")).alias("table_kind"))
     c = with_header(distinct_rows(cells.withColumn("text", strip(F.col("text")))), BOT_TOKENS, 10, blank=True)
     c = distinct_holder_names(fallback_names(c.withColumn("name", bot_header(F.col("head")))))
@@ -235,6 +278,11 @@ def guard_tables(cells: DataFrame) -> DataFrame:
     return good.groupBy("doc").agg(F.min("table_idx").alias("table_idx"))
 
 
+def scored_tables(cells: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Cells of the chosen tables (doc, table_idx), as `ownership.ownership_pair` gives them."""
+    return cells.join(chosen.select(*KEY), KEY, "left_semi")
+
+
 def ownership_tables(cells: DataFrame, cap: int | None = None) -> DataFrame:
     """doc, table_idx of tables with an ownership row and two rows of two filled cells."""
     t = F.col("row_text")

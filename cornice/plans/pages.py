@@ -7,20 +7,23 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.htmlkit import parse_tables
 from ..functions.nodes import HEADINGS, elements, parse_nodes
+from ..operators import cells as C
+from ..operators import extract_index as X
 from ..operators import header_runs as H
 from ..operators import members as M
 from ..operators import narrative as N
 from ..operators import ownership as O
 from ..operators import pages as P
 from ..operators import sections as S
-from .catalog import query, t
+from .catalog import _table, query, t
 
 
 @query(r"""SELECT page_id, len(regexp_extract_all(html, '<a[ >]'))::BIGINT AS n_links, len(regexp_extract_all(html, '<h[1-6][ >]'))::BIGINT AS n_headings,
   len(regexp_extract_all(html, '<(?:tr|td|th|table)[ >]'))::BIGINT AS n_table_nodes FROM pages WHERE regexp_matches(html, '<[a-zA-Z]')""")
 def page_nodes(spark, d):
-    n = parse_nodes(t(spark, d, "pages"), "page_id")
+    n = parse_nodes(t(spark, d, "pages"), "page_id", once=False)
     count = lambda *tags: F.count_if(F.col("tag").isin(*tags))
     return n.groupBy("page_id").agg(count("a").alias("n_links"), count(*HEADINGS).alias("n_headings"), count("tr", "td", "th", "table").alias("n_table_nodes"))
 
@@ -270,3 +273,90 @@ def page_tables(spark, d):
 def class_cascade(spark, d):
     texts = t(spark, d, "orders").withColumn("k", F.col("o_orderkey")).select("k", F.expr(_FILING).alias("text"))
     return N.file_classes(texts, "k", "text", _pages(spark, d), "html", "n")
+
+
+# A supplier's page: a table of holders, after one of meetings for every second.
+@query("""WITH s AS (SELECT s_suppkey AS k, s_name, CASE WHEN s_suppkey % 2 = 0 THEN 1 ELSE 0 END AS i FROM supplier)
+  SELECT k::VARCHAR AS doc, i::INT AS table_idx, s_name AS name, k || ' Main St, Erie' AS address, (k + 1) || ',000' AS shares, (k % 90) || '.5%' AS percent FROM s
+  UNION ALL SELECT k::VARCHAR, i::INT, 'All directors as a group', NULL, (k + 2) || ',000', '3.0%' FROM s""")
+def bot_scored(spark, d):
+    k = F.col("s_suppkey")
+    holders = _table(
+        ["Name of Beneficial Owner", "Number of Shares", "Percent of Class"], [F.col("s_name"), F.concat(k + 1, F.lit(",000")), F.concat((k % 90).cast("string"), F.lit(".5%"))],
+        [F.concat(k, F.lit(" Main St, Erie")), "", ""], ["All directors as a group", F.concat(k + 2, F.lit(",000")), "3.0%"],
+    )
+    html = F.concat(F.when(k % 2 == 0, _table(["Meeting", "Place", "Owner"], ["vesting", "exercise price", "rsu vest"])).otherwise(""), holders)
+    pages = t(spark, d, "supplier").select(k.cast("string").alias("doc"), html.alias("html"))
+    chosen = O.ownership_pair(O.scored_ownership(parse_nodes(pages), "doc"), "doc", k=1)
+    return C.clean_bot(C.scored_tables(parse_tables(pages), chosen)).select("doc", "table_idx", "name", "address", "shares", "percent")
+
+
+# Five columns of which three are salaries.
+_MERGED = ["CASE k % 3 WHEN 0 THEN NULL WHEN 1 THEN '0.0' ELSE '12' END", "o_orderpriority", "CASE k % 4 WHEN 0 THEN '12.0' WHEN 1 THEN ' ' WHEN 2 THEN 'x' ELSE '7' END", "'5'", "CASE k % 5 WHEN 0 THEN '7' WHEN 1 THEN '' WHEN 2 THEN 'x' WHEN 3 THEN '12' END"]
+
+
+def _missing(c):
+    return f"({c} IS NULL OR trim({c}) = '' OR coalesce(TRY_CAST({c} AS DOUBLE) = 0, false))"
+
+
+def _merge_sql(a, b):
+    same = f"({a} = {b} OR coalesce(TRY_CAST({a} AS DOUBLE) = TRY_CAST({b} AS DOUBLE), false))"
+    return f"CASE WHEN {_missing(a)} THEN {b} ELSE {a} END", f"CASE WHEN NOT {_missing(a)} AND NOT {_missing(b)} AND NOT {same} THEN {b} END"
+
+
+@query(f"""WITH o AS (SELECT o_orderkey AS k, {', '.join(f'{x} AS c{i}' for i, x in enumerate(_MERGED)).replace('k %', 'o_orderkey %')} FROM orders),
+  a AS (SELECT *, {_merge_sql('c0', 'c2')[0]} AS v1, {_merge_sql('c0', 'c2')[1]} AS o1 FROM o),
+  b AS (SELECT *, {_merge_sql('v1', 'c4')[0]} AS v2, {_merge_sql('v1', 'c4')[1]} AS o2 FROM a)
+  SELECT k, v2 AS salary, coalesce(o1, o2) AS salary_2, CASE WHEN o1 IS NOT NULL THEN o2 END AS salary_3, c1 AS bonus, c3 AS units_7 FROM b""")
+def merged_fields(spark, d):
+    names = ["salary", "bonus", "salary", "units_7", "salary"]
+    cells = F.array(*[F.struct(F.lit(i).alias("col_idx"), F.lit(n).alias("name"), F.expr(x).alias("text")) for i, (n, x) in enumerate(zip(names, _MERGED, strict=True))])
+    rows = t(spark, d, "orders").withColumn("k", F.col("o_orderkey")).select(F.col("o_custkey").alias("doc"), F.lit(0).alias("table_idx"), F.col("k").alias("row_idx"), F.inline(cells))
+    f = F.col("fields")
+    return C.merged_fields(rows).select(F.col("row_idx").alias("k"), *[f[n].alias(n) for n in ("salary", "salary_2", "salary_3", "bonus", "units_7")])
+
+
+@query("""WITH o AS (SELECT *, o_orderkey AS k, CASE o_orderkey % 3 WHEN 0 THEN '' WHEN 1 THEN 'A. Roe' ELSE 'B "Bo" Poe' END AS who FROM orders WHERE o_orderkey % 8 > 0),
+  l AS (SELECT *, CASE who WHEN '' THEN 'unknown' ELSE who END AS executive FROM o QUALIFY row_number() OVER (PARTITION BY o_custkey, who, year(o_orderdate) ORDER BY k DESC) = 1),
+  y AS (SELECT o_custkey, executive, string_agg('"' || year(o_orderdate) || '":{"bonus":' || CASE WHEN k % 2 = 0 THEN 'null' ELSE '"' || k || '"' END || ',"position":"' || o_orderpriority || '"}', ',' ORDER BY year(o_orderdate)) AS j FROM l GROUP BY 1, 2),
+  e AS (SELECT o_custkey, string_agg(to_json(executive) || ':{' || j || '}', ',' ORDER BY executive) AS j FROM y GROUP BY 1)
+  SELECT o_custkey AS doc, '{"company":{"ticker":"T' || o_custkey || '","report_year":"2001","summary_compensation_table":[{"report_date":"2001-02-03","executives":{' || j || '}}]}}' AS json FROM e""")
+def sct_json(spark, d):
+    k = F.col("o_orderkey")
+    who = F.when(k % 3 == 0, " ").when(k % 3 == 1, "A. Roe").otherwise('B "Bo" Poe')
+    fields = F.create_map(F.lit("position"), F.col("o_orderpriority"), F.lit("bonus"), F.when(k % 2 == 1, k.cast("string")))
+    rows = t(spark, d, "orders").select(F.col("o_custkey").alias("doc"), F.lit(0).alias("table_idx"), k.alias("row_idx"), F.lit(0).alias("slot"), who.alias("executive"), F.when(k % 8 > 0, F.year("o_orderdate")).alias("year"), fields.alias("fields"))
+    reports = t(spark, d, "customer").select(F.col("c_custkey").alias("doc"), F.concat(F.lit("t"), "c_custkey").alias("ticker"), F.lit("2001-02-03").alias("report_date"))
+    return C.sct_json(rows, reports)
+
+
+# Each order is a record on a filing of its customer, of one of four kinds.
+_RECORDS = """WITH r AS (SELECT 'T' || o_custkey AS ticker, CASE o_orderkey % 2 WHEN 0 THEN 'DEF 14A' ELSE '10-K' END AS form, year(o_orderdate)::VARCHAR AS report_date, o_orderkey AS k,
+    CASE o_orderkey % 4 WHEN 0 THEN 'csv' WHEN 1 THEN 'bo' WHEN 2 THEN 'txt' ELSE 'status' END AS kind FROM orders),
+  e AS (SELECT ticker, form, report_date, max(k) AS "at", arg_max('s' || k % 5, k) AS status, arg_max('c' || k, k) FILTER (kind = 'csv') AS csv_relpath,
+    arg_max({'v': CASE WHEN k % 3 > 0 THEN k END}, k) FILTER (kind = 'csv') AS csv_r, arg_max(CASE k % 5 WHEN 0 THEN '' ELSE 't' || k END, k) FILTER (kind = 'txt') AS txt_relpath,
+    arg_max(k % 3 + 1, k) FILTER (kind = 'bo') AS n_bo, arg_max('p' || k, k) FILTER (kind = 'csv' AND k % 8 = 0) AS parquet_relpath FROM r GROUP BY 1, 2, 3)"""
+
+
+def _records(spark, d):
+    k = F.col("o_orderkey")
+    kind = F.element_at(F.array(*map(F.lit, ("csv", "bo", "txt", "status"))), (k % 4 + 1).cast("int"))
+    of = lambda name, c: F.when(kind == name, c)
+    return t(spark, d, "orders").select(
+        F.concat(F.lit("T"), "o_custkey").alias("ticker"), F.when(k % 2 == 0, "DEF 14A").otherwise("10-K").alias("form"), F.year("o_orderdate").cast("string").alias("report_date"), k.alias("at"), kind.alias("kind"),
+        F.concat(F.lit("s"), k % 5).alias("status"), of("csv", F.concat(F.lit("c"), k)).alias("csv_relpath"), of("csv", F.when(k % 3 > 0, k)).alias("csv_rows"), of("txt", F.when(k % 5 == 0, "").otherwise(F.concat(F.lit("t"), k))).alias("txt_relpath"),
+        of("bo", F.array_repeat(F.lit("b"), (k % 3 + 1).cast("int"))).alias("bo_html_relpaths"), of("csv", F.when(k % 8 == 0, F.concat(F.lit("p"), k))).alias("parquet_relpath"),
+    )
+
+
+@query(_RECORDS + """ SELECT ticker, form, report_date, "at", status, csv_relpath, csv_r.v AS csv_rows, txt_relpath, n_bo::INT AS n_bo, parquet_relpath FROM e""")
+def extraction_entries(spark, d):
+    rows, k = _records(spark, d), F.col("at")
+    entries = X.fold_into(X.folded_entries(rows.where(k < 7000)), rows.where(k >= 7000))
+    return entries.select("ticker", "form", "report_date", "at", "status", "csv_relpath", "csv_rows", "txt_relpath", F.size("bo_html_relpaths").alias("n_bo"), "parquet_relpath")
+
+
+@query(_RECORDS + """ SELECT ticker, form, count(*) AS n_entries, count(csv_relpath) AS count_csv, count(nullif(txt_relpath, '')) AS count_txt, count(parquet_relpath) AS count_parquet, coalesce(sum(n_bo), 0)::BIGINT AS count_bo
+  FROM e GROUP BY ROLLUP (ticker, form)""")
+def extraction_counts(spark, d):
+    return X.entry_counts(X.folded_entries(_records(spark, d)))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = str(Path(__file__).resolve().parent.parent)
 
@@ -37,3 +38,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     for key, value in options.items():
         builder = builder.config(key, str(value))
     return share_path(builder.getOrCreate())
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df written once to the checkpoint folder, so that steps which use it more than once don't work it out each time.
+
+    The folder is the one that spark.checkpoint.dir names; in local mode without it, a temporary one.
+    """
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        found = sc.getConf().get("spark.checkpoint.dir")
+        if not found and (not sc.master.startswith("local") or sc.master.startswith("local-cluster")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(found or f"file://{tempfile.mkdtemp(prefix='cornice-')}")
+    return df.checkpoint()

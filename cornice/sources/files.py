@@ -44,6 +44,23 @@ def filings(spark: SparkSession, root: str, extension: str = "html") -> DataFram
     return raw.select("path", "length", "content", text.alias("text"), *[c.alias(n) for n, c in parts.items() if n != "ext"])
 
 
+def _path(spark: SparkSession, path: str):
+    """A path and its file system by Hadoop's API, which knows any store."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none if it isn't there."""
+    at, store = _path(spark, path)
+    return sorted(f.getPath().getName() for f in store.listStatus(at)) if store.exists(at) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    at, store = _path(spark, path)
+    store.delete(at, True)
+
+
 def tickers_with(files: DataFrame) -> DataFrame:
     return files.where(~F.col("ticker").startswith(".")).select(F.upper("ticker").alias("ticker")).distinct().orderBy("ticker")
 

