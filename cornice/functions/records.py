@@ -19,7 +19,6 @@ PAY_KEYS = ("salary", "bonus", "stock_awards", "option_awards", "non_equity_ince
 LISTED = r"\b([A-Z0-9.\-]+) \(([^)]+)\) Start Date:\d{4}-\d{2}-\d{2}"
 ARCHIVE = "https://www.sec.gov/Archives/edgar/data/"
 SUBMISSIONS = "https://data.sec.gov/submissions/CIK"
-REPORT = "company struct<ticker:string,reports:array<struct<report_date:string,executives:map<string,map<string,map<string,string>>>>>>"
 
 
 def year_between(date: Column, first: int, last: int) -> Column:
@@ -146,11 +145,15 @@ def salvaged(response: Column) -> Column:
 
 def report_reason(json: Column, ticker: Column, date: Column) -> Column:
     """ok, or the first thing wrong with a report: its shape, its ticker or date against the file's, or no pay field."""
-    keys = F.json_object_keys(json)
-    company = F.from_json(json, REPORT)["company"]
-    first = F.get(company["reports"], F.lit(0))
-    people = F.map_values(first["executives"])
-    pay = F.exists(people, lambda years: F.exists(F.map_values(years), lambda rec: F.arrays_overlap(F.map_keys(rec), F.array(*map(F.lit, PAY_KEYS)))))
+    parsed, keys = F.try_parse_json(json), F.json_object_keys(json)
+    at = lambda v, path, kind: F.try_variant_get(v, path, kind)
+    members = lambda v: F.map_values(F.coalesce(at(v, "$", "map<string,variant>"), F.create_map().cast("map<string,variant>")))
+    company, reports = at(parsed, "$.company", "map<string,variant>"), at(parsed, "$.company.reports", "array<variant>")
+    people = F.map_values(at(parsed, "$.company.reports[0].executives", "map<string,variant>"))
+    # A person or a year that isn't an object has no fields, and leaves the others' be.
+    fields = lambda v: F.map_keys(F.coalesce(at(v, "$", "map<string,variant>"), F.create_map().cast("map<string,variant>")))
+    pay = F.exists(people, lambda years: F.exists(members(years), lambda rec: F.arrays_overlap(fields(rec), F.array(*map(F.lit, PAY_KEYS)))))
+    given_ticker, given_date = at(parsed, "$.company.ticker", "string"), at(parsed, "$.company.reports[0].report_date", "string")
 
     def differ(a: Column, b: Column) -> Column:
         return F.coalesce((a != "") & (b != "") & (a != b), F.lit(False))
@@ -159,10 +162,10 @@ def report_reason(json: Column, ticker: Column, date: Column) -> Column:
         F.when(F.try_parse_json(json).isNull(), "json_parse_error")
         .when(F.arrays_overlap(keys, F.array(F.lit("raw_response"), F.lit("parse_error"))), "raw_or_parse_error_present")
         .when(company.isNull(), "missing_company")
-        .when(F.coalesce(F.size(company["reports"]), F.lit(0)) <= 0, "missing_reports")
+        .when(F.coalesce(F.size(reports), F.lit(0)) <= 0, "missing_reports")
         .when(F.coalesce(F.size(people), F.lit(0)) <= 0, "empty_executives")
-        .when(differ(F.upper(ticker), F.upper(company["ticker"])), "ticker_mismatch")
-        .when(differ(date, first["report_date"]), "date_mismatch")
+        .when(differ(F.upper(ticker), F.upper(given_ticker)), "ticker_mismatch")
+        .when(differ(date, given_date), "date_mismatch")
         .when(F.coalesce(pay, F.lit(False)), "ok")
         .otherwise("no_numeric_fields")
     )

@@ -6,6 +6,8 @@ names are canonical and unique.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,14 +103,16 @@ def expand_stacked(rows: DataFrame, numeric: tuple[str, ...] = PAY) -> DataFrame
     return rows.select(*KEY, "row_idx", F.col("_slot").alias("slot"), put.alias("values"))
 
 
-def clean_sct(cells: DataFrame) -> DataFrame:
+def clean_sct(cells: DataFrame, dump: Callable[[str, DataFrame], DataFrame] = lambda stage, df: df) -> DataFrame:
     """Compensation rows: doc, table_idx, row_idx, slot, block, executive, year, extras map of texts.
 
+    dump is given the stages `combined` and `cleaned` and gives them back (sources.files.StageDumps writes them).
+
     Order of steps: clean, distinct rows and columns, header, names, empty ones
     out, year rows, stacked rows apart, blanks to null, blocks, names joined and
     filled within blocks.
     """
-    c = cut(cells.withColumn("text", clean_text(F.col("text"))))
+    c = cut(dump("combined", cells).withColumn("text", clean_text(F.col("text"))))
     c = with_header(distinct_columns(distinct_rows(c)), SCT_TOKENS, 15)
     c = drop_empty(blanks_to_null(c.withColumn("name", sct_header(F.col("head")))))
     rows = to_rows(c)
@@ -126,7 +130,8 @@ def clean_sct(cells: DataFrame) -> DataFrame:
     names = named.groupBy(*KEY, "block").agg(joined.alias("_all")).withColumn("_split", name_and_position(F.col("_all")))
     out = rows.join(names, [*KEY, "block"]).withColumn("executive", F.col("_split.name")).withColumn("position", F.nullif(F.col("_split.position"), F.lit("")))
     out = fill_both(out, [*KEY, "block"], "_order", ["executive"])
-    return out.select(*KEY, "row_idx", "slot", "block", "executive", "position", "year", F.map_filter("values", lambda k, v: ~k.isin("name_position", "year")).alias("fields"))
+    out = out.select(*KEY, "row_idx", "slot", "block", "executive", "position", "year", F.map_filter("values", lambda k, v: ~k.isin("name_position", "year")).alias("fields"))
+    return dump("cleaned", out)
 
 
 def merged_fields(cells: DataFrame) -> DataFrame:
@@ -269,6 +274,20 @@ def best_table(cells: DataFrame) -> DataFrame:
     return cells.join(top.select(*KEY), KEY, "left_semi")
 
 
+def extracted_tables(cells: DataFrame, mode: str = "xpath") -> DataFrame:
+    """Cells of each document's pay table: by its header rows (xpath), by its points (score), or by points and else by its header rows (both)."""
+    if mode not in ("xpath", "score", "both"):
+        raise ValueError(f"no such mode: {mode}")
+    if mode == "score":
+        return best_table(cells)
+    guarded = guard_tables(cells)
+    if mode == "xpath":
+        return cells.join(guarded, KEY, "left_semi")
+    scored = best_table(cells)
+    missed = guarded.join(scored.select("doc").distinct(), "doc", "left_anti")
+    return scored.unionByName(cells.join(missed, KEY, "left_semi"))
+
+
 def guard_tables(cells: DataFrame) -> DataFrame:
     """doc, table_idx of the first table with a row on name that also names principal and position, or whose next row does."""
     w = Window.partitionBy(*KEY).orderBy("row_idx")

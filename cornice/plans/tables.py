@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import records as R
+from ..operators import cells as C
 from ..operators import tables as T
+from ..sources import warehouse as W
 from ..streaming.increments import windowed_counts
-from .catalog import query, t
+from .catalog import _filings, query, t
 
 
 @query("""WITH s AS (SELECT o_custkey, o_orderkey, (o_orderkey % 10)::INTEGER AS score, o_orderkey % 3 = 0 AS titled FROM orders),
@@ -152,3 +154,68 @@ def event_windows(spark, d):
     last = events.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_type").agg(R.utc_seconds(F.max("ts")).alias("last"))
     counted = windowed_counts(events, "ts", "event_type").select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "event_type", "n")
     return counted.join(last, ["day", "event_type"])
+
+
+# Warehouse tables made of orders: a column's value is its name and the order.
+
+
+def _wide(spark, d, columns, year):
+    k = F.col("o_orderkey")
+    made = [F.concat(F.lit(f"{c} "), k).alias(c) for c in columns if c not in ("ticker", "year", "tic", "fyear")]
+    return t(spark, d, "orders").select(k.alias("k"), *made, F.concat(F.lit("T"), F.col("o_custkey") % 100).alias("ticker"), F.year("o_orderdate").alias(year), F.lit("extra").alias("other_column"))
+
+
+def _tickers(spark, d):
+    return t(spark, d, "customer").where("c_custkey % 4 <> 1 and c_custkey < 90").select(F.concat(F.lit("t"), "c_custkey").alias("x"))
+
+
+def _wide_sql(columns):
+    """The same columns joined, but for ticker and year, which are themselves."""
+    parts = [c if c in ("ticker", "year") else f"'{c} ' || k" for c in columns]
+    return f"""WITH o AS (SELECT o_orderkey AS k, 'T' || o_custkey % 100 AS ticker, year(o_orderdate) AS year FROM orders)
+  SELECT md5({" || '|' || ".join(parts)}) AS digest, ticker, year::INT AS year FROM o
+  WHERE year BETWEEN 1995 AND 1997 AND ticker IN (SELECT 'T' || c_custkey FROM customer WHERE c_custkey % 4 <> 1 AND c_custkey < 90)"""
+
+
+def _digest(df, columns):
+    return df.select(F.md5(F.concat_ws("|", *columns)).alias("digest"), "ticker", "year")
+
+
+@query(_wide_sql(W.ANNUAL_COMPENSATION))
+def annual_compensation(spark, d):
+    return _digest(W.annual_compensation(_wide(spark, d, W.ANNUAL_COMPENSATION, "year"), _tickers(spark, d), 1995, 1997), W.ANNUAL_COMPENSATION)
+
+
+@query(_wide_sql(W.DIRECTOR_COMPENSATION))
+def director_compensation(spark, d):
+    return _digest(W.director_compensation(_wide(spark, d, W.DIRECTOR_COMPENSATION, "year"), _tickers(spark, d), 1995, 1997), W.DIRECTOR_COMPENSATION)
+
+
+@query("""SELECT o_orderkey, 'T' || o_custkey % 100 AS tic, year(o_orderdate)::INT AS fyear, CASE WHEN o_orderkey % 2 = 0 THEN 'INDL' ELSE 'FS' END AS indfmt FROM orders
+  WHERE o_orderkey % 2 = 0 AND o_orderkey % 3 > 0 AND o_orderkey % 5 > 0 AND o_orderkey % 7 > 0 AND year(o_orderdate) BETWEEN 1992 AND 1996""")
+def annual_fundamentals(spark, d):
+    k = F.col("o_orderkey")
+    funda = t(spark, d, "orders").select(
+        k, F.concat(F.lit("T"), F.col("o_custkey") % 100).alias("tic"), F.year("o_orderdate").alias("fyear"), F.when(k % 2 == 0, "INDL").otherwise("FS").alias("indfmt"),
+        F.when(k % 3 > 0, "STD").alias("datafmt"), F.when(k % 5 > 0, "D").otherwise("I").alias("popsrc"), F.when(k % 7 > 0, "C").otherwise("N").alias("consol"),
+    )
+    return W.annual_fundamentals(funda, None, last=1996).select("o_orderkey", "tic", "fyear", "indfmt")
+
+
+@query("""WITH o AS (SELECT 'T' || o_custkey % 100 AS ticker, year(o_orderdate) AS y FROM orders), w AS (SELECT DISTINCT CASE WHEN c_custkey % 5 = 0 THEN '' ELSE 'T' || c_custkey END AS ticker FROM customer),
+  a AS (SELECT ticker, count(*) AS n FROM o WHERE y = 1995 GROUP BY 1), b AS (SELECT ticker, count(*) AS n FROM o WHERE y BETWEEN 1996 AND 1997 AND ticker < 'T5' GROUP BY 1)
+  SELECT w.ticker, coalesce(a.n, 0) AS n_annual, coalesce(b.n, 0) AS n_director,
+    CASE WHEN w.ticker = '' THEN 'invalid' WHEN a.n > 0 AND b.n > 0 THEN 'downloaded' WHEN a.n > 0 OR b.n > 0 THEN 'partial' ELSE 'no_data' END AS status FROM w LEFT JOIN a USING (ticker) LEFT JOIN b USING (ticker)""")
+def batch_outcomes(spark, d):
+    listed = t(spark, d, "customer").select(F.when(F.col("c_custkey") % 5 > 0, F.concat(F.lit(" t"), "c_custkey", F.lit(" "))).alias("x"))
+    annual = W.annual_compensation(_wide(spark, d, W.ANNUAL_COMPENSATION, "year"), listed.select(F.trim("x").alias("x")), 1995, 1995)
+    director = W.director_compensation(_wide(spark, d, W.DIRECTOR_COMPENSATION, "year").where("ticker < 'T5'"), listed.select(F.trim("x").alias("x")), 1996, 1997)
+    return W.batch_outcomes(listed, {"annual": annual, "director": director})
+
+
+@query("""SELECT m.mode, c_custkey::VARCHAR AS doc, (c_custkey % 3 = 0)::INT AS table_idx, (CASE WHEN c_custkey % 5 = 0 THEN 25 ELSE 20 END)::BIGINT AS n_cells
+  FROM customer, (VALUES ('xpath'), ('score'), ('both')) m(mode)""")
+def extractor_modes(spark, d):
+    cells = _filings(spark, d)
+    parts = [C.extracted_tables(cells, mode).select(F.lit(mode).alias("mode"), "doc", "table_idx") for mode in ("xpath", "score", "both")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("mode", "doc", "table_idx").agg(F.count("*").alias("n_cells"))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import file_parts, form_folder
+from ..session import cut
 
 
 def tables(spark: SparkSession, folder: str, names: list[str]) -> dict[str, DataFrame]:
@@ -19,11 +21,6 @@ def tables(spark: SparkSession, folder: str, names: list[str]) -> dict[str, Data
     return out
 
 
-def warehouse(spark: SparkSession, url: str, query: str, properties: dict[str, str]) -> DataFrame:
-    """A query of a PostgreSQL warehouse over JDBC; credentials come with the properties."""
-    return spark.read.format("jdbc").option("url", url).option("query", query).options(**properties).load()
-
-
 def read_csv(spark: SparkSession, path: str, typed: bool = True, header: bool = True) -> DataFrame:
     return spark.read.csv(path, header=header, inferSchema=typed)
 
@@ -85,6 +82,17 @@ def master_records(spark: SparkSession, path: str, fields: list[str]) -> DataFra
     return rows.select("id", *[F.col("rec")[f].alias(f) for f in fields])
 
 
+def master_lines(spark: SparkSession, path: str, fields: list[str]) -> DataFrame:
+    """id and fields of a master kept as JSON lines with an id each, which any number of tasks read; a line that is no record is left out."""
+    rows = spark.read.schema(", ".join(["id string", *[f"`{f}` string" for f in fields], "_corrupt_record string"])).json(path)
+    return rows.where("_corrupt_record is null and id is not null").drop("_corrupt_record")
+
+
+def write_master(df: DataFrame, path: str, id_column: str = "id") -> None:
+    """A master as JSON lines, for master_lines()."""
+    df.withColumn("id", F.col(id_column).cast("string")).write.mode("overwrite").json(path)
+
+
 def column_catalog(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("column string, name string, description string").json(path, multiLine=True)
 
@@ -140,3 +148,27 @@ def export_version(df: DataFrame, folder: str, version: str) -> str:
     path = f"{folder}/version={version}"
     df.write.mode("errorifexists").json(path)
     return path
+
+
+def routed(df: DataFrame, kind: str, sinks: dict[str, Callable[[DataFrame], None]]) -> DataFrame:
+    """Each row to the sink of its kind; the rows are worked out once.  Gives kind, n, written; rows without a sink are counted only."""
+    df = cut(df)
+    for name, sink in sinks.items():
+        sink(df.where(F.col(kind) == name))
+    return df.groupBy(kind).agg(F.count("*").alias("n")).withColumn("written", F.coalesce(F.col(kind).isin(*sinks), F.lit(False)))
+
+
+class StageDumps:
+    """Tables of chosen stages as CSV with a header under <folder>/<stage>, for a look at what a cleaning does; none by default."""
+
+    def __init__(self, folder: str | None = None, stages: tuple[str, ...] = ()):
+        self.folder, self.stages = folder, stages
+
+    def __call__(self, stage: str, df: DataFrame) -> DataFrame:
+        """The same table; one that is dumped is worked out once for that and for what follows."""
+        if self.folder is None or stage not in self.stages:
+            return df
+        df = cut(df)
+        flat = [F.to_json(f.name).alias(f.name) if f.dataType.typeName() in ("map", "array", "struct") else F.col(f.name) for f in df.schema.fields]
+        df.select(*flat).write.mode("overwrite").csv(f"{self.folder}/{stage}", header=True)
+        return df

@@ -16,6 +16,13 @@ def test_report_reason_on_nulls(spark):
     assert one(spark, records.report_reason(F.lit('{"company": 3}'), none, none)) == "missing_company"
 
 
+def test_one_bad_person_leaves_the_others_be(spark):
+    report = '{"company": {"ticker": "A", "reports": [{"report_date": "d", "executives": {"X": 5, "Y": {"2001": 7, "2002": {"salary": [1]}}, "Z": null}}]}}'
+    assert one(spark, records.report_reason(F.lit(report), F.lit("a"), F.lit("d"))) == "ok"
+    assert one(spark, records.report_reason(F.lit(report.replace("salary", "pay")), F.lit("a"), F.lit("d"))) == "no_numeric_fields"
+    assert one(spark, records.report_reason(F.lit(report.replace('[{"rep', '["x", {"rep')), F.lit("a"), F.lit("d"))) == "empty_executives"
+
+
 def test_report_dates_at_any_depth(spark):
     text = '{"a": [{"Report_Date": " 2001-01-01 "}, {"report_date": ""}], "b": "say \\"report_date\\": \\"2002-02-02\\""}'
     assert one(spark, records.report_dates(F.lit(text))) == ["2001-01-01"]

@@ -149,3 +149,63 @@ def test_bucketed_index_rewrites_what_it_touches(spark, tmp_path):
     assert [f for f in children(spark, f"{path}/data/v1") if f.startswith("bucket=")] == []
     assert len([f for f in children(spark, f"{path}/data/v0") if f.startswith("bucket=")]) == 7
     assert "v0" not in children(spark, f"{path}/manifest")
+
+
+def test_warehouse_conditions_and_outcomes(spark, tmp_path):
+    from cornice.sources import warehouse as W
+
+    assert W.in_lists("tic", ["A", "O'N", "A", "B"], 2) == ["tic IN ('A', 'O''N')", "tic IN ('B')"] and W.in_lists("t", []) == []
+    assert len(W.ANNUAL_COMPENSATION) == len(set(W.ANNUAL_COMPENSATION)) and len(W.DIRECTOR_COMPENSATION) == len(set(W.DIRECTOR_COMPENSATION))
+    wanted = spark.createDataFrame([("a",), ("A ",), (None,), (" ",), ("b",), ("c",)], "x string")
+    one, two = (spark.createDataFrame(r, "ticker string, v int") for r in ([("A", 1), ("A", 2), ("B", 1)], [("A", 1)]))
+    got = {r.ticker: (r.n_one, r.n_two, r.status) for r in W.batch_outcomes(wanted, {"one": one, "two": two}).collect()}
+    assert got == {"A": (2, 1, "downloaded"), "B": (1, 0, "partial"), "C": (0, 0, "no_data"), "": (0, 0, "invalid")}
+    W.write_batch({"one": one}, str(tmp_path / "out"))
+    assert sorted((r.ticker, r.v) for r in files.read_csv(spark, str(tmp_path / "out" / "one")).collect()) == [("A", 1), ("A", 2), ("B", 1)]
+
+
+def test_routed_rows_and_stage_dumps(spark, tmp_path):
+    df = spark.createDataFrame([("table", "a"), ("narrative", "b"), ("narrative", "c"), (None, "d"), ("x", "e")], "kind string, body string")
+    to = lambda n: str(tmp_path / n)
+    done = files.routed(df, "kind", {"table": lambda x: files.export_parquet(x, to("t")), "narrative": lambda x: files.export_lines(x, "body", to("n"))})
+    assert {(r.kind, r.n, r.written) for r in done.collect()} == {("table", 1, True), ("narrative", 2, True), (None, 1, False), ("x", 1, False)}
+    assert sorted(r.value for r in spark.read.text(to("n")).collect()) == ["b", "c"] and spark.read.parquet(to("t")).count() == 1
+    rows = spark.createDataFrame([(1, {"a": "b"}, None)], "i int, m map<string,string>, s string")
+    dumps = files.StageDumps(str(tmp_path / "d"), ("cleaned",))
+    assert dumps("combined", rows) is rows and not (tmp_path / "d").exists()
+    assert dumps("cleaned", rows).collect() == rows.collect()
+    got = spark.read.csv(str(tmp_path / "d" / "cleaned"), header=True).first()
+    assert (got.i, got.m, got.s) == ("1", '{"a":"b"}', None)
+    assert files.StageDumps()("cleaned", rows) is rows
+
+
+def test_cleaning_dumps_its_stages(spark, tmp_path):
+    from cornice.operators import cells as C
+
+    table = [["Name and Principal Position", "Year", "Salary"], ["Ann Roe", "2001", "5"]]
+    df = spark.createDataFrame([("d", 0, r, c, x) for r, row in enumerate(table) for c, x in enumerate(row)], "doc string, table_idx int, row_idx int, col_idx int, text string")
+    out = C.clean_sct(df, files.StageDumps(str(tmp_path), ("combined", "cleaned"))).collect()
+    assert len(out) == 1 and len(spark.read.csv(str(tmp_path / "combined"), header=True).collect()) == 6
+    assert spark.read.csv(str(tmp_path / "cleaned"), header=True).first().executive == "ann roe"
+
+
+def test_modes_of_extraction(spark):
+    import pytest
+
+    from cornice.functions.htmlkit import parse_tables
+    from cornice.operators import cells as C
+
+    guard = "<table><tr><td>Name<td>Principal Position</table>"
+    df = parse_tables(spark.createDataFrame([("a", "<table><tr><td>Name, principal position, salary, bonus, total, year $</table>" + guard), ("b", "<table><tr><td>x</table>"), ("c", None)], "doc string, html string"))
+    tables = lambda mode: {(r.doc, r.table_idx) for r in C.extracted_tables(df, mode).collect()}
+    assert tables("xpath") == {("a", 0)} and tables("score") == tables("both") == {("a", 0), ("b", 0)}
+    with pytest.raises(ValueError):
+        C.extracted_tables(df, "none")
+
+
+def test_master_lines(spark, tmp_path):
+    (tmp_path / "m.json").write_text('{"id": 5, "ticker": "A"}\nno\n{"ticker": "B"}\n{"id": "7", "x": 1.5}\n')
+    got = files.master_lines(spark, str(tmp_path / "m.json"), ["ticker", "x"])
+    assert sorted(map(tuple, got.collect()), key=repr) == [("5", "A", None), ("7", None, "1.5")]
+    files.write_master(got.withColumnRenamed("id", "n"), str(tmp_path / "out"), "n")
+    assert files.master_lines(spark, str(tmp_path / "out"), ["x"]).count() == 2
