@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -53,11 +54,10 @@ FURNITURE = frozenset(
 )
 ARTICLE = frozenset("article content main body post entry story text page".split())
 
-_TOKEN = re.compile(
-    r"""<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^"'>])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>""",
-    re.S,
-)
-_OPEN_END = re.compile(r"<(?:[a-zA-Z/!?][^>]*)?\Z")
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_COMMENT_END = re.compile(r"--!?>")
+_MARK = re.compile("[\"'>]")
+_OPENS = re.compile(r"<[a-zA-Z/!?]")
 _ATTR = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SPACE = re.compile(r"\s+")
@@ -65,10 +65,14 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "drop", "score", "chars", "linked", "commas")
+    __slots__ = ("tag", "parent", "children", "drop", "inside", "headers", "score", "chars", "linked", "commas")
 
     def __init__(self, tag: str, parent: Node | None, drop: bool = False):
         self.tag, self.parent, self.drop = tag, parent, drop
+        #: Whether it is or lies in an article or a main part.
+        self.inside: bool = tag in ("article", "main") or parent is not None and parent.inside
+        #: <header> elements around.
+        self.headers: int = parent.headers + (parent.tag == "header") if parent else 0
         self.children: list[Node | str] = []
         self.score, self.chars, self.linked, self.commas = 0.0, 0, 0, 0
 
@@ -90,57 +94,135 @@ def _furniture(tag: str, attributes: str) -> bool:
     return bool(re.search(r"(?:^|\s)hidden(?:\s|/|$)", _ATTR.sub("", attributes)))
 
 
+class _Ends:
+    """Where tags end: at the first > that is not in quotes, else at the first >.
+
+    What follows a quote or a > outside of quotes is the same for all tags, so it is
+    worked out once.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.known: dict[int, int] = {}
+
+    def __call__(self, at: int) -> int:
+        page, seen, found = self.page, [], -1
+        first = page.find(">", at)
+        if page.find('"', at, first) < 0 and page.find("'", at, first) < 0:
+            return first
+        mark = _MARK.search(page, at)
+        while mark:
+            i = mark.start()
+            if i in self.known:
+                found = self.known[i]
+                break
+            seen.append(i)
+            if page[i] == ">":
+                found = i
+                break
+            close = page.find(page[i], i + 1)
+            mark = _MARK.search(page, close + 1) if close >= 0 else None
+        self.known.update(dict.fromkeys(seen, found))
+        return found if found >= 0 else first
+
+
+class _Stack:
+    """Open elements, and for each tag where they are."""
+
+    def __init__(self, root: Node):
+        self.nodes = [root]
+        self.places: defaultdict[str, list[int]] = defaultdict(list)
+        self.blocks: list[int] = []  # but for p
+
+    def push(self, node: Node) -> None:
+        self.places[node.tag].append(len(self.nodes))
+        if node.tag in BLOCK and node.tag != "p":
+            self.blocks.append(len(self.nodes))
+        self.nodes.append(node)
+
+    def last(self, tags) -> int:
+        return max((self.places[t][-1] for t in tags if self.places[t]), default=0)
+
+    def cut(self, at: int) -> None:
+        """End all from this place on."""
+        while len(self.nodes) > at:
+            tag = self.nodes.pop().tag
+            self.places[tag].pop()
+            if tag in BLOCK and tag != "p":
+                self.blocks.pop()
+
+    def end(self, tag: str) -> None:
+        """An end tag: a block ends wherever it is open, p and inline elements only within the innermost other block."""
+        places = self.places[tag]
+        if not places:
+            return
+        if tag in BLOCK and tag != "p":
+            return self.cut(places[-1])
+        limit = self.blocks[-1] if self.blocks else 0
+        if tag != "p" and self.places["p"]:
+            limit = max(limit, self.places["p"][-1])
+        if places[-1] > limit:
+            self.cut(places[-1])
+
+
 def parse(page: str) -> list[Node]:
-    """All nodes of a page in the order they begin; the first is the root."""
+    """All nodes of a page in the order they begin; the first is the root.  Takes time in proportion to the page."""
     root = Node("#root", None)
-    nodes, stack, at = [root], [root], 0
-    end = len(page)
-    if cut := _OPEN_END.search(page, max(0, page.rfind("<"))):
-        end = cut.start()  # a tag that the page breaks off in
-    while at < end:
-        m = _TOKEN.search(page, at, end)
-        text = page[at : m.start() if m else end]
-        if text:
-            stack[-1].children.append(text)
-        if not m:
+    nodes, stack, at, text_at = [root], _Stack(root), 0, 0
+    ends, raw_ends = _Ends(page), {}
+    # A tag that the page breaks off in goes.
+    broken = _OPENS.search(page, page.rfind(">") + 1)
+    end = broken.start() if broken else len(page)
+
+    def flush(to: int) -> None:
+        if to > text_at:
+            stack.nodes[-1].children.append(page[text_at:to])
+
+    while True:
+        start = page.find("<", at, end)
+        if start < 0:
             break
-        at = m.end()
-        tag = (m[2] or m[5] or "").lower()
-        if not tag:
+        name = _NAME.match(page, start)
+        if not name:
+            if page.startswith("<!--", start):
+                close = _COMMENT_END.search(page, start + 4)
+                stop = close.end() if close else len(page)
+            elif page[start + 1 : start + 2] in ("!", "?", "/"):
+                stop = page.find(">", start) + 1
+            else:
+                at = start + 1
+                continue
+            flush(start)
+            at = text_at = stop
             continue
-        if m[1] or m[4]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
-                if tag not in BLOCK and stack[i].tag in BLOCK or tag == "p" and stack[i].tag in BLOCK - {"p"}:
-                    break
+        flush(start)
+        close = ends(name.end())
+        attributes = page[name.end() : close]
+        at = text_at = close + 1
+        tag = name[2].lower()
+        if name[1]:
+            stack.end(tag)
             continue
-        if tag in CLOSES_P:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p":
-                    del stack[i:]
-                    break
-                if stack[i].tag in BLOCK:
-                    break
-        if tag in ENDS:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in LIMITS[tag]:
-                    break
-                if stack[i].tag in ENDS[tag]:
-                    del stack[i:]
-                    break
-        top = stack[-1]
-        node = Node(tag, top, top.drop or _furniture(tag, m[3] or m[6] or ""))
+        if tag in CLOSES_P and (open_p := stack.places["p"]) and open_p[-1] > (stack.blocks[-1] if stack.blocks else 0):
+            stack.cut(open_p[-1])
+        if tag in ENDS and (old := stack.last(ENDS[tag])) > stack.last(LIMITS[tag]):
+            stack.cut(old)
+        top = stack.nodes[-1]
+        node = Node(tag, top, top.drop or _furniture(tag, attributes))
         if tag == "header" and not node.drop:
-            node.drop = not any(n.tag in ("article", "main") for n in stack)
+            node.drop = not stack.last(("article", "main"))
         top.children.append(node)
         nodes.append(node)
         if tag in RAW:
-            close = re.compile(rf"</{tag}(?=[\s/>])[^>]*>|</{tag}\Z", re.I).search(page, at, end)
-            at = close.end() if close else end
+            if at < raw_ends.get(tag, (0, 0))[0]:
+                found = raw_ends[tag]
+            else:
+                m = re.compile(rf"</{tag}(?=[\s/>])[^>]*>|</{tag}\Z", re.I).search(page, at, end)
+                found = raw_ends[tag] = (m.start(), m.end()) if m else (end, end)
+            at = text_at = found[1]
         elif tag not in VOID:
-            stack.append(node)
+            stack.push(node)
+    flush(end)
     return nodes
 
 
@@ -205,12 +287,14 @@ def _chosen(nodes: list[Node]) -> list[Node | str]:
     while around is not None and around.tag not in ("article", "main"):
         around = around.parent
     inside = around is not None
-    kept: list[Node | str] = [best]
+    before: list[list[Node | str]] = []  # innermost first
+    after: list[list[Node | str]] = []
     node = best
     while node.parent is not None and node is not around:
         at = next(i for i, child in enumerate(node.parent.children) if child is node)
         fits = lambda child: inside if isinstance(child, str) else _continues(child, least, inside)
-        kept = [c for c in node.parent.children[:at] if fits(c)] + kept + [c for c in node.parent.children[at + 1 :] if fits(c)]
+        before.append([c for c in node.parent.children[:at] if fits(c)])
+        after.append([c for c in node.parent.children[at + 1 :] if fits(c)])
         if not inside:
             break
         node = node.parent
@@ -218,8 +302,9 @@ def _chosen(nodes: list[Node]) -> list[Node | str]:
         beside = around.parent.children
         at = next(i for i, child in enumerate(beside) if child is around)
         own = lambda c: isinstance(c, Node) and c.tag == "article" and not c.drop and _weight(c) >= 0.2 * best.score
-        kept = [c for c in beside[:at] if own(c)] + kept + [c for c in beside[at + 1 :] if own(c)]
-    return kept
+        before.append([c for c in beside[:at] if own(c)])
+        after.append([c for c in beside[at + 1 :] if own(c)])
+    return [*(c for level in reversed(before) for c in level), best, *(c for level in after for c in level)]
 
 
 def _weight(node: Node) -> float:
@@ -233,8 +318,8 @@ def _weight(node: Node) -> float:
 
 
 def _menu(node: Node) -> bool:
-    """A list or box inside the article that is made of links."""
-    return node.tag in ("ul", "ol", "div", "table", "section") and node.linked > 0.6 * node.chars and node.linked > 0 and sum(isinstance(c, Node) for c in node.children) > 2
+    """A list or box that is made of links, on a page that marks no article; inside one, links are its own."""
+    return not node.inside and node.tag in ("ul", "ol", "div", "table", "section") and node.linked > 0.6 * node.chars and node.linked > 0 and sum(isinstance(c, Node) for c in node.children) > 2
 
 
 def blocks(page: str) -> list[str]:
@@ -253,11 +338,8 @@ def blocks(page: str) -> list[str]:
     chosen = _chosen(nodes)
     for top in chosen:
         todo: list[tuple[Node | str, bool]] = [(top, False)]  # whether a node ends here
-        up = None if isinstance(top, str) else top.parent
-        headers = headings = 0
-        while up is not None:  # a kept part of a header
-            headers += up.tag == "header"
-            up = up.parent
+        # A kept part may be one of a header.
+        headers, headings = 0 if isinstance(top, str) else top.headers, 0
         while todo:
             item, ends = todo.pop()
             if isinstance(item, str):

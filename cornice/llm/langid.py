@@ -12,7 +12,8 @@ the rejection level is the score that all but `reject` of those rows reach.
 
 Defined cases: a null text, or one without letters, is `und` with score 0; rows
 with a null label don't train; without any labelled row everything is `und`; ties
-go to the first label by code point.  A kept column named as a result is left out
+go to the first label by code point.  A null doc_id is an id like any other; rows that
+repeat ids or texts are predicted each, and drawn by their text, too.  A kept column named as a result is left out
 for it.  More than MOST_LABELS labels raise ValueError, as table and sample grow
 with their number.  An empty table gives no rows.
 """
@@ -25,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .text_hash import padded, raw_bytes, slices
@@ -38,6 +39,8 @@ NGRAMS = (2, 3, 4)
 SAMPLE_ROWS = 500
 SAMPLE_CHARS = 20_000
 MOST_LABELS = 1000
+#: Scores looked up at a time: bytes of text times labels.
+SCORES = 1 << 23
 EPOCHS = 6
 BATCH = 16
 RATE = 0.5
@@ -93,13 +96,17 @@ class Model:
         out = []
         table = np.concatenate((self.table, np.ones((BUCKETS, 1), np.float32)), axis=1)
         table[0] = 0
+        step = max(1, SCORES // table.shape[1])
         for rows, buf, starts in _prepared(column):
             total = np.zeros((rows, table.shape[1]))
             begin = starts - 1  # the blank before a row belongs to it
-            for found in subwords(buf):
-                # Rows whose begin lies past the last n-gram have none.
-                use = begin < len(found)
-                total[use] += np.add.reduceat(table[found], begin[use], axis=0, dtype=np.float64)
+            for low in range(0, len(buf), step):
+                # The last subword that begins in a piece may end beyond it.
+                for found in subwords(buf[low : low + step + NGRAMS[-1] - 1]):
+                    found = found[:step]
+                    first, last = np.searchsorted(begin, [low, low + len(found) - 1], side="right") - 1
+                    cuts = np.maximum(begin[first : last + 1] - low, 0)
+                    total[first : last + 1] += np.add.reduceat(table[found], cuts, axis=0, dtype=np.float64)
             out.append(total[:, :-1] / np.maximum(total[:, -1:], 1) + self.bias)
         return np.concatenate(out) if out else np.zeros((0, len(self.languages)))
 
@@ -170,16 +177,22 @@ def fit(texts: list[str], labels: list[str], reject: float = 0.002, seed: int =
 
 
 def sample(labelled: DataFrame, rows: int = SAMPLE_ROWS, key: str = "doc_id", text: str = "text", label: str = "lang") -> tuple[list[str], list[str]]:
-    """About rows texts of each label, by hash of the key: the same ones each time."""
+    """About rows texts of each label, by hash of key and text, twice as many at most: the same ones each time.
+
+    Texts of more than SAMPLE_CHARS are not drawn, so a label that only they carry isn't learned.
+    """
     usable = labelled.where(F.col(label).isNotNull() & (F.length(text) <= SAMPLE_CHARS) & (F.length(text) > 0)).select(key, text, label)
     counts = {r[label]: r["count"] for r in usable.groupBy(label).count().collect()}
     if not counts:
         return [], []
     if len(counts) > MOST_LABELS:
         raise ValueError(f"{len(counts)} labels, {MOST_LABELS} at most")
-    draw = F.pmod(F.xxhash64(F.lit("langid"), F.col(key)), F.lit(1 << 30)) / float(1 << 30)
+    draw = F.pmod(F.xxhash64(F.lit("langid"), F.col(key), F.col(text)), F.lit(1 << 30)) / float(1 << 30)
     share = F.coalesce(*[F.when(F.col(label) == k, F.lit(min(1.0, rows / n))) for k, n in sorted(counts.items())])
-    got = usable.where(draw < share).select(key, text, label).toPandas().sort_values([key, text])
+    drawn = usable.withColumn("_draw", draw).where(F.col("_draw") < share)
+    # Rows that repeat key and text are drawn together, however many.
+    place = F.row_number().over(Window.partitionBy(label).orderBy("_draw"))
+    got = drawn.withColumn("_n", place).where(F.col("_n") <= 2 * rows).select(key, text, label).toPandas().sort_values([key, text])
     return got[text].tolist(), got[label].tolist()
 
 

@@ -351,3 +351,66 @@ def test_ann_of_structured_vectors_looks_at_few(spark):
     x = (centers[rng.integers(0, 40, 4000)] + rng.normal(size=(4000, 16)) * 0.05).astype(np.float32)
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
     assert ann.search_plan(df, F.col("vec_id") % 20 == 0, k=20)["share"] < 0.5
+
+
+ODD_PAGES = {
+    "no end": "<a " * 350000, "unmatched": "<div>" * 60000 + "</section>" * 60000, "quotes": '<a ">"' * 150000 + '"', "inline": "<i><div>" + "<b>" * 60000 + "</i>" * 60000,
+    "cells": "<td><table>" + "<div>" * 60000 + "<td></td>" * 60000, "headers": "<div>" * 60000 + "<header></header>" * 60000, "comments": "<!--" * 250000, "scripts": "<script>" * 100000,
+    "deep": "<article>" + "<div><p>a, b</p>" * 20000, "signs": "<" * 1000000,
+}
+
+
+@pytest.mark.parametrize("name", sorted(ODD_PAGES))
+def test_html_of_odd_pages_takes_time_in_proportion(name):
+    import time
+
+    began = time.time()
+    text = html_text.main_text(ODD_PAGES[name])
+    assert time.time() - began < 20
+    assert text == {"deep": "\n".join(["a, b"] * 20000), "signs": "<" * 1000000}.get(name, text)
+
+
+def test_html_keeps_links_of_an_article():
+    links = "<ul><li><a href=1>One source</a><li><a href=2>Another source</a><li><a href=3>Third source</a></ul>"
+    body = "<p>One long text, of some words, and more of it, and so on.</p>"
+    assert html_text.main_text(f"<article>{body}<h2>Sources</h2>{links}</article>").endswith("Sources\nOne source\nAnother source\nThird source")
+    assert html_text.main_text(f"<body>{links}{body}</body>") == "One long text, of some words, and more of it, and so on."
+    # A > within quotes ends no tag; a tag that the page breaks off in goes.
+    assert html_text.main_text(f"<article>{body}<p title='a > b' class=\"x>y\">two, three</p><p>four <a href='") == "One long text, of some words, and more of it, and so on.\ntwo, three\nfour"
+    # Of containers with equal points the first counts.
+    same = "<div><p>Words of one of two equal parts, of a page.</p></div>"
+    assert html_text.main_text(same + same.replace("one", "two")).startswith("Words of one")
+
+
+def test_language_memory_and_long_texts():
+    import tracemalloc
+
+    labels = [f"l{i:04d}" for i in range(1000)]
+    rng = np.random.default_rng(1)
+    model = langid.Model(labels, rng.normal(size=(langid.BUCKETS, 1000)).astype(np.float32), np.zeros(1000))
+    import pyarrow as pa
+
+    text = " ".join(f"word{i % 5000}" for i in range(200000))
+    tracemalloc.start()
+    one = model.logits(pa.array([text, None, "a b", ""]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500 << 20
+    # Pieces give the same sums as a whole, and a row's neighbours don't matter.
+    old, langid.SCORES = langid.SCORES, 1 << 12
+    try:
+        small = langid.Model(labels[:5], model.table[:, :5], np.zeros(5))
+        cut = small.logits(pa.array([text[:3000], None, "a b", ""]))
+    finally:
+        langid.SCORES = old
+    assert np.allclose(cut, small.logits(pa.array([text[:3000], None, "a b", ""])), atol=1e-9)
+    assert np.allclose(one[2], model.logits(pa.array(["a b"]))[0])
+
+
+def test_language_sample_of_null_and_repeated_ids(spark):
+    rows = [(None, f"text {i} of many words", "en") for i in range(300)] + [(None, f"wort {i} von vielen", "de") for i in range(300)]
+    rows += [(1, "the same text", "en")] * 500
+    texts, langs = langid.sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), rows=50)
+    assert 20 <= langs.count("de") <= 100 and 1 <= langs.count("en") <= 100
+    again = langid.sample(spark.createDataFrame(rows[::-1], "doc_id long, text string, lang string"), rows=50)
+    assert sorted(again[0]) == sorted(texts)
