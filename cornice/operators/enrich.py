@@ -17,6 +17,13 @@ def crsp_names(stocknames: DataFrame) -> DataFrame:
     return latest_per_key(rows, ["ticker"], [F.coalesce("nameenddt", F.to_date(F.lit("5999-12-31"))).desc(), F.col("permno")])
 
 
+def first_securities(security: DataFrame, company: DataFrame) -> DataFrame:
+    """tic, gvkey and the company's columns: per upper-case ticker the security of the smallest gvkey and issue; a company may lack."""
+    both = security.join(company, "gvkey", "left").withColumn("tic", F.upper("tic"))
+    first = latest_per_key(both.where(F.col("tic").isNotNull()), ["tic"], [F.col("gvkey"), F.col("iid")])
+    return first.select("tic", "gvkey", *[c for c in company.columns if c != "gvkey"])
+
+
 def links(linktable: DataFrame) -> DataFrame:
     """gvkey per permno: primary links of type LC, LU or LS, an open one first, else the latest."""
     rows = linktable.where(F.col("linktype").isin("LC", "LU", "LS") & F.col("linkprim").isin("P", "C"))

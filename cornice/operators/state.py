@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import strip
+
 #: Fixed ranks of extraction statuses; others rank 0.
 STATUS_RANK = {"extracted": 3, "skipped_existing": 2, "no_sct_found": 1}
 
@@ -70,3 +72,10 @@ def distinct_by_prefix(df: DataFrame, keys: list[str], text: str, order: str, n:
 def rolled_up(df: DataFrame, levels: list[str], flags: dict[str, Column]) -> DataFrame:
     """Counts of rows, and of rows with each flag, at each level and over all."""
     return df.rollup(*levels).agg(F.count("*").alias("n"), *[F.count_if(c).alias(name) for name, c in flags.items()])
+
+
+def record_fields(records: DataFrame, key: str) -> DataFrame:
+    """key, pos, field, value: a row for each field of a record in order of names, its value as trimmed text, blank for null."""
+    names = sorted(c for c in records.columns if c != key)
+    rows = F.array(*[F.struct(F.lit(c).alias("field"), F.coalesce(strip(F.col(f"`{c}`").cast("string")), F.lit("")).alias("value")) for c in names])
+    return records.select(F.col(key), F.posexplode(rows).alias("pos", "_f")).select(key, "pos", "_f.*")

@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from cornice.plans import catalog, governance, pages, tables  # noqa: F401  (registers its queries)
+from cornice.plans import catalog, governance, identifiers, pages, tables  # noqa: F401  (registers its queries)
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
