@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.htmlkit import parse_tables
 from ..functions.nodes import HEADINGS, elements, parse_nodes
+from ..operators import ascii_tables as A
 from ..operators import cells as C
 from ..operators import extract_index as X
 from ..operators import header_runs as H
@@ -360,3 +361,22 @@ def extraction_entries(spark, d):
   FROM e GROUP BY ROLLUP (ticker, form)""")
 def extraction_counts(spark, d):
     return X.entry_counts(X.folded_entries(_records(spark, d)))
+
+
+# A table in text of each order, with a rule, a short line and rows of more and fewer cells; some have a second header, some none.
+_DRAWN = """CASE WHEN k % 4 = 0 THEN '  Report of ' || o_orderpriority || chr(10) ELSE '' END
+  || CASE WHEN k % 5 = 0 THEN 'one' ELSE 'Name and   Principal Position' || '    Year  Pay' END || chr(10) || '----  ____' || chr(10) || chr(10)
+  || CASE WHEN k % 3 = 0 THEN 'Name  Salary  Total  Salary' || chr(10) ELSE '' END || 'Ann Roe   CEO  2001  ' || k || '  more' || chr(10) || 'single' || chr(10) || '  ' || o_orderstatus || '    x' || chr(13) || chr(10)"""
+
+
+@query(f"""WITH o AS (SELECT o_orderkey AS k, * FROM orders), t AS (SELECT k, unnest(string_split(replace({_DRAWN}, chr(13), ''), chr(10))) AS line, unnest(range(20)) AS i FROM o),
+  l AS (SELECT k, i, trim(line) AS line, row_number() OVER (PARTITION BY k ORDER BY i) AS n FROM t WHERE trim(line) <> ''),
+  h AS (SELECT k, coalesce(min(n) FILTER (contains(lower(line), 'position') AND contains(lower(line), 'year')), 1) AS h FROM l GROUP BY k),
+  c AS (SELECT l.k, n, h, regexp_split_to_array(line, '\\s{{2,}}') AS c FROM l JOIN h USING (k)), m AS (SELECT k, c AS names FROM c WHERE n = h),
+  r AS (SELECT k, row_number() OVER (PARTITION BY k ORDER BY n) AS r, names, list_transform(range(1, len(names) + 1), lambda i: coalesce(c[i], '')) AS c FROM c JOIN m USING (k) WHERE n > h AND len(names) > 1 AND len(c) > 1 AND NOT regexp_matches(array_to_string(c, ' '), '^[-\\s_]+$')),
+  f AS (SELECT k, min(r) FILTER (len(list_filter(c, lambda x: {_words('lower(x)', ['name', 'position', 'year', 'salary', 'bonus', 'total', 'stock', 'option', 'compensation'])} > 0)) >= 2 AND r <= 6) AS f FROM r GROUP BY k),
+  g AS (SELECT r.k, r.r, coalesce(x.c, r.names) AS names, r.c FROM r JOIN f USING (k) LEFT JOIN r x ON x.k = r.k AND x.r = f.f WHERE f.f IS NULL OR r.r > f.f)
+  SELECT k AS doc, (r - 1)::INT AS row_idx, (i - 1)::INT AS col_idx, names[i] AS name, c[i] AS text FROM g, (VALUES (1), (2), (3), (4)) v(i) WHERE i <= len(names) AND list_position(names, names[i]) = i""")
+def drawn_tables(spark, d):
+    texts = t(spark, d, "orders").withColumn("k", F.col("o_orderkey")).select("k", F.expr(_DRAWN).alias("text"))
+    return A.with_found_header(A.ascii_cells(texts, "k", "text")).select("doc", "row_idx", "col_idx", "name", "text")

@@ -183,3 +183,17 @@ def test_extraction_entries(spark):
     assert sorted(map(str, half.select(X.folded_entries(df).columns).collect())) == sorted(map(str, e.values()))
     got = {(r.ticker, r.form): (r.n_entries, r.count_csv, r.count_bo, r.count_txt) for r in X.entry_counts(X.folded_entries(df)).collect()}
     assert got == {("T", "F"): (1, 1, 0, 0), ("T", "G"): (1, 0, 2, 0), ("T", None): (2, 1, 2, 0), (None, None): (2, 1, 2, 0)}
+
+
+def test_drawn_tables(spark):
+    from cornice.operators import ascii_tables as A
+
+    text = "Title\n\nName   Position   Year\n ---  --- \nAnn  CEO\nalone\nBob  x  y  z\n"
+    df = spark.createDataFrame([("a", text), ("b", "one\ntwo  three"), ("c", None), ("d", "A  B\n__  --")], "k string, t string")
+    got = {(r.doc, r.row_idx, r.head): r.text for r in A.ascii_cells(df, "k", "t").collect()}
+    assert got == {("a", 0, "Name"): "Ann", ("a", 0, "Position"): "CEO", ("a", 0, "Year"): "", ("a", 1, "Name"): "Bob", ("a", 1, "Position"): "x", ("a", 1, "Year"): "y"}
+    rows = [["x", "1", None], ["Name", "Total  pay", None], ["Ann", "5", None]]
+    df = spark.createDataFrame([("t", 0, r, c, f"h{c}", x) for r, row in enumerate(rows) for c, x in enumerate(row)], "doc string, table_idx int, row_idx int, col_idx int, head string, text string")
+    assert [(r.name, r.text) for r in A.with_found_header(df).orderBy("col_idx").collect()] == [("Name", "Ann"), ("Total pay", "5")]
+    plain = A.with_found_header(df.where("row_idx <> 1"))
+    assert {(r.name, r.text) for r in plain.collect()} == {("h0", "x"), ("h0", "Ann"), ("h1", "1"), ("h1", "5")}
