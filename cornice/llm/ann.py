@@ -8,14 +8,16 @@ the space never makes a large group.  A query looks at the tiles that its window
 of ranks touches on every curve, takes the best of each, and the results are
 merged and ranked by the exact measure.
 
-The window's width and the number of curves are fitted: for a bounded sample of
-queries the true neighbours among all rows are found, and for each number of
-curves the width is the one that holds `recall` of them on at least one curve.
-The number that makes a query look at the fewest rows is taken, so that is never
-more than all rows once (search_plan tells the share).  Vectors without structure
-need wide windows, as their neighbours are hardly nearer in any projection than
-other rows; the work then grows with the square of the rows.  The queries of a
-tile are dealt over groups of about TILE_QUERIES, so a task's memory is bounded.
+The window's width and the number of curves, two at least, are fitted: for a
+bounded sample of queries the true neighbours among all rows are found, and for
+each number of curves the width is the one that holds `recall` of them on at least
+one curve.  The number that makes a query look at the fewest rows is taken
+(search_plan tells the share; above 1 rows are met on more than one curve).
+Vectors without structure need wide windows, as their neighbours are hardly nearer
+in any projection than other rows; the work then grows with the square of the rows,
+as brute force does.  The queries of a tile are dealt over groups of about
+TILE_QUERIES, so a task's memory is bounded, and a task merges what its tiles found
+for a query before that is shuffled.
 
 Defined cases: rows with a null id or a vector that is null, empty, all zero, or
 has null or non-finite components take no part, nor do vectors whose length
@@ -38,7 +40,8 @@ from pyspark.sql import functions as F
 
 from .store import materialize, tasks_for
 
-CURVES = 4
+#: Curves that are tried, and the fewest that are used.
+CURVES, FEWEST = 3, 2
 DIRECTIONS = 3
 BITS = 10
 TILE = 2048
@@ -194,6 +197,34 @@ def _tile(dtype: str, k: int):
     return run
 
 
+#: Lists that a task holds before it merges them.
+HELD = 1 << 14
+
+
+def _partly(k: int):
+    """Lists of one query that a task has, merged into one of k."""
+    merge = _merge(k)
+
+    def flush(held: list[pd.DataFrame]) -> pd.DataFrame:
+        rows = [merge(g) for _, g in pd.concat(held).groupby("query_id", sort=False)]
+        parts = [(r["query_id"].iloc[0], r["vec_id"].tolist(), r["score"].tolist()) for r in rows if len(r)]
+        return pd.DataFrame(parts, columns=["query_id", "ids", "scores"])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+        for pdf in batches:
+            if len(pdf):
+                held.append(pdf)
+                size += len(pdf)
+            if size >= HELD:
+                yield flush(held)
+                held, size = [], 0
+        if held:
+            yield flush(held)
+
+    return run
+
+
 def _merge(k: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         ids = np.concatenate([np.asarray(x, np.int64) for x in pdf["ids"]])
@@ -241,7 +272,7 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, recall: float = 0.9
     tasks = tasks_for(vectors.sparkSession, n * used * groups, 4 * tile)
     dealt = base.unionByName(ask).repartition(tasks, "curve", "tile", "group")
     found = dealt.groupBy("curve", "tile", "group").applyInPandas(_tile(dtype, k), _FOUND)
-    return found.groupBy("query_id").applyInPandas(_merge(k), _RESULT)
+    return found.mapInPandas(_partly(k), _FOUND).groupBy("query_id").applyInPandas(_merge(k), _RESULT)
 
 
 def search_plan(vectors: DataFrame, queries: Column, k: int = 20, recall: float = 0.95, curves: int = CURVES, directions: int = DIRECTIONS, vec_id: str = "vec_id", embedding: str = "embedding") -> dict[str, float]:
@@ -293,16 +324,16 @@ def _fit_window(ranked: DataFrame, n: int, dtype: str, k: int, recall: float, cu
     one = ranked.where("curve = 0")
     total = one.where("is_query").count()
     if not total:
-        return 1, 0, 0
+        return min(FEWEST, curves), 0, 0
     drawn = F.pmod(F.xxhash64(F.lit(2), "vec_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, 2 * SAMPLE_QUERIES / total))
     some = one.where(F.col("is_query") & drawn).select("vec_id", "vec").orderBy("vec_id").limit(SAMPLE_QUERIES).toPandas()
     if not len(some):
-        return 1, n // 2, total
+        return min(FEWEST, curves), n // 2, total
     q = np.frombuffer(b"".join(some["vec"]), dtype).reshape(len(some), -1).astype(np.float64)
     sample = spark.sparkContext.broadcast((some["vec_id"].to_numpy(np.int64), q))
     near = one.select("vec_id", "vec").mapInArrow(_scan(sample, dtype, k), _FOUND).groupBy("query_id").applyInPandas(_merge(k), _RESULT).toPandas()
     if not len(near):
-        return 1, 0, total
+        return min(FEWEST, curves), 0, total
     wanted = sorted({*near["vec_id"].tolist(), *near["query_id"].tolist()})
     # Of an id with several vectors the outermost ranks count, so that the window holds whichever scores best.
     ranks = ranked.where(F.col("vec_id").isin(wanted)).groupBy("curve", "vec_id").agg(F.min("rank").alias("low"), F.max("rank").alias("high")).toPandas()
@@ -314,6 +345,6 @@ def _fit_window(ranked: DataFrame, n: int, dtype: str, k: int, recall: float, cu
         need = w if need is None else np.minimum(need, w)
         half = int(np.quantile(need, recall, method="higher"))
         cost = (c + 1) * min(n, 2 * half + 1)
-        if best is None or cost < best[0]:
+        if c + 1 >= min(FEWEST, curves) and (best is None or cost < best[0]):
             best = (cost, c + 1, half)
     return best[1], best[2], total
