@@ -123,6 +123,71 @@ def name_and_position(parts: Column) -> Column:
     )
 
 
+#: Fixed patterns of names and words of positions of the first splitter, in the order they are tried.
+FIRST_NAMES = (
+    r"((?:[A-Z]\.?\s*){1,2}\s*[A-Z][a-z]+(?:\s+(?:Jr\.?|Sr\.?|III|IV))?)",
+    r"([A-Z][a-z]+(?:\s+[A-Z][a-z]+){1,2}(?:\s+(?:Jr\.?|Sr\.?|III|IV))?)",
+    r"([A-Z][a-z]+,\s*[A-Z]\.?)",
+)
+FIRST_POSITIONS = (
+    r"chief\s*executive\s*officer|ceo|chief\s*financial\s*officer|cfo|chief\s*operating\s*officer|coo|president|vice\s*president|vp|senior\s*vice\s*president|svp|"
+    r"executive\s*vice\s*president|evp|director|chairman|chair|officer|secretary|treasurer|principal|general\s*counsel"
+)
+
+
+def first_split(c: Column) -> Column:
+    """Struct name, position of one text, as the first splitter has it: a name by pattern and what is left of the text
+    around it, else a position by its word and what is left as name, if that is one; else all is name."""
+    title_word = rf"(?i)\b(?:{FIRST_POSITIONS})\b"
+    found = lambda text, pattern: F.nullif(F.regexp_extract(text, pattern, 0), F.lit(""))
+    without = lambda text, part: strip(F.overlay(text, F.lit(""), F.instr(text, part), F.length(part)))
+
+    def likely(s: Column) -> Column:
+        marked = s.rlike(r"\b[A-Z]\.?\b|,|Jr\.?|Sr\.?|III|IV")
+        return (F.regexp_count(s, F.lit("[A-Za-z]+")) >= 2) & (marked | ~s.rlike(rf"(?i)^\b(?:{FIRST_POSITIONS})\b$"))
+
+    def step(value: Column, then) -> Column:
+        """then(value), the value worked out once."""
+        return F.get(F.transform(F.array(value), then), F.lit(0))
+
+    def named(text: Column, name: Column) -> Column:
+        pick = lambda rest: F.struct(name.alias("name"), F.when(rest.rlike(title_word) | ~likely(rest), rest).otherwise("").alias("position"))
+        return step(without(text, name), pick)
+
+    def titled(text: Column, title: Column) -> Column:
+        def pick(person: Column) -> Column:
+            whole = ~likely(person) & (F.regexp_count(person, F.lit(r"\S+")) < 2)
+            return F.struct(F.when(whole, "").otherwise(person).alias("name"), F.when(whole, text).otherwise(title).alias("position"))
+
+        return step(without(text, title), pick)
+
+    def whole(x: Column) -> Column:
+        text, name, title = x["text"], x["name"], x["title"]
+        plain = F.struct(text.alias("name"), F.lit("").alias("position"))
+        return F.when(name.isNotNull(), named(text, name)).when(title.isNotNull(), titled(text, title)).otherwise(plain)
+
+    def parts(text: Column) -> Column:
+        name = strip(F.coalesce(*[found(text, f"(?i){p}") for p in FIRST_NAMES]))
+        return step(F.struct(text.alias("text"), name.alias("name"), found(text, title_word).alias("title")), whole)
+
+    return step(strip(F.coalesce(c, F.lit(""))), parts)
+
+
+#: The characters that Windows has in place of the control characters from 0x80, in order; five have none.
+WINDOWS = "\u20ac\x81\u201a\u0192\u201e\u2026\u2020\u2021\u02c6\u2030\u0160\u2039\u0152\x8d\u017d\x8f\x90\u2018\u2019\u201c\u201d\u2022\u2013\u2014\u02dc\u2122\u0161\u203a\u0153\x9d\u017e\u0178"
+
+
+def repaired(c: Column) -> Column:
+    """UTF-8 that was read as Windows or Latin-1 text, read right; other texts as they are.
+
+    A text is taken for that if all its characters are of that set and their bytes are valid UTF-8, some beyond ASCII.
+    """
+    latin = F.translate(c, WINDOWS, "".join(map(chr, range(0x80, 0xA0))))
+    fits = latin.rlike(r"^[\x00-\xFF]*$") & latin.rlike(r"[\x80-\xFF]")
+    raw = F.encode(F.when(fits, latin), "ISO-8859-1").cast("string")
+    return F.when(fits & F.coalesce(F.is_valid_utf8(raw), F.lit(False)), raw).otherwise(c)
+
+
 def exchange_name(code: Column) -> Column:
     return F.when(code == 1, "NYSE").when(code == 2, "AMEX").when(code == 3, "NASDAQ")
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.records import exchange_or_other, sic_labels
 from ..functions.text import exchange_name, gvkey, is_delisted, is_missing, location, present, tagged, zfill
 from .sequence import latest_per_key
 
+#: Names that are numbered together.
+NUMBERED = 1 << 16
 LOGGED = ("permno", "gvkey", "cusip", "isDelisted", "exchange", "currency", "sector_alt", "industry_alt", "location", "source")
 
 
@@ -129,3 +132,35 @@ def first_match(asked: DataFrame, records: DataFrame, key: str, order: str, colu
     """asked with columns of the first record of the key; nulls where there is none, or the key is null."""
     first = records.groupBy(key).agg(F.min_by(F.struct(*columns), order).alias("_first")).select(key, "_first.*")
     return asked.join(first, key, "left")
+
+
+def ticker_metadata(names: DataFrame, security: DataFrame, company: DataFrame, delisted: DataFrame, order: str, existing: DataFrame | None = None, first: int = 1) -> DataFrame:
+    """Numbered records of a warehouse's names, with their security of each gvkey.
+
+    A delisted permno marks its ticker with -DELISTED.  existing (ticker, cik_str,
+    source) gives known records' CIK and source, to which wrds is added once; a ticker
+    that it lacks counts as from the SEC, and without it the source is WRDS.  `order` is a
+    whole number of its own for each name; numbers begin at `first` and follow it and gvkey.
+    """
+    both = names.join(security.join(company, "gvkey", "left"), "ticker", "left")
+    gone = delisted.select("permno", F.lit(True).alias("_gone")).distinct()
+    both = both.join(gone, "permno", "left").withColumn("isDelisted", F.coalesce("_gone", F.lit(False))).drop("_gone")
+    if existing is not None:
+        both = both.join(existing.select("ticker", "cik_str", F.col("source").alias("_source")), "ticker", "left")
+        known = F.coalesce("_source", F.lit("SEC"))
+        both = both.withColumn("source", F.when(F.lower(known).contains("wrds"), known).otherwise(F.concat(known, F.lit(", wrds"))))
+    else:
+        both = both.withColumns({"cik_str": F.lit(None).cast("string"), "source": F.lit("WRDS")})
+    # Numbered by ranges of the order, of which only the totals meet.
+    both = both.withColumn("_bucket", F.floor(F.col(order) / NUMBERED))
+    totals = both.groupBy("_bucket").agg(F.count("*").alias("_n"))
+    totals = totals.select("_bucket", (F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")).alias("_before"))
+    within = F.row_number().over(Window.partitionBy("_bucket").orderBy(order, "gvkey"))
+    both = both.join(totals, "_bucket").withColumn("id", F.col("_before") + within + (first - 1))
+    ticker = F.when(F.col("isDelisted"), F.concat("ticker", F.lit("-DELISTED"))).otherwise(F.col("ticker"))
+    labels = sic_labels(F.col("sic"))
+    return both.select(
+        "id", "cik_str", ticker.alias("ticker"), F.col("name").alias("title"), "permno", F.nullif("gvkey", F.lit("")).alias("gvkey"), F.nullif("cusip", F.lit("")).alias("cusip"),
+        exchange_or_other(F.col("exchcd")).alias("exchange"), "isDelisted", labels["category"].alias("category"), labels["sector"].alias("sicSector"), labels["industry"].alias("sicIndustry"),
+        F.when((F.col("state") != "") & (F.col("country") != ""), F.concat_ws("; ", "state", "country")).alias("location"), "source",
+    )

@@ -8,11 +8,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.nodes import HEADINGS, contents, elements, tables_of
+from ..functions.nodes import HEADINGS, TEXT, contents, elements, tables_of
 from ..functions.records import joined_url
 from ..functions.text import strip
 
 SCT = "summary compensation table"
+#: Fixed phrases beside which a pay table is looked for.
+NAME_CUES = r"(?iU)(name\s*(and|/|&)?\s*(principal)?\s*position)|principal\s*position|name\s*[/&]|named\s+executive\s+(officers?|positions?)"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -100,3 +102,16 @@ def index_documents(nodes: DataFrame, urls: DataFrame, key: str, url: str, form:
     out = urls.select(key, url).join(plain, key, "left").join(best, key, "left")
     address = lambda c: F.when(c.isNotNull(), joined_url(F.col(url), c))
     return out.select(key, address(F.coalesce("_best", "_any")).alias("html_url"), address(F.col("_txt")).alias("txt_url"))
+
+
+def salary_tables(nodes: DataFrame, key: str) -> DataFrame:
+    """key, table_idx of each page's first table that holds a name cue in one piece of text, and salary in any cell."""
+    tables = tables_of(nodes, key).select(key, "pos", "table_idx")
+    cues = nodes.where((F.col("tag") == TEXT) & F.col("text").rlike(NAME_CUES)).select(key, F.col("pos").alias("_cue"), F.explode("inside").alias("pos"))
+    # Of the tables around a cue the innermost counts.
+    inner = cues.join(tables, [key, "pos"]).groupBy(key, "_cue").agg(F.max("pos").alias("pos"))
+    paid = contents(nodes, key, "td", "th").where(F.lower("content").contains("salary")).select(key, F.col("pos").alias("_cell"))
+    cells = elements(nodes, "td", "th").select(key, F.col("pos").alias("_cell"), F.explode("inside").alias("pos"))
+    paid = cells.join(paid, [key, "_cell"], "left_semi").select(key, "pos").distinct()
+    fit = inner.join(paid, [key, "pos"], "left_semi").groupBy(key).agg(F.min_by("pos", "_cue").alias("pos"))
+    return fit.join(tables, [key, "pos"]).select(key, "table_idx")

@@ -156,3 +156,44 @@ def older_scores(spark, d):
         out = part if out is None else out.join(part, "doc")
     line = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("row_idx", "col_idx", F.lower("text").alias("t")))), lambda x: x["t"]), " ")
     return out.join(cells.groupBy("doc").agg(SC.simple_ownership_score(line).alias("simple")), "doc")
+
+
+# Officers in one text: with initials, with full names, a title first, a title alone, or neither.
+_OFFICER = """CASE k % 6 WHEN 0 THEN 'J. P. Roe, President and CEO' WHEN 1 THEN 'Ann Beth Poe Jr. Vice President of ' || c_mktsegment WHEN 2 THEN 'Roe, T' WHEN 3 THEN 'ceo' WHEN 4 THEN '1 treasurer 2' ELSE '#' || CAST(k AS STRING) END"""
+
+
+@query("""SELECT c_custkey AS k, CASE c_custkey % 6 WHEN 0 THEN 'J. P. Roe' WHEN 1 THEN regexp_extract('Ann Beth Poe Jr. Vice President of ' || c_mktsegment, '(?i)((?:[A-Z]\\.?\\s*){1,2}\\s*[A-Z][a-z]+(?:\\s+(?:Jr\\.?|Sr\\.?|III|IV))?)') WHEN 2 THEN 'Roe' WHEN 3 THEN 'ceo' WHEN 4 THEN 'treasurer' ELSE '#' || c_custkey END AS name,
+  CASE c_custkey % 6 WHEN 0 THEN ', President and CEO' WHEN 1 THEN trim(replace('Ann Beth Poe Jr. Vice President of ' || c_mktsegment, regexp_extract('Ann Beth Poe Jr. Vice President of ' || c_mktsegment, '(?i)((?:[A-Z]\\.?\\s*){1,2}\\s*[A-Z][a-z]+(?:\\s+(?:Jr\\.?|Sr\\.?|III|IV))?)'), ''))
+    WHEN 2 THEN ', T' WHEN 4 THEN '1  2' ELSE '' END AS position FROM customer""")
+def first_name_split(spark, d):
+    c = t(spark, d, "customer").withColumn("k", F.col("c_custkey")).select("k", T.first_split(F.expr(_OFFICER)).alias("x"))
+    return c.select("k", "x.name", "x.position")
+
+
+@query("""WITH n AS (SELECT o_orderkey AS ord, o_orderkey % 400 AS permno, 'T' || o_custkey % 60 AS ticker, 'N' || o_orderkey AS name, CASE WHEN o_orderkey % 3 > 0 THEN 'c' || o_orderkey ELSE '' END AS cusip, o_orderkey % 5 AS exchcd FROM orders),
+  s AS (SELECT 'T' || c_custkey % 45 AS ticker, lpad((c_custkey % 90)::VARCHAR, 6, '0') AS gvkey FROM customer GROUP BY ALL),
+  c AS (SELECT lpad(n::VARCHAR, 6, '0') AS gvkey, CASE n % 3 WHEN 0 THEN 7372 WHEN 1 THEN 9999 ELSE 1000 + n END AS sic, CASE WHEN n % 4 > 0 THEN 'S' || n END AS state, CASE WHEN n % 5 > 0 THEN 'US' ELSE '' END AS country FROM range(0, 80) x(n)),
+  e AS (SELECT 'T' || n AS ticker, n::VARCHAR AS cik_str, CASE n % 3 WHEN 0 THEN 'SEC' WHEN 1 THEN 'SEC, WRDS' END AS source FROM range(0, 30) x(n)),
+  j AS (SELECT n.*, gvkey, sic, state, country, cik_str, coalesce(source, 'SEC') AS source, permno % 10 = 3 AND permno < 200 AS gone FROM n LEFT JOIN s USING (ticker) LEFT JOIN c USING (gvkey) LEFT JOIN e USING (ticker))
+  SELECT 100 + row_number() OVER (ORDER BY ord, gvkey) AS id, cik_str, CASE WHEN gone THEN ticker || '-DELISTED' ELSE ticker END AS ticker, name AS title, permno, gvkey, nullif(cusip, '') AS cusip,
+    CASE exchcd WHEN 1 THEN 'NYSE' WHEN 2 THEN 'AMEX' WHEN 3 THEN 'NASDAQ' ELSE 'Other' END AS exchange, gone AS "isDelisted", CASE WHEN sic >= 1000 AND sic < 9999 THEN 'Domestic Common Stock' END AS category,
+    CASE WHEN sic::VARCHAR LIKE '73%' THEN 'Services' ELSE 'Other' END AS "sicSector", CASE WHEN sic = 7372 THEN 'Services-Prepackaged Software' ELSE 'Other' END AS "sicIndustry",
+    CASE WHEN state <> '' AND country <> '' THEN state || '; ' || country END AS location, CASE WHEN contains(lower(source), 'wrds') THEN source ELSE source || ', wrds' END AS source FROM j""")
+def ticker_metadata(spark, d):
+    k, o, c = F.col("o_orderkey"), t(spark, d, "orders"), t(spark, d, "customer")
+    names = o.select(k.alias("ord"), (k % 400).alias("permno"), F.concat(F.lit("T"), F.col("o_custkey") % 60).alias("ticker"), F.concat(F.lit("N"), k).alias("name"), F.when(k % 3 > 0, F.concat(F.lit("c"), k)).otherwise("").alias("cusip"), (k % 5).alias("exchcd"))
+    code = lambda n: F.lpad(n.cast("string"), 6, "0")
+    security = c.select(F.concat(F.lit("T"), F.col("c_custkey") % 45).alias("ticker"), code(F.col("c_custkey") % 90).alias("gvkey")).distinct()
+    n = F.col("id")
+    company = spark.range(80).select(code(n).alias("gvkey"), F.when(n % 3 == 0, 7372).when(n % 3 == 1, 9999).otherwise(1000 + n).alias("sic"), F.when(n % 4 > 0, F.concat(F.lit("S"), n)).alias("state"), F.when(n % 5 > 0, "US").otherwise("").alias("country"))
+    existing = spark.range(30).select(F.concat(F.lit("T"), n).alias("ticker"), n.cast("string").alias("cik_str"), F.when(n % 3 == 0, "SEC").when(n % 3 == 1, "SEC, WRDS").alias("source"))
+    delisted = o.where((k % 10 == 3) & (k < 200)).select(k.alias("permno"))
+    return E.ticker_metadata(names, security, company, delisted, "ord", existing, 101)
+
+
+_READ = "'id ' || CAST(c_custkey AS STRING) || CASE c_custkey % 5 WHEN 0 THEN ' caf\u00c3\u00a9' WHEN 1 THEN ' the firm\u00e2\u20ac\u2122s' WHEN 2 THEN ' caf\u00e9' WHEN 3 THEN ' \u4e2d \u00c3\u00a9' ELSE '' END"
+
+
+@query(f"SELECT c_custkey, replace(replace({_READ}, CASE WHEN c_custkey % 5 = 3 THEN '@' ELSE '\u00c3\u00a9' END, '\u00e9'), '\u00e2\u20ac\u2122', '\u2019') AS text FROM customer")
+def repaired_texts(spark, d):
+    return t(spark, d, "customer").select("c_custkey", T.repaired(F.expr(_READ)).alias("text"))

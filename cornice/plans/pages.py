@@ -380,3 +380,14 @@ _DRAWN = """CASE WHEN k % 4 = 0 THEN '  Report of ' || o_orderpriority || chr(10
 def drawn_tables(spark, d):
     texts = t(spark, d, "orders").withColumn("k", F.col("o_orderkey")).select("k", F.expr(_DRAWN).alias("text"))
     return A.with_found_header(A.ascii_cells(texts, "k", "text")).select("doc", "row_idx", "col_idx", "name", "text")
+
+
+# A page's first table has a cue in one piece or in two, and salary or none; the second has both, within a table.
+_CUED = """'<table><tr><td>' || CASE k % 3 WHEN 0 THEN 'Name and position' WHEN 1 THEN 'Name <b>and</b> position' ELSE 'Named  Executive Officers' END || '<td>' || CASE k % 2 WHEN 0 THEN 'Base SALARY' ELSE 'Pay' END || '</table>'
+  || CASE WHEN k % 5 > 0 THEN '<table><tr><td><table><tr><td>Principal Position of ' || c_name || '<td>salary</table></table>' ELSE '' END"""
+
+
+@query("""SELECT c_custkey AS k, CASE WHEN c_custkey % 3 <> 1 AND c_custkey % 2 = 0 THEN 0 ELSE 2 END::INT AS table_idx FROM customer WHERE (c_custkey % 3 <> 1 AND c_custkey % 2 = 0) OR c_custkey % 5 > 0""")
+def salary_tables(spark, d):
+    pages = t(spark, d, "customer").withColumn("k", F.col("c_custkey")).select("k", F.expr(_CUED).alias("html"))
+    return P.salary_tables(parse_nodes(pages, "k"), "k")

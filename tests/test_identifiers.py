@@ -41,3 +41,44 @@ def test_older_scores_of_small_tables(spark):
     assert score(scorers.first_score(cells)) == {0: 7, 1: 0} and score(scorers.legacy_score(cells, ["salary"])) == {0: 4, 1: 0}
     texts = spark.createDataFrame([("beneficial owner 5%",), ("beneficial owner",), ("5%",), (None,)], "t string")
     assert [r.s for r in texts.select(scorers.simple_ownership_score(F.col("t")).alias("s")).collect()] == [2, -1, -1, -1]
+
+
+def test_first_split(spark):
+    from cornice.functions.text import first_split
+
+    # In any case of letters the first pattern takes two letters or more that stand together.
+    want = {
+        "J. P. Roe, CEO": ("J. P. Roe", ", CEO"), "Ann Poe": ("Ann", "Poe"), "": ("", ""), None: ("", ""), "#5": ("#5", ""), "ceo": ("ceo", ""), "1 treasurer 2": ("treasurer", "1  2"),
+        "vp": ("", "vp"), "vp 5": ("", "vp 5"), "é vp ü 7": ("é  ü 7", "vp"), "J. Roe of 1 2": ("J. Roe", "of 1 2"), "J. Roe Ann Poe X": ("J. Roe", ""),
+    }
+    df = spark.createDataFrame([(k,) for k in want], "t string").select("t", first_split(F.col("t")).alias("x"))
+    assert {r.t: tuple(r.x) for r in df.collect()} == want
+
+
+def test_repaired_texts(spark):
+    from cornice.functions.text import repaired
+
+    right = ["café", "the firm’s", "naïve €", "中文", "plain", "", None, "Ã", "“x”"]
+    wrong = [None if x is None else "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in x.encode()) for x in right]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(zip(right, wrong))], "i int, a string, b string").orderBy("i")
+    rows = df.select("a", repaired(F.col("a")).alias("same"), repaired(F.col("b")).alias("mended")).collect()
+    assert [r.same for r in rows] == right and [r.mended for r in rows] == right
+
+
+def test_ticker_metadata_of_unknown_and_delisted(spark):
+    names = spark.createDataFrame([(7, 1, "A", "x", None, 1), (3, 2, "B", "y", "", 9)], "ord long, permno int, ticker string, name string, cusip string, exchcd int")
+    security = spark.createDataFrame([("A", "g2"), ("A", "g1")], "ticker string, gvkey string")
+    company = spark.createDataFrame([("g1", 7372, "S", None)], "gvkey string, sic int, state string, country string")
+    gone = spark.createDataFrame([(2,), (2,), (None,)], "permno int")
+    got = enrich.ticker_metadata(names, security, company, gone, "ord").orderBy("id").collect()
+    assert [(r.id, r.ticker, r.gvkey, r.isDelisted, r.exchange, r.source, r.location) for r in got] == [(1, "B-DELISTED", None, True, "Other", "WRDS", None), (2, "A", "g1", False, "NYSE", "WRDS", None), (3, "A", "g2", False, "NYSE", "WRDS", None)]
+
+
+def test_salary_tables(spark):
+    from cornice.functions.nodes import parse_nodes
+    from cornice.operators import pages
+
+    cue, paid = "<td>Principal position", "<td>Salary"
+    html = [f"<table><tr>{cue}</table><table><tr>{paid}</table>", f"<table><tr><td>x<table><tr>{cue}{paid}</table></table>", f"<p>Name & position<table><tr>{paid}</table>", None]
+    df = spark.createDataFrame(list(enumerate(html)), "doc int, html string")
+    assert [tuple(r) for r in pages.salary_tables(parse_nodes(df), "doc").collect()] == [(1, 1)]
