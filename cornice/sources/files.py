@@ -21,6 +21,13 @@ def tables(spark: SparkSession, folder: str, names: list[str]) -> dict[str, Data
     return out
 
 
+def csv_views(spark: SparkSession, paths: dict[str, str]) -> None:
+    """Temporary views over CSV files with a header, for SQL: types are inferred, and each query scans the files anew."""
+    for name, path in paths.items():
+        quoted = path.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW `{name}` USING csv OPTIONS (path '{quoted}', header 'true', inferSchema 'true')")
+
+
 def read_csv(spark: SparkSession, path: str, typed: bool = True, header: bool = True) -> DataFrame:
     return spark.read.csv(path, header=header, inferSchema=typed)
 

@@ -209,3 +209,22 @@ def test_master_lines(spark, tmp_path):
     assert sorted(map(tuple, got.collect()), key=repr) == [("5", "A", None), ("7", None, "1.5")]
     files.write_master(got.withColumnRenamed("id", "n"), str(tmp_path / "out"), "n")
     assert files.master_lines(spark, str(tmp_path / "out"), ["x"]).count() == 2
+
+
+def test_csv_in_sql(spark, tmp_path):
+    (tmp_path / "it's.csv").write_text("tic,year,pay\nA,2001,1.5\nB,2002,\n")
+    files.csv_views(spark, {"pay": str(tmp_path / "it's.csv")})
+    assert [tuple(r) for r in spark.sql("SELECT tic, pay FROM pay WHERE year = 2001").collect()] == [("A", 1.5)]
+    assert dict(spark.table("pay").dtypes) == {"tic": "string", "year": "int", "pay": "double"}
+
+
+def test_warehouse_over_jdbc(spark, tmp_path):
+    from cornice.sources import warehouse as W
+
+    url, driver = f"jdbc:derby:{tmp_path}/db;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    rows = spark.createDataFrame([("A", 2001), ("B", 2001), ("O'N", 1990), ("O'N", 2002)], "TIC string, FYEAR int")
+    rows.write.option("createTableColumnTypes", "TIC VARCHAR(9)").jdbc(url, "funda", properties=driver)
+    got = W.partitioned_read(spark, url, "funda", "tic", ["A", "O'N", "C"], driver, "fyear > 2000")
+    assert sorted(map(tuple, got.collect())) == [("A", 2001), ("O'N", 2002)]
+    assert W.partitioned_read(spark, url, "funda", "tic", [str(i) for i in range(1200)], driver).rdd.getNumPartitions() == 3
+    assert W.read_query(spark, url, "SELECT count(*) AS n FROM funda", driver).first()[0] == 4
