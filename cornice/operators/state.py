@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
+from ..session import cut
 
 #: Fixed ranks of extraction statuses; others rank 0.
 STATUS_RANK = {"extracted": 3, "skipped_existing": 2, "no_sct_found": 1}
@@ -48,13 +49,25 @@ def append_unseen(old: DataFrame, new: DataFrame, keys: list[str], order: str) -
 
 
 def uncovered(wanted: DataFrame, have: DataFrame, key: str) -> DataFrame:
-    """Wanted spans (key, lo, hi) that no span in hand (key, lo, hi) contains."""
+    """Wanted spans (key, lo, hi) that no span in hand (key, lo, hi) contains.
+
+    Spans are dealt by ranges of key and beginning, so a key with very many lies in
+    several partitions; the farthest end so far is worked out in each, and that of the
+    partitions before is carried in.  A null key is never covered.
+    """
     both = wanted.select(F.struct("*").alias("_row"), key, "lo", "hi").unionByName(have.select(F.lit(None).cast(wanted.schema).alias("_row"), key, "lo", "hi"))
-    # Spans in hand come before wanted ones that begin with them: the farthest end so far tells whether one contains them.
-    order = Window.partitionBy(key).orderBy("lo", F.col("_row").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
-    reach = F.max(F.when(F.col("_row").isNull(), F.col("hi"))).over(order)
-    out = both.withColumn("_reach", reach).where(F.col("_row").isNotNull())
-    return out.where(F.col(key).isNull() | ~F.coalesce(F.col("_reach") >= F.col("hi"), F.lit(False))).select("_row.*")
+    # Spans in hand come before wanted ones that begin with them.
+    both = both.withColumn("_wanted", F.col("_row").isNotNull())
+    parted = cut(both.repartitionByRange(key, "lo", "_wanted").withColumn("_part", F.spark_partition_id()))
+    end = F.when(~F.col("_wanted"), F.col("hi"))
+    ends = parted.groupBy(key, "_part").agg(F.max(end).alias("_end"))
+    before = Window.partitionBy(key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(F.col(key).alias("_key"), "_part", F.max("_end").over(before).alias("_carried")).where("_carried is not null")
+    so_far = Window.partitionBy(key, "_part").orderBy("lo", "_wanted").rowsBetween(Window.unboundedPreceding, 0)
+    out = parted.withColumn("_reach", F.max(end).over(so_far)).where("_wanted")
+    out = out.join(carried, (F.col(key) == F.col("_key")) & (out["_part"] == carried["_part"]), "left")
+    reach = F.greatest("_reach", "_carried")
+    return out.where(F.col(key).isNull() | ~F.coalesce(reach >= F.col("hi"), F.lit(False))).select("_row.*")
 
 
 def best_status(events: DataFrame, keys: list[str], status: str, ranks: dict[str, int], order: str) -> DataFrame:

@@ -82,3 +82,21 @@ def test_salary_tables(spark):
     html = [f"<table><tr>{cue}</table><table><tr>{paid}</table>", f"<table><tr><td>x<table><tr>{cue}{paid}</table></table>", f"<p>Name & position<table><tr>{paid}</table>", None]
     df = spark.createDataFrame(list(enumerate(html)), "doc int, html string")
     assert [tuple(r) for r in pages.salary_tables(parse_nodes(df), "doc").collect()] == [(1, 1)]
+
+
+def test_spans_of_one_key_over_many_partitions(spark):
+    import random
+
+    r = random.Random(3)
+    spans = lambda n, w: [(r.choice(["hot"] * 9 + ["a", None]), lo, lo + r.randrange(w)) for lo in (r.randrange(2000) for _ in range(n))]
+    wanted, have = spans(1500, 30), spans(400, 60) + [("hot", 5, 900)]
+    df = lambda rows: spark.createDataFrame(rows, "k string, lo int, hi int")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = sorted(map(tuple, state.uncovered(df(wanted), df(have), "k").collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    covered = lambda s: any(s[0] is not None and h[0] == s[0] and h[1] <= s[1] and h[2] >= s[2] for h in have)
+    assert got == sorted((s for s in wanted if not covered(s)), key=repr)
+    assert state.uncovered(df(wanted), df(have).limit(0), "k").count() == len(wanted) and state.uncovered(df(have).limit(0), df(have), "k").count() == 0
