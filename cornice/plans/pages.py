@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.htmlkit import parse_tables
-from ..functions.nodes import HEADINGS, elements, parse_nodes
+from ..functions.nodes import HEADINGS, parse_nodes
 from ..operators import ascii_tables as A
 from ..operators import cells as C
 from ..operators import extract_index as X

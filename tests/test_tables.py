@@ -228,3 +228,9 @@ def test_warehouse_over_jdbc(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == [("A", 2001), ("O'N", 2002)]
     assert W.partitioned_read(spark, url, "funda", "tic", [str(i) for i in range(1200)], driver).rdd.getNumPartitions() == 3
     assert W.read_query(spark, url, "SELECT count(*) AS n FROM funda", driver).first()[0] == 4
+
+
+def test_json_by_report(spark, tmp_path):
+    files.export_json(spark.createDataFrame([("A", 1, None), ("A", 2, "x"), ("B", 3, "y")], "ticker string, n int, v string"), str(tmp_path / "out"), "ticker")
+    assert sorted(p.name for p in (tmp_path / "out").iterdir() if p.is_dir()) == ["ticker=A", "ticker=B"]
+    assert sorted((r.ticker, r.n, r.v) for r in spark.read.json(str(tmp_path / "out")).collect()) == [("A", 1, None), ("A", 2, "x"), ("B", 3, "y")]
