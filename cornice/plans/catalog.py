@@ -589,12 +589,32 @@ def name_split(spark, d):
     return t(spark, d, "customer").select("c_custkey", T.name_and_position(parts).alias("x")).select("c_custkey", "x.name", "x.position")
 
 
-@query("""WITH p AS (SELECT p_partkey AS k, p_partkey % 8 AS f FROM part)
-  SELECT k AS p_partkey, CASE f WHEN 0 THEN 'name_position' WHEN 1 THEN 'year' WHEN 2 THEN 'option_awards' WHEN 3 THEN 'options_' || k WHEN 4 THEN 'pension_value' WHEN 5 THEN 'percent_of_class' WHEN 6 THEN 'number_of_shares' ELSE 'beneficially_owned_' || k END AS sct,
-  CASE f WHEN 0 THEN 'name' WHEN 1 THEN 'fiscal_year' WHEN 2 THEN 'notes' WHEN 3 THEN 'notes' WHEN 4 THEN 'change_in_pension_value_' || k WHEN 5 THEN 'percent' WHEN 6 THEN 'shares' ELSE 'name' END AS bot,
-  CASE f WHEN 0 THEN 1 WHEN 2 THEN 1 WHEN 3 THEN 1 WHEN 5 THEN 2 WHEN 6 THEN 1 WHEN 7 THEN 2 ELSE 0 END AS cues FROM p""")
+# Headers of two phrases each, so that rules meet in most; the SQL applies them from the same token lists.
+_HEADS = ["Name", "Principal Position", "Fiscal Year", "Option", "Stock Award", "Change in Pension Value", "Percent of Class", "Number of Shares", "Beneficially Owned", "Incentive", "All Other", "Total", "Salary", "Bonus ($)", "Holder", "Footnote (a)", "Deferred Compensation", "Other Annual", ""]
+_HEAD_SQL = f"""[{', '.join(f"'{h}'" for h in _HEADS)}][p_partkey % {len(_HEADS)} + 1] || ' ' || CASE WHEN p_partkey % 3 = 0 THEN p_name ELSE [{', '.join(f"'{h}'" for h in _HEADS)}][p_partkey // 7 % {len(_HEADS)} + 1] END"""
+
+
+def _any_sql(tokens):
+    return "(" + " OR ".join(f"contains(h, '{w}')" for w in tokens) + ")"
+
+
+_SCT_SQL = [
+    ("contains(h, 'name') AND contains(h, 'position')", "name_position"), (_any_sql(["fiscal", "year"]), "year"), (_any_sql(["salary"]), "salary"), (_any_sql(["bonus"]), "bonus"), (_any_sql(["other annual"]), "other_annual_comp"),
+    ("contains(h, 'stock') AND contains(h, 'award')", "stock_awards"), ("contains(h, 'option') AND contains(h, 'award')", "option_awards"), (_any_sql(["incentive"]), "non_equity_incentive"),
+    (_any_sql(["pension", "deferred compensation"]), "pension_value"), (_any_sql(["all other"]), "all_other_comp"), (_any_sql(["total"]), "total"),
+]
+
+
+def _case_sql(rules):
+    return "CASE " + " ".join(f"WHEN {test} THEN '{name}'" for test, name in rules) + " ELSE trim(regexp_replace(h, '[^a-z0-9]+', '_', 'g'), '_') END"
+
+
+@query(f"""WITH p AS (SELECT p_partkey, lower(trim({_HEAD_SQL})) AS h FROM part)
+  SELECT p_partkey, {_case_sql(_SCT_SQL)} AS sct, CASE WHEN h = '' THEN '' ELSE {_case_sql([(_any_sql(tokens), name) for name, tokens in H.BOT_TOKENS.items()])} END AS bot,
+  ({' + '.join(_any_sql(tokens) + '::INT' for tokens in H.BOT_TOKENS.values())})::INT AS cues FROM p""")
 def header_rules(spark, d):
-    k = F.col("p_partkey")
-    raw = ["Name and Principal Position", "Fiscal Year", "Option Awards ($)", F.concat(F.lit("Options "), k), F.concat(F.lit("Change in Pension Value "), k), "Percent of Class", "Number of Shares", F.concat(F.lit("Beneficially Owned "), k)]
-    raw = F.element_at(F.array(*[x if isinstance(x, F.Column) else F.lit(x) for x in raw]), (k % 8 + 1).cast("int"))
-    return t(spark, d, "part").select("p_partkey", H.sct_header(raw).alias("sct"), H.bot_header(raw).alias("bot"), H.hits(F.lower(raw), H.BOT_TOKENS).alias("cues"))
+    k, heads = F.col("p_partkey"), F.array(*map(F.lit, _HEADS))
+    pick = lambda n: F.element_at(heads, (n % len(_HEADS) + 1).cast("int"))
+    raw = F.concat_ws(" ", pick(k), F.when(k % 3 == 0, F.col("p_name")).otherwise(pick(F.floor(k / 7))))
+    low = F.lower(T.strip(raw))
+    return t(spark, d, "part").select("p_partkey", H.sct_header(raw).alias("sct"), H.bot_header(raw).alias("bot"), H.hits(low, H.BOT_TOKENS).alias("cues"))
