@@ -203,12 +203,20 @@ HELD = 1 << 14
 
 def _partly(k: int):
     """Lists of one query that a task has, merged into one of k."""
-    merge = _merge(k)
 
     def flush(held: list[pd.DataFrame]) -> pd.DataFrame:
-        rows = [merge(g) for _, g in pd.concat(held).groupby("query_id", sort=False)]
-        parts = [(r["query_id"].iloc[0], r["vec_id"].tolist(), r["score"].tolist()) for r in rows if len(r)]
-        return pd.DataFrame(parts, columns=["query_id", "ids", "scores"])
+        pdf = pd.concat(held)
+        query = np.repeat(pdf["query_id"].to_numpy(np.int64), [len(x) for x in pdf["ids"]])
+        ids = np.concatenate([np.asarray(x, np.int64) for x in pdf["ids"]])
+        scores = np.concatenate([np.asarray(x, np.float64) for x in pdf["scores"]])
+        # Of an id the best score, then of a query the k best ids.
+        at = np.lexsort((-scores, ids, query))
+        at = at[np.concatenate(([True], (np.diff(query[at]) != 0) | (np.diff(ids[at]) != 0)))[: len(at)]]
+        at = at[np.lexsort((ids[at], -scores[at], query[at]))]
+        names, start, size = np.unique(query[at], return_index=True, return_counts=True)
+        at = at[np.arange(len(at)) - np.repeat(start, size) < k]
+        cuts = np.cumsum(np.minimum(size, k))[:-1]
+        return pd.DataFrame({"query_id": names, "ids": [x.tolist() for x in np.split(ids[at], cuts)] if len(names) else [], "scores": [x.tolist() for x in np.split(scores[at], cuts)] if len(names) else []})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
