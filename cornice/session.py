@@ -8,6 +8,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 ROOT = str(Path(__file__).resolve().parent.parent)
+#: Parts that one step is dealt to at most.
+MOST_TASKS = 2000
 
 
 def share_path(spark: SparkSession) -> SparkSession:
@@ -52,3 +54,12 @@ def cut(df: DataFrame) -> DataFrame:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(found or f"file://{tempfile.mkdtemp(prefix='cornice-')}")
     return df.checkpoint()
+
+
+def spread(df: DataFrame, rows: int = 1 << 12) -> DataFrame:
+    """df dealt out evenly, about so many rows a task and no fewer tasks than cores.
+
+    A small file is read by one task, whatever its rows become afterwards: pages, nodes, cells.
+    """
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
+    return df.repartition(min(tasks, MOST_TASKS))
