@@ -8,14 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.headers import BOT_TOKENS, SCT_TOKENS, bot_header, hits, sct_header, table_kind
 from ..functions.records import base_name, merged_value
 from ..functions.text import DASHES, clean_text, name_and_position, strip, to_number_or_zero
 from ..session import cut
-from .sequence import fill_both, with_blocks
+from .sequence import with_blocks
 
 KEY = ["doc", "table_idx"]
 YEAR = r"(?:19|20)\d{2}"
@@ -24,26 +24,45 @@ HEADER_WORDS = "(?i)name|principal|position|year|fiscal|salary|bonus|stock|optio
 PAY = ("salary", "bonus", "stock_awards", "option_awards", "non_equity_incentive", "pension_value", "all_other_comp", "total")
 
 
-def row_texts(cells: DataFrame) -> DataFrame:
-    """doc, table_idx, row_idx, joined lower-case text."""
-    parts = F.sort_array(F.collect_list(F.struct("col_idx", F.lower("text").alias("t"))))
-    return cells.groupBy(*KEY, "row_idx").agg(F.array_join(F.transform(parts, lambda x: x["t"]), " ").alias("row_text"))
+def _text_of(cells: Column) -> Column:
+    parts = F.sort_array(F.transform(cells, lambda x: F.struct(x["col_idx"].alias("col_idx"), F.lower(x["text"]).alias("t"))))
+    return F.array_join(F.transform(parts, lambda x: x["t"]), " ")
+
+
+def row_texts(cells: DataFrame, *more: Column) -> DataFrame:
+    """doc, table_idx, row_idx, joined lower-case text, and what more is taken of a row."""
+    return cells.groupBy(*KEY, "row_idx").agg(_text_of(F.collect_list(F.struct("col_idx", "text"))).alias("row_text"), *more)
+
+
+def _gathered(cells: DataFrame, *by: str) -> DataFrame:
+    """The cells of each row or column as one array, `_cells`.
+
+    What a row, column or table is, is told by grouping and windows and its cells come apart again:
+    they are dealt out by document once, and nothing is joined with itself.
+    """
+    rest = [c for c in cells.columns if c not in (*KEY, *by)]
+    return cells.dropna(subset=[*KEY, *by]).groupBy(*KEY, *by).agg(F.collect_list(F.struct(*rest)).alias("_cells"))
+
+
+def _apart(gathered: DataFrame, columns: list[str]) -> DataFrame:
+    return gathered.select(*[c for c in gathered.columns if c != "_cells"], F.inline("_cells")).select(*columns)
+
+
+def _distinct(cells: DataFrame, along: str, across: str) -> DataFrame:
+    content = F.sort_array(F.transform("_cells", lambda x: F.struct(x[across].alias(across), F.coalesce(x["text"], F.lit("\0")).alias("t"))))
+    found = _gathered(cells, along).withColumn("_c", content)
+    first = Window.partitionBy(*KEY, "_c").orderBy(along)
+    return _apart(found.withColumn("_k", F.row_number().over(first)).where("_k = 1"), cells.columns)
 
 
 def distinct_rows(cells: DataFrame) -> DataFrame:
     """Rows of a table with equal cells: the first stays."""
-    content = F.sort_array(F.collect_list(F.struct("col_idx", F.coalesce("text", F.lit("\0")).alias("t"))))
-    rows = cells.groupBy(*KEY, "row_idx").agg(content.alias("c"))
-    first = rows.groupBy(*KEY, "c").agg(F.min("row_idx").alias("row_idx")).drop("c")
-    return cells.join(first, [*KEY, "row_idx"], "left_semi")
+    return _distinct(cells, "row_idx", "col_idx")
 
 
 def distinct_columns(cells: DataFrame) -> DataFrame:
     """Columns of a table with equal cells: the first stays."""
-    content = F.sort_array(F.collect_list(F.struct("row_idx", F.coalesce("text", F.lit("\0")).alias("t"))))
-    cols = cells.groupBy(*KEY, "col_idx").agg(content.alias("c"))
-    first = cols.groupBy(*KEY, "c").agg(F.min("col_idx").alias("col_idx")).drop("c")
-    return cells.join(first, [*KEY, "col_idx"], "left_semi")
+    return _distinct(cells, "col_idx", "row_idx")
 
 
 def blanks_to_null(cells: DataFrame) -> DataFrame:
@@ -62,14 +81,16 @@ def with_header(cells: DataFrame, tokens: dict[str, list[str]], max_rows: int, b
 
     A column that the header row lacks is named by its place, or with blank has an empty header.
     """
-    order = Window.partitionBy(*KEY).orderBy("row_idx")
-    rows = row_texts(cells).withColumn("_i", F.row_number().over(order))
-    head = rows.where((F.col("_i") <= max_rows) & (hits(F.col("row_text"), tokens) >= 2)).groupBy(*KEY).agg(F.min("row_idx").alias("_head"))
-    names = cells.join(head, KEY).where("row_idx = _head").select(*KEY, "col_idx", F.col("text").alias("head"))
-    body = cells.join(head, KEY, "left").where(F.col("_head").isNull() | (F.col("row_idx") > F.col("_head")))
+    table = Window.partitionBy(*KEY)
+    rows = _gathered(cells, "row_idx").withColumn("row_text", _text_of(F.col("_cells"))).withColumn("_i", F.row_number().over(table.orderBy("row_idx")))
+    fits = (F.col("_i") <= max_rows) & (hits(F.col("row_text"), tokens) >= 2)
+    rows = rows.withColumn("_head", F.min(F.when(fits, F.col("row_idx"))).over(table)).where(F.col("_head").isNull() | (F.col("row_idx") >= F.col("_head")))
+    body = _apart(rows, [*cells.columns, "_head"])
     place = F.col("col_idx").cast("string")
     lacking = F.when(F.col("_head").isNotNull(), F.lit("")).otherwise(place) if blank else place
-    return body.join(names, [*KEY, "col_idx"], "left").withColumn("head", F.coalesce("head", lacking)).drop("_head")
+    head = F.max(F.when(F.col("row_idx") == F.col("_head"), F.col("text"))).over(Window.partitionBy(*KEY, "col_idx"))
+    body = body.withColumn("head", F.coalesce(head, lacking))
+    return body.where(F.col("_head").isNull() | (F.col("row_idx") > F.col("_head"))).drop("_head")
 
 
 def unique_names(cells: DataFrame) -> DataFrame:
@@ -112,7 +133,7 @@ def clean_sct(cells: DataFrame, dump: Callable[[str, DataFrame], DataFrame] = la
     out, year rows, stacked rows apart, blanks to null, blocks, names joined and
     filled within blocks.
     """
-    c = cut(dump("combined", cells).withColumn("text", clean_text(F.col("text"))))
+    c = dump("combined", cells).withColumn("text", clean_text(F.col("text")))
     c = with_header(distinct_columns(distinct_rows(c)), SCT_TOKENS, 15)
     c = drop_empty(blanks_to_null(c.withColumn("name", sct_header(F.col("head")))))
     rows = to_rows(c)
@@ -125,12 +146,12 @@ def clean_sct(cells: DataFrame, dump: Callable[[str, DataFrame], DataFrame] = la
     rows = expand_stacked(rows).withColumn("year", F.regexp_extract(F.col("values")["year"], f"({YEAR})", 1).try_cast("int"))
     rows = rows.withColumn("_order", F.struct("row_idx", "slot"))
     rows = with_blocks(rows, KEY, "_order", "year")
-    named = rows.withColumn("_name", F.col("values")["name_position"])
-    joined = F.array_distinct(F.transform(F.sort_array(F.collect_list(F.when(F.col("_name").isNotNull(), F.struct("_order", "_name")))), lambda x: x["_name"]))
-    names = named.groupBy(*KEY, "block").agg(joined.alias("_all")).withColumn("_split", name_and_position(F.col("_all")))
-    out = rows.join(names, [*KEY, "block"]).withColumn("executive", F.col("_split.name")).withColumn("position", F.nullif(F.col("_split.position"), F.lit("")))
-    out = fill_both(out, [*KEY, "block"], "_order", ["executive"])
-    out = out.select(*KEY, "row_idx", "slot", "block", "executive", "position", "year", F.map_filter("values", lambda k, v: ~k.isin("name_position", "year")).alias("fields"))
+    name = F.col("values")["name_position"]
+    joined = F.array_distinct(F.transform(F.sort_array(F.collect_list(F.when(name.isNotNull(), F.struct("_order", name.alias("_name"))))), lambda x: x["_name"]))
+    fields = F.map_filter("values", lambda k, v: ~k.isin("name_position", "year")).alias("fields")
+    blocks = rows.groupBy(*KEY, "block").agg(joined.alias("_all"), F.collect_list(F.struct("row_idx", "slot", "year", fields)).alias("_rows"))
+    blocks = blocks.withColumn("_split", name_and_position(F.col("_all"))).select(*KEY, "block", F.col("_split.name").alias("executive"), F.nullif(F.col("_split.position"), F.lit("")).alias("position"), F.inline("_rows"))
+    out = blocks.select(*KEY, "row_idx", "slot", "block", "executive", "position", "year", "fields")
     return dump("cleaned", out)
 
 
@@ -253,47 +274,61 @@ def score_tables(cells: DataFrame, header_rows: int = 12, cues: tuple[int, int,
 
     The earlier scorer has cues of 6, 4 and 2, -3 for grants and no titles.
     """
-    rows = row_texts(cells)
-    parts = F.sort_array(F.collect_list(F.struct("row_idx", "row_text")))
-    text = rows.groupBy(*KEY).agg(F.transform(parts, lambda x: x["row_text"]).alias("r"))
-    text = text.withColumn("head", F.array_join(F.slice("r", 1, header_rows), " ")).withColumn("full", F.array_join("r", " "))
+    rows = row_texts(cells.dropna(subset=KEY), F.max("title_cues").alias("title_cues"))
+    text = rows.groupBy(*KEY).agg(F.collect_list(F.struct("row_idx", "row_text")).alias("_rows"), F.max("title_cues").alias("title_cues"))
+    return _with_score(text, header_rows, cues, grants, titles_count).select(*KEY, "score")
+
+
+def _with_score(tables: DataFrame, header_rows: int = 12, cues: tuple[int, int, int] = (7, 5, 2), grants: int = -4, titles_count: int = 4) -> DataFrame:
+    """tables (_rows with row_idx and row_text, title_cues) with their score."""
+    text = tables.withColumn("_r", F.transform(F.sort_array(F.transform("_rows", lambda x: F.struct(x["row_idx"].alias("i"), x["row_text"].alias("t")))), lambda x: x["t"]))
+    text = text.withColumn("head", F.array_join(F.slice("_r", 1, header_rows), " ")).withColumn("full", F.array_join("_r", " "))
     has = lambda *w: F.greatest(*[F.col("head").contains(x) for x in w], F.lit(False))
     name, principal, position = has("name"), has("principal", "named executive"), has("position", "occupation")
     cue = F.when(name & principal & position, cues[0]).when(name & (principal | position), cues[1]).when(name, cues[2]).otherwise(0)
     words = F.least(sum((F.col("head").contains(w).cast("int") for w in COMP_WORDS), F.lit(0)), F.lit(8))
     money = F.when(F.col("full").rlike(r"\$|\b\d{3,}\b"), 2).otherwise(0)
     grant = F.when(has(*GRANT_WORDS), grants).otherwise(0)
-    titles = cells.groupBy(*KEY).agg(F.max("title_cues").alias("title_cues"))
-    return text.join(titles, KEY).select(*KEY, (cue + words + money + grant + titles_count * F.col("title_cues")).alias("score"))
+    return text.withColumn("score", cue + words + money + grant + titles_count * F.col("title_cues")).drop("_r", "head", "full")
 
 
 def best_table(cells: DataFrame) -> DataFrame:
     """Cells of each document's best scored table, ties to the first; any table wins if it is the only one."""
-    w = Window.partitionBy("doc").orderBy(F.desc("score"), "table_idx")
-    top = score_tables(cells).withColumn("_rn", F.row_number().over(w)).where("_rn = 1")
-    return cells.join(top.select(*KEY), KEY, "left_semi")
+    return extracted_tables(cells, "score")
+
+
+def _guarded(row: Column, after: Column) -> Column:
+    """A row on name that also names principal and position, or whose next row does."""
+    both = lambda c: c.contains("principal") & c.contains("position")
+    return row.contains("name") & (both(row) | both(after))
 
 
 def extracted_tables(cells: DataFrame, mode: str = "xpath") -> DataFrame:
     """Cells of each document's pay table: by its header rows (xpath), by its points (score), or by points and else by its header rows (both)."""
     if mode not in ("xpath", "score", "both"):
         raise ValueError(f"no such mode: {mode}")
-    if mode == "score":
-        return best_table(cells)
-    guarded = guard_tables(cells)
+    rows = _gathered(cells, "row_idx").withColumn("row_text", _text_of(F.col("_cells")))
+    after = F.coalesce(F.lead("row_text").over(Window.partitionBy(*KEY).orderBy("row_idx")), F.lit(""))
+    rows = rows.withColumn("_guarded", _guarded(F.col("row_text"), after))
+    cues = F.array_max(F.transform("_cells", lambda x: x["title_cues"])) if mode != "xpath" else F.lit(0)
+    tables = rows.withColumn("_cues", cues).groupBy(*KEY).agg(F.collect_list(F.struct("row_idx", "row_text", "_cells")).alias("_rows"), F.max("_guarded").alias("_guarded"), F.max("_cues").alias("title_cues"))
+    w = Window.partitionBy("doc")
+    by_rows = F.min(F.when(F.col("_guarded"), F.col("table_idx"))).over(w)
     if mode == "xpath":
-        return cells.join(guarded, KEY, "left_semi")
-    scored = best_table(cells)
-    missed = guarded.join(scored.select("doc").distinct(), "doc", "left_anti")
-    return scored.unionByName(cells.join(missed, KEY, "left_semi"))
+        chosen = tables.withColumn("_pick", by_rows)
+    else:
+        # Points are null where title cues are, and then come last.
+        by_points = F.first("table_idx").over(w.orderBy(F.desc("score"), "table_idx"))
+        chosen = _with_score(tables).withColumn("_pick", by_points if mode == "score" else F.coalesce(by_points, by_rows))
+    chosen = chosen.where("table_idx = _pick").select(*KEY, F.inline("_rows"))
+    return _apart(chosen.drop("row_text"), cells.columns)
 
 
 def guard_tables(cells: DataFrame) -> DataFrame:
     """doc, table_idx of the first table with a row on name that also names principal and position, or whose next row does."""
     w = Window.partitionBy(*KEY).orderBy("row_idx")
-    rows = row_texts(cells).withColumn("_next", F.coalesce(F.lead("row_text").over(w), F.lit("")))
-    both = lambda c: c.contains("principal") & c.contains("position")
-    good = rows.where(F.col("row_text").contains("name") & (both(F.col("row_text")) | both(F.col("_next"))))
+    after = F.coalesce(F.lead("row_text").over(w), F.lit(""))
+    good = row_texts(cells).withColumn("_good", _guarded(F.col("row_text"), after)).where("_good")
     return good.groupBy("doc").agg(F.min("table_idx").alias("table_idx"))
 
 
