@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import records as R
 from ..operators import cells as C
 from ..operators import tables as T
+from ..session import cut
 from ..sources import warehouse as W
 from ..streaming.increments import windowed_counts
 from .catalog import _filings, query, t
@@ -216,6 +217,6 @@ def batch_outcomes(spark, d):
 @query("""SELECT m.mode, c_custkey::VARCHAR AS doc, (c_custkey % 3 = 0)::INT AS table_idx, (CASE WHEN c_custkey % 5 = 0 THEN 25 ELSE 20 END)::BIGINT AS n_cells
   FROM customer, (VALUES ('xpath'), ('score'), ('both')) m(mode)""")
 def extractor_modes(spark, d):
-    cells = _filings(spark, d)
+    cells = cut(_filings(spark, d))
     parts = [C.extracted_tables(cells, mode).select(F.lit(mode).alias("mode"), "doc", "table_idx") for mode in ("xpath", "score", "both")]
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("mode", "doc", "table_idx").agg(F.count("*").alias("n_cells"))
