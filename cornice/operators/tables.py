@@ -75,16 +75,17 @@ def with_two_row_header(cells: DataFrame) -> DataFrame:
     Row 1 is taken for a second header row, merged into the first and left out, if two or
     more of its cells equal a header of any column.
     """
-    at = [F.max_by("text", F.when(F.col("row_idx") == i, 1)).alias(n) for i, n in enumerate(("old", "new"))]
-    pairs = cells.where("row_idx <= 1").groupBy(*KEY, "col_idx").agg(*at)
-    heads = pairs.groupBy(*KEY).agg(F.collect_list(F.struct("col_idx", "old", "new")).alias("h"))
-    olds = F.transform("h", lambda x: F.lower(x["old"]))
-    equal = F.size(F.filter("h", lambda x: F.coalesce(F.array_contains(olds, F.lower(x["new"])), F.lit(False))))
-    heads = heads.withColumn("_merged", equal >= 2).select(*KEY, "_merged", F.inline("h"))
-    name = F.when(F.col("_merged"), _two_row_name(F.col("old"), F.col("new"))).otherwise(F.col("old"))
-    heads = heads.select(*KEY, "col_idx", "_merged", name.alias("name"))
-    rows = cells.where("row_idx > 0").join(heads, [*KEY, "col_idx"])
-    return rows.where(~F.col("_merged") | (F.col("row_idx") > 1)).drop("_merged")
+    column, table = Window.partitionBy(*KEY, "col_idx"), Window.partitionBy(*KEY)
+    at = {n: F.max(F.when(F.col("row_idx") == i, F.col("text"))).over(column) for i, n in enumerate(("_old", "_new"))}
+    cells = cells.dropna(subset=[*KEY, "col_idx"]).withColumns(at | {"_head": F.min("row_idx").over(column) <= 1})
+    # Each column counts once: in its first row.
+    cells = cells.withColumn("_k", F.row_number().over(column.orderBy("row_idx")))
+    olds = F.collect_set(F.lower("_old")).over(table)
+    same = (F.col("_k") == 1) & F.col("_head") & F.array_contains("_olds", F.lower("_new"))
+    cells = cells.withColumn("_olds", olds).withColumn("_merged", F.count_if(same).over(table) >= 2)
+    name = F.when(F.col("_merged"), _two_row_name(F.col("_old"), F.col("_new"))).otherwise(F.col("_old"))
+    rows = cells.where((F.col("row_idx") > 0) & F.col("_head") & (~F.col("_merged") | (F.col("row_idx") > 1)))
+    return rows.withColumn("name", name).drop("_old", "_new", "_head", "_k", "_olds", "_merged")
 
 
 def report_payloads(rows: DataFrame, keys: tuple[str, str], name: str, position: str, year: str, order: str, amounts: list[str]) -> DataFrame:

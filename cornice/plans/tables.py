@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import records as R
 from ..operators import cells as C
 from ..operators import tables as T
-from ..session import cut
+from ..session import cut, spread
 from ..sources import warehouse as W
 from ..streaming.increments import windowed_counts
 from .catalog import _filings, query, t
@@ -76,7 +76,8 @@ def two_row_header(spark, d):
     below = [F.when(m == 2, F.col("c_name")).otherwise("Name"), F.when(m == 0, "Salary ($)").when(m == 2, "x"), F.lit("awards"), F.lit("Total")]
     body = [F.col("c_name"), F.lit("1"), F.lit("2"), F.col("c_mktsegment")]
     cells = [F.struct(F.lit(r).alias("row_idx"), F.lit(i).alias("col_idx"), c.alias("text")) for r, row in enumerate((heads, below, body)) for i, c in enumerate(row)]
-    rows = t(spark, d, "customer").select(F.col("c_custkey").alias("doc"), F.lit(0).alias("table_idx"), F.inline(F.array(*cells)))
+    dealt = spread(t(spark, d, "customer").withColumn("doc", F.col("c_custkey")), "doc")
+    rows = dealt.select("doc", F.lit(0).alias("table_idx"), F.inline(F.array(*cells)))
     out = T.with_two_row_header(rows)
     return out.select("doc", "row_idx", "name", F.coalesce("text", F.lit("")).alias("text"))
 

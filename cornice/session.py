@@ -56,10 +56,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def spread(df: DataFrame, rows: int = 1 << 12) -> DataFrame:
-    """df dealt out evenly, about so many rows a task and no fewer tasks than cores.
+def tasks_for(df: DataFrame, rows: int = 1 << 12) -> int:
+    """In how many tasks df is worked on: about so many rows each, and no fewer than there are cores."""
+    return min(MOST_TASKS, max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows)))
 
-    A small file is read by one task, whatever its rows become afterwards: pages, nodes, cells.
+
+def spread(df: DataFrame, *keys: str, tasks: int | None = None) -> DataFrame:
+    """df dealt out evenly, or by keys, in a number of tasks that grows with its rows.
+
+    A small file is read by one task, whatever its rows become afterwards: pages, nodes, cells,
+    lines.  What is dealt by a key stays so while its rows come apart, for windows and groups.
     """
-    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows))
-    return df.repartition(min(tasks, MOST_TASKS))
+    return df.repartition(tasks or tasks_for(df), *keys)
