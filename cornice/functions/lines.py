@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 #: Ends of lines as Unicode has them.
 LINE_END = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x85\u2028\u2029]"
 
@@ -16,5 +18,5 @@ def lines_of(text: Column) -> Column:
 
 
 def text_lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """key, i, line: a row for each line, numbered from 0."""
-    return docs.select(key, F.posexplode(lines_of(F.col(text))).alias("i", "line"))
+    """key, i, line: a row for each line, numbered from 0; dealt out by key before, as texts are fewer and smaller than lines."""
+    return spread(docs.select(key, text), key).select(key, F.posexplode(lines_of(F.col(text))).alias("i", "line"))
