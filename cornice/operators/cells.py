@@ -95,10 +95,9 @@ def with_header(cells: DataFrame, tokens: dict[str, list[str]], max_rows: int, b
 
 def unique_names(cells: DataFrame) -> DataFrame:
     """Second and later columns of a name get _2, _3 ..."""
-    names = cells.select(*KEY, "col_idx", "name").distinct()
-    names = names.withColumn("_k", F.row_number().over(Window.partitionBy(*KEY, "name").orderBy("col_idx")))
-    names = names.withColumn("name", F.when(F.col("_k") > 1, F.concat("name", F.lit("_"), F.col("_k"))).otherwise(F.col("name"))).drop("_k")
-    return cells.drop("name").join(names, [*KEY, "col_idx"])
+    k = F.dense_rank().over(Window.partitionBy(*KEY, "name").orderBy("col_idx"))
+    cells = cells.dropna(subset=[*KEY, "col_idx"]).withColumn("_k", k)
+    return cells.withColumn("name", F.when(F.col("_k") > 1, F.concat("name", F.lit("_"), F.col("_k"))).otherwise(F.col("name"))).drop("_k")
 
 
 def to_rows(cells: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from ..operators import narrative as N
 from ..operators import ownership as O
 from ..operators import pages as P
 from ..operators import sections as S
+from ..session import spread
 from .catalog import _table, query, t
 
 
@@ -312,7 +313,8 @@ def _merge_sql(a, b):
 def merged_fields(spark, d):
     names = ["salary", "bonus", "salary", "units_7", "salary"]
     cells = F.array(*[F.struct(F.lit(i).alias("col_idx"), F.lit(n).alias("name"), F.expr(x).alias("text")) for i, (n, x) in enumerate(zip(names, _MERGED, strict=True))])
-    rows = t(spark, d, "orders").withColumn("k", F.col("o_orderkey")).select(F.col("o_custkey").alias("doc"), F.lit(0).alias("table_idx"), F.col("k").alias("row_idx"), F.inline(cells))
+    dealt = spread(t(spark, d, "orders").withColumns({"k": F.col("o_orderkey"), "doc": F.col("o_custkey")}), "doc")
+    rows = dealt.select("doc", F.lit(0).alias("table_idx"), F.col("k").alias("row_idx"), F.inline(cells))
     f = F.col("fields")
     return C.merged_fields(rows).select(F.col("row_idx").alias("k"), *[f[n].alias(n) for n in ("salary", "salary_2", "salary_3", "bonus", "units_7")])
 
