@@ -19,13 +19,14 @@ PERCENT_PHRASES = ["percentage of common stock", "percent of common stock", "per
 
 
 def _tables(cells: DataFrame, head: int, most: int | None = None) -> DataFrame:
-    """doc, table_idx, head, full, rows, cols: texts of the first rows and of all, at most `most` of them, and the table's size."""
-    rows = row_texts(cells).join(cells.groupBy(*KEY, "row_idx").agg(F.count("*").alias("_c")), [*KEY, "row_idx"])
+    """doc, table_idx, head, full, rows, cols, title_cues: texts of the first rows and of all, at most `most` of them, and the table's size and title cues in these."""
+    titles = F.max("title_cues") if "title_cues" in cells.columns else F.lit(None).cast("int")
+    rows = row_texts(cells.dropna(subset=[*KEY, "row_idx"]), F.count("*").alias("_c"), titles.alias("title_cues"))
     rows = rows.withColumn("_r", F.row_number().over(Window.partitionBy(*KEY).orderBy("row_idx")))
     rows = rows if most is None else rows.where(F.col("_r") <= most)
     parts = F.transform(F.sort_array(F.collect_list(F.struct("_r", "row_text"))), lambda x: x["row_text"])
-    joined = rows.groupBy(*KEY).agg(parts.alias("_p"), F.count("*").alias("rows"), F.max("_c").alias("cols"))
-    return joined.select(*KEY, F.array_join(F.slice("_p", 1, head), " ").alias("head"), F.array_join("_p", " ").alias("full"), "rows", "cols")
+    joined = rows.groupBy(*KEY).agg(parts.alias("_p"), F.count("*").alias("rows"), F.max("_c").alias("cols"), F.max("title_cues").alias("title_cues"))
+    return joined.select(*KEY, F.array_join(F.slice("_p", 1, head), " ").alias("head"), F.array_join("_p", " ").alias("full"), "rows", "cols", "title_cues")
 
 
 def _has(c: str, *words: str) -> Column:
@@ -54,8 +55,7 @@ def ranked_score(cells: DataFrame) -> DataFrame:
     cue = F.when(name & principal & position, 7).when(name & (principal | position), 5).when(name, 2).otherwise(0)
     size = _if(F.col("rows") >= 3, 1) + _if(F.col("cols") >= 4, 1)
     score = cue + F.least(_words("head", COMP_WORDS), F.lit(7)) + _if(F.col("full").rlike(MONEY), 2) + _if(F.col("head").rlike(ANY_YEAR), 1) + size
-    titles = cells.groupBy(*KEY).agg(F.max("title_cues").alias("title_cues"))
-    return _tables(cells, 12).join(titles, KEY).select(*KEY, (score + 4 * F.col("title_cues")).alias("score"))
+    return _tables(cells, 12).select(*KEY, (score + 4 * F.col("title_cues")).alias("score"))
 
 
 def fallback_score(cells: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import headers as H
@@ -11,6 +14,7 @@ from ..operators import enrich as E
 from ..operators import scorers as SC
 from ..operators import state as ST
 from ..operators import verify as V
+from ..session import cut
 from ..sources.files import stored_path
 from .catalog import query, t
 from .pages import _html, _lists, _words
@@ -149,13 +153,14 @@ _ONE_LINE = "array_to_string(list_transform(rows, lambda r: array_to_string(r, '
     CASE WHEN k % 7 = 0 THEN 5 ELSE -1 END AS simple FROM m""")
 def older_scores(spark, d):
     pages = t(spark, d, "customer").withColumn("k", F.col("c_custkey")).select(F.col("k").cast("string").alias("doc"), F.expr(_html(_PAY)).alias("html"))
-    cells = parse_tables(pages)
-    out = None
+    cells = cut(parse_tables(pages))
+    parts = []
     for name, scored in {"first": SC.first_score(cells), "ranked": SC.ranked_score(cells), "fallback": SC.fallback_score(cells), "legacy": SC.legacy_score(cells, ["salary", "grant", "pension"])}.items():
-        part = scored.select("doc", F.col("score").cast("int").alias(name))
-        out = part if out is None else out.join(part, "doc")
+        parts.append(scored.select("doc", F.lit(name).alias("name"), F.col("score").cast("int").alias("score")))
     line = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("row_idx", "col_idx", F.lower("text").alias("t")))), lambda x: x["t"]), " ")
-    return out.join(cells.groupBy("doc").agg(SC.simple_ownership_score(line).alias("simple")), "doc")
+    parts.append(cells.groupBy("doc").agg(SC.simple_ownership_score(line).alias("score")).select("doc", F.lit("simple").alias("name"), "score"))
+    # A document has one table, so its scores meet in a group: joins would send whole sides to the driver.
+    return reduce(DataFrame.unionByName, parts).groupBy("doc").agg(*[F.max(F.when(F.col("name") == n, F.col("score"))).alias(n) for n in ("first", "ranked", "fallback", "legacy", "simple")])
 
 
 # Officers in one text: with initials, with full names, a title first, a title alone, or neither.
