@@ -55,9 +55,10 @@ def with_found_header(cells: DataFrame) -> DataFrame:
     first stays; white space in names is squeezed.
     """
     numbered = cells.withColumn("_r", F.dense_rank().over(Window.partitionBy(*KEY).orderBy("row_idx")))
-    rows = numbered.where(F.col("_r") <= HEADER_ROWS).groupBy(*KEY, "_r").agg(F.count_if(any_of(F.lower("text"), WORDS)).alias("_n"))
-    found = rows.where("_n >= 2").groupBy(*KEY).agg(F.min("_r").alias("_h"))
-    numbered = numbered.join(found, KEY, "left").withColumn("_h", F.coalesce("_h", F.lit(0)))
+    row = Window.partitionBy(*KEY, "_r")
+    numbered = numbered.withColumn("_n", F.count_if(any_of(F.lower("text"), WORDS)).over(row))
+    found = F.min(F.when((F.col("_r") <= HEADER_ROWS) & (F.col("_n") >= 2), F.col("_r"))).over(Window.partitionBy(*KEY))
+    numbered = numbered.withColumn("_h", F.coalesce(found, F.lit(0)))
     column = Window.partitionBy(*KEY, "col_idx")
     head = F.coalesce(F.max(F.when(F.col("_r") == F.col("_h"), F.coalesce("text", F.lit("nan")))).over(column), F.col("head"))
     body = numbered.withColumn("name", strip(squeeze(head))).where(F.col("_r") > F.col("_h"))
